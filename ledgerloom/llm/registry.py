@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
-from ledgerloom.llm import quality
+from ledgerloom.llm import licenses, mixing, packing, quality, secrets
 
 
 def queries() -> dict:
-    return {"op1_quality_rules": quality.op1_quality_rules}
+    return {
+        "op1_quality_rules": quality.op1_quality_rules,
+        "op2_license_scans": licenses.op2_license_scans,
+        "op4_packing": packing.op4_packing,
+        "op5_source_mix": mixing.op5_source_mix,
+        "op7_secret_scans": secrets.op7_secret_scans,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_license_scans": licenses.op2_sql(), "op5_source_mix": mixing.op5_sql()}
