@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import sys
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +14,11 @@ SEPARATORS = r"[ \x09-\x0D]+"
 LOCAL_CHECKPOINTS = "/tmp/checkpoints"
 
 
+def shipped(name: str) -> None:
+    """Sends a module's functions to executors by value, so that they need not have the package on their path."""
+    cloudpickle.register_pickle_by_value(sys.modules[name])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm import common
 
+common.shipped(__name__)
 LENGTH = 2048
 END = 1
 #: Entries of a worker's cache from words to ids; emptied when full, so that its memory is bounded.

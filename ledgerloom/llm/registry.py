@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerloom.llm import licenses, mixing, packing, quality, secrets
+from ledgerloom.llm import licenses, minhash, mixing, packing, quality, secret_scan
 
 
 def queries() -> dict:
@@ -11,7 +11,8 @@ def queries() -> dict:
         "op2_license_scans": licenses.op2_license_scans,
         "op4_packing": packing.op4_packing,
         "op5_source_mix": mixing.op5_source_mix,
-        "op7_secret_scans": secrets.op7_secret_scans,
+        "op7_secret_scans": secret_scan.op7_secret_scans,
+        "op9_minhash_near_dedup": minhash.op9_minhash_near_dedup,
     }
 
 
