@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from ledgerloom.llm import licenses, minhash, mixing, packing, quality, secret_scan
+from ledgerloom.llm import embeddings, licenses, minhash, mixing, packing, quality, secret_scan, substrings
 
 
 def queries() -> dict:
     return {
         "op1_quality_rules": quality.op1_quality_rules,
         "op2_license_scans": licenses.op2_license_scans,
+        "op3_embedding_near_dedup": embeddings.op3_embedding_near_dedup,
         "op4_packing": packing.op4_packing,
         "op5_source_mix": mixing.op5_source_mix,
         "op7_secret_scans": secret_scan.op7_secret_scans,
         "op9_minhash_near_dedup": minhash.op9_minhash_near_dedup,
+        "op10_substring_dedup": substrings.op10_substring_dedup,
     }
 
 
