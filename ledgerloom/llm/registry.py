@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerloom.llm import embeddings, licenses, minhash, mixing, packing, quality, secret_scan, substrings
+from ledgerloom.llm import embeddings, licenses, minhash, mixing, packing, quality, secret_scan, substrings, toxicity
 
 
 def queries() -> dict:
@@ -13,6 +13,7 @@ def queries() -> dict:
         "op4_packing": packing.op4_packing,
         "op5_source_mix": mixing.op5_source_mix,
         "op7_secret_scans": secret_scan.op7_secret_scans,
+        "op8_toxicity": toxicity.op8_toxicity,
         "op9_minhash_near_dedup": minhash.op9_minhash_near_dedup,
         "op10_substring_dedup": substrings.op10_substring_dedup,
     }
