@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerloom.llm import embeddings, licenses, minhash, mixing, packing, quality, secret_scan, substrings, toxicity
+from ledgerloom.llm import embeddings, licenses, lm, minhash, mixing, packing, quality, secret_scan, substrings, toxicity
 
 
 def queries() -> dict:
@@ -12,6 +12,7 @@ def queries() -> dict:
         "op3_embedding_near_dedup": embeddings.op3_embedding_near_dedup,
         "op4_packing": packing.op4_packing,
         "op5_source_mix": mixing.op5_source_mix,
+        "op6_lm_score": lm.op6_lm_score,
         "op7_secret_scans": secret_scan.op7_secret_scans,
         "op8_toxicity": toxicity.op8_toxicity,
         "op9_minhash_near_dedup": minhash.op9_minhash_near_dedup,
