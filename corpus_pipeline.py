@@ -1,14 +1,79 @@
-"""The corpus pipeline: stages of the corpus operators over `documents`."""
+"""The corpus pipeline over `documents`: each stage works on all that the one before kept, and its decisions take effect.
+
+1. toxicity: documents with a score of 0.5 or more go.
+2. near_duplicates: one document of each group of near-duplicates stays, the one with the least id.
+3. secrets: every secret found is replaced by a mark; n_chars follows.
+4. mixing: a document is repeated or cut so that each source comes near its target share.
+5. packing: the texts become token sequences of 2048; the result has a row per piece.
+
+Rows without an id are never near-duplicates of others and are mixed as they are, once. A stage returns the columns of
+its input; stages 2 to 4 leave extra columns alone. Empty tables pass through. SQL can't express the first two stages and
+the last, so there is no SQL for the whole.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ledgerloom.llm import common, minhash, mixing, packing, secret_scan, toxicity
+
+THRESHOLD = 0.5
 ORACLE_SQL = None
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    field = toxicity.learn(docs, common.table(spark, sf_dir, "labels"))
+    return toxicity.tagged(docs, field, carry=docs.columns).where(F.col("score") < THRESHOLD).select(*docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    found = minhash.clusters(docs)
+    first = found.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
+    kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return kept.unionByName(docs.where(F.col("doc_id").isNull()))
+
+
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    out = secret_scan.redacted(docs)
+    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    named = docs.where(F.col("doc_id").isNotNull())
+    sizes = common.written(mixing.sized(named), "sizes")
+    taken = mixing.mix(sizes).groupBy("doc_id").agg(F.max("size").alias("_size"), F.max("taken").alias("_taken")).where("_taken > 0")
+    rows = named.join(taken, "doc_id")
+    # whole copies, then the words left over as one shorter copy
+    copies = F.array_repeat(F.col("text"), F.expr("int(_taken div _size)"))
+    rest = F.when(F.expr("_taken % _size > 0"), F.array(F.array_join(F.slice(common.words(F.col("text")), 1, F.expr("int(_taken % _size)")), " "))).otherwise(F.array().cast("array<string>"))
+    rows = rows.withColumn("text", F.explode(F.concat(copies, rest))).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return rows.select(*docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near_duplicates", drop_near_duplicates),
+    ("secrets", mask_secrets),
+    ("mixing", mix_sources),
+    ("packing", pack),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = common.written(stage(spark, docs, sf_dir), name)
+    return docs
+
+
 def queries() -> dict:
-    return {}
+    return {"pipeline": run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"pipeline": ORACLE_SQL} if ORACLE_SQL else {}
