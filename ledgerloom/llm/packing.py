@@ -22,7 +22,9 @@ common.shipped(__name__)
 LENGTH = 2048
 END = 1
 #: Entries of a worker's cache from words to ids; emptied when full, so that its memory is bounded.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 250_000
+CACHE_PARTS = 400_000
+MARKS = (b".", b",", b";", b":", b"!", b"?")
 
 
 def vocabulary(name: str = "word_bpe_49k.json") -> str:
@@ -32,7 +34,10 @@ def vocabulary(name: str = "word_bpe_49k.json") -> str:
 
 
 class WordIds(dict):
-    """Ids of words as little-endian unsigned 32-bit bytes. White space ends a word in this vocabulary, so words stand alone."""
+    """Ids of words as little-endian unsigned 32-bit bytes. White space ends a word in this vocabulary, so words stand alone.
+
+    So do its letters and a mark after them, and case is dropped: a word is made up of `parts`, which fewer words share.
+    """
 
     def __init__(self, tokenizer_path: str):
         import os
@@ -41,13 +46,45 @@ class WordIds(dict):
         from tokenizers import Tokenizer
 
         super().__init__()
+        self.parts: dict = {}
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
+        self.model = self.tokenizer.model
+        # the model's signs for bytes: printable ones stand for themselves, the others follow 255 in order
+        plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+        self.shown = {b: 256 + k for k, b in enumerate(x for x in range(256) if x not in plain)}
 
-    def __missing__(self, word: bytes) -> bytes:
+    def encoded(self, text: bytes) -> bytes:
+        import struct
+
+        ids = self.tokenizer.encode(text.decode(), add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def letters(self, word: bytes) -> bytes | None:
+        """The ids of a word of letters alone, by the tokenizer's model without its splitting; None for other words."""
         import struct
+        import unicodedata
+
+        if not word.isalpha():  # of bytes: ASCII letters only
+            text = word.decode()
+            if not (text.isalpha() and unicodedata.is_normalized("NFC", text)):
+                return None
+            word = "".join(map(str.lower, text)).encode()
+        ids = [x.id for x in self.model.tokenize(word.decode("latin-1").translate(self.shown))]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def part(self, word: bytes) -> bytes:
+        out = self.parts.get(word)
+        if out is None:
+            if len(self.parts) >= CACHE_PARTS:
+                self.parts.clear()
+            out = self.letters(word)
+            out = self.parts[word] = self.encoded(word) if out is None else out
+        return out
 
-        ids = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
-        out = struct.pack(f"<{len(ids)}I", *ids)
+    def __missing__(self, word: bytes) -> bytes:
+        low, mark = word.lower(), word[-1:]
+        rest = self.part(low[:-1]) if mark in MARKS and low[:-1].decode().isalpha() else None
+        out = self.part(low) if rest is None else rest + self.part(mark)
         if len(self) >= CACHE_WORDS:
             self.clear()
         self[word] = out
@@ -55,10 +92,7 @@ class WordIds(dict):
 
     def text(self, text: bytes) -> bytes:
         if b"<|" in text:  # a special token may hold white space around it
-            import struct
-
-            ids = self.tokenizer.encode(text.decode(), add_special_tokens=False).ids
-            return struct.pack(f"<{len(ids)}I", *ids)
+            return self.encoded(text)
         return b"".join(map(self.__getitem__, text.split()))
 
 
