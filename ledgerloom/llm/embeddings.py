@@ -112,7 +112,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, id_col: st
     dealt = classes.withColumn("dim", F.size("vector")).join(dims, "dim").withColumn("block", F.expr("int(pmod(xxhash64(rep), blocks))"))
     tiles = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(F.least("block", j).alias("p"), F.greatest("block", j).alias("q"), (F.col("block") > j).cast("int").alias("side")))
     dealt = dealt.select("dim", "rep", "many", "vector", F.explode(tiles).alias("t"))
-    dealt = dealt.select("dim", "t.p", "t.q", "t.side", (F.col("t.p") == F.col("t.q")).alias("same"), "rep", "many", "vector")
+    tasks = dims.agg(F.sum(F.expr("blocks * (blocks + 1) div 2"))).first()[0] or 1  # a task for each tile, up to a few thousand
+    dealt = dealt.select("dim", "t.p", "t.q", "t.side", (F.col("t.p") == F.col("t.q")).alias("same"), "rep", "many", "vector").repartition(min(4000, int(tasks)), "dim", "p", "q")
     found = common.written(dealt.groupBy("dim", "p", "q").applyInArrow(tile(threshold), "a long, b long, n long"), "tiles")
     counts = found.where("n is not null").groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("n"))
     tied = common.components(found.where("b is not null").select("a", "b")).withColumnRenamed("node", "rep")
