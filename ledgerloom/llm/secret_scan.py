@@ -87,6 +87,16 @@ def redact(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
     return F.when(F.size(spans) > 0, rest).otherwise(text)
 
 
+def redacted(versions: DataFrame, text_col: str = "text", mark: str = "[SECRET]") -> DataFrame:
+    """The rows with every finding in their text replaced by a mark; null texts stay null."""
+    blobs = versions.withColumn("_sha", F.sha2(common.text_or_empty(F.col(text_col)), 256))
+    _, found = scan(versions, [], text_col=text_col)
+    hits = found.where(F.size("spans") > 0).select(F.col("sha").alias("_sha"), F.col("spans").alias("_spans"))
+    joined = blobs.join(hits, "_sha", "left")
+    text = F.when(F.col("_spans").isNotNull(), redact(F.col(text_col), F.col("_spans"), mark)).otherwise(F.col(text_col))
+    return joined.withColumn(text_col, text).select(*versions.columns)
+
+
 def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, _ = scan(common.table(spark, sf_dir, "documents"), ["doc_id"])
     count = lambda kind: F.size(F.filter("spans", lambda x: x.kind == kind)).cast("long").alias(f"n_{kind}")
