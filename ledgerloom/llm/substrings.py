@@ -31,7 +31,7 @@ SEED = 31
 HOT_SHARE = 2000
 SAMPLE = 16
 #: Rows of one minimiser that a task holds; larger groups take the window way too.
-GROUP_ROWS = 20_000
+GROUP_ROWS = 4_000
 #: The intervals are broadcast up to so many rows of at most ROW_BYTES; beyond, the texts are shuffled to them.
 BROADCAST_ROWS = 500_000
 
@@ -91,7 +91,7 @@ def super_kmers(docs: DataFrame, hot: frozenset, window: int = WINDOW) -> DataFr
                     _hash_windows(own, int(text[i]), int(start[i]), words[text[i]][start[i] : start[i] + n[i] + window - 1], window)
                 none = len(own[0])
                 rows = np.r_[text[keep], np.array(own[0], np.int64)].astype(np.int64) + lo
-                pick = batch.take(pa.array(rows))
+                pick = batch.select([0, 1]).take(pa.array(rows))
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.r_[mini[keep], np.array(own[2], np.int64)]), pick.column(0), pick.column(1),
                     pa.array(np.r_[start[keep], np.array(own[1], np.int64)]), pa.array(np.r_[n[keep], np.ones(none, np.int64)]),

@@ -6,6 +6,12 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ledgerloom.functions import text
+from ledgerloom.operators import checks, marts, master, star, variance
+from ledgerloom.plans import oracle
+from ledgerloom.sources import tables
 
 
 @dataclass(frozen=True)
@@ -14,4 +20,172 @@ class Query:
     oracle: str | None = None
 
 
-QUERIES: dict[str, Query] = {}
+def _on(f: Callable[[DataFrame], DataFrame], source: Callable = marts.rows) -> Callable:
+    return lambda spark, sf_dir: f(source(spark, sf_dir))
+
+
+def _product(f: Callable[[DataFrame], DataFrame] = lambda df: df) -> Callable:
+    return lambda spark, sf_dir: f(marts.product_performance(marts.rows(spark, sf_dir)))
+
+
+RATIO_SQL = ", ".join(f"{a} as {b}" for a, b in marts.RATIOS.items())
+SCORE_SQL = "margin_risk_score, revenue_quality_score"
+PRODUCT_SQL = ", ".join([*marts.PRODUCT_KEYS, *marts.PRODUCT_METRICS, *marts.ACTION])
+REVIEW_KEYS = "public_product_id, marketplace, brand_group, category_group, product_group"
+MARTS = {
+    "mart_marketplace_summary": Query(_on(marts.marketplace_summary), oracle.sql(f"select dataset_period, transaction_month, marketplace, order_count as total_orders, product_count, sales_index, units_index, {RATIO_SQL}, {SCORE_SQL} from mp")),
+    "mart_channel_performance": Query(_on(marts.channel_performance), oracle.sql(f"""select dataset_period, marketplace, channel, product_count, order_count_index, sales_index, units_index, {RATIO_SQL}, margin_risk_score as avg_margin_risk_score, revenue_quality_score as avg_revenue_quality_score,
+        (select count(distinct public_product_id) from prod r where r.action_priority = 'High' and r.marketplace = ch.marketplace and r.channel = ch.channel) as high_priority_action_count from ch where product_count > 0 or sales_index > 0""")),
+    "mart_product_performance": Query(_product(), oracle.sql(f"select {PRODUCT_SQL} from pp")),
+    "mart_category": Query(_on(marts.category_performance), oracle.sql(f"select dataset_period, marketplace, category_group, subcategory_group, product_count, sales_index, units_index, {RATIO_SQL}, {SCORE_SQL} from cat")),
+    "mart_brand": Query(_on(marts.brand_performance), oracle.sql(f"select dataset_period, marketplace, brand_group, category_group, product_count, sales_index, units_index, {RATIO_SQL}, {SCORE_SQL} from brd")),
+    "mart_fulfillment": Query(_on(marts.fulfillment_comparison), oracle.sql(f"select dataset_period, fulfillment_type, product_count, order_count, sales_index, units_index, fee_pct_of_gross as avg_fee_pct_of_gross, refund_pct_of_gross as avg_refund_pct_of_gross, net_to_gross_pct as avg_net_to_gross_pct, {SCORE_SQL} from ful")),
+    "mart_profitability": Query(_on(marts.profitability_summary), oracle.sql(f"select dataset_period, marketplace, category_group, brand_group, product_group, margin_band_public, profitability_band_public, product_count, sales_index, units_index, margin_index, estimated_profitability_index, {SCORE_SQL}, margin_risk_band, revenue_quality_band from pro")),
+    "mart_fee_refund_flags": Query(_product(marts.fee_refund_summary), oracle.sql(f"""select {REVIEW_KEYS}, fee_pct_of_gross, refund_pct_of_gross, promotion_pct_of_gross, net_to_gross_pct, revenue_quality_score, revenue_quality_band,
+        case when fee_pct_of_gross >= 25 then 'Review' else 'Monitor' end as fee_review_flag, case when refund_pct_of_gross >= 10 then 'Review' else 'Monitor' end as refund_review_flag,
+        case when promotion_pct_of_gross >= 10 and net_to_gross_pct < 70 then 'Review' else 'Monitor' end as promotion_review_flag from pp""")),
+    "mart_margin_risk": Query(_product(marts.margin_risk_review), oracle.sql(f"select {REVIEW_KEYS}, listing_price_band, inventory_band, {', '.join(marts.PRODUCT_METRICS[:6])}, margin_risk_score, margin_risk_band, revenue_quality_score, {', '.join(marts.ACTION)} from pp")),
+    "mart_inventory_action": Query(lambda s, d: marts.inventory_action_review(df := marts.rows(s, d), marts.product_performance(df)), oracle.sql(f"""select {REVIEW_KEYS}, inventory_band, units_index, sales_index, margin_risk_band, revenue_quality_band, restock_priority, {', '.join(marts.ACTION)}
+        from pp left join (select distinct {REVIEW_KEYS}, inventory_band, restock_priority from prod) c using ({REVIEW_KEYS}, inventory_band)""")),
+    "mart_product_action": Query(_product(marts.product_action_review), oracle.sql(f"select {PRODUCT_SQL} from pp")),
+}
+
+
+def _vm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variance.marketplace_matrix(marts.rows(spark, sf_dir))
+
+
+def _compared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    matrix = _vm(spark, sf_dir)
+    return variance.compare(matrix, variance.periods(matrix), ["marketplace"])
+
+
+def _compared_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = marts.rows(spark, sf_dir)
+    return variance.compare(variance.product_matrix(df), variance.periods(variance.marketplace_matrix(df)), ["public_product_id", "marketplace", "brand_group", "category_group"])
+
+
+TOTAL_SQL = f"""tot as (select metric, previous_period, current_period, sum(previous_value::decimal(18,1))::double as previous_total, sum(current_value::decimal(18,1))::double as current_total from vmc group by all),
+totv as (select *, round_even(current_total - previous_total, 2) as absolute_variance, round_even((current_total - previous_total) / nullif(abs(previous_total), 0) * 100.0::double, 2) as percentage_variance from tot),
+totals as (select *, {oracle.moved("absolute_variance")} as movement from totv),
+ranked as (select *, row_number() over (partition by metric order by abs(absolute_variance) desc, marketplace) as rank from vmc)"""
+VARIANCES = {
+    "variance_periods": Query(_on(variance.periods, _vm), oracle.sql("select transaction_month, orders, valid, place, excluded from periods", oracle.VARIANCE)),
+    "variance_marketplace": Query(_compared, oracle.sql("select * from vmc", oracle.VARIANCE)),
+    "variance_product": Query(_compared_products, oracle.sql("select * from vpc", oracle.VARIANCE)),
+    "variance_top_contributors": Query(lambda s, d: variance.top_contributors(_compared(s, d), ["marketplace"]), oracle.sql("select * from ranked where rank <= 3", f"{oracle.VARIANCE}, {TOTAL_SQL}")),
+    "variance_driver_summary": Query(lambda s, d: variance.driver_summary(_compared(s, d)), oracle.sql("""select t.*, max(case when rank = 1 then marketplace end) as top_contributor, max(case when rank = 1 then contribution_share end) as top_share,
+        max(case when rank = 2 then marketplace end) as second_contributor, max(case when rank = 2 then contribution_share end) as second_share from totals t join ranked r on r.metric = t.metric group by all""", f"{oracle.VARIANCE}, {TOTAL_SQL}")),
+}
+
+
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.lines(spark, sf_dir)
+
+
+def _coverage(df: DataFrame) -> DataFrame:
+    return df.agg(F.count("*").alias("rows"), F.count_if(F.col("transaction_type_group") == "Order").alias("order_rows"), F.count("sku").alias("rows_with_sku"), F.count_if(F.col("mapping_status") == "Matched").alias("matched_rows"), F.count_if(F.col("mapping_status") == "Unmatched").alias("unmatched_rows"), F.count_distinct(F.when(F.col("mapping_status") == "Matched", F.col("sku"))).alias("matched_skus"))
+
+
+FIELDS = [
+    checks.Field("sku", required=True), checks.Field("order_id", required=True), checks.Field("marketplace", allowed=("amazon.in", "Flipkart", "MEESHO", "Jio Mart")),
+    checks.Field("quantity", "number", least=1, most=45), checks.Field("product_sales", "number", least=0, range_severity="reject"),
+]
+CONTRACT_SQL = """checked as (select *, list_filter([
+    case when sku is null then {'field': 'sku', 'code': 'missing_required_field', 'severity': 'reject'} end,
+    case when marketplace not in ('amazon.in', 'Flipkart', 'MEESHO', 'Jio Mart') then {'field': 'marketplace', 'code': 'unknown_value', 'severity': 'warn'} end,
+    case when quantity < 1 or quantity > 45 then {'field': 'quantity', 'code': 'out_of_range', 'severity': 'warn'} end,
+    case when product_sales < 0 then {'field': 'product_sales', 'code': 'out_of_range', 'severity': 'reject'} end], lambda x: x is not null) as v from txn)"""
+
+
+def _contract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return checks.violations(tables.transactions(spark, sf_dir), FIELDS, ["order_id"])
+
+
+def _privacy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return checks.pattern_counts(tables.read(spark, sf_dir, "documents"), ["text", "source"])
+
+
+PRIVACY_SQL = "\nunion all\n".join(
+    [f"select '{c}' as column_name, '{n}' as pattern, count(*) filter (where regexp_matches({c}, {oracle.q(p)})) as cells from documents" for c in ("text", "source") for n, p in checks.PATTERNS.items()]
+    + [f"select '{c}' as column_name, 'long_text' as pattern, count(*) filter (where len(string_split_regex(trim({c}), '[ \\t-\\r]+')) >= 5) as cells from documents" for c in ("text", "source")]
+)
+BI = "order_count, product_count, sales_index"
+ROW_QUERIES = {
+    "txn_amounts": Query(lambda s, d: master.amounts(tables.transactions(s, d)).groupBy("transaction_month", "marketplace", "fulfillment_type", "transaction_type_group").agg(*[F.sum(c).cast("double").alias(c) for c in ("gross", "refund", "promo", "fee", "net", "units")]), oracle.sql("select transaction_month, marketplace, fulfillment_type, transaction_type_group, " + ", ".join(f"sum({c})::double as {c}" for c in ("gross", "refund", "promo", "fee", "net", "units")) + " from amounts group by all", oracle.BASE)),
+    "std_groups": Query(lambda s, d: master.amounts(tables.transactions(s, d)).groupBy("transaction_type_group", "fulfillment_type", "marketplace", "state_group").agg(F.count("*").alias("rows")), oracle.sql("select transaction_type_group, fulfillment_type, marketplace, state_group, count(*) as rows from amounts group by all", oracle.BASE)),
+    "band_price_inventory": Query(lambda s, d: tables.product_master(s, d).select("seller_sku", text.price_band(F.col("price")).alias("price_band"), text.inventory_band(F.col("quantity")).alias("inventory_band"), text.origin(F.col("origin_country")).alias("origin_group")), oracle.sql(f"select seller_sku, {oracle.band('price', oracle.PRICE_BAND, '4000+')} as price_band, {oracle.band('quantity', oracle.STOCK_BAND, 'Very High / 100+')} as inventory_band, case when origin_country is null then 'Unknown' when origin_country = 'India' then 'India' else 'Imported / Other' end as origin_group from product_master", oracle.BASE)),
+    "public_id_generation": Query(lambda s, d: master.with_public_ids(tables.product_master(s, d)).select("seller_sku", "public_product_id"), oracle.sql("select seller_sku, pid as public_product_id from ids", oracle.BASE)),
+    "join_product_match": Query(lambda s, d: _lines(s, d).groupBy("public_product_id", "mapping_status", "brand_group", "product_group").agg(F.count("*").alias("rows"), F.sum("profit").cast("double").alias("profit")), oracle.sql("select public_product_id, mapping_status, brand_group, product_group, count(*) as rows, sum(profit)::double as profit from lines group by all", oracle.BASE)),
+    "join_coverage_metrics": Query(_on(_coverage, _lines), oracle.sql("select count(*) as rows, count(*) filter (where transaction_type_group = 'Order') as order_rows, count(sku) as rows_with_sku, count(*) filter (where mapping_status = 'Matched') as matched_rows, count(*) filter (where mapping_status = 'Unmatched') as unmatched_rows, count(distinct case when mapping_status = 'Matched' then sku end) as matched_skus from lines", oracle.BASE)),
+    "row_metrics": Query(lambda s, d: marts.rows(s, d).select("order_id", "public_product_id", "transaction_month", *marts.PRODUCT_METRICS, "margin_band_public"), oracle.sql(f"select order_id, public_product_id, transaction_month, {', '.join(marts.PRODUCT_METRICS)}, margin_band_public from rowa", oracle.ROWS)),
+    "row_actions": Query(_on(lambda df: df.groupBy("marketplace", *marts.ACTION).agg(F.count("*").alias("rows"))), oracle.sql(f"select marketplace, {', '.join(marts.ACTION)}, count(*) as rows from rowa group by all", oracle.ROWS)),
+    "contract_violations_by_code": Query(_on(checks.quarantine_summary, _contract), oracle.sql("select x.field as field, x.code as code, x.severity as severity, count(*) as records from (select unnest(v) as x from checked) group by all", f"{oracle.BASE}, {CONTRACT_SQL}")),
+    "contract_accepted_rows": Query(_on(lambda df: checks.accepted(df).groupBy("type", "marketplace").agg(F.count("*").alias("rows")), _contract), oracle.sql("select type, marketplace, count(*) as rows from checked where len(list_filter(v, lambda x: x.severity = 'reject')) = 0 group by all", f"{oracle.BASE}, {CONTRACT_SQL}")),
+    "privacy_pattern_counts": Query(_privacy, PRIVACY_SQL),
+    "privacy_known_values": Query(lambda s, d: checks.known_values(tables.read(s, d, "documents"), "text", tables.read(s, d, "benchmark"), "text").select("doc_id"), "select doc_id from documents where trim(text) in (select trim(text) from benchmark where trim(text) <> '')"),
+}
+
+
+def _summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.marketplace_summary(marts.rows(spark, sf_dir))
+
+
+DIM_SQL = """dm as (select row_number() over (order by marketplace)::int as marketplace_key, marketplace from (select distinct marketplace from mp where marketplace <> 'Unknown') union all select 0, 'Unknown'),
+dt as (select row_number() over (order by transaction_month)::int as month_key, transaction_month from (select distinct transaction_month from mp))"""
+FACT = "total_orders, product_count, sales_index, units_index, avg_fee_pct_of_gross, avg_refund_pct_of_gross, avg_promotion_pct_of_gross, avg_net_to_gross_pct, margin_risk_score, revenue_quality_score"
+STAR = {
+    "dim_product": Query(_product(star.dim_product), oracle.sql("select row_number() over (order by public_product_id)::int as product_key, public_product_id, a.brand_group as brand_group, a.category_group as category_group, a.subcategory_group as subcategory_group, a.product_group as product_group from (select public_product_id, min({'brand_group': brand_group, 'category_group': category_group, 'subcategory_group': subcategory_group, 'product_group': product_group}) as a from pp group by 1)")),
+    "dim_marketplace": Query(lambda s, d: star.dimension(_summary(s, d), "marketplace", "marketplace_key"), oracle.sql("select * from dm", f"{oracle.CHAIN}, {DIM_SQL}")),
+    "dim_month": Query(_on(star.dim_month, _summary), oracle.sql("select month_key, transaction_month, transaction_month[1:4]::int as year_number, transaction_month[6:7]::int as month_number, monthname((transaction_month || '-01')::date) as month_name, ((transaction_month[6:7]::int + 2) // 3)::int as quarter_number from dt", f"{oracle.CHAIN}, {DIM_SQL}")),
+    "dim_fulfillment": Query(lambda s, d: star.dimension(_lines(s, d), "fulfillment_type", "fulfillment_key"), oracle.sql("select row_number() over (order by fulfillment_type)::int as fulfillment_key, fulfillment_type from (select distinct fulfillment_type from lines) union all select 0, 'Unknown'", oracle.BASE)),
+    "fact_marketplace_activity": Query(_on(star.fact_marketplace, _summary), oracle.sql(f"select row_number() over (order by month_key, marketplace_key)::int as activity_key, month_key, marketplace_key, {FACT.replace('total_orders', 'order_count as total_orders').replace('avg_fee', 'fee_pct_of_gross as avg_fee').replace('avg_refund', 'refund_pct_of_gross as avg_refund').replace('avg_promotion', 'promotion_pct_of_gross as avg_promotion').replace('avg_net', 'net_to_gross_pct as avg_net')} from mp join dm using (marketplace) join dt using (transaction_month)", f"{oracle.CHAIN}, {DIM_SQL}")),
+    "fk_orphans": Query(lambda s, d: (lambda m: star.orphans(star.fact_marketplace(m), star.dim_month(m), "month_key").agg(F.count("*").alias("orphans")))(_summary(s, d)), "select 0::bigint as orphans"),
+}
+
+PRODUCT_FILTERS = {
+    "dash_candidates_fee": ("fee_pct_of_gross >= 25", "fee_pct_of_gross desc, sales_index desc"),
+    "dash_candidates_refund": ("recommended_action = 'Refund Review'", "refund_pct_of_gross desc, sales_index desc"),
+    "dash_candidates_promo": ("recommended_action = 'Promotion Review'", "promotion_pct_of_gross desc, sales_index desc"),
+    "dash_candidates_weak": ("revenue_quality_score < 45", "revenue_quality_score, sales_index desc"),
+    "dash_candidates_risk": ("sales_index >= 50 and margin_risk_score >= 45", "margin_risk_score desc, sales_index desc"),
+    "dash_candidates_slow": ("units_index < 10 and lower(inventory_band) like '%high%'", "units_index, sales_index desc"),
+    "dash_top_margin_risk": ("true", "margin_risk_score desc, sales_index desc"),
+    "sql_06_action_queue": ("recommended_action <> 'Monitor'", "case action_priority when 'High' then 1 when 'Medium' then 2 else 3 end, sales_index desc"),
+}
+KEYS_SQL = ", ".join(marts.PRODUCT_KEYS)
+
+
+def _filtered(test: str, order: str, n: int) -> Query:
+    """A top-k report: the limit is the feature. All keys break ties."""
+    run = _product(lambda df: df.where(test).orderBy(*[F.expr(x.removesuffix(" desc")).desc() if x.endswith(" desc") else F.expr(x).asc() for x in order.split(", ")], *marts.PRODUCT_KEYS).limit(n).select(*marts.PRODUCT_KEYS, *marts.PRODUCT_METRICS, *marts.ACTION))
+    return Query(run, oracle.sql(f"select {PRODUCT_SQL} from pp where {test} order by {order}, {KEYS_SQL} limit {n}"))
+
+
+MEASURES = {
+    "total_products": ("count(distinct public_product_id)", "count(distinct public_product_id)"),
+    "marketplaces": ("count(distinct marketplace)", "count(distinct marketplace)"),
+    "recommended_action_rows": ("count(*)", "count(*)"),
+    "high_priority_products": ("count(distinct case when action_priority = 'High' then public_product_id end)",) * 2,
+} | {f"{a.lower().replace(' ', '_')}_rows": (f"count(case when recommended_action = '{a}' then 1 end)",) * 2 for a in ("Fee Review", "Refund Review", "Restock Review", "Revenue Quality Review", "Monitor")}
+MEASURES |= {f"average_{c}": (f"bround(try_divide(cast(sum(cast({c} as decimal(12,1))) as double), count({c})), 6)", f"round_even(sum({c}::decimal(12,1))::double / nullif(count({c}), 0), 6)") for c in ("sales_index", "units_index", "fee_pct_of_gross", "refund_pct_of_gross", "promotion_pct_of_gross", "net_to_gross_pct", "margin_index", "estimated_profitability_index", "margin_risk_score", "revenue_quality_score")}
+
+
+def measures(df: DataFrame, by: list[str] = ()) -> DataFrame:
+    """Every measure for any slice."""
+    return df.groupBy(*by).agg(*[F.expr(e).alias(n) for n, (e, _) in MEASURES.items()])
+
+
+MEASURE_SQL = ", ".join(f"{e} as {n}" for n, (_, e) in MEASURES.items())
+DASH = {k: _filtered(t, o, 50 if k.startswith("sql") else 10) for k, (t, o) in PRODUCT_FILTERS.items()} | {
+    "dash_action_counts": Query(_product(lambda df: df.groupBy("recommended_action", "action_priority").agg(F.count("*").alias("rows"))), oracle.sql("select recommended_action, action_priority, count(*) as rows from pp group by all")),
+    "dash_top_groups": Query(_product(lambda df: df.groupBy("marketplace", "product_group").agg(F.count_distinct("public_product_id").alias("products"), F.sum(F.col("sales_index").cast("decimal(12,1)")).cast("double").alias("sales")).orderBy(F.desc("sales"), "marketplace", "product_group").limit(20)), oracle.sql("select marketplace, product_group, count(distinct public_product_id) as products, sum(sales_index::decimal(12,1))::double as sales from pp group by all order by sales desc, marketplace, product_group limit 20")),
+    "dash_imported": Query(_on(lambda df: marts.products(df).groupBy("origin_country_group").agg(F.count_distinct("public_product_id").alias("products"), F.bround(F.sum(F.col("sales_index").cast("decimal(12,1)")).cast("double") / F.count("*"), 6).alias("mean_sales"))), oracle.sql("select origin_country_group, count(distinct public_product_id) as products, round_even(sum(sales_index::decimal(12,1))::double / count(*), 6) as mean_sales from prod group by all", oracle.ROWS)),
+    "dash_filter_options": Query(_product(lambda df: df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("filter"), F.col(c).alias("value")) for c in ("marketplace", "brand_group", "category_group", "fulfillment_type", "inventory_band")])).alias("x")).select("x.*").distinct()), oracle.sql(" union ".join(f"select '{c}' as filter, {c} as value from pp" for c in ("marketplace", "brand_group", "category_group", "fulfillment_type", "inventory_band")))),
+    "bi_measures_total": Query(_product(measures), oracle.sql(f"select {MEASURE_SQL} from pp")),
+    "bi_measures_by_marketplace": Query(_product(lambda df: measures(df, ["marketplace"])), oracle.sql(f"select marketplace, {MEASURE_SQL} from pp group by marketplace")),
+    "workflow_queue": Query(_product(lambda df: df.where("action_priority in ('High', 'Medium')").select(F.regexp_replace(F.concat_ws("-", F.lit("PRD"), "public_product_id", "marketplace"), " ", "_").alias("exception_id"), "public_product_id", "marketplace", "recommended_action", "action_priority").distinct().groupBy("exception_id").agg(F.min(F.struct("public_product_id", "marketplace", "recommended_action", "action_priority")).alias("x")).select("exception_id", "x.*", F.lit("New").alias("status"))), oracle.sql("select exception_id, x.public_product_id as public_product_id, x.marketplace as marketplace, x.recommended_action as recommended_action, x.action_priority as action_priority, 'New' as status from (select replace('PRD-' || public_product_id || '-' || marketplace, ' ', '_') as exception_id, min({'public_product_id': public_product_id, 'marketplace': marketplace, 'recommended_action': recommended_action, 'action_priority': action_priority}) as x from pp where action_priority in ('High', 'Medium') group by 1)")),
+    "ratio_and_activity_checks": Query(_product(lambda df: df.agg(*[e for c in marts.PRODUCT_METRICS[:6] for e in (F.min(c).alias(f"{c}_min"), F.max(c).alias(f"{c}_max"))], F.max(F.col("sales_index") > 0).alias("active"))), oracle.sql("select " + ", ".join(f"min({c}) as {c}_min, max({c}) as {c}_max" for c in marts.PRODUCT_METRICS[:6]) + ", max(sales_index > 0) as active from pp")),
+}
+
+QUERIES: dict[str, Query] = MARTS | VARIANCES | ROW_QUERIES | STAR | DASH
