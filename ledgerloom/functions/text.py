@@ -13,6 +13,12 @@ NULLS = ("", "nan", "NaN", "None", "<NA>", "null")
 NUMBER = r"^[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?$"
 
 
+def half_even(c: Column, digits: int) -> Column:
+    """Half-even on the binary value, scaled up and down again; never a negative zero."""
+    scale = float(10**digits)
+    return F.rint(c * scale) / scale + 0.0
+
+
 def clean(c: Column) -> Column:
     """Trimmed text, null for a missing value's spellings."""
     t = F.trim(c)

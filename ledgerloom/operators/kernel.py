@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import text
+from ledgerloom.functions.text import half_even
 from ledgerloom.operators.master import NON_PRODUCT, NOT_APPLICABLE
+from ledgerloom.sources.staging import staged
 
 # The rules in order, with priority and reason; the last is the default.
 RULES = (
@@ -29,14 +31,14 @@ def clip(c: Column, lo: float, hi: float) -> Column:
 def index(value: Column, most: Column) -> Column:
     """Share of the frame's largest value, 0 to 100, one half-even decimal."""
     share = clip(value.cast("double") / F.when(most > 0, most.cast("double")) * 100.0, 0, 100)
-    return F.coalesce(F.bround(share, 1), F.lit(0.0))
+    return F.coalesce(half_even(share, 1), F.lit(0.0))
 
 
 def pct(part: Column, gross: Column, signed: bool = False) -> Column:
     """Percent of gross, 0 without sales."""
     value = part.cast("double") if signed else F.abs(part).cast("double")
     share = value / F.when(gross > 0, gross.cast("double")) * 100.0
-    return F.coalesce(F.bround(clip(share, -300 if signed else 0, 300), 1), F.lit(0.0))
+    return F.coalesce(half_even(clip(share, -300 if signed else 0, 300), 1), F.lit(0.0))
 
 
 def metrics(df: DataFrame) -> DataFrame:
@@ -47,18 +49,18 @@ def metrics(df: DataFrame) -> DataFrame:
         "sales_index": index(F.col("gross"), F.col("_g")), "units_index": index(F.col("units"), F.col("_u")), "margin_index": index(profit, F.col("_p")),
         "fee_pct_of_gross": pct(F.col("fee"), F.col("gross")), "refund_pct_of_gross": pct(F.col("refund"), F.col("gross")),
         "promotion_pct_of_gross": pct(F.col("promo"), F.col("gross")), "net_to_gross_pct": pct(F.col("net"), F.col("gross"), True),
-        "_margin": F.coalesce(F.bround(F.col("profit").cast("double") / F.when(F.col("gross") > 0, F.col("gross").cast("double")) * 100.0, 1), F.lit(0.0)),
+        "_margin": F.coalesce(half_even(F.col("profit").cast("double") / F.when(F.col("gross") > 0, F.col("gross").cast("double")) * 100.0, 1), F.lit(0.0)),
     }).drop("_g", "_u", "_p")
     fee, refund, promo, net = (F.col(c) for c in ("fee_pct_of_gross", "refund_pct_of_gross", "promotion_pct_of_gross", "net_to_gross_pct"))
     below = lambda top, c: F.greatest(F.lit(0.0), F.lit(float(top)) - c)
     risk = fee * 0.35 + refund * 0.25 + promo * 0.15 + below(70, net) * 0.15 + below(30, F.col("_margin")) * 0.10
     df = df.withColumns({
-        "margin_risk_score": F.bround(clip(risk, 0, 100), 1),
-        "revenue_quality_score": F.bround(clip(net - fee * 0.30 - refund * 0.25 - promo * 0.15, 0, 100), 1),
+        "margin_risk_score": half_even(clip(risk, 0, 100), 1),
+        "revenue_quality_score": half_even(clip(net - fee * 0.30 - refund * 0.25 - promo * 0.15, 0, 100), 1),
     })
     blend = F.col("margin_index") * 0.40 + F.col("revenue_quality_score") * 0.25 + clip(100.0 - F.col("margin_risk_score"), 0, 100) * 0.20 + clip(net, 0, 100) * 0.15
     df = df.withColumns({
-        "estimated_profitability_index": F.bround(clip(blend, 0, 100), 1),
+        "estimated_profitability_index": half_even(clip(blend, 0, 100), 1),
         "margin_risk_band": text.risk_band(F.col("margin_risk_score")), "revenue_quality_band": text.quality_band(F.col("revenue_quality_score")),
     })
     for c in ("margin_band_public", "profitability_band_public"):
@@ -100,9 +102,10 @@ def aggregate(df: DataFrame, keys: list[str]) -> DataFrame:
         F.count_distinct(F.when(F.col("transaction_type_group") == "Order", F.col("order_id"))).alias("order_count"),
         mean("margin_risk_score").alias("_risk"), mean("revenue_quality_score").alias("_quality"),
     )
-    got = metrics(got)
+    # the kernel reads the groups twice, for their largest values and for themselves: the rows below are read once
+    got = staged(got, "groups")
     orders = got.agg(F.max("order_count").alias("_o"))
-    got = got.crossJoin(F.broadcast(orders)).withColumn("order_count_index", index(F.col("order_count"), F.col("_o"))).drop("_o")
-    got = got.withColumns({"margin_risk_score": F.bround("_risk", 1), "revenue_quality_score": F.bround("_quality", 1)})
+    got = metrics(got).crossJoin(F.broadcast(orders)).withColumn("order_count_index", index(F.col("order_count"), F.col("_o"))).drop("_o")
+    got = got.withColumns({"margin_risk_score": half_even(F.col("_risk"), 1), "revenue_quality_score": half_even(F.col("_quality"), 1)})
     got = got.withColumns({"margin_risk_band": text.risk_band(F.col("margin_risk_score")), "revenue_quality_band": text.quality_band(F.col("revenue_quality_score"))})
     return got.drop("_risk", "_quality")

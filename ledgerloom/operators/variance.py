@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerloom.functions.text import half_even
 from ledgerloom.operators import kernel, marts
 
 # The headline metrics in order, and those that get worse when they rise.
@@ -45,9 +46,9 @@ def compare(matrix: DataFrame, chosen: DataFrame, dims: list[str]) -> DataFrame:
     at = lambda c: F.coalesce(F.max(F.when(F.col("transaction_month") == F.col(c), F.col("value"))), F.lit(0.0))
     got = long.groupBy(*dims, "metric", "previous_period", "current_period").agg(at("previous_period").alias("previous_value"), at("current_period").alias("current_value"))
     change = F.col("current_value") - F.col("previous_value")
-    got = got.withColumns({"absolute_variance": F.bround(change, 2), "percentage_variance": F.bround(F.try_divide(change, F.abs("previous_value")) * 100.0, 2)})
+    got = got.withColumns({"absolute_variance": half_even(change, 2), "percentage_variance": half_even(F.try_divide(change, F.abs("previous_value")) * 100.0, 2)})
     total = F.sum(F.abs("absolute_variance").cast("decimal(18,2)")).over(Window.partitionBy("metric")).cast("double")
-    got = got.withColumn("contribution_share", F.coalesce(F.bround(F.abs("absolute_variance") / F.when(total > 0, total) * 100.0, 1), F.lit(0.0)))
+    got = got.withColumn("contribution_share", F.coalesce(half_even(F.abs("absolute_variance") / F.when(total > 0, total) * 100.0, 1), F.lit(0.0)))
     return got.withColumn("movement", movement(F.col("metric"), F.col("absolute_variance")))
 
 
@@ -62,7 +63,7 @@ def totals(variance: DataFrame) -> DataFrame:
     s = lambda c: F.sum(F.col(c).cast("decimal(18,1)")).cast("double")
     got = variance.groupBy("metric", "previous_period", "current_period").agg(s("previous_value").alias("previous_total"), s("current_value").alias("current_total"))
     change = F.col("current_total") - F.col("previous_total")
-    got = got.withColumns({"absolute_variance": F.bround(change, 2), "percentage_variance": F.bround(F.try_divide(change, F.abs("previous_total")) * 100.0, 2)})
+    got = got.withColumns({"absolute_variance": half_even(change, 2), "percentage_variance": half_even(F.try_divide(change, F.abs("previous_total")) * 100.0, 2)})
     return got.withColumn("movement", movement(F.col("metric"), F.col("absolute_variance")))
 
 

@@ -168,7 +168,7 @@ MEASURES = {
     "recommended_action_rows": ("count(*)", "count(*)"),
     "high_priority_products": ("count(distinct case when action_priority = 'High' then public_product_id end)",) * 2,
 } | {f"{a.lower().replace(' ', '_')}_rows": (f"count(case when recommended_action = '{a}' then 1 end)",) * 2 for a in ("Fee Review", "Refund Review", "Restock Review", "Revenue Quality Review", "Monitor")}
-MEASURES |= {f"average_{c}": (f"bround(try_divide(cast(sum(cast({c} as decimal(12,1))) as double), count({c})), 6)", f"round_even(sum({c}::decimal(12,1))::double / nullif(count({c}), 0), 6)") for c in ("sales_index", "units_index", "fee_pct_of_gross", "refund_pct_of_gross", "promotion_pct_of_gross", "net_to_gross_pct", "margin_index", "estimated_profitability_index", "margin_risk_score", "revenue_quality_score")}
+MEASURES |= {f"average_{c}": (f"rint(try_divide(cast(sum(cast({c} as decimal(12,1))) as double), count({c})) * 1e6D) / 1e6D", f"round_even(sum({c}::decimal(12,1))::double / nullif(count({c}), 0), 6)") for c in ("sales_index", "units_index", "fee_pct_of_gross", "refund_pct_of_gross", "promotion_pct_of_gross", "net_to_gross_pct", "margin_index", "estimated_profitability_index", "margin_risk_score", "revenue_quality_score")}
 
 
 def measures(df: DataFrame, by: list[str] = ()) -> DataFrame:
@@ -180,7 +180,7 @@ MEASURE_SQL = ", ".join(f"{e} as {n}" for n, (_, e) in MEASURES.items())
 DASH = {k: _filtered(t, o, 50 if k.startswith("sql") else 10) for k, (t, o) in PRODUCT_FILTERS.items()} | {
     "dash_action_counts": Query(_product(lambda df: df.groupBy("recommended_action", "action_priority").agg(F.count("*").alias("rows"))), oracle.sql("select recommended_action, action_priority, count(*) as rows from pp group by all")),
     "dash_top_groups": Query(_product(lambda df: df.groupBy("marketplace", "product_group").agg(F.count_distinct("public_product_id").alias("products"), F.sum(F.col("sales_index").cast("decimal(12,1)")).cast("double").alias("sales")).orderBy(F.desc("sales"), "marketplace", "product_group").limit(20)), oracle.sql("select marketplace, product_group, count(distinct public_product_id) as products, sum(sales_index::decimal(12,1))::double as sales from pp group by all order by sales desc, marketplace, product_group limit 20")),
-    "dash_imported": Query(_on(lambda df: marts.products(df).groupBy("origin_country_group").agg(F.count_distinct("public_product_id").alias("products"), F.bround(F.sum(F.col("sales_index").cast("decimal(12,1)")).cast("double") / F.count("*"), 6).alias("mean_sales"))), oracle.sql("select origin_country_group, count(distinct public_product_id) as products, round_even(sum(sales_index::decimal(12,1))::double / count(*), 6) as mean_sales from prod group by all", oracle.ROWS)),
+    "dash_imported": Query(_on(lambda df: marts.products(df).groupBy("origin_country_group").agg(F.count_distinct("public_product_id").alias("products"), text.half_even(F.sum(F.col("sales_index").cast("decimal(12,1)")).cast("double") / F.count("*"), 6).alias("mean_sales"))), oracle.sql("select origin_country_group, count(distinct public_product_id) as products, round_even(sum(sales_index::decimal(12,1))::double / count(*), 6) as mean_sales from prod group by all", oracle.ROWS)),
     "dash_filter_options": Query(_product(lambda df: df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("filter"), F.col(c).alias("value")) for c in ("marketplace", "brand_group", "category_group", "fulfillment_type", "inventory_band")])).alias("x")).select("x.*").distinct()), oracle.sql(" union ".join(f"select '{c}' as filter, {c} as value from pp" for c in ("marketplace", "brand_group", "category_group", "fulfillment_type", "inventory_band")))),
     "bi_measures_total": Query(_product(measures), oracle.sql(f"select {MEASURE_SQL} from pp")),
     "bi_measures_by_marketplace": Query(_product(lambda df: measures(df, ["marketplace"])), oracle.sql(f"select marketplace, {MEASURE_SQL} from pp group by marketplace")),
