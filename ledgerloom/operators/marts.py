@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,8 +22,9 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return master.matched(master.amounts(tables.transactions(spark, sf_dir)), tables.product_master(spark, sf_dir))
 
 
+@lru_cache(maxsize=4)
 def rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The row-level frame: lines with metrics and actions."""
+    """The row-level frame: lines with metrics and actions. The plan alone is kept for a session and folder, no rows."""
     return kernel.actions(kernel.metrics(lines(spark, sf_dir)))
 
 
