@@ -68,7 +68,10 @@ class WordIds(dict):
             text = word.decode()
             if not (text.isalpha() and unicodedata.is_normalized("NFC", text)):
                 return None
-            word = "".join(map(str.lower, text)).encode()
+            text = "".join(map(str.lower, text))
+            if not text.isalpha():  # a letter may become a letter and a mark, which the splitting parts
+                return None
+            word = text.encode()
         ids = [x.id for x in self.model.tokenize(word.decode("latin-1").translate(self.shown))]
         return struct.pack(f"<{len(ids)}I", *ids)
 
