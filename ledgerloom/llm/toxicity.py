@@ -19,6 +19,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StructType
 
 from ledgerloom.llm import common
 
@@ -258,8 +259,9 @@ def tagged(documents: DataFrame, field: Field | None, carry: list[str] = (), id_
                 lo = hi
             yield pa.RecordBatch.from_arrays([*[batch.column(k) for k in range(len(names))], pa.array(score), pa.array(spans, kind)], [*names, "score", "spans"])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
-    return rows.mapInArrow(run, f"{schema}, score double, spans array<struct<start:bigint,end:bigint,p:double>>")
+    span = StructType().add("start", "long").add("end", "long").add("p", "double")
+    schema = StructType(fields).add("score", "double").add("spans", ArrayType(span))
+    return rows.mapInArrow(run, schema)
 
 
 def _spans(text: bytes, words: list[bytes], p) -> list:
