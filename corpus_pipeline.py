@@ -24,7 +24,8 @@ ORACLE_SQL = None
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     field = toxicity.learn(docs, common.table(spark, sf_dir, "labels"))
-    return toxicity.tagged(docs, field, carry=docs.columns).where(F.col("score") < THRESHOLD).select(*docs.columns)
+    rows = docs.select(F.struct("*").alias("_row"), "text")  # as one column, so that no name clashes with the score's
+    return toxicity.tagged(rows, field, id_col="_row").where(F.col("score") < THRESHOLD).select("_row.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
