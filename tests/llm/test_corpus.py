@@ -157,6 +157,22 @@ def test_lm(both, spark):
             assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
+def test_lm_gathers_from_all_training_documents(spark, monkeypatch):
+    rows = [(i, f"alpha{i % 50} beta{i} gamma" * (i % 3)) for i in range(6000)]
+    words, want, pairs = packing.WordIds(packing.vocabulary()), Counter(), 0
+    for i, t in rows:
+        if zlib.crc32(str(i).encode()) % 7 != 2:
+            ids = np.frombuffer(b"".join(words[w.encode()] for w in t.split()), "<u4").tolist() + [1]
+            want.update(ids)
+            pairs += len(ids)
+    seen = []
+    real = lm.neighbours_to_model
+    monkeypatch.setattr(lm, "neighbours_to_model", lambda matrix, kept, ids: seen.append((matrix.sum(), ids)) or real(matrix, kept, ids))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert lm.score(df).count() == len(rows)
+    assert seen[0][0] == pairs and {i: int(n) for i, n in enumerate(seen[0][1]) if n} == dict(want)
+
+
 def spans(t, rules=3):
     found = []
     for k, (kind, pattern, group, least) in enumerate(secret_scan.RULES[:rules]):
