@@ -3,7 +3,7 @@
 1. toxicity: documents with a score of 0.5 or more go.
 2. near_duplicates: one document of each group of near-duplicates stays, the one with the least id.
 3. secrets: every secret found is replaced by a mark; n_chars follows.
-4. mixing: a document is repeated or cut so that each source comes near its target share.
+4. mixing: a document is repeated or cut so that each source comes near its target share; of a cut one the chosen blocks stay.
 5. packing: the texts become token sequences of 2048; the result has a row per piece.
 
 Rows without an id are never near-duplicates of others and are mixed as they are, once. A stage returns the columns of
@@ -42,12 +42,13 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     named = docs.where(F.col("doc_id").isNotNull())
-    sizes = common.written(mixing.sized(named), "sizes")
-    taken = mixing.mix(sizes).groupBy("doc_id").agg(F.max("size").alias("_size"), F.max("taken").alias("_taken")).where("_taken > 0")
-    rows = named.join(taken, "doc_id")
-    # whole copies, then the words left over as one shorter copy
-    copies = F.array_repeat(F.col("text"), F.expr("int(_taken div _size)"))
-    rest = F.when(F.expr("_taken % _size > 0"), F.array(F.array_join(F.slice(common.words(F.col("text")), 1, F.expr("int(_taken % _size)")), " "))).otherwise(F.array().cast("array<string>"))
+    sizes = common.written(mixing.sized(named, [F.xxhash64("text").alias("_text")]), "sizes")
+    taken = mixing.mix(sizes).where("taken > 0").withColumn("runs", mixing.ranges())
+    taken = taken.groupBy("doc_id", "_text").agg(F.max(F.struct("taken", "size", "runs")).alias("_mix"))
+    rows = named.withColumn("_text", F.xxhash64("text")).join(taken, ["doc_id", "_text"])
+    # whole copies, then the chosen blocks left over as one shorter copy
+    copies = F.array_repeat(F.col("text"), F.expr("int(_mix.taken div _mix.size)"))
+    rest = F.when(F.expr("_mix.taken % _mix.size > 0"), F.array(mixing.excerpt(F.col("text"), F.col("_mix.runs")))).otherwise(F.array().cast("array<string>"))
     rows = rows.withColumn("text", F.explode(F.concat(copies, rest))).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return rows.select(*docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
 

@@ -13,7 +13,7 @@ rows are interchangeable; no rows give no rows. Columns that are not named are n
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import common
@@ -25,6 +25,8 @@ SHARD_WORDS = 1 << 16
 MOST_SHARDS = 4096
 SEED = 17
 SOURCE = ["src_null", "src"]
+#: A word and the white space after it; the first has the white space before it too.
+SPACED_WORD = r"(?:^[ \x09-\x0D]+)?[^ \x09-\x0D]+[ \x09-\x0D]*"
 
 
 def sized(documents: DataFrame, carry: list[str] = (), source_col: str = "source", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -98,6 +100,21 @@ def mix(sizes: DataFrame, seed: int = SEED, block: int = BLOCK_WORDS, shard_word
     return docs.withColumn("taken", taken)
 
 
+def ranges(block: int = BLOCK_WORDS) -> Column:
+    """Of a row of mix(): the runs of words taken once more than the quota div n whole copies, as an array of (first, many)."""
+    picked = "(({0}) * (quota % n) + start) div n"
+    chosen = f"filter(sequence(at div {block}, (at + size - 1) div {block}), j -> {picked.format('j + 1')} > {picked.format('j')})"
+    run = f"struct(int(greatest(j * {block}, at) - at) as first, int(least((j + 1) * {block}, at + size) - greatest(j * {block}, at)) as many)"
+    return F.expr(f"transform(case when n > 0 and size > 0 then {chosen} else array() end, j -> {run})")
+
+
+def excerpt(text: Column, runs: Column) -> Column:
+    """The text's words in the runs, each with the white space that follows it in the text."""
+    split = F.regexp_extract_all(text, F.lit(SPACED_WORD), F.lit(0))
+    # the array of one holds the words, so that they are split once and not for each run
+    return F.get(F.transform(F.array(split), lambda w: F.array_join(F.flatten(F.transform(runs, lambda r: F.slice(w, r["first"] + 1, r["many"]))), "")), F.lit(0))
+
+
 def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     sizes = common.written(sized(common.table(spark, sf_dir, "documents")), "sizes")
     return mix(sizes).select("doc_id", "size", "source_size", "target", "taken")

@@ -143,6 +143,23 @@ def test_mixing(both):
         assert all(abs(taken - target) <= 64 + 0.02 * target for taken, target in by.values())
 
 
+def test_pipeline_mixing_takes_the_chosen_blocks(spark):
+    rows = [(i, " \n" + "".join(f"d{i}w{k}{' ' if k % 5 else chr(10)}" for k in range(400 + 37 * i)), "abc"[i % 3]) for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("n_chars", F.length("text"))
+    want = Counter()
+    for r in mixing.mix(mixing.sized(df)).collect():
+        text = rows[r.doc_id][1]
+        whole, left = r.quota // r.n, r.quota % r.n
+        picked = [k for k in range(r.size) if ((r.at + k) // 32 + 1) * left + r.start >= (((r.at + k) // 32 * left + r.start) // r.n + 1) * r.n]
+        assert whole * r.size + len(picked) == r.taken
+        spaced = re.findall(r"(?:^\s+)?\S+\s*", text)
+        copies = [text] * whole + (["".join(spaced[k] for k in picked)] if picked else [])
+        want.update((r.doc_id, t) for t in copies)
+    out = corpus_pipeline.mix_sources(spark, df, SF)
+    assert counted(out.select("doc_id", "text").collect()) == want and out.where("n_chars <> length(text)").isEmpty()
+    assert any(f"d{i}w{399 + 37 * i}" not in t and len(t.split()) < 400 + 37 * i for i, t in want)
+
+
 def test_lm(both, spark):
     for df in both:
         rows = [(i, t, zlib.crc32(str(i).encode() if i is not None else b"") % 7 == 2, [w.translate({65 + k: 97 + k for k in range(26)}) for w in WORD.findall(t or "")] + [None]) for i, t in texts(df)]
