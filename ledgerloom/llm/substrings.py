@@ -173,8 +173,8 @@ def repeated(kmers: DataFrame, window: int = WINDOW) -> DataFrame:
                 if key[a] != mini:
                     (spill if over else group)(held, out)
                     held, mini, over = [], key[a], False
-                if b < len(key) and not held and low[k] == high[k]:
-                    continue  # all of one document, and the group ends here
+                if b < len(key) and not held and not over and low[k] == high[k]:
+                    continue  # all of one document, and the group begins and ends here
                 held += zip(*(batch.column(c).slice(a, b - a).to_pylist() for c in range(1, 6)), strict=True)
                 if over or len(held) > GROUP_ROWS:
                     over = True

@@ -282,6 +282,20 @@ def test_substrings(both, hot, monkeypatch):
         assert counted(got) == counted(want)
 
 
+def test_substrings_keep_the_end_of_a_large_group(spark, monkeypatch):
+    monkeypatch.setattr(substrings, "GROUP_ROWS", 3)
+    passage = " ".join(f"w{k}" for k in range(50))
+    rows = [(7, d, d, s, 1, passage) for d, many in ((1, 10), (2, 3)) for s in range(many)] + [(m, 1, 1, 100 + m, 1, f"{passage}{m}") for m in range(8, 60)]
+    kmers = spark.createDataFrame(rows, "mini long, doc_id long, rid long, start long, n long, packed string").withColumn("packed", F.col("packed").cast("binary")).coalesce(1)
+    size = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 5)
+    try:
+        got = substrings.repeated(kmers).where("h1 is not null").select("doc_id", "start").collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+    assert counted(got) == counted((d, s) for _, d, _, s, *_ in rows[:13])
+
+
 def test_components(spark):
     assert common.components(spark.createDataFrame([], "a long, b long")).isEmpty()
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, 200), (200, 100), (7, 7), (300, 50)]
