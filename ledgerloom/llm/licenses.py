@@ -1,6 +1,9 @@
 """Licence scans by sentence rules: a text's sentences are normalised and mapped to identifiers of known licence sentences;
 the sequence of identifiers is then matched against ordered rules, the more specific first, each match using up its part.
 
+A sentence may be wrapped over lines, with comment marks before them. The SQL compares single lines with the short wordings
+only; on texts whose licence sentences stand on one line each, in these wordings, both find the same.
+
 Everything happens inside the row with built-in functions: no shuffle, and the tables of sentences and rules are fixed.
 
 Edge cases: null and blank texts have no sentences and no licence. The same licence named twice is counted twice. Sentences
@@ -72,18 +75,40 @@ RULES = (
     ("Unlicense", ("unlicense",)),
     ("All-Rights-Reserved", ("reserved",)),
 )
-#: Ends of sentences: a line end, or one of .!?; before white space. A cheap word test goes before the whole split.
-SENTENCE_END = r"\n|(?<=[.!?;])[ \x09\x0B-\x0D]+"
-HINT = r"(?i)licen[sc]e|redistribut|permission|warranty|copyright|public domain|rights reserved|later version|free software|copy of the"
+# Full standard wordings of known sentences, by identifier, besides those above. The SQL knows only those above.
+FULL = (
+    ("mit grant", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions"),
+    ("as is", "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement"),
+    ("apache2 name", "licensed under the apache license version 2 0 the license"),
+    ("apache2 copy", "you may obtain a copy of the license at http www apache org licenses license 2 0"),
+    ("apache2 copy", "you may obtain a copy of the license at https www apache org licenses license 2 0"),
+)
+#: A cheap test goes before the rest; between its words anything may stand that is no letter or digit.
+HINT = r"(?i)licen[sc]e|redistribut|permission|warranty|copyright|public domain|rights reserved|later version|free software|copy of the".replace(" ", r"[^\p{L}\p{N}]+")
+#: How a text is brought into normal form, step by step: comment marks and bullets at the start of lines go; the full stop of
+#: 'v.' counts as a line end; one of .!?; before white space and blank lines become a bar. A line end may stand inside a
+#: sentence or end it, a bar only ends it. In the GPL the semicolon
+#: after 'free software' ends no sentence, and the part from 'either version' on is a sentence of its own.
+STEPS = (
+    (r"\n(?:[^\p{L}\p{N}\n]*(?:[0-9]{1,2}|[a-z])\)(?=[ \t]))?[^\p{L}\p{N}\n]*", "\n"),
+    (r"(?<=(?<![\p{L}\p{N}])v\.)[ \x09-\x0D]+", "\n"),
+    (r"(?<=[.!?;])(?<!(?<![\p{L}\p{N}])v\.)[ \x09-\x0D]+|\n{2,}", "|"),
+    (r"[^\p{L}\p{N}|\n]+", " "),
+    (r"(program[ \n]+is[ \n]+free[ \n]+software) ?\|(?= ?you[ \n]+can[ \n]+redistribute)", "$1\n"),
+    (r"(free[ \n]+software[ \n]+foundation)[ \n]+(?=either[ \n]+version )", "$1|"),
+)
+KNOWN = (*((name, s) for name, s in SENTENCES.items()), *FULL)
+SENTENCE = r"(?<=(?:^|[|\n]) ?)(?:" + "|".join(s.replace(" ", r"[ \n]+") for _, s in KNOWN) + r")(?= ?(?:[|\n]|\z))"
 RESTRICTED = ("GPL-2.0-or-later", "GPL-3.0-or-later", "GPL-2.0-only", "GPL-3.0-only", "AGPL-3.0-only", "CC-BY-NC-4.0", "CC-BY-ND-4.0", "All-Rights-Reserved")
 
 
 def sentence_ids(text: Column) -> Column:
     """The identifiers of a text's known licence sentences, in order."""
-    ids = F.create_map(*[F.lit(x) for name, s in SENTENCES.items() for x in (s, name)])
-    normal = lambda s: F.trim(F.regexp_replace(common.ascii_lower(s), r"[^\p{L}\p{N}]+", " "))
-    hinted = F.filter(F.split(text, SENTENCE_END), lambda s: s.rlike(HINT))
-    found = F.filter(F.transform(hinted, lambda s: F.element_at(ids, normal(s))), lambda x: x.isNotNull())
+    ids = F.create_map(*[F.lit(x) for name, s in KNOWN for x in (s, name)])
+    normal = F.translate(common.ascii_lower(text), "|", " ")
+    for pattern, by in STEPS:
+        normal = F.regexp_replace(normal, pattern, by)
+    found = F.transform(F.regexp_extract_all(normal, F.lit(SENTENCE), F.lit(0)), lambda s: F.element_at(ids, F.regexp_replace(s, r"[ \n]+", " ")))
     return F.when(text.rlike(HINT), found).otherwise(F.array().cast("array<string>"))
 
 

@@ -82,6 +82,25 @@ def test_licenses_of_hard_rows(hard):
     assert licenses.scan(hard.limit(0)).isEmpty()
 
 
+def test_standard_license_texts(spark):
+    mit = """Copyright (c) 2020 Somebody\n\nPermission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the "Software"), to deal\nin the Software without restriction, including without limitation the rights\nto use, copy, modify, merge, publish, distribute, sublicense, and/or sell\ncopies of the Software, and to permit persons to whom the Software is\nfurnished to do so, subject to the following conditions:\n
+The above copyright notice and this permission notice shall be included in all\ncopies or substantial portions of the Software.\n\nTHE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR\nIMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,\nFITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE."""
+    apache = """# Licensed under the Apache License, Version 2.0 (the "License");\n# you may not use this file except in compliance with the License.\n# You may obtain a copy of the License at\n#\n#     http://www.apache.org/licenses/LICENSE-2.0\n#\n# Unless required by law"""
+    gpl = """ * This program is free software{} you can redistribute it and/or modify\n * it under the terms of the GNU General Public License as published by\n * the Free Software Foundation{} either version {} of the License, or\n * (at your option) any later version.\n *\n * This program is distributed in the hope that it will be useful,\n * but WITHOUT ANY WARRANTY; without even the implied warranty of\n * MERCHANTABILITY.\n *
+ * You should have received a copy of the GNU General Public License\n * along with this program.  If not, see <https://www.gnu.org/licenses/>."""
+    bsd = """Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:\n{} Redistributions of source code must retain the above copyright notice, this\n   list of conditions and the following disclaimer.\n{} Redistributions in binary form must reproduce the above copyright notice,\n   this list of conditions and the following disclaimer in the documentation\n   and/or other materials provided with the distribution."""
+    mpl = "This Source Code Form is subject to the terms of the Mozilla Public\r\nLicense, v. 2.0. If a copy was not distributed"
+    want = [
+        (mit, "MIT"), (mit.replace("\n\n", "|").replace("\n", " ").replace("|", "\n\n"), "MIT"), (apache, "Apache-2.0"), (apache.replace("# ", "; "), "Apache-2.0"),
+        (gpl.format(";", ";", 2), "GPL-2.0-or-later"), (gpl.format(":", ",", 3), "GPL-3.0-or-later"), (bsd.format("1.", "2."), "BSD-2-Clause"), (bsd.format("(a)", "(b)"), "BSD-2-Clause"),
+        (bsd.format("*", "*"), "BSD-2-Clause"), (mpl, "MPL-2.0"), ("All  rights\u00a0reserved.", "All-Rights-Reserved"), ("Foo. All-rights-reserved\nmore words", "All-Rights-Reserved"),
+        ("Not all rights reserved.", None), ("It is not released under the MIT License.", None), ("All rights. Reserved.", None),
+    ]
+    got = {r.doc_id: r for r in licenses.scan(spark.createDataFrame([(i, t) for i, (t, _) in enumerate(want)], "doc_id long, text string")).collect()}
+    assert [got[i].licenses for i in range(len(want))] == [[x] if x else [] for _, x in want]
+    assert all(r.n_unmatched == 0 for r in got.values())
+
+
 def test_embeddings(spark):
     rng = np.random.default_rng(3)
     base = rng.normal(size=(60, 24))
