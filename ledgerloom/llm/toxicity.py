@@ -5,8 +5,8 @@ more often than clean ones; elsewhere none. The field is trained on them by grad
 over each whole document (by products of 2 x 2 matrices, so that long documents are as quick as short ones); the words'
 marginals make the document's score, and the words over one half are its offending spans.
 
-The model is fitted on a bounded sample: at most SAMPLE_ROWS labelled rows of each label, each of at most SAMPLE_CHARS
-characters, in seeded order. Everything else covers all rows and whole texts. Inputs of a score: the text alone.
+The model is fitted on a bounded sample: the first labelled documents of each label in seeded order, long ones too, as far
+as SAMPLE_ROWS documents or SAMPLE_BYTES bytes; of documents that share an id, the least text. Everything else covers all rows and whole texts. Inputs of a score: the text alone.
 
 Edge cases: null and blank texts get the score of a document without marginals; without labelled rows of both labels the
 score is 0 for all; a document whose id is null is scored too; equal rows get equal scores. Other columns are not read.
@@ -17,7 +17,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
@@ -25,12 +25,16 @@ from ledgerloom.llm import common
 
 common.shipped(__name__)
 SAMPLE_ROWS = 1500
-SAMPLE_CHARS = 20_000
+SAMPLE_BYTES = 8_000_000
 VOCABULARY = 40_000
 ROUNDS = 60
 BLOCK = 64
 STEMS = range(3, 9)
+#: A word and its stems.
+WIDTH = len(STEMS) + 1
 STEP_WORDS = 300_000
+#: Words of the sample that the fit goes over at once.
+SLICE_WORDS = 100_000
 FOLDS = 5
 EDGES = b".,;:!?\"'()[]{}*_-~<>|/\\"
 
@@ -130,41 +134,72 @@ def marginals(x, sizes, trans, start):
     return out[real], pairs
 
 
+class Sample:
+    """Whole labelled texts as word numbers: each distinct word and feature once, four bytes for each word of a text."""
+
+    def __init__(self, texts: list[bytes], labels: list[int]):
+        import numpy as np
+
+        self.y = np.array(labels)
+        number: dict = {}
+        each = [np.fromiter((number.setdefault(w, len(number)) for w in t.split()), np.int32) for t in texts]
+        self.sizes = np.array([len(x) for x in each], np.int64)
+        self.ids = np.concatenate(each) if each else np.zeros(0, np.int32)
+        self.doc = np.repeat(np.arange(len(each), dtype=np.int32), self.sizes)
+        index: dict = {}
+        self.has = np.full((len(number), WIDTH), -1, np.int32)  # each word's features
+        for k, w in enumerate(number):
+            made = [index.setdefault(f, len(index)) for f in features(w) if f]
+            self.has[k, : len(made)] = made
+        self.features = list(index)
+
+    def contexts(self, label: int):
+        """The words of the distinct (before, word, after) of texts with a label: however often a text was copied, it counts once."""
+        import numpy as np
+
+        same = np.r_[False, self.doc[1:] == self.doc[:-1]]
+        before = np.where(same, np.r_[-1, self.ids[:-1]], -1).astype(np.int64)
+        after = np.where(np.r_[same[1:], False], np.r_[self.ids[1:], -1], -1).astype(np.int64)
+        mine = self.y[self.doc] == label
+        pair = np.unique((before[mine] + 1) << 32 | self.ids[mine], return_inverse=True)  # pairs by number, then triples
+        return pair[0][np.unique(pair[1].astype(np.int64) << 32 | (after[mine] + 1)) >> 32] & 0xFFFFFFFF
+
+    def slices(self):
+        """Ranges of texts with about STEP_WORDS words, and of their words."""
+        import numpy as np
+
+        ends = np.cumsum(self.sizes)
+        lo = 0
+        while lo < len(ends):
+            at = int(ends[lo] - self.sizes[lo])
+            hi = max(lo + 1, int(np.searchsorted(ends, at + SLICE_WORDS, "right")))
+            yield lo, hi, at, int(ends[hi - 1])
+            lo = hi
+
+
 def fit(texts: list[bytes], labels: list[int]) -> Field | None:
-    """Trains the field, then the score's link, on whole labelled texts."""
+    """Trains the field, then the score's link, on whole labelled texts, some of them at a time."""
     import numpy as np
 
-    y = np.array(labels)
-    if not len(y) or y.min() == y.max():
+    if len(set(labels)) < 2:
         return None
-    words = [t.split() for t in texts]
-    contexts: list = [set(), set()]  # a word with its neighbours counts once, however often a text was copied
-    for own, label in zip(words, labels, strict=True):
-        contexts[label].update(zip([b"", *own], own, [*own[1:], b""]))
-    neg, pos = map(len, contexts)
-    number: dict = {}
-    for side in contexts:
-        for _, w, _ in side:
-            number.setdefault(w, len(number))
-    made = [features(w) for w in number]
-    seen: dict = {}
+    rows = Sample(texts, labels)
+    y, sizes, ids, doc = rows.y, rows.sizes, rows.ids, rows.doc
+    seen = []
     for label in (0, 1):
-        for _, w, _ in contexts[label]:
-            for f in made[number[w]]:
-                seen.setdefault(f, [0, 0])[label] += 1
-    top = sorted((f for f in seen if f and sum(seen[f]) > 1), key=lambda f: (-sum(seen[f]), f))[:VOCABULARY]
-    index = {f: k + 1 for k, f in enumerate(top)}
-    clean, toxic = np.array([[0, 0], *[seen[f] for f in top]], float).T
+        own = rows.has[rows.contexts(label)]
+        seen.append((len(own), np.bincount(own[own >= 0], minlength=len(rows.features))))
+    (neg, clean), (pos, toxic) = seen
+    often = np.flatnonzero(clean + toxic > 1).tolist()
+    top = sorted(often, key=lambda f: (-(clean[f] + toxic[f]), rows.features[f]))[:VOCABULARY]
+    kept = np.zeros(len(rows.features) + 1, np.int32)  # feature 0 is none; so is the last, which -1 picks
+    kept[top] = np.arange(1, len(top) + 1)
+    has, names = kept[rows.has], [rows.features[f] for f in top]
+    clean, toxic = (np.r_[0, side[top]].astype(float) for side in (clean, toxic))
     # far more often in toxic documents, and often enough not to be chance among so many features
     odds = np.log((toxic + 0.5) / (pos + 1)) - np.log((clean + 0.5) / (neg + 1))
     chance = np.sqrt((toxic + clean + 1) / (pos + neg) * (1 / pos + 1 / neg))
     marked = (toxic >= max(4, 0.02 * y.sum())) & (odds > np.log(8)) & ((toxic / pos - clean / neg) > 5 * chance)
-    width = len(STEMS) + 1
-    has = np.array([([index.get(f, 0) for f in fs] + [0] * width)[:width] for fs in made], np.int64).reshape(-1, width)
-    sizes = np.array([len(w) for w in words], np.int64)
-    full = np.flatnonzero(sizes)
-    ids = np.array([number[w] for own in words for w in own], np.int64)
-    doc = np.repeat(np.arange(len(words)), sizes)
     gold = marked[has].any(axis=1)[ids] & (y[doc] == 1)
     weight, bias = np.where(marked, 3.0, 0.0), -4.0
     log_t, grad_w, grad_b, grad_t = np.log(np.array([[0.95, 0.05], [0.8, 0.2]])), np.full(len(weight), 1e-8), 1e-8, np.full((2, 2), 1e-8)
@@ -172,12 +207,23 @@ def fit(texts: list[bytes], labels: list[int]) -> Field | None:
     want = np.bincount(ids, gold, len(has))
     want_t = np.array([[(~before & ~gold).sum(), (~before & gold).sum()], [(before & ~gold).sum(), (before & gold).sum()]], float)
     start = np.array([1.0, 1e-3])
+
+    def inferred(weight, bias, trans):
+        """Range of texts and of words, and the words' marginals and summed pair marginals, slice by slice."""
+        strength = np.exp(bias + weight[has].sum(axis=1))
+        for lo, hi, at, end in rows.slices():
+            n = sizes[lo:hi]
+            if end > at:
+                yield lo, hi, at, end, *marginals(strength[ids[at:end]], n[n > 0], trans, start)
+
     for _ in range(ROUNDS):
-        got, pairs = marginals(np.exp((bias + weight[has].sum(axis=1))[ids]), sizes[full], np.exp(log_t), start)
-        d = want - np.bincount(ids, got, len(has))
-        dw = np.bincount(has.ravel(), np.repeat(d, width), len(weight)) - 0.05 * weight
+        d, dt = want.copy(), want_t.copy()
+        for _, _, at, end, got, pairs in inferred(weight, bias, np.exp(log_t)):
+            d -= np.bincount(ids[at:end], got, len(has))
+            dt -= pairs
+        dw = np.bincount(has.ravel(), np.repeat(d, WIDTH), len(weight)) - 0.05 * weight
         dw[0] = 0
-        dt = want_t - pairs - 0.05 * log_t
+        dt -= 0.05 * log_t
         db = d.sum() - 0.05 * bias
         grad_w += dw * dw
         grad_b += db * db
@@ -185,11 +231,12 @@ def fit(texts: list[bytes], labels: list[int]) -> Field | None:
         weight = np.clip(weight + 0.5 * dw / np.sqrt(grad_w), -12, 12)
         bias = float(np.clip(bias + 0.5 * db / np.sqrt(grad_b), -12, 12))
         log_t = np.clip(log_t + 0.2 * dt / np.sqrt(grad_t), -8, 4)
-    field = Field({f: float(weight[k]) for f, k in index.items() if weight[k]}, bias, np.exp(log_t), start, (0.0, 0.0, 0.0))
-    got, _ = marginals(np.exp((bias + weight[has].sum(axis=1))[ids]), sizes[full], field.trans, start)
-    most, mass = np.zeros(len(words)), np.bincount(doc, got, len(words))
-    np.maximum.at(most, doc, got)
-    feats = np.stack([np.ones(len(words)), most, np.log1p(mass)], axis=1)
+    field = Field({f: float(w) for f, w in zip(names, weight[1:], strict=True) if w}, bias, np.exp(log_t), start, (0.0, 0.0, 0.0))
+    most, mass = np.zeros(len(sizes)), np.zeros(len(sizes))
+    for lo, hi, at, end, got, _ in inferred(weight, bias, field.trans):
+        np.maximum.at(most, doc[at:end], got)
+        mass[lo:hi] = np.bincount(doc[at:end] - lo, got, hi - lo)
+    feats = np.stack([np.ones(len(sizes)), most, np.log1p(mass)], axis=1)
     link, cost = np.zeros(3), np.where(y == 1, (y == 0).sum() / (y == 1).sum(), 1.0) ** 0.5
     for _ in range(50):
         p = 1 / (1 + np.exp(-feats @ link))
@@ -203,18 +250,20 @@ def held_out(id_col: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(id_col.cast("string").cast("binary")), F.lit(FOLDS)) == 0, F.lit(False))
 
 
-def learn(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> Field | None:
+def learn(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, size: int = SAMPLE_BYTES) -> Field | None:
     """Fits on the bounded sample of labelled rows outside the held-out fold."""
     known = labels.select("doc_id", "toxic").where("toxic in (0, 1) and doc_id is not null").where(~held_out(F.col("doc_id")))
     known = known.dropDuplicates(["doc_id"]).withColumn("place", F.xxhash64("doc_id"))
     pick = None
-    for label in (0, 1):  # some more than needed, as some texts are too long or missing
+    for label in (0, 1):  # some more than needed, as some documents are missing
         some = known.where(F.col("toxic") == label).orderBy("place", "doc_id").limit(2 * rows)
         pick = some if pick is None else pick.unionByName(some)
-    some = documents.select("doc_id", "text").where(F.length("text") <= chars).join(F.broadcast(pick), "doc_id")
-    sample = []
-    for label in (0, 1):
-        sample += some.where(F.col("toxic") == label).orderBy("place", "doc_id", "text").limit(rows).select("text", "toxic").collect()
+    # at most 4 * rows ids are broadcast, and as many texts meet in the two groups of the window
+    some = documents.select("doc_id", "text").where("text is not null").join(F.broadcast(pick), "doc_id")
+    some = some.groupBy("toxic", "place", "doc_id").agg(F.min("text").alias("text"))
+    order = Window.partitionBy("toxic").orderBy("place", "doc_id")
+    some = some.withColumns({"k": F.row_number().over(order), "sofar": F.sum(F.octet_length("text")).over(order)})
+    sample = some.where((F.col("k") <= rows) & (F.col("sofar") <= size)).orderBy("toxic", "k").select("text", "toxic").collect()
     return fit([r[0].encode() for r in sample], [int(r[1]) for r in sample])
 
 

@@ -332,3 +332,32 @@ def test_pipeline_stages(spark, docs, hard):
     for name, stage in corpus_pipeline.STAGES:
         rows = common.written(stage(spark, rows, SF), name)
     assert rows.count() > 0 and set(rows.columns) >= {"doc_id", "sequence_id", "offset", "length"}
+
+
+def test_marginals_are_those_of_all_labelings():
+    import itertools
+
+    rng = np.random.default_rng(4)
+    sizes, trans, start = np.array([1, 7, 9]), np.array([[1.2, 0.3], [0.5, 0.9]]), (0.8, 0.2)
+    x = rng.uniform(0.2, 4, sizes.sum())
+    got, pairs = toxicity.marginals(x, sizes, trans, start)
+    want, want_pairs = [], np.zeros((2, 2))
+    for lo, n in zip(np.cumsum(sizes) - sizes, sizes, strict=True):
+        mass, own, both = 0.0, np.zeros(n), np.zeros((2, 2))
+        for first in (0, 1):
+            for tags in itertools.product((0, 1), repeat=int(n)):
+                chain = (first, *tags)
+                w = start[first] * np.prod([trans[a][b] for a, b in itertools.pairwise(chain)]) * np.prod([x[lo + k] for k, t in enumerate(tags) if t])
+                mass += w
+                own += w * np.array(tags)
+                for a, b in itertools.pairwise(chain):
+                    both[a, b] += w
+        want += (own / mass).tolist()
+        want_pairs += both / mass
+    assert np.allclose(got, want) and np.allclose(pairs, want_pairs)
+
+
+def test_toxicity_counts_contexts_once():
+    rows = toxicity.Sample([b"a b a b", b"a b a b", b"c", b""], [1, 1, 0, 0])
+    assert sorted(rows.contexts(1).tolist()) == [0, 0, 1, 1] and rows.contexts(0).tolist() == [2]
+    assert [r[:2] for r in rows.slices()] == [(0, 4)]
