@@ -33,7 +33,7 @@ NIBBLES = -(-SLOTS // 16)
 FARTHEST = 32
 SEED = 29
 #: Words handled at once in a task.
-STEP_WORDS = 400_000
+STEP_WORDS = 200_000
 
 
 class WordHashes(dict):
@@ -72,16 +72,16 @@ def shingle_hashes(texts: list[bytes], hashes: WordHashes, size: int = SHINGLE):
     return out, count, words
 
 
-def _steps(texts: list) -> Iterator[tuple[int, int]]:
-    """Ranges of rows with about STEP_WORDS words."""
+def _steps(sizes: list) -> Iterator[tuple[int, int]]:
+    """Ranges of texts with about STEP_WORDS words together, from their sizes in bytes."""
     start = size = 0
-    for i, t in enumerate(texts):
-        size += len(t or b"") // 5 + 1
+    for i, n in enumerate(sizes):
+        size += (n or 0) // 5 + 1
         if size >= STEP_WORDS:
             yield start, i + 1
             start, size = i + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
+    if start < len(sizes):
+        yield start, len(sizes)
 
 
 def signatures(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -96,9 +96,8 @@ def signatures(documents: DataFrame, id_col: str = "doc_id", text_col: str = "te
         mul = rng.integers(1, 2**63, SLOTS, np.uint64) * np.uint64(2) + np.uint64(1)
         mix = rng.integers(0, 2**63, SLOTS, np.uint64)
         for batch in batches:
-            texts = batch.column(1).cast(pa.binary()).to_pylist()
-            for lo, hi in _steps(texts):
-                h, count, words = shingle_hashes([(t or b"").lower() for t in texts[lo:hi]], hashes)
+            for lo, hi in _steps(pa.compute.binary_length(batch.column(1)).to_pylist()):
+                h, count, words = shingle_hashes([(t or b"").lower() for t in batch.column(1).slice(lo, hi - lo).cast(pa.binary()).to_pylist()], hashes)
                 full = np.flatnonzero(count)
                 at = (np.cumsum(count) - count)[full]
                 sig = np.empty((len(full), SLOTS), np.uint16)

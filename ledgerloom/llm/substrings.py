@@ -1,13 +1,22 @@
 """Exact removal of repeated passages by super-k-mer partitioning.
 
-A window is WINDOW consecutive words of one document. Its minimiser is the least hash of the GRAM-word sequences in it.
-Consecutive windows that share a minimiser travel as one packed string to the minimiser's bucket; there rows are sorted by
-minimiser, and the windows of each group are counted exactly, as strings. A window goes if the same words also start in a
-document with a smaller id; every word that such a window covers is removed.
+A window is WINDOW consecutive words of one document. Its minimiser is the least hash of the GRAM-word sequences in it, so
+equal windows have equal minimisers, and consecutive windows that share one are a super-k-mer, a single packed string.
 
-Hot minimisers (estimated on a seeded sixteenth of the documents, at most 1 / HOT_SHARE of them; the estimate steers only
-the way, not the result) and groups too large for a task's memory take another exact way: one row per window under a
-128-bit hash, aggregated before the shuffle, so that a passage in a third of all documents is one row per task.
+1. Each minimiser's least and greatest document, aggregated before the shuffle. Minimisers of one document can't hold a
+   repeat; the others set two bits each in a filter of FILTER_BITS bits, whatever the corpus. False hits, even a full filter,
+   only let strings through that turn out to be unique.
+2. Super-k-mers that pass travel as packed strings to their minimiser's bucket, equal strings of a task as one row with their
+   least and greatest document. There strings are sorted by minimiser, and each group's windows are counted exactly: a run of
+   windows of a string gets the least document that any of them starts in.
+3. The places of these strings, without text, are joined with the runs; windows in later documents go, and every word that
+   such a window covers is removed.
+
+A passage in a third of all documents is thus one row per task in step 2, and a key with one row on the right in step 3. A
+group of very many different strings (more than GROUP_BYTES of them) is passed on as one row per window of a distinct string
+under a 128-bit hash, and counted by aggregates that combine before the shuffle. Strings are told apart by 128-bit hashes.
+
+A window goes if the same words also start in a document with a smaller id.
 
 Edge cases: null and short texts have no windows and keep all words; rows without an id neither lose words nor make others
 lose any; equal rows with one id do not remove each other. Columns other than the id and the text are not read.
@@ -25,15 +34,14 @@ from ledgerloom.llm.minhash import WordHashes, _steps
 
 common.shipped(__name__)
 WINDOW = 50
-GRAM = 3
-SEED = 31
-#: A minimiser with more than this part of all super-k-mers takes the window way; so at most so many are hot.
-HOT_SHARE = 2000
-SAMPLE = 16
-#: Rows of one minimiser that a task holds; larger groups take the window way too.
-GROUP_ROWS = 4_000
-#: The intervals are broadcast up to so many rows of at most ROW_BYTES; beyond, the texts are shuffled to them.
-BROADCAST_ROWS = 500_000
+GRAM = 8
+FILTER_BITS = 1 << 26
+#: Distinct strings that a task keeps the least and greatest document of, before it passes them on.
+HELD_STRINGS = 100_000
+#: Bytes of distinct strings of one minimiser that a task holds.
+GROUP_BYTES = 8_000_000
+#: Rows that a task gathers before it passes them on.
+OUT_ROWS = 10_000
 
 
 def windows_of(texts: list[bytes], hashes: WordHashes, window: int = WINDOW):
@@ -64,172 +72,251 @@ def windows_of(texts: list[bytes], hashes: WordHashes, window: int = WINDOW):
     return text[new], at[new] - (ends - n)[text[new]], np.diff(np.r_[new, len(least)]), least[new].view(np.int64), words
 
 
-def super_kmers(docs: DataFrame, hot: frozenset, window: int = WINDOW) -> DataFrame:
-    """(mini, doc_id, rid, start, n, packed, h1, h2): super-k-mers; those of hot minimisers as windows under their hash."""
+def _texts(batch, column: int) -> Iterator:
+    """Parts of a batch with about STEP_WORDS words each: their first row and their texts."""
+    import pyarrow as pa
+
+    sizes = pa.compute.binary_length(batch.column(column)).to_pylist()
+    for lo, hi in _steps(sizes):
+        yield lo, batch.column(column).slice(lo, hi - lo).cast(pa.binary()).to_pylist()
+
+
+def minimisers(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+    """(mini, lo, hi): every minimiser with its least and greatest document."""
 
     def run(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
 
         hashes = WordHashes()
-        busy = np.array(sorted(hot), np.int64)
         for batch in batches:
-            texts = batch.column(2).cast(pa.binary()).to_pylist()
-            for lo, hi in _steps(texts):
-                text, start, n, mini, words = windows_of([t or b"" for t in texts[lo:hi]], hashes, window)
-                warm = np.isin(mini, busy)
-                own = [[], [], [], [], []]
-                last, flat, ends = -1, b"", None
-                packed = []
-                keep = np.flatnonzero(~warm)
-                for k, s, m in zip(text[keep].tolist(), start[keep].tolist(), n[keep].tolist(), strict=True):
-                    if k != last:
-                        last, flat = k, b" ".join(words[k])
-                        ends = np.cumsum(np.fromiter(map(len, words[k]), np.int64, len(words[k])) + 1).tolist()
-                    packed.append(flat[ends[s - 1] if s else 0 : ends[s + m + window - 2] - 1])
-                for i in np.flatnonzero(warm).tolist():
-                    _hash_windows(own, int(text[i]), int(start[i]), words[text[i]][start[i] : start[i] + n[i] + window - 1], window)
-                none = len(own[0])
-                rows = np.r_[text[keep], np.array(own[0], np.int64)].astype(np.int64) + lo
-                pick = batch.select([0, 1]).take(pa.array(rows))
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.r_[mini[keep], np.array(own[2], np.int64)]), pick.column(0), pick.column(1),
-                    pa.array(np.r_[start[keep], np.array(own[1], np.int64)]), pa.array(np.r_[n[keep], np.ones(none, np.int64)]),
-                    pa.array(packed + [None] * none, pa.binary()), pa.array([None] * len(packed) + own[2], pa.int64()), pa.array([None] * len(packed) + own[3], pa.int64()),
-                ], ["mini", "doc_id", "rid", "start", "n", "packed", "h1", "h2"])
-
-    return docs.mapInArrow(run, "mini long, doc_id long, rid long, start long, n long, packed binary, h1 long, h2 long")
-
-
-def _hash_windows(out: list, number: int, start: int, words: list[bytes], window: int) -> None:
+            ids = batch.column(0).to_numpy()
+            for at, texts in _texts(batch, 2):
+                text, _, _, mini, _ = windows_of(texts, hashes, window)
+                own, (u, inv) = ids[at + text], np.unique(mini, return_inverse=True)
+                lo, hi = np.full(len(u), np.iinfo(np.int64).max), np.full(len(u), np.iinfo(np.int64).min)
+                np.minimum.at(lo, inv, own)
+                np.maximum.at(hi, inv, own)
+                yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(lo), pa.array(hi)], ["mini", "lo", "hi"])
+
+    rows = docs.mapInArrow(run, "mini long, lo long, hi long")
+    return rows.groupBy("mini").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+
+
+def shared_filter(docs: DataFrame, window: int = WINDOW):
+    """The bits of the minimisers of more than one document: FILTER_BITS / 64 longs."""
+    import numpy as np
+
+    low, shift = FILTER_BITS - 1, FILTER_BITS.bit_length() - 1
+    places = F.expr(f"explode(array(mini & {low}L, shiftrightunsigned(mini, {shift}) & {low}L))")
+    bits = minimisers(docs, window).where("lo < hi").select(places.alias("p"))
+    bits = bits.groupBy(F.expr("shiftright(p, 6)").alias("w")).agg(F.expr("bit_or(shiftleft(1L, int(p & 63)))").alias("b"))
+    out = np.zeros(FILTER_BITS // 64, np.int64)
+    for batch in bits.toArrow().to_batches():  # at most FILTER_BITS / 64 rows
+        out[batch.column(0).to_numpy()] = batch.column(1).to_numpy()
+    return out
+
+
+def _passed(bits, mini):
+    import numpy as np
+
+    low, shift = FILTER_BITS - 1, FILTER_BITS.bit_length() - 1
+    out = np.ones(len(mini), bool)
+    for at in (mini & low, (mini.view(np.uint64) >> np.uint64(shift)).view(np.int64) & low):
+        out &= (bits[at >> 6] >> (at & 63)) & 1 == 1
+    return out
+
+
+def _shared_kmers(batch, bits, hashes: WordHashes, window: int) -> Iterator:
+    """(row, first word, minimiser, digest, packed string) of the super-k-mers of a batch that pass the filter."""
     import xxhash
 
-    for i in range(len(words) - window + 1):
-        h = xxhash.xxh3_128_intdigest(b" ".join(words[i : i + window]))
-        out[0].append(number)
-        out[1].append(start + i)
-        out[2].append((h >> 64) - (1 << 63))
-        out[3].append((h & ((1 << 64) - 1)) - (1 << 63))
+    for at, texts in _texts(batch, 2):
+        text, start, n, mini, words = windows_of(texts, hashes, window)
+        keep = _passed(bits, mini)
+        last, flat, ends = -1, b"", []
+        for k, s, m, key in zip(text[keep].tolist(), start[keep].tolist(), n[keep].tolist(), mini[keep].tolist(), strict=True):
+            if k != last:
+                last, flat, ends = k, b" ".join(words[k]), [0]
+                for w in words[k]:
+                    ends.append(ends[-1] + len(w) + 1)
+            packed = flat[ends[s] : ends[s + m + window - 1] - 1]
+            yield at + k, s, key, xxhash.xxh3_128_digest(packed), packed
+
+
+def _batch(rows: list, kinds: str, names: list[str]):
+    """A record batch of tuples; kinds: l for a long, b for bytes, d for a digest, which becomes two longs."""
+    import numpy as np
+    import pyarrow as pa
+
+    columns = []
+    for kind, column in zip(kinds, zip(*rows, strict=True) if rows else [()] * len(kinds), strict=True):
+        if kind == "d":
+            two = np.frombuffer(b"".join(column), np.int64).reshape(-1, 2)
+            columns += [pa.array(two[:, 0].copy()), pa.array(two[:, 1].copy())]
+        else:
+            columns.append(pa.array(column, pa.int64() if kind == "l" else pa.binary()))
+    return pa.RecordBatch.from_arrays(columns, names)
 
 
-def repeated(kmers: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(doc_id, rid, start, n, h1, h2): runs of windows that go; rows with h1 are windows still to be counted."""
+def strings(docs: DataFrame, shared, window: int = WINDOW) -> DataFrame:
+    """(mini, h1, h2, least, most, packed): a row for each string and task, more if a task holds too many; its text in one of them."""
+
+    def run(batches: Iterator) -> Iterator:
+        names = ["mini", "h1", "h2", "least", "most", "packed"]
+        hashes, seen, out = WordHashes(), {}, []
+
+        def known() -> list:
+            rows = [(m, h, a, b, None) for (m, h), (a, b, n) in seen.items() if n]
+            seen.clear()
+            return rows
+
+        for batch in batches:
+            ids = batch.column(0).to_pylist()
+            for row, _, mini, digest, packed in _shared_kmers(batch, shared.value, hashes, window):
+                d = ids[row]
+                was = seen.get((mini, digest))
+                if was is None:
+                    seen[mini, digest] = [d, d, 0]
+                    out.append((mini, digest, d, d, packed))
+                    if len(seen) >= HELD_STRINGS:
+                        out += known()
+                    if len(out) >= OUT_ROWS:
+                        yield _batch(out, "ldllb", names)
+                        out = []
+                elif not was[0] <= d <= was[1]:
+                    was[:] = min(d, was[0]), max(d, was[1]), 1
+        yield _batch(out + known(), "ldllb", names)
+
+    return docs.mapInArrow(run, "mini long, h1 long, h2 long, least long, most long, packed binary")
+
+
+def places(docs: DataFrame, shared, window: int = WINDOW) -> DataFrame:
+    """(mini, h1, h2, doc_id, rid, start): where the strings stand."""
+
+    def run(batches: Iterator) -> Iterator:
+        hashes, out, names = WordHashes(), [], ["mini", "h1", "h2", "doc_id", "rid", "start"]
+        for batch in batches:
+            ids, rids = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for row, start, mini, digest, _ in _shared_kmers(batch, shared.value, hashes, window):
+                out.append((mini, digest, ids[row], rids[row], start))
+                if len(out) >= OUT_ROWS:
+                    yield _batch(out, "ldlll", names)
+                    out = []
+        yield _batch(out, "ldlll", names)
+
+    return docs.mapInArrow(run, "mini long, h1 long, h2 long, doc_id long, rid long, start long")
+
+
+def counted(packed: DataFrame, window: int = WINDOW) -> DataFrame:
+    """(mini, h1, h2, at, n, least, most, w1, w2): n windows of a string, from `at` on, whose least document is `least`.
+
+    Where w1 and w2 are given, the window's least document over all strings is still to be found by its hash.
+    """
+
+    def words_at(text: bytes) -> list[int]:
+        at = [0]
+        for w in text.split(b" "):
+            at.append(at[-1] + len(w) + 1)
+        return at
 
     def group(rows: list, out: list) -> None:
-        by: dict = {}
-        for doc, rid, start, n, packed in rows:
-            by.setdefault(packed, []).append((doc, rid, start, n))
+        if min(r[1] for r in rows) == max(r[2] for r in rows):
+            return  # all of one document
+        if len(rows) == 1:
+            (digest, least, most, text), mini = rows[0][:4], rows[0][4]
+            out.append((mini, digest, 0, text.count(b" ") + 2 - window, least, most, None, None))
+            return
         first: dict = {}
-        cut = {}
-        for packed, own in by.items():
-            least = min(x[0] for x in own)
-            if len(by) == 1:
-                out.extend((d, r, s, n, None, None) for d, r, s, n in own if d > least)
-                return
-            at = [0]
-            for w in packed.split(b" "):
-                at.append(at[-1] + len(w) + 1)
-            keys = cut[packed] = [packed[at[i] : at[i + window] - 1] for i in range(len(at) - window)]
-            for key in keys:
+        cut = []
+        for _, least, _, text, _ in rows:
+            at = words_at(text)
+            cut.append([text[at[i] : at[i + window] - 1] for i in range(len(at) - window)])
+            for key in cut[-1]:
                 d = first.get(key)
                 if d is None or least < d:
                     first[key] = least
-        for packed, own in by.items():
-            low = [first[k] for k in cut[packed]]
-            for d, r, s, _ in own:
-                run = None
-                for i, m in enumerate(low):
-                    if m < d:
-                        run = i if run is None else run
-                    elif run is not None:
-                        out.append((d, r, s + run, i - run, None, None))
-                        run = None
-                if run is not None:
-                    out.append((d, r, s + run, len(low) - run, None, None))
+        for (digest, _, most, _, mini), keys in zip(rows, cut, strict=True):
+            begin, low = 0, first[keys[0]]
+            for i, key in enumerate([*keys, None]):
+                d = first[key] if key is not None else None
+                if d != low:
+                    if low < most:
+                        out.append((mini, digest, begin, i - begin, low, most, None, None))
+                    begin, low = i, d
 
     def spill(rows: list, out: list) -> None:
-        for doc, rid, start, _, packed in rows:
-            own = [[], [], [], []]
-            _hash_windows(own, 0, start, packed.split(b" "), window)
-            out.extend((doc, rid, s, 1, a, b) for s, a, b in zip(*own[1:], strict=True))
-
-    def batch_of(out: list):
-        import pyarrow as pa
+        import xxhash
 
-        cols = list(zip(*out, strict=True)) if out else [[]] * 6
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["doc_id", "rid", "start", "n", "h1", "h2"])
+        for digest, least, most, text, mini in rows:
+            at = words_at(text)
+            for i in range(len(at) - window):
+                h = xxhash.xxh3_128_intdigest(text[at[i] : at[i + window] - 1])
+                out.append((mini, digest, i, 1, least, most, (h >> 64) - (1 << 63), (h & ((1 << 64) - 1)) - (1 << 63)))
 
     def run(batches: Iterator) -> Iterator:
         import numpy as np
+        import pyarrow as pa
 
-        held, mini, over, out = [], None, False, []
-        for batch in batches:
-            key = batch.column(0).to_numpy()
-            docs = batch.column(1).to_numpy()
-            edge = np.r_[0, np.flatnonzero(key[1:] != key[:-1]) + 1] if len(key) else np.zeros(0, np.int64)
-            ends = np.r_[edge[1:], len(key)]
-            low, high = (np.minimum.reduceat(docs, edge), np.maximum.reduceat(docs, edge)) if len(key) else ([], [])
-            for k, (a, b) in enumerate(zip(edge.tolist(), ends.tolist(), strict=True)):
-                if key[a] != mini:
-                    (spill if over else group)(held, out)
-                    held, mini, over = [], key[a], False
-                if b < len(key) and not held and not over and low[k] == high[k]:
-                    continue  # all of one document, and the group begins and ends here
-                held += zip(*(batch.column(c).slice(a, b - a).to_pylist() for c in range(1, 6)), strict=True)
-                if over or len(held) > GROUP_ROWS:
-                    over = True
-                    spill(held, out)
-                    held = []
-                if len(out) >= 20_000:
-                    yield batch_of(out)
-                    out = []
-        (spill if over else group)(held, out)
-        yield batch_of(out)
-
-    rows = kmers.select("mini", "doc_id", "rid", "start", "n", "packed").repartition("mini").sortWithinPartitions("mini")
-    return rows.mapInArrow(run, "doc_id long, rid long, start long, n long, h1 long, h2 long")
-
+        names = ["mini", "h1", "h2", "at", "n", "least", "most", "w1", "w2"]
+        held, size, over, out, now = [], 0, False, [], None
 
-def hot_minimisers(docs: DataFrame) -> frozenset:
-    """The minimisers that more than 1 / HOT_SHARE of a sample's super-k-mers have: at most HOT_SHARE of them."""
+        def end_string() -> None:
+            nonlocal held, size, over
+            if now is not None:
+                held.append((now[1], now[2], now[3], now[4], now[0]))
+                size += len(now[4])
+                if over or size > GROUP_BYTES:
+                    spill(held, out)
+                    held, over = [], True
 
-    def run(batches: Iterator) -> Iterator:
-        import pyarrow as pa
+        def end_group() -> None:
+            nonlocal held, size, over
+            if held:
+                group(held, out)
+            held, size, over = [], 0, False
 
-        hashes = WordHashes()
         for batch in batches:
-            texts = batch.column(2).cast(pa.binary()).to_pylist()
-            for lo, hi in _steps(texts):
-                yield pa.RecordBatch.from_arrays([pa.array(windows_of([t or b"" for t in texts[lo:hi]], hashes)[3])], ["mini"])
+            digests = np.stack([batch.column(1).to_numpy(), batch.column(2).to_numpy()], axis=1).tobytes()
+            for k, (mini, least, most, text) in enumerate(zip(*(batch.column(c).to_pylist() for c in (0, 3, 4)), batch.column(5).cast(pa.binary()).to_pylist(), strict=True)):
+                digest = digests[16 * k : 16 * k + 16]
+                if now is not None and now[0] == mini and now[1] == digest:
+                    now[2:] = min(least, now[2]), max(most, now[3]), now[4] or text
+                    continue
+                end_string()
+                if now is not None and now[0] != mini:
+                    end_group()
+                now = [mini, digest, least, most, text]
+                if len(out) >= OUT_ROWS:
+                    yield _batch(out, "ldllllll", names)
+                    out = []
+        end_string()
+        end_group()
+        yield _batch(out, "ldllllll", names)
 
-    some = docs.where(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(SAMPLE)) == 0)
-    counts = common.written(some.mapInArrow(run, "mini long").groupBy("mini").count(), "minimisers")
-    total = counts.agg(F.sum("count")).first()[0] or 0
-    return frozenset(r[0] for r in counts.where(F.col("count") > max(8, total / HOT_SHARE)).select("mini").collect())
+    rows = packed.repartition("mini").sortWithinPartitions("mini", "h1", "h2")
+    return rows.mapInArrow(run, "mini long, h1 long, h2 long, at long, n long, least long, most long, w1 long, w2 long")
 
 
 def intervals(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """(doc_id, rid, cuts): each document's runs of windows that go, as an array of (start, n)."""
     docs = docs.where("doc_id is not null and text is not null")
-    hot = hot_minimisers(docs)
-    made = super_kmers(docs, hot, window)
-    found = repeated(made.where("packed is not null"), window)
-    if hot:
-        found = found.unionByName(made.where("packed is null").select("doc_id", "rid", "start", "n", "h1", "h2"))
-    found = common.written(found, "windows")
-    single = found.where("h1 is not null")
-    twice = single.groupBy("h1", "h2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most")
-    late = single.join(twice.select("h1", "h2", "least"), ["h1", "h2"]).where("doc_id > least")
-    runs = found.where("h1 is null").select("doc_id", "rid", "start", "n").unionByName(late.select("doc_id", "rid", "start", "n"))
-    return common.written(runs.groupBy("doc_id", "rid").agg(F.sort_array(F.collect_list(F.struct("start", "n"))).alias("cuts")), "cuts")
+    shared = docs.sparkSession.sparkContext.broadcast(shared_filter(docs, window))  # of fixed size
+    found = common.written(counted(strings(docs, shared, window), window), "runs")
+    single = found.where("w1 is not null")
+    lows = single.groupBy("w1", "w2").agg(F.min("least").alias("low"))
+    single = single.join(lows, ["w1", "w2"]).where("low < most").select("mini", "h1", "h2", "at", "n", F.col("low").alias("least"))
+    runs = found.where("w1 is null and least < most").select(*single.columns).unionByName(single)
+    late = places(docs, shared, window).join(runs, ["mini", "h1", "h2"]).where("doc_id > least")
+    late = late.select("doc_id", "rid", (F.col("start") + F.col("at")).alias("start"), "n")
+    return late.groupBy("doc_id", "rid").agg(F.sort_array(F.collect_set(F.struct("start", "n"))).alias("cuts"))
 
 
 def without_repeats(documents: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_words, n_removed, kept): every row with the words that stay, joined by single spaces."""
     docs = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("rid"), F.col(text_col).cast("string").alias("text"))
     cuts = intervals(docs, window)
-    few = cuts.select(F.size("cuts").alias("k")).agg(F.sum("k")).first()[0] or 0
-    joined = docs.join(F.broadcast(cuts) if few <= BROADCAST_ROWS else cuts, ["doc_id", "rid"], "left").select("doc_id", "text", "cuts")
+    joined = docs.join(cuts, ["doc_id", "rid"], "left").select("doc_id", "text", "cuts")
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa

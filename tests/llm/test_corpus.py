@@ -278,10 +278,10 @@ def test_minhash(both, docs):
 
 @pytest.mark.parametrize("hot", [False, True])
 def test_substrings(both, hot, monkeypatch):
-    if hot:
-        monkeypatch.setattr(substrings, "HOT_SHARE", 10**9)
-        monkeypatch.setattr(substrings, "SAMPLE", 1)
-        monkeypatch.setattr(substrings, "GROUP_ROWS", 2)
+    if hot:  # windows by their hashes, strings passed on at once, and a filter so full that it lets nearly all pass
+        monkeypatch.setattr(substrings, "GROUP_BYTES", 400)
+        monkeypatch.setattr(substrings, "HELD_STRINGS", 3)
+        monkeypatch.setattr(substrings, "FILTER_BITS", 64)
     for df in both:
         rows = [(i, WORD.findall(t or "")) for i, t in texts(df)]
         first = {}
@@ -301,18 +301,19 @@ def test_substrings(both, hot, monkeypatch):
         assert counted(got) == counted(want)
 
 
-def test_substrings_keep_the_end_of_a_large_group(spark, monkeypatch):
-    monkeypatch.setattr(substrings, "GROUP_ROWS", 3)
-    passage = " ".join(f"w{k}" for k in range(50))
-    rows = [(7, d, d, s, 1, passage) for d, many in ((1, 10), (2, 3)) for s in range(many)] + [(m, 1, 1, 100 + m, 1, f"{passage}{m}") for m in range(8, 60)]
-    kmers = spark.createDataFrame(rows, "mini long, doc_id long, rid long, start long, n long, packed string").withColumn("packed", F.col("packed").cast("binary")).coalesce(1)
+def test_substrings_count_a_large_group_by_windows(spark, monkeypatch):
+    monkeypatch.setattr(substrings, "GROUP_BYTES", 1000)
+    words = [f"w{k}" for k in range(53)]
+    rows = [(7, k, k, d, d, " ".join(words[a : a + 50])) for k, (a, d) in enumerate([(0, 5), (1, 6), (0, 3), (2, 8), (1, 9), (3, 1)])] + [(7, 3, 3, 2, 9, None), (8, 1, 1, 4, 4, " ".join(words[:50]))]
+    packed = spark.createDataFrame(rows, "mini long, h1 long, h2 long, least long, most long, packed string").withColumn("packed", F.col("packed").cast("binary")).coalesce(1)
     size = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 5)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 2)
     try:
-        got = substrings.repeated(kmers).where("h1 is not null").select("doc_id", "start").collect()
+        got = substrings.counted(packed).collect()
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
-    assert counted(got) == counted((d, s) for _, d, _, s, *_ in rows[:13])
+    assert counted((r.mini, r.h1, r["at"], r.n, r.least, r.most) for r in got) == counted((7, k, 0, 1, d, d) if k != 3 else (7, 3, 0, 1, 2, 9) for k, d in enumerate([5, 6, 3, 8, 9, 1]))
+    assert len({(r.w1, r.w2) for r in got}) == 4
 
 
 def test_components(spark):
