@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import sys
 import uuid
+from collections.abc import Iterator
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,6 +13,8 @@ from pyspark.sql import functions as F
 #: The separators of the word contract: space and the ASCII controls TAB to CR.
 SEPARATORS = r"[ \x09-\x0D]+"
 LOCAL_CHECKPOINTS = "/tmp/checkpoints"
+#: Words of texts that a task handles at once.
+STEP_WORDS = 200_000
 
 
 def shipped(name: str) -> None:
@@ -19,6 +22,22 @@ def shipped(name: str) -> None:
     cloudpickle.register_pickle_by_value(sys.modules[name])
 
 
+shipped(__name__)
+
+
+def text_parts(column, words: int = STEP_WORDS) -> Iterator[tuple[int, list]]:
+    """Parts of an Arrow column of texts with about so many words each: their first row and their texts as bytes, '' for null."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    sizes, start, size = pc.binary_length(column).to_pylist(), 0, 0
+    for i, n in enumerate(sizes):
+        size += (n or 0) // 5 + 1
+        if size >= words or i + 1 == len(sizes):
+            yield start, [t or b"" for t in column.slice(start, i + 1 - start).cast(pa.binary()).to_pylist()]
+            start, size = i + 1, 0
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -61,19 +80,18 @@ def dropped(df: DataFrame) -> None:
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """Connected components of links (a long, b long): (node, component), component being the least reachable node.
 
     Each round hangs every neighbour of a node on that node's least neighbour (alternating the larger and the smaller
-    ones), which leaves stars after about log(n) rounds. A node of very high degree becomes many short rows, never one
+    ones), which leaves stars after about log(n) rounds; rounds go on until nothing changes. A node of very high degree becomes many short rows, never one
     group in memory. Self links and repeats are fine; nodes without links don't appear.
     """
     pairs = edges.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b"))
     pairs = pairs.where("a is not null and b is not null and a <> b")
     now = written(pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
-    for _ in range(rounds):
-        if now.isEmpty():
-            break
+    was = _digest(now)
+    while was[0]:
         both = now.union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         # every larger neighbour of a goes to a's least neighbour
@@ -84,10 +102,10 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         small = large.join(low, "a").select(F.explode(F.array(F.struct("a", "m"), F.struct(F.col("b").alias("a"), "m"))).alias("x"))
         small = small.select(F.col("x.a").alias("a"), F.col("x.m").alias("b")).where("a <> b").distinct()
         after = written(small, "links")
-        same = _digest(after) == _digest(now)
+        before, was = was, _digest(after)
         dropped(now)
         now = after
-        if same:
+        if was == before:
             break
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
         now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()

@@ -3,14 +3,25 @@
 A signature has CHUNKS chunks of WIDTH slots, each the low 16 bits of a least hash. Two signatures that differ in at most
 CHUNKS * (ERRORS + 1) - 1 slots have, by the pigeonhole principle, a chunk with at most ERRORS differing slots. Every way to
 leave ERRORS slots out of a chunk gives a key, so two such signatures surely share a key; pairs at the least similarity
-that differ in more slots are still missed with a probability under 1e-6 only. Links are confirmed on whole shingle sets.
-
-Work is kept low among the copies: equal word sequences are one class; in a bucket of a key every class is first compared
-with the bucket's hub, the class that shares most keys; only classes that are then still in different components are compared
-with each other.
+that differ in more slots share none with a probability of 8e-7, by the binomial. Nothing else loses a link: candidates fall
+only by exact bounds, and links are confirmed on whole shingle sets.
+
+The bound: each class carries BITS bits, set at its shingles' hashes. Every bit that only one of two classes has is a shingle
+that the other lacks, so sizes and bits bound the intersection from above.
+
+Work is kept low among the copies:
+1. Equal word sequences are one class.
+2. Each class is compared with the least class in its most frequent bucket: a pair per class at most, which joins up large
+   groups of near copies.
+3. In buckets that still hold several components, members of different components are compared in tiles: those outside a
+   bucket's largest component with all members of that component, each such member once per component and not per bucket, and
+   those outside with each other. A tile holds at most twice TILE classes and passes on all pairs that the bound lets pass, or,
+   if these are many, a spanning forest of them; where a forest's pair turns out to be no link, the round is repeated
+   without the pairs known to be none, until no forest fails.
 
 Edge cases: texts without words, null texts and null ids link with nothing; a text of fewer words than a shingle is one
-shingle; equal rows are copies of each other. Columns other than the id and the text are not read.
+shingle; equal rows are copies of each other; of rows with one id and different texts each has its own links. Columns other
+than the id and the text are not read.
 """
 
 from __future__ import annotations
@@ -28,12 +39,12 @@ PERCENT = 75
 CHUNKS, WIDTH = 14, 5
 ERRORS = 1
 SLOTS = CHUNKS * WIDTH
-NIBBLES = -(-SLOTS // 16)
-#: Candidates with more differing slots are not confirmed: at 75 % the mean is 17.5 and this lies 4 deviations above.
-FARTHEST = 32
+BITS = 4096
 SEED = 29
-#: Words handled at once in a task.
-STEP_WORDS = 200_000
+#: Classes on a side of a tile, pairs that it passes on for each class before it takes a forest, and pairs bounded at once.
+TILE = 1024
+PASSED = 4
+BOUNDED = 100_000
 
 
 class WordHashes(dict):
@@ -72,20 +83,8 @@ def shingle_hashes(texts: list[bytes], hashes: WordHashes, size: int = SHINGLE):
     return out, count, words
 
 
-def _steps(sizes: list) -> Iterator[tuple[int, int]]:
-    """Ranges of texts with about STEP_WORDS words together, from their sizes in bytes."""
-    start = size = 0
-    for i, n in enumerate(sizes):
-        size += (n or 0) // 5 + 1
-        if size >= STEP_WORDS:
-            yield start, i + 1
-            start, size = i + 1, 0
-    if start < len(sizes):
-        yield start, len(sizes)
-
-
 def signatures(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, k1, k2, n_shingles, sig, low): the content's address and the signature, null where a text has no words, and its low bits."""
+    """(doc_id, rid, k1, k2, n_shingles, sig, bits): the row's and the content's address and the signature, null where a text has no words, and its bits."""
 
     def run(batches: Iterator) -> Iterator:
         import numpy as np
@@ -96,29 +95,31 @@ def signatures(documents: DataFrame, id_col: str = "doc_id", text_col: str = "te
         mul = rng.integers(1, 2**63, SLOTS, np.uint64) * np.uint64(2) + np.uint64(1)
         mix = rng.integers(0, 2**63, SLOTS, np.uint64)
         for batch in batches:
-            for lo, hi in _steps(pa.compute.binary_length(batch.column(1)).to_pylist()):
-                h, count, words = shingle_hashes([(t or b"").lower() for t in batch.column(1).slice(lo, hi - lo).cast(pa.binary()).to_pylist()], hashes)
+            for lo, texts in common.text_parts(batch.column(1)):
+                hi = lo + len(texts)
+                h, count, words = shingle_hashes([t.lower() for t in texts], hashes)
                 full = np.flatnonzero(count)
                 at = (np.cumsum(count) - count)[full]
                 sig = np.empty((len(full), SLOTS), np.uint16)
                 for k in range(SLOTS) if len(full) else ():
                     least = np.minimum.reduceat((h ^ mix[k]) * mul[k], at)
                     sig[:, k] = (least >> np.uint64(20)).astype(np.uint16)
-                nibbles = np.zeros((hi - lo, NIBBLES * 16), np.uint64)
-                nibbles[full, :SLOTS] = sig & 15
-                low = (nibbles.reshape(-1, NIBBLES, 16) << (np.arange(16, dtype=np.uint64) * np.uint64(4))).sum(axis=2).view(np.int64)
-                low = pa.ListArray.from_arrays(pa.array(np.arange(0, low.size + 1, NIBBLES, dtype=np.int32)), pa.array(low.ravel()))
-                sigs, distinct, keys = [None] * (hi - lo), np.zeros(hi - lo, np.int64), [None] * (hi - lo)
+                sigs, distinct, keys, bits = [None] * (hi - lo), np.zeros(hi - lo, np.int64), [None] * (hi - lo), [None] * (hi - lo)
                 for j, (i, a) in enumerate(zip(full.tolist(), at.tolist(), strict=True)):
                     sigs[i] = sig[j].tobytes()
-                    distinct[i] = len(np.unique(h[a : a + count[i]]))
+                    own = np.unique(h[a : a + count[i]])
+                    distinct[i] = len(own)
+                    flags = np.zeros(BITS, bool)
+                    flags[(own & np.uint64(BITS - 1)).astype(np.int64)] = True
+                    bits[i] = np.packbits(flags).tobytes()
                     keys[i] = xxhash.xxh3_128_digest(b" ".join(words[i]))
                 k1 = [k and int.from_bytes(k[:8], "little", signed=True) for k in keys]
                 k2 = [k and int.from_bytes(k[8:], "little", signed=True) for k in keys]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(k1, pa.int64()), pa.array(k2, pa.int64()), pa.array(distinct), pa.array(sigs, pa.binary()), low], ["doc_id", "k1", "k2", "n_shingles", "sig", "low"])
+                own = [batch.column(c).slice(lo, hi - lo) for c in (0, 2)]
+                yield pa.RecordBatch.from_arrays([*own, pa.array(k1, pa.int64()), pa.array(k2, pa.int64()), pa.array(distinct), pa.array(sigs, pa.binary()), pa.array(bits, pa.binary())], ["doc_id", "rid", "k1", "k2", "n_shingles", "sig", "bits"])
 
-    rows = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, k1 long, k2 long, n_shingles long, sig binary, low array<long>")
+    rows = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).withColumn("rid", F.xxhash64("text"))
+    return rows.mapInArrow(run, "doc_id long, rid long, k1 long, k2 long, n_shingles long, sig binary, bits binary")
 
 
 def keys(sig: Column) -> Column:
@@ -132,20 +133,33 @@ def keys(sig: Column) -> Column:
     return F.transform(F.sequence(F.lit(0), F.lit(SLOTS - 1)), key)
 
 
-def apart(a: str, b: str) -> Column:
-    """In how many slots two signatures differ, by the slots' low four bits, sixteen slots to a long."""
+def reachable(na, nb, only_a, only_b, percent: int):
+    """Whether sets of na and nb shingles can be similar, if one has only_a and the other only_b that the other lacks, or more."""
+    import numpy as np
+
+    return (100 + percent) * np.minimum(na - only_a, nb - only_b) >= percent * (na + nb)
+
+
+def bounded(n, bits, i, j, percent: int):
+    """Which pairs (i, j) of rows the sizes and the bits let pass; bits: rows of longs."""
+    import numpy as np
+
     out = []
-    for i in range(NIBBLES):
-        x = f"(get({a}, {i}) ^ get({b}, {i}))"
-        y = f"({x} | shiftrightunsigned({x}, 2))"
-        out.append(f"bit_count(({y} | shiftrightunsigned({y}, 1)) & {0x1111111111111111}L)")
-    return F.expr(" + ".join(out))
+    for k in range(0, len(i), BOUNDED):
+        a, b = i[k : k + BOUNDED], j[k : k + BOUNDED]
+        for own in (slice(0, 1), slice(0, 8), slice(0, None)):  # a part of the bits bounds too
+            x, y = bits[a, own], bits[b, own]
+            count = lambda z: np.bitwise_count(z).sum(axis=1, dtype=np.int64)
+            fits = reachable(n[a], n[b], count(x & ~y), count(y & ~x), percent)
+            a, b = a[fits], b[fits]
+        out.append((a, b))
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True)) if out else (i, j)
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Of pairs (a, b), those whose whole shingle sets reach the similarity. texts: (doc_id, text) of all that occur."""
-    both = pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b")
-    both = both.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a").select("a", "b", "ta", "tb")
+    """Of pairs (a, b) of classes, those whose whole shingle sets reach the similarity. texts: (class, text, n, bits) of all that occur."""
+    one, two = (texts.select(*[F.col(c).alias(x + k) for c, k in (("class", ""), ("text", "t"), ("n", "n"), ("bits", "s"))]) for x in "ab")
+    both = pairs.join(two, "b").join(one, "a").select("a", "b", "at", "bt", "an", "bn", "as", "bs")
 
     def run(batches: Iterator) -> Iterator:
         import numpy as np
@@ -153,62 +167,174 @@ def confirmed(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT) -> Dat
 
         hashes, kept = WordHashes(), (None, None)
         for batch in batches:
-            a, b, ta, tb = (c.to_pylist() for c in (batch.column(0), batch.column(1), batch.column(2).cast(pa.binary()), batch.column(3).cast(pa.binary())))
-            yes = []
-            for i in range(len(a)):
-                if kept[0] != a[i]:  # rows of one a come together
-                    kept = (a[i], np.unique(shingle_hashes([ta[i].lower()], hashes)[0]))
-                other = np.unique(shingle_hashes([tb[i].lower()], hashes)[0])
-                shared = len(np.intersect1d(kept[1], other, assume_unique=True))
-                if 100 * shared >= percent * (len(kept[1]) + len(other) - shared):
-                    yes.append(i)
-            yield batch.select(["a", "b"]).take(pa.array(yes, pa.int64()))
+            for lo in range(0, batch.num_rows, 256):
+                part = batch.slice(lo, 256)
+                n = np.concatenate([part.column(c).to_numpy() for c in (4, 5)])
+                bits = np.frombuffer(b"".join(x for c in (6, 7) for x in part.column(c).to_pylist()), np.uint64).reshape(len(n), -1)
+                i = np.arange(part.num_rows)
+                part = part.take(pa.array(bounded(n, bits, i, i + part.num_rows, percent)[0]))
+                a, ta, tb = part.column(0).to_pylist(), *(part.column(c).cast(pa.binary()).to_pylist() for c in (2, 3))
+                yes = []
+                for k in range(len(a)):
+                    if kept[0] != a[k]:  # rows of one a come together
+                        kept = (a[k], np.unique(shingle_hashes([ta[k].lower()], hashes)[0]))
+                    other = np.unique(shingle_hashes([tb[k].lower()], hashes)[0])
+                    shared = len(np.intersect1d(kept[1], other, assume_unique=True))
+                    if 100 * shared >= percent * (len(kept[1]) + len(other) - shared):
+                        yes.append(k)
+                yield part.select(["a", "b"]).take(pa.array(yes, pa.int64()))
 
     return both.mapInArrow(run, "a long, b long")
 
 
+def tiles(keyed: DataFrame, found: DataFrame, classes: DataFrame) -> DataFrame:
+    """(g, p, q, side, class): the tiles in which classes of different components that share a key meet.
+
+    q is -1 where members of a component (side 0) meet those outside (side 1); else p and q are a bucket's blocks.
+    """
+    component = F.coalesce("component", "class").alias("component")
+    of = keyed.select("key", "class").join(found, "class", "left").select("key", "class", component)
+    by = of.groupBy("key", "component").agg(F.count("*").alias("n"))
+    mixed = by.groupBy("key").agg(F.count("*").alias("many"), F.max(F.struct("n", "component")).alias("main"), F.sum("n").alias("all")).where("many > 1")
+    mixed = mixed.select("key", "many", F.col("main.component").alias("main"), (F.col("all") - F.col("main.n")).alias("rest"))
+    outside = common.written(of.join(mixed, "key").where("component <> main"), "outside")
+    hash_ = F.xxhash64("class")
+    # a component's members, each once, and those outside with all its blocks
+    meets = outside.select("main", "class").distinct()
+    members = classes.select("class").join(found, "class", "left").select("class", component)
+    members = members.join(meets.select(F.col("main").alias("component")).distinct(), "component")
+    blocks = members.groupBy(F.col("component").alias("main")).agg(F.ceil(F.count("*") / TILE).cast("int").alias("blocks"))
+    members = members.withColumnRenamed("component", "main").join(blocks, "main")
+    first = members.select(F.col("main").alias("g"), F.pmod(hash_, "blocks").cast("int").alias("p"), F.lit(-1).alias("q"), F.lit(0).alias("side"), "class")
+    second = meets.join(blocks, "main").select(F.col("main").alias("g"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("p"), F.lit(-1).alias("q"), F.lit(1).alias("side"), "class")
+    # those outside with each other
+    among = outside.where("many > 2").withColumn("blocks", F.ceil(F.col("rest") / TILE).cast("int")).withColumn("own", F.pmod(hash_, "blocks").cast("int"))
+    place = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: F.struct(F.least(x, "own").alias("p"), F.greatest(x, "own").alias("q"), (x < F.col("own")).cast("int").alias("side")))
+    third = among.select(F.col("key").alias("g"), F.explode(place).alias("t"), "class").select("g", "t.p", "t.q", "t.side", "class")
+    return first.unionByName(second).unionByName(third)
+
+
+def candidates(placed: DataFrame, described: DataFrame, percent: int) -> DataFrame:
+    """(a, b, forest): pairs of a tile's classes of different components that the bound lets pass; described has (class, component, n, bits, none)."""
+
+    def pairs_of(tile: dict, out: list) -> None:
+        import numpy as np
+
+        side, n, comp = (np.array(tile[c]) for c in ("side", "n", "component"))
+        bits = np.frombuffer(b"".join(tile["bits"]), np.uint64).reshape(len(n), -1)
+        one = tile["p"] == tile["q"]
+        left = np.arange(len(n)) if one else np.flatnonzero(side == 0)
+        right = left if one else np.flatnonzero(side == 1)
+        got = []
+        for k in range(0, len(left), 64):
+            i, j = left[k : k + 64][:, None], right[None]
+            fits = (comp[i] != comp[j]) & (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j]))
+            fits &= (i < j) | (not one)
+            x, y = np.nonzero(fits)
+            got.append(bounded(n, bits, left[k + x], right[y], percent))
+        if not got:
+            return
+        i, j = (np.concatenate(x).tolist() for x in zip(*got, strict=True))
+        name, none = tile["class"], {k: set(v) for k, v in enumerate(tile["none"]) if v}
+        found = [(x, y) for x, y in zip(i, j, strict=True) if name[y] not in none.get(x, ())]
+        forest = len(found) > PASSED * len(n)
+        top: dict = {}
+
+        def root(x: int) -> int:
+            while x in top:
+                x = top[x]
+            return x
+
+        own = comp.tolist()
+        for x, y in found:
+            if forest:
+                u, v = root(own[x]), root(own[y])
+                if u == v:
+                    continue
+                top[max(u, v)] = min(u, v)
+            out.append((min(name[x], name[y]), max(name[x], name[y]), forest))
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        columns = ("side", "class", "component", "n", "bits", "none")
+        now, tile, out = None, {}, []
+
+        def rows() -> pa.RecordBatch:
+            made = list(zip(*out, strict=True)) or [()] * 3
+            return pa.RecordBatch.from_arrays([pa.array(made[0], pa.int64()), pa.array(made[1], pa.int64()), pa.array(made[2], pa.bool_())], ["a", "b", "forest"])
+
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 4096):
+                part = batch.slice(lo, 4096)
+                keys = list(zip(*(part.column(c).to_pylist() for c in range(3)), strict=True))
+                values = [part.column(c).to_pylist() for c in range(3, 9)]
+                for k, key in enumerate(keys):
+                    if key != now:
+                        if now is not None:
+                            pairs_of(tile, out)
+                        now, tile = key, {c: [] for c in columns} | {"p": key[1], "q": key[2]}
+                    for c, v in zip(columns, values, strict=True):
+                        tile[c].append(v[k])
+                yield rows()
+                out.clear()
+        if now is not None:
+            pairs_of(tile, out)
+        yield rows()
+
+    rows = placed.join(described, "class").select("g", "p", "q", "side", "class", "component", "n", "bits", "none")
+    rows = rows.repartition("g", "p", "q").sortWithinPartitions("g", "p", "q")
+    return rows.mapInArrow(run, "a long, b long, forest boolean").groupBy("a", "b").agg(F.max("forest").alias("forest"))
+
+
+def linked(keyed: DataFrame, classes: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """(class, component) of all linked classes."""
+    best = keyed.groupBy("class").agg(F.max(F.struct("many", "key")).alias("best")).select("class", F.col("best.key").alias("key"))
+    center = keyed.groupBy("key").agg(F.min("class").alias("a"))
+    first = best.join(center, "key").where("a <> class").select("a", F.col("class").alias("b"))
+    links = common.written(confirmed(first, texts, percent), "links")
+    none, empty = None, F.array().cast("array<long>")
+    while True:
+        found = common.written(common.components(links), "components").withColumnRenamed("node", "class")
+        described = classes.select("class", "n", "bits").join(found, "class", "left").withColumn("component", F.coalesce("component", "class"))
+        if none is not None:
+            both = none.union(none.select("b", "a")).groupBy(F.col("a").alias("class")).agg(F.collect_list("b").alias("none"))
+            described = described.join(both, "class", "left")
+        described = described.withColumn("none", empty if none is None else F.coalesce("none", empty))
+        more = common.written(candidates(tiles(keyed, found, classes), described, percent), "more")
+        if more.isEmpty():
+            return found
+        new = common.written(confirmed(more.select("a", "b"), texts, percent), "links")
+        links = common.written(links.unionByName(new), "links")
+        failed = more.join(new, ["a", "b"], "left_anti")
+        if failed.where("forest").isEmpty():
+            return common.written(common.components(links), "components").withColumnRenamed("node", "class")
+        failed = failed.select("a", "b")
+        none = common.written(failed if none is None else none.unionByName(failed), "none")
+
+
 def clusters(documents: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row; component_id is the least id reachable by links."""
     docs = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     rows = common.written(signatures(docs), "signatures")
-    classes = rows.where("k1 is not null and doc_id is not null").groupBy("k1", "k2")
-    classes = common.written(classes.agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig"), F.first("low").alias("s")), "classes")
-    keyed = classes.select("rep", F.explode(keys(F.col("sig"))).alias("key"))
+    full = F.col("k1").isNotNull() & F.col("doc_id").isNotNull()
+    classes = rows.where(full).groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "rid")).alias("one"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig"), F.first("bits").alias("bits"))
+    # numbers are given once, when the table is written
+    classes = common.written(classes.select(F.monotonically_increasing_id().alias("class"), "k1", "k2", "one.doc_id", "one.rid", "n", "sig", "bits"), "classes")
+    keyed = classes.select("class", F.explode(keys(F.col("sig"))).alias("key"))
     shared = keyed.groupBy("key").agg(F.count("*").alias("many")).where("many > 1")
     # only rows of shared keys are kept for what follows
     keyed = common.written(keyed.join(shared, "key"), "keys")
-    known = keyed.join(keyed.groupBy("rep").agg(F.sum("many").alias("ties")), "rep")
-    hubs = known.groupBy("key").agg(F.max(F.struct("ties", (-F.col("rep")).alias("less"))).alias("hub")).select("key", (-F.col("hub.less")).alias("center"))
-    stars = keyed.join(hubs, "key").where("rep <> center").select(F.col("center").alias("a"), F.col("rep").alias("b")).distinct()
-    described = classes.select("rep", "n", "s")
-
-    def near(pairs: DataFrame) -> DataFrame:
-        one, two = (described.select(F.col("rep").alias(x), F.col("n").alias(f"n{x}"), F.col("s").alias(f"s{x}")) for x in "ab")
-        fits = (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")) & (apart("sa", "sb") <= FARTHEST)
-        return pairs.join(one, "a").join(two, "b").where(fits).select("a", "b")
-
-    first = common.written(near(stars), "pairs")
-    wanted = keyed.select(F.col("rep").alias("doc_id")).distinct()
-    texts = common.written(docs.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
-    links = common.written(confirmed(first, texts, percent), "links")
-    found = common.written(common.components(links), "components")
-
-    # what is left: classes that share a key and are in different components still
-    of = keyed.select("key", "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    mixed = of.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
-    rest = of.join(mixed, "key").join(described, "rep")
-    one, two = (rest.select("key", *[F.col(c).alias(f"{c}_{x}") for c in ("rep", "component", "n", "s")]) for x in "ab")
-    fits = (F.col("rep_a") < F.col("rep_b")) & (F.col("component_a") != F.col("component_b"))
-    fits = fits & (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")) & (apart("s_a", "s_b") <= FARTHEST)
-    second = one.join(two, "key").where(fits).select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct()
-    second = common.written(second.join(first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"), "more")
-    if not second.isEmpty():
-        more = common.written(confirmed(second, texts, percent), "links")
-        found = common.written(common.components(links.unionByName(more)), "components")
-
-    member = classes.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("k1", "k2", F.coalesce("component", "rep").alias("component_id"))
-    out = rows.select("doc_id", "k1", "k2", "n_shingles").join(member, ["k1", "k2"], "left")
-    return out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
+    wanted = keyed.select("class").distinct().join(classes.select("class", "doc_id", "rid", "n", "bits"), "class")
+    texts = docs.withColumn("rid", F.xxhash64("text")).join(wanted, ["doc_id", "rid"]).dropDuplicates(["class"])
+    texts = common.written(texts.select("class", "text", "n", "bits"), "texts")
+    found = linked(keyed, classes, texts, percent)
+    member = classes.select("class", "k1", "k2", "doc_id").join(found, "class", "left").withColumn("component", F.coalesce("component", "class"))
+    least = member.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    member = member.join(least, "component").select("k1", "k2", "component_id")
+    out = rows.where(full).select("doc_id", "k1", "k2", "n_shingles").join(member, ["k1", "k2"], "left")
+    alone = rows.where(~full).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    return out.select("doc_id", "n_shingles", "component_id").unionByName(alone)
 
 
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import common
-from ledgerloom.llm.minhash import WordHashes, _steps
+from ledgerloom.llm.minhash import WordHashes
 
 common.shipped(__name__)
 WINDOW = 50
@@ -72,15 +72,6 @@ def windows_of(texts: list[bytes], hashes: WordHashes, window: int = WINDOW):
     return text[new], at[new] - (ends - n)[text[new]], np.diff(np.r_[new, len(least)]), least[new].view(np.int64), words
 
 
-def _texts(batch, column: int) -> Iterator:
-    """Parts of a batch with about STEP_WORDS words each: their first row and their texts."""
-    import pyarrow as pa
-
-    sizes = pa.compute.binary_length(batch.column(column)).to_pylist()
-    for lo, hi in _steps(sizes):
-        yield lo, batch.column(column).slice(lo, hi - lo).cast(pa.binary()).to_pylist()
-
-
 def minimisers(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """(mini, lo, hi): every minimiser with its least and greatest document."""
 
@@ -91,7 +82,7 @@ def minimisers(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         hashes = WordHashes()
         for batch in batches:
             ids = batch.column(0).to_numpy()
-            for at, texts in _texts(batch, 2):
+            for at, texts in common.text_parts(batch.column(2)):
                 text, _, _, mini, _ = windows_of(texts, hashes, window)
                 own, (u, inv) = ids[at + text], np.unique(mini, return_inverse=True)
                 lo, hi = np.full(len(u), np.iinfo(np.int64).max), np.full(len(u), np.iinfo(np.int64).min)
@@ -131,7 +122,7 @@ def _shared_kmers(batch, bits, hashes: WordHashes, window: int) -> Iterator:
     """(row, first word, minimiser, digest, packed string) of the super-k-mers of a batch that pass the filter."""
     import xxhash
 
-    for at, texts in _texts(batch, 2):
+    for at, texts in common.text_parts(batch.column(2)):
         text, start, n, mini, words = windows_of(texts, hashes, window)
         keep = _passed(bits, mini)
         last, flat, ends = -1, b"", []

@@ -252,7 +252,11 @@ def test_toxicity_hard_rows(spark, hard):
     assert toxicity.tagged(hard, own).count() == len(HARD)
 
 
-def test_minhash(both, docs):
+@pytest.mark.parametrize("small", [False, True])
+def test_minhash(both, small, monkeypatch):
+    if small:  # small tiles, and forests in place of all pairs
+        monkeypatch.setattr(minhash, "TILE", 2)
+        monkeypatch.setattr(minhash, "PASSED", 0)
     for df in both:
         sets = []
         for i, t in texts(df):
@@ -276,6 +280,39 @@ def test_minhash(both, docs):
         assert counted(minhash.clusters(df).select("doc_id", "n_shingles", "component_id").collect()) == counted(want)
 
 
+def test_minhash_finds_pairs_at_the_threshold(spark, monkeypatch):
+    rng, rows, want = np.random.default_rng(8), [], {}
+    for i in range(1200):
+        n = int(rng.integers(30, 120))
+        words = [f"u{i}x{k}" for k in range(n)]
+        other = [*words[: n - int(n * 0.12)], *[f"v{i}x{k}" for k in range(n)]]
+        sets = [{tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in (words, other)]
+        while len(other) > 5 and 100 * len(sets[0] & sets[1]) < 75 * len(sets[0] | sets[1]):
+            other.pop()  # until the pair is just over the threshold
+            sets[1] = {tuple(other[k : k + 5]) for k in range(len(other) - 4)}
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(other))]
+        want[2 * i + 1] = 2 * i if 100 * len(sets[0] & sets[1]) >= 75 * len(sets[0] | sets[1]) else 2 * i + 1
+    got = {r.doc_id: r.component_id for r in minhash.clusters(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert sum(v % 2 == 0 for v in want.values()) > 1100 and {k: got[k] for k in want} == want
+
+
+def test_minhash_loses_no_link_to_a_failed_forest(spark, monkeypatch):
+    """Texts whose bits can't tell them apart: forests fail and the rounds go on without the pairs known to be none."""
+    monkeypatch.setattr(minhash, "PASSED", 0)
+    monkeypatch.setattr(minhash, "bounded", lambda n, bits, i, j, percent: (i, j))
+    shared = [f"s{k}" for k in range(60)]
+    rows = [(10 * g + c, " ".join([*shared, *[f"g{g}k{k}" for k in range(24)], f"c{c}"])) for g in range(6) for c in range(3)]
+    got = {r.doc_id: r.component_id for r in minhash.clusters(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: i // 10 * 10 for i, _ in rows}
+
+
+def test_minhash_of_one_id_with_two_texts(spark):
+    a, b = (" ".join(f"{x}{k}" for k in range(60)) for x in "ab")
+    rows = [(1, a), (1, b), (2, a + " more"), (3, b + " more"), (9, "alone")]
+    got = minhash.clusters(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", "component_id").collect()
+    assert counted(got) == counted([(1, 1), (1, 1), (2, 1), (3, 1), (9, 9)])
+
+
 @pytest.mark.parametrize("hot", [False, True])
 def test_substrings(both, hot, monkeypatch):
     if hot:  # windows by their hashes, strings passed on at once, and a filter so full that it lets nearly all pass
