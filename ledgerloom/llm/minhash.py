@@ -16,8 +16,8 @@ Work is kept low among the copies:
 3. In buckets that still hold several components, members of different components are compared in tiles: those outside a
    bucket's largest component with all members of that component, each such member once per component and not per bucket, and
    those outside with each other. A tile holds at most twice TILE classes and passes on all pairs that the bound lets pass, or,
-   if these are many, a spanning forest of them; where a forest's pair turns out to be no link, the round is repeated
-   without the pairs known to be none, until no forest fails.
+   if these are many, the likeliest and a spanning forest; where such a tile's pair turns out to be no link, the round is
+   repeated for the classes whose pairs were held back, without the pairs known to be none, until no such pair fails.
 
 Edge cases: texts without words, null texts and null ids link with nothing; a text of fewer words than a shingle is one
 shingle; equal rows are copies of each other; of rows with one id and different texts each has its own links. Columns other
@@ -41,9 +41,9 @@ ERRORS = 1
 SLOTS = CHUNKS * WIDTH
 BITS = 4096
 SEED = 29
-#: Classes on a side of a tile, pairs that it passes on for each class before it takes a forest, and pairs bounded at once.
+#: Classes on a side of a tile, pairs that it passes on for each class besides a forest, and pairs bounded at once.
 TILE = 1024
-PASSED = 4
+PASSED = 16
 BOUNDED = 100_000
 
 
@@ -133,15 +133,8 @@ def keys(sig: Column) -> Column:
     return F.transform(F.sequence(F.lit(0), F.lit(SLOTS - 1)), key)
 
 
-def reachable(na, nb, only_a, only_b, percent: int):
-    """Whether sets of na and nb shingles can be similar, if one has only_a and the other only_b that the other lacks, or more."""
-    import numpy as np
-
-    return (100 + percent) * np.minimum(na - only_a, nb - only_b) >= percent * (na + nb)
-
-
 def bounded(n, bits, i, j, percent: int):
-    """Which pairs (i, j) of rows the sizes and the bits let pass; bits: rows of longs."""
+    """Which pairs (i, j) of rows the sizes and the bits let pass, and the most that they can share, in parts of their union; bits: rows of longs."""
     import numpy as np
 
     out = []
@@ -150,10 +143,11 @@ def bounded(n, bits, i, j, percent: int):
         for own in (slice(0, 1), slice(0, 8), slice(0, None)):  # a part of the bits bounds too
             x, y = bits[a, own], bits[b, own]
             count = lambda z: np.bitwise_count(z).sum(axis=1, dtype=np.int64)
-            fits = reachable(n[a], n[b], count(x & ~y), count(y & ~x), percent)
-            a, b = a[fits], b[fits]
-        out.append((a, b))
-    return tuple(np.concatenate(x) for x in zip(*out, strict=True)) if out else (i, j)
+            most = np.minimum(n[a] - count(x & ~y), n[b] - count(y & ~x))
+            fits = (100 + percent) * most >= percent * (n[a] + n[b])
+            a, b, most = a[fits], b[fits], most[fits]
+        out.append((a, b, most / (n[a] + n[b] - most)))
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True)) if out else (i, j, np.zeros(0))
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -215,7 +209,10 @@ def tiles(keyed: DataFrame, found: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def candidates(placed: DataFrame, described: DataFrame, percent: int) -> DataFrame:
-    """(a, b, forest): pairs of a tile's classes of different components that the bound lets pass; described has (class, component, n, bits, none)."""
+    """(a, b, partly): pairs of a tile's classes of different components that the bound lets pass, and whether the tile held others back.
+
+    A class with pairs held back has a row of its own, without b. described has (class, component, n, bits, none).
+    """
 
     def pairs_of(tile: dict, out: list) -> None:
         import numpy as np
@@ -234,10 +231,12 @@ def candidates(placed: DataFrame, described: DataFrame, percent: int) -> DataFra
             got.append(bounded(n, bits, left[k + x], right[y], percent))
         if not got:
             return
-        i, j = (np.concatenate(x).tolist() for x in zip(*got, strict=True))
+        i, j, score = (np.concatenate(x) for x in zip(*got, strict=True))
         name, none = tile["class"], {k: set(v) for k, v in enumerate(tile["none"]) if v}
-        found = [(x, y) for x, y in zip(i, j, strict=True) if name[y] not in none.get(x, ())]
-        forest = len(found) > PASSED * len(n)
+        order = np.argsort(-score, kind="stable")
+        found = [(x, y) for x, y in zip(i[order].tolist(), j[order].tolist(), strict=True) if name[y] not in none.get(x, ())]
+        most = PASSED * len(n)
+        partly = len(found) > most
         top: dict = {}
 
         def root(x: int) -> int:
@@ -245,14 +244,17 @@ def candidates(placed: DataFrame, described: DataFrame, percent: int) -> DataFra
                 x = top[x]
             return x
 
-        own = comp.tolist()
-        for x, y in found:
-            if forest:
+        own, held = comp.tolist(), set()
+        for k, (x, y) in enumerate(found):
+            if partly:
                 u, v = root(own[x]), root(own[y])
-                if u == v:
+                if u != v:
+                    top[max(u, v)] = min(u, v)
+                elif k >= most:
+                    held |= {x, y}
                     continue
-                top[max(u, v)] = min(u, v)
-            out.append((min(name[x], name[y]), max(name[x], name[y]), forest))
+            out.append((min(name[x], name[y]), max(name[x], name[y]), partly))
+        out.extend((name[x], None, True) for x in held)
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -262,7 +264,7 @@ def candidates(placed: DataFrame, described: DataFrame, percent: int) -> DataFra
 
         def rows() -> pa.RecordBatch:
             made = list(zip(*out, strict=True)) or [()] * 3
-            return pa.RecordBatch.from_arrays([pa.array(made[0], pa.int64()), pa.array(made[1], pa.int64()), pa.array(made[2], pa.bool_())], ["a", "b", "forest"])
+            return pa.RecordBatch.from_arrays([pa.array(made[0], pa.int64()), pa.array(made[1], pa.int64()), pa.array(made[2], pa.bool_())], ["a", "b", "partly"])
 
         for batch in batches:
             for lo in range(0, batch.num_rows, 4096):
@@ -284,7 +286,7 @@ def candidates(placed: DataFrame, described: DataFrame, percent: int) -> DataFra
 
     rows = placed.join(described, "class").select("g", "p", "q", "side", "class", "component", "n", "bits", "none")
     rows = rows.repartition("g", "p", "q").sortWithinPartitions("g", "p", "q")
-    return rows.mapInArrow(run, "a long, b long, forest boolean").groupBy("a", "b").agg(F.max("forest").alias("forest"))
+    return rows.mapInArrow(run, "a long, b long, partly boolean").groupBy("a", "b").agg(F.max("partly").alias("partly"))
 
 
 def linked(keyed: DataFrame, classes: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
@@ -302,15 +304,18 @@ def linked(keyed: DataFrame, classes: DataFrame, texts: DataFrame, percent: int)
             described = described.join(both, "class", "left")
         described = described.withColumn("none", empty if none is None else F.coalesce("none", empty))
         more = common.written(candidates(tiles(keyed, found, classes), described, percent), "more")
-        if more.isEmpty():
-            return found
-        new = common.written(confirmed(more.select("a", "b"), texts, percent), "links")
-        links = common.written(links.unionByName(new), "links")
-        failed = more.join(new, ["a", "b"], "left_anti")
-        if failed.where("forest").isEmpty():
+        pairs = more.where("b is not null")
+        new = common.written(confirmed(pairs.select("a", "b"), texts, percent), "links")
+        # a star for each component stands for the links so far
+        links = common.written(found.select(F.col("component").alias("a"), F.col("class").alias("b")).unionByName(new), "links")
+        failed = pairs.join(new, ["a", "b"], "left_anti")
+        if failed.where("partly").isEmpty():
             return common.written(common.components(links), "components").withColumnRenamed("node", "class")
         failed = failed.select("a", "b")
         none = common.written(failed if none is None else none.unionByName(failed), "none")
+        held = more.where("b is null").select(F.col("a").alias("class"))
+        keyed = common.written(keyed.join(held, "class", "left_semi"), "keys")
+        classes = classes.join(held, "class", "left_semi")
 
 
 def clusters(documents: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

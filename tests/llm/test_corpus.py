@@ -299,7 +299,7 @@ def test_minhash_finds_pairs_at_the_threshold(spark, monkeypatch):
 def test_minhash_loses_no_link_to_a_failed_forest(spark, monkeypatch):
     """Texts whose bits can't tell them apart: forests fail and the rounds go on without the pairs known to be none."""
     monkeypatch.setattr(minhash, "PASSED", 0)
-    monkeypatch.setattr(minhash, "bounded", lambda n, bits, i, j, percent: (i, j))
+    monkeypatch.setattr(minhash, "bounded", lambda n, bits, i, j, percent: (i, j, np.zeros(len(i))))
     shared = [f"s{k}" for k in range(60)]
     rows = [(10 * g + c, " ".join([*shared, *[f"g{g}k{k}" for k in range(24)], f"c{c}"])) for g in range(6) for c in range(3)]
     got = {r.doc_id: r.component_id for r in minhash.clusters(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
