@@ -21,10 +21,11 @@ from ledgerloom.llm import common
 common.shipped(__name__)
 LENGTH = 2048
 END = 1
-#: Entries of a worker's cache from words to ids; emptied when full, so that its memory is bounded.
+#: Words that a worker knows the ids of; emptied when full, so that its memory is bounded. New ones are tokenised so many at once.
 CACHE_WORDS = 250_000
-CACHE_PARTS = 400_000
-MARKS = (b".", b",", b";", b":", b"!", b"?")
+CACHE_PARTS = 200_000
+NEW_WORDS = 10_000
+MARKS = b".,;:!?"
 
 
 def vocabulary(name: str = "word_bpe_49k.json") -> str:
@@ -34,34 +35,56 @@ def vocabulary(name: str = "word_bpe_49k.json") -> str:
 
 
 class WordIds(dict):
-    """Ids of words as little-endian unsigned 32-bit bytes. White space ends a word in this vocabulary, so words stand alone.
+    """Numbers of words, and their ids. White space ends a word in this vocabulary, so that words stand alone.
 
-    So do its letters and a mark after them, and case is dropped: a word is made up of `parts`, which fewer words share.
+    Number 0 is the word b"", which stands for a text's end. A word of letters, with a mark after them or without, goes to the
+    tokenizer's model without its splitting, and case is dropped; other new words are tokenised together, as one text.
     """
 
-    def __init__(self, tokenizer_path: str):
+    def __init__(self, tokenizer_path: str, end: int = END):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         super().__init__()
-        self.parts: dict = {}
-        self.tokenizer = Tokenizer.from_file(tokenizer_path)
-        self.model = self.tokenizer.model
+        self.tokenizer, self.end = Tokenizer.from_file(tokenizer_path), end
+        self.model, self.parts = self.tokenizer.model, {}
         # the model's signs for bytes: printable ones stand for themselves, the others follow 255 in order
         plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
         self.shown = {b: 256 + k for k, b in enumerate(x for x in range(256) if x not in plain)}
+        self.forget()
 
-    def encoded(self, text: bytes) -> bytes:
-        import struct
+    def forget(self) -> None:
+        import numpy as np
 
-        ids = self.tokenizer.encode(text.decode(), add_special_tokens=False).ids
-        return struct.pack(f"<{len(ids)}I", *ids)
+        self.clear()
+        self[b""] = 0
+        self.new: list = []
+        self.sizes, self.starts, self.flat = np.ones(1, np.int64), np.zeros(1, np.int64), np.array([self.end], np.uint32)
 
-    def letters(self, word: bytes) -> bytes | None:
-        """The ids of a word of letters alone, by the tokenizer's model without its splitting; None for other words."""
-        import struct
+    def full(self) -> bool:
+        return len(self) > CACHE_WORDS
+
+    def __missing__(self, word: bytes) -> int:
+        self.new.append(word)
+        out = self[word] = len(self)
+        return out
+
+    def numbers(self, words: list[bytes]):
+        """The words' numbers, good until the next call."""
+        import numpy as np
+
+        if self.full():
+            self.forget()
+        out = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        for k in range(0, len(self.new), NEW_WORDS):
+            self._learn(self.new[k : k + NEW_WORDS])
+        self.new.clear()
+        return out
+
+    def _letters(self, word: bytes) -> list[int] | None:
+        """The ids of a word of letters alone; None for other words."""
         import unicodedata
 
         if not word.isalpha():  # of bytes: ASCII letters only
@@ -72,31 +95,68 @@ class WordIds(dict):
             if not text.isalpha():  # a letter may become a letter and a mark, which the splitting parts
                 return None
             word = text.encode()
-        ids = [x.id for x in self.model.tokenize(word.decode("latin-1").translate(self.shown))]
-        return struct.pack(f"<{len(ids)}I", *ids)
+        return [x.id for x in self.model.tokenize(word.decode("latin-1").translate(self.shown) if not word.isascii() else word.decode())]
 
-    def part(self, word: bytes) -> bytes:
-        out = self.parts.get(word)
-        if out is None:
+    def _part(self, word: bytes) -> list[int] | None:
+        out = self.parts.get(word, 0)
+        if out == 0:
             if len(self.parts) >= CACHE_PARTS:
                 self.parts.clear()
-            out = self.letters(word)
-            out = self.parts[word] = self.encoded(word) if out is None else out
-        return out
-
-    def __missing__(self, word: bytes) -> bytes:
-        low, mark = word.lower(), word[-1:]
-        rest = self.part(low[:-1]) if mark in MARKS and low[:-1].decode().isalpha() else None
-        out = self.part(low) if rest is None else rest + self.part(mark)
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        self[word] = out
+            out = self.parts[word] = self._letters(word)
         return out
 
-    def text(self, text: bytes) -> bytes:
-        if b"<|" in text:  # a special token may hold white space around it
-            return self.encoded(text)
-        return b"".join(map(self.__getitem__, text.split()))
+    def _learn(self, words: list[bytes]) -> None:
+        import numpy as np
+
+        got: list = []
+        for w in words:
+            low = w.lower()
+            if low[-1] in MARKS and len(low) > 1:
+                out, mark = self._part(low[:-1]), self.parts.get(low[-1:])
+                if mark is None:
+                    mark = self.parts[low[-1:]] = self.tokenizer.encode(low[-1:].decode(), add_special_tokens=False).ids
+                got.append(out and out + mark)
+            else:
+                got.append(self._part(low))
+        odd = [k for k, x in enumerate(got) if x is None]
+        if odd:
+            texts = [words[k].decode() for k in odd]
+            made = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
+            ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)
+            at = np.fromiter((x[0] for x in made.offsets), np.int64, len(made.offsets))
+            sizes = np.bincount(np.searchsorted(ends, at, "right"), minlength=len(odd))
+            ids = made.ids
+            for k, n, e in zip(odd, sizes.tolist(), np.cumsum(sizes).tolist(), strict=True):
+                got[k] = ids[e - n : e]
+        sizes = np.fromiter(map(len, got), np.int64, len(got))
+        self.starts = np.r_[self.starts, len(self.flat) + np.cumsum(sizes) - sizes]
+        self.sizes, self.flat = np.r_[self.sizes, sizes], np.r_[self.flat, np.array([x for own in got for x in own], np.uint32)]
+
+    def ids(self, numbers):
+        """The ids of words by their numbers, end to end, and how many each has."""
+        import numpy as np
+
+        n = self.sizes[numbers]
+        at = np.repeat(self.starts[numbers] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        return self.flat[at], n
+
+    def whole(self, text: bytes):
+        """The ids of a text as the tokenizer itself sees it, the end id last."""
+        import numpy as np
+
+        return np.array([*self.tokenizer.encode(text.decode(), add_special_tokens=False).ids, self.end], np.uint32)
+
+
+def text_ids(words: WordIds, texts: list[bytes]):
+    """Ids of the texts laid end to end, each with its end id, how many ids each word has, the end among them, and how many words each text."""
+    import numpy as np
+
+    split = [t.split() for t in texts]
+    for own in split:
+        own.append(b"")
+    flat = [w for own in split for w in own]
+    ids, per_word = words.ids(words.numbers(flat))
+    return ids, per_word, np.fromiter(map(len, split), np.int64, len(split)), flat
 
 
 def tokenized(documents: DataFrame, tokenizer_path: str | None = None, end: int = END, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -104,21 +164,25 @@ def tokenized(documents: DataFrame, tokenizer_path: str | None = None, end: int
     path = tokenizer_path or vocabulary()
 
     def run(batches: Iterator) -> Iterator:
-        import struct
-
+        import numpy as np
         import pyarrow as pa
         from pyspark import TaskContext
 
-        words, last, local, part = WordIds(path), struct.pack("<I", end), 0, TaskContext.get().partitionId()
+        words, local, part = WordIds(path, end), 0, TaskContext.get().partitionId()
         for batch in batches:
-            ids, starts, sizes = [], [], []
-            for text in batch.column(1).cast(pa.binary()).to_pylist():
-                own = (words.text(text) if text else b"") + last
-                ids.append(own)
-                starts.append(local)
-                sizes.append(len(own) // 4)
-                local += sizes[-1]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([part] * len(ids), pa.int32()), pa.array(starts, pa.int64()), pa.array(sizes, pa.int64()), pa.array(ids, pa.binary())], ["doc_id", "part", "local", "n", "ids"])
+            for lo, texts in common.text_parts(batch.column(1)):
+                ids, per_word, n, _ = text_ids(words, texts)
+                sizes = np.add.reduceat(per_word, np.cumsum(n) - n)
+                odd = [i for i, t in enumerate(texts) if b"<|" in t]  # a special token may hold white space around it
+                if odd:
+                    each = np.split(ids, np.cumsum(sizes)[:-1])
+                    for i in odd:
+                        each[i] = words.whole(texts[i])
+                    ids, sizes = np.concatenate(each), np.fromiter(map(len, each), np.int64, len(each))
+                ends = np.cumsum(sizes)
+                flat = pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(np.r_[0, 4 * ends].astype(np.int32)), pa.py_buffer(ids)])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, len(texts)), pa.array([part] * len(texts), pa.int32()), pa.array(local + ends - sizes), pa.array(sizes), flat], ["doc_id", "part", "local", "n", "ids"])
+                local += int(ends[-1])
 
     rows = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(run, "doc_id long, part int, local long, n long, ids binary")

@@ -179,7 +179,7 @@ def test_pipeline_mixing_takes_the_chosen_blocks(spark):
     assert any(f"d{i}w{399 + 37 * i}" not in t and len(t.split()) < 400 + 37 * i for i, t in want)
 
 
-def test_lm(both, spark):
+def test_lm(both):
     for df in both:
         rows = [(i, t, zlib.crc32(str(i).encode() if i is not None else b"") % 7 == 2, [w.translate({65 + k: 97 + k for k in range(26)}) for w in WORD.findall(t or "")] + [None]) for i, t in texts(df)]
         counts = Counter(w for *_, held, ws in rows if not held for w in ws)
@@ -187,10 +187,14 @@ def test_lm(both, spark):
         want = sorted((str(i), held, len(ws), sum(counts[w] > 0 for w in ws), total, round(sum(np.log10((counts[w] + 1) / (total + distinct + 1)) for w in ws), 4)) for i, _, held, ws in rows)
         got = lm.score(df).collect()
         assert sorted((str(r.doc_id), r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 4)) for r in got) == want
-        assert all(np.isfinite(r.score) for r in got)
-        held = [r for r in got if r.held_out]
-        if df is both[0]:
-            assert sum(r.score for r in held) > sum(r.base_score for r in held)
+        assert all(np.isfinite(r.score) and r.score < 0 for r in got)
+
+
+def test_lm_held_out_above_the_base(spark):
+    """The base is no probability (each of the words never seen has one count), yet the model's probability is above it."""
+    out = lm.score(common.table(spark, "/root/testdata/sf0.1", "documents")).where("held_out")
+    row = out.agg(F.sum("score"), F.sum("base_score")).first()
+    assert row[0] > row[1]
 
 
 def test_lm_gathers_from_all_training_documents(spark, monkeypatch):
@@ -198,17 +202,66 @@ def test_lm_gathers_from_all_training_documents(spark, monkeypatch):
     words, want, pairs = packing.WordIds(packing.vocabulary()), Counter(), 0
     for i, t in rows:
         if zlib.crc32(str(i).encode()) % 7 != 2:
-            ids = np.frombuffer(b"".join(words[w.encode()] for w in t.split()), "<u4").tolist() + [1]
+            ids = packing.text_ids(words, [t.encode()])[0].tolist()
             want.update(ids)
             pairs += len(ids)
     seen = []
     real = lm.neighbours_to_model
-    monkeypatch.setattr(lm, "neighbours_to_model", lambda matrix, kept, ids: seen.append((matrix.sum(), ids)) or real(matrix, kept, ids))
+    monkeypatch.setattr(lm, "neighbours_to_model", lambda matrix, kept, ids, end: seen.append((matrix.sum(), ids)) or real(matrix, kept, ids, end))
     df = spark.createDataFrame(rows, "doc_id long, text string")
     assert lm.score(df).count() == len(rows)
     assert seen[0][0] == pairs and {i: int(n) for i, n in enumerate(seen[0][1]) if n} == dict(want)
 
 
+def test_lm_gradient():
+    rng = np.random.default_rng(2)
+    net = [w.astype(np.float64) for w in lm.initial(3)]
+    x, y = rng.integers(0, 40, (3, lm.CONTEXT + lm.STRIDE)), rng.integers(0, lm.CLASSES, (3, lm.STRIDE))
+    real, mask = rng.random((3, lm.STRIDE)) < 0.8, lm._mask()
+
+    def loss():
+        logits, _ = lm.forward(net, x, mask)
+        logits = logits.astype(np.float64)
+        p = logits - np.log(np.exp(logits).sum(axis=1, keepdims=True))
+        return -(p[np.arange(len(p)), y.ravel()] * real.ravel()).sum() / real.sum()
+
+    for w, g in zip(net, lm.gradient(net, x, y, real, mask), strict=True):
+        at = tuple(rng.integers(0, n) for n in w.shape) if w.shape[0] != lm.KEPT_IDS else (x[0, 3], 2)
+        keep, step = w[at], 1e-4
+        w[at] = keep + step
+        up = loss()
+        w[at] = keep - step
+        down = loss()
+        w[at] = keep
+        assert abs((up - down) / (2 * step) - g[at]) < 2e-4, (w.shape, at)
+
+
+def test_lm_probabilities_sum_to_one(spark):
+    """Next-id probabilities over the whole vocabulary, and a word's two parts: the spelling and the share of its class."""
+    words = packing.WordIds(packing.vocabulary())
+    vocabulary = ["the", "river", "ran", "by", "mill", "unseenword"]
+    texts = [" ".join(vocabulary[(i * k + k) % 5] for k in range(1, 9)) for i in range(60)]
+    rows = common.written(lm.spelled(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), packing.vocabulary()), "spelled")
+    model = lm.fitted(rows)
+    before, all_ids = packing.text_ids(words, [b"the river ran"])[0][:-1].astype(np.int64), np.arange(49408)
+    chains = np.concatenate([np.r_[before, i] for i in all_ids])
+    got, _ = lm.attention_scores(model, chains, np.cumsum(np.full(len(all_ids), len(before) + 1)), lm._mask())
+    assert abs((10.0 ** got[len(before) :: len(before) + 1]).sum() - 1) < 1e-3
+    counts = {r.word: r.n for r in rows.where("kind = 1").groupBy("word").agg(F.sum("n").alias("n")).collect()}
+    share = 0.0
+    for w in [*vocabulary, ""]:
+        ids, sizes, *_ = packing.text_ids(words, [b"the river ran " + w.encode()])
+        k = 3  # the word after the three, or the end
+        spelling, lift = lm.word_scores(model, ids.astype(np.int64), sizes, np.array([len(ids)]), lm._mask())
+        import xxhash
+
+        n = counts.get(int(np.uint64(xxhash.xxh3_64_intdigest(w.encode())).astype(np.int64)), 0) if w else sum(zlib.crc32(str(i).encode()) % 7 != 2 for i in range(60))
+        share += n * 10.0 ** lift[k]
+        assert spelling[k] < 0
+    classes = set(model["classes"][model["kept"][packing.text_ids(words, [w.encode()])[0][0]]] for w in vocabulary[:5]) | {0}
+    assert 0 < share <= 1.001 and (len(classes) < lm.CLASSES or abs(share - 1) < 1e-3)
+
+
 def spans(t, rules=3):
     found = []
     for k, (kind, pattern, group, least) in enumerate(secret_scan.RULES[:rules]):
