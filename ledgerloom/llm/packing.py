@@ -22,8 +22,8 @@ common.shipped(__name__)
 LENGTH = 2048
 END = 1
 #: Words that a worker knows the ids of; emptied when full, so that its memory is bounded. New ones are tokenised so many at once.
-CACHE_WORDS = 250_000
-CACHE_PARTS = 200_000
+CACHE_WORDS = 400_000
+CACHE_PARTS = 300_000
 NEW_WORDS = 10_000
 MARKS = b".,;:!?"
 
@@ -148,15 +148,15 @@ class WordIds(dict):
 
 
 def text_ids(words: WordIds, texts: list[bytes]):
-    """Ids of the texts laid end to end, each with its end id, how many ids each word has, the end among them, and how many words each text."""
+    """Ids of the texts laid end to end, each with its end id, how many ids each word has, the end among them, how many words each text, and their numbers."""
     import numpy as np
 
     split = [t.split() for t in texts]
     for own in split:
         own.append(b"")
     flat = [w for own in split for w in own]
-    ids, per_word = words.ids(words.numbers(flat))
-    return ids, per_word, np.fromiter(map(len, split), np.int64, len(split)), flat
+    numbers = words.numbers(flat)
+    return *words.ids(numbers), np.fromiter(map(len, split), np.int64, len(split)), numbers
 
 
 def tokenized(documents: DataFrame, tokenizer_path: str | None = None, end: int = END, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
