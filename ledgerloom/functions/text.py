@@ -8,7 +8,7 @@ from operator import and_
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The spellings that stand for a missing value.
+# The labels of groups and bands below, and here the spellings that stand for a missing value.
 NULLS = ("", "nan", "NaN", "None", "<NA>", "null")
 NUMBER = r"^[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?$"
 

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.text import NUMBER
+from ledgerloom.functions.text import NUMBER, half_even
 
 
 @dataclass(frozen=True)
@@ -60,21 +60,66 @@ def accepted(df: DataFrame) -> DataFrame:
     return df.where(~F.exists("violations", lambda v: v.severity == "reject")).drop("violations")
 
 
-# The shapes of private identifiers, in ASCII classes.
+# The shapes of private values and the columns free of a test.
 PATTERNS = {
-    "asin_like": r"(^|[^A-Za-z0-9])B0[A-Z0-9]{8}([^A-Za-z0-9]|$)",
-    "order_id_like": r"(^|[^0-9])[0-9]{3}-[0-9]{7}-[0-9]{7}([^0-9]|$)",
-    "currency_like": r"(₹|\$|INR|Rs\.?) ?[0-9]",
-    "postal_like": r"(^|[^0-9])[1-9][0-9]{5}([^0-9]|$)",
+    "asin_like_values": r"(?i)\bB0[A-Z0-9]{8}\b",
+    "order_id_like_values": r"(?i)\b(?:ORDER|ORD|AMZ|FLP|MEE|JIO|WEB)[-_]?[A-Z0-9-]{4,}\b",
+    "postal_code_like_values": r"\b[1-9][0-9]{5}\b",
+    "currency_marker_values": r"(?i)(?:₹|\bINR\b|\bRS\.?\b)",
 }
+LONG_TITLE = r"\w+\s+\w+\s+\w+\s+\w+\s+\w+"
+NO_ORDER_TEST = ("marketplace", "channel", "narrative")
+LONG_TEXT = (
+    "action_reason", "narrative", "notes", "check_name", "expected_value", "check_value", "brand_group", "category_group", "subcategory_group", "product_group",
+    "marketplace", "channel", "listing_price_band", "inventory_band", "margin_band_public", "profitability_band_public",
+)
+NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal")
 
 
 def pattern_counts(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Cells of each column that match each shape, in one aggregate over the frame."""
-    counts = [F.count_if(F.col(c).rlike(p)).alias(f"{c}__{name}") for c in columns for name, p in PATTERNS.items()]
-    counts += [F.count_if(F.size(F.split(F.trim(c), r"[ \x09-\x0D]+")) >= 5).alias(f"{c}__long_text") for c in columns]
+    """Occurrences of each shape and cells with long titles in each column, by one aggregate over the frame."""
+    kinds, counts = dict(df.dtypes), []
+    for c in columns:
+        cell = F.col(c).cast("string")
+        for name, p in PATTERNS.items():
+            exempt = name == "order_id_like_values" and c in NO_ORDER_TEST or name == "postal_code_like_values" and kinds[c].startswith(NUMERIC)
+            counts.append((F.lit(0).cast("long") if exempt else F.coalesce(F.sum(F.regexp_count(cell, F.lit(p))), F.lit(0))).alias(f"{c}|{name}"))
+        counts.append((F.lit(0).cast("long") if c in LONG_TEXT else F.count_if(cell.rlike(LONG_TITLE))).alias(f"{c}|long_title_like_values"))
     got = df.agg(*counts)
-    return got.unpivot([], got.columns, "check", "cells").select(F.split_part("check", F.lit("__"), F.lit(1)).alias("column_name"), F.split_part("check", F.lit("__"), F.lit(2)).alias("pattern"), "cells")
+    got = got.unpivot([], [F.col(f"`{c}`") for c in got.columns], "check", "hits")
+    return got.select(F.split_part("check", F.lit("|"), F.lit(1)).alias("column_name"), F.split_part("check", F.lit("|"), F.lit(2)).alias("pattern"), "hits")
+
+
+def validation_summary(lines: DataFrame, master: DataFrame, product: DataFrame) -> DataFrame:
+    """The checks on inputs and products as rows of audit_key, check_name, check_status, check_value, expected_value, notes."""
+    sku = F.col("sku")
+    one = lines.agg(
+        F.count("*").alias("lines"), F.count_if(F.col("transaction_type_group") == "Order").alias("orders"), F.count(sku).alias("with_sku"), F.count_distinct("marketplace").alias("markets"),
+        F.count_if(F.col("mapping_status") == "Matched").alias("matched"), F.count_distinct(F.when(F.col("mapping_status") == "Unmatched", sku)).alias("strange"),
+    ).crossJoin(master.agg(F.count("*").alias("products"), (F.count("seller_sku") - F.count_distinct("seller_sku")).alias("repeated"))).crossJoin(
+        product.agg(F.count("*").alias("rows"), F.coalesce(F.max(F.col("sales_index") > 0), F.lit(False)).alias("active")))  # one row each
+    coverage = F.coalesce(half_even(F.try_divide(F.col("matched"), F.col("with_sku")) * 100.0, 2), F.lit(0.0))
+    some = lambda c, otherwise="FAIL": F.when(F.col(c) > 0, "PASS").otherwise(otherwise)
+    text = lambda c: F.col(c).cast("string")
+    fine, none = F.lit("PASS"), F.lit("")
+    # Names, expectations and notes of the checks.
+    rows = [
+        ("Raw product master loaded", some("products"), text("products"), "> 0", none),
+        ("Raw transaction report loaded", some("lines"), text("lines"), "> 0", none),
+        ("Transaction row count valid", some("lines"), text("lines"), "> 0", none),
+        ("Order row count valid", some("orders", "WARN"), text("orders"), "> 0 order rows", none),
+        ("SKU column detected", some("with_sku"), text("with_sku"), "> 0 rows with SKU", none),
+        ("Marketplace column detected", some("markets", "WARN"), text("markets"), "> 0 marketplaces", none),
+        ("SKU join coverage calculated", fine, coverage.cast("string"), "calculated", none),
+        ("Marketplace-channel mapping status", F.lit("WARN"), F.lit("Unavailable"), "available mapping keys", F.lit("Marketplace-channel enrichment is unavailable because Marketplace_Channel_Master mapping keys are incomplete.")),
+        ("Unmatched SKUs counted", fine, text("strange"), "calculated", F.lit("Only counts are shown; SKU values are private.")),
+        ("Duplicate SKUs counted", fine, text("repeated"), "calculated", none),
+        ("Public outputs generated", some("rows"), text("rows"), "> 0 rows", none),
+        ("Aggregated sales indexes contain activity", F.when(F.col("active"), "PASS").otherwise("WARN"), F.initcap(text("active")), "nonzero when transactions contain sales activity", none),
+        ("Recommended actions generated", some("rows"), text("rows"), "> 0 rows", none),
+    ]
+    made = [F.struct(F.lit(k + 1).alias("audit_key"), F.lit(n).alias("check_name"), s.alias("check_status"), v.alias("check_value"), F.lit(e).alias("expected_value"), w.alias("notes")) for k, (n, s, v, e, w) in enumerate(rows)]
+    return one.select(F.inline(F.array(*made)))
 
 
 def known_values(df: DataFrame, column: str, known: DataFrame, value: str) -> DataFrame:

@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from ledgerloom.operators import kernel, master
 from ledgerloom.operators.master import NON_PRODUCT
 from ledgerloom.sources import tables
+from ledgerloom.sources.staging import staged
 
+# The names and the order of the published columns.
 RATIOS = {f"{c}_pct_of_gross": f"avg_{c}_pct_of_gross" for c in ("fee", "refund", "promotion")} | {"net_to_gross_pct": "avg_net_to_gross_pct"}
 PRODUCT_KEYS = ["public_product_id", "marketplace", "brand_group", "category_group", "subcategory_group", "product_group", "fulfillment_type", "listing_price_band", "inventory_band", "margin_band_public", "profitability_band_public"]
 PRODUCT_METRICS = ["sales_index", "units_index", "fee_pct_of_gross", "refund_pct_of_gross", "promotion_pct_of_gross", "net_to_gross_pct", "margin_index", "estimated_profitability_index", "margin_risk_score", "margin_risk_band", "revenue_quality_score", "revenue_quality_band"]
@@ -18,13 +20,19 @@ ACTION = ["recommended_action", "action_priority", "action_reason"]
 SCORES = ["margin_risk_score", "revenue_quality_score"]
 
 
+@lru_cache(maxsize=4)
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The matched lines, staged once for a session and folder: every mart reads of them the columns that it needs."""
+    return staged(_lines(spark, sf_dir), "lines")
+
+
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return master.matched(master.amounts(tables.transactions(spark, sf_dir)), tables.product_master(spark, sf_dir))
 
 
 @lru_cache(maxsize=4)
 def rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The row-level frame: lines with metrics and actions. The plan alone is kept for a session and folder, no rows."""
+    """The row-level frame: lines with metrics and actions."""
     return kernel.actions(kernel.metrics(lines(spark, sf_dir)))
 
 
@@ -54,6 +62,12 @@ def product_performance(df: DataFrame) -> DataFrame:
     return kernel.actions(kernel.aggregate(products(df), PRODUCT_KEYS)).select(*PRODUCT_KEYS, *PRODUCT_METRICS, *ACTION)
 
 
+@lru_cache(maxsize=4)
+def product_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The product mart, staged once for a session and folder, as most pages and reports read it."""
+    return staged(product_performance(rows(spark, sf_dir)), "product_performance")
+
+
 def grouped(df: DataFrame, keys: list[str], extra: list[str]) -> DataFrame:
     return renamed(kernel.aggregate(products(df), keys)).select(*keys, "product_count", *extra)
 

@@ -6,9 +6,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import text
+from ledgerloom.operators.numbering import numbered
 
 NON_PRODUCT = "NON_PRODUCT_ACTIVITY"
 NOT_APPLICABLE = "Not Applicable"
+# The labels of lines without a SKU.
+NO_GROUP, NO_STATUS = "Non-product Activity", "Non-product"
 
 
 def amounts(txn: DataFrame) -> DataFrame:
@@ -26,11 +29,10 @@ def amounts(txn: DataFrame) -> DataFrame:
 
 
 def with_public_ids(master: DataFrame) -> DataFrame:
-    """Products without an id get the next ones after the largest, in file order. The numbering window is partitioned
-    by nothing, but runs over the products without an id only; the master is small beside the lines."""
+    """Products without an id get the next ones after the largest, in file order."""
     first = master.withColumn("rn", F.row_number().over(Window.partitionBy("seller_sku").orderBy("src_row"))).where("rn = 1").drop("rn")
     top = first.agg(F.coalesce(F.max(F.expr("try_cast(substr(public_product_id, 2) as int)")), F.lit(0)).alias("top"))
-    missing = first.where("public_product_id is null").withColumn("k", F.row_number().over(Window.orderBy("src_row")))
+    missing = numbered(first.where("public_product_id is null"), ["src_row", "seller_sku"], "k")
     number = (F.col("top") + F.col("k")).cast("string")
     named = missing.crossJoin(F.broadcast(top)).withColumn("public_product_id", F.concat(F.lit("P"), F.lpad(number, F.greatest(F.lit(4), F.length(number)), "0")))
     return first.where("public_product_id is not null").unionByName(named.drop("k", "top"))
@@ -43,18 +45,21 @@ def matched(lines: DataFrame, master: DataFrame) -> DataFrame:
         text.price_band(F.col("price")).alias("listing_price_band"), text.inventory_band(F.col("quantity")).alias("inventory_band"),
         text.origin(F.coalesce("origin_country", F.lit("Unknown"))).alias("origin_country_group"), F.lit(True).alias("is_matched"),
     )
-    joined = lines.join(product, "sku", "left")
+    # lines without SKU, a tenth of all, match nothing; a salt spreads them over the tasks of both joins
+    lines = lines.withColumn("salt", F.when(F.col("sku").isNull(), F.pmod(F.xxhash64("order_id"), F.lit(4096))).otherwise(-1))
+    joined = lines.join(product.withColumn("salt", F.lit(-1).cast("long")), ["sku", "salt"], "left")
     strange = lines.where("sku is not null").select("sku").distinct().join(product.select("sku"), "sku", "left_anti")
-    named = strange.withColumn("unmapped", F.format_string("UNMAPPED_%04d", F.row_number().over(Window.orderBy("sku"))))
-    joined = joined.join(named, "sku", "left")
+    named = numbered(strange, ["sku"], "k").select("sku", F.format_string("UNMAPPED_%04d", "k").alias("unmapped"), F.lit(-1).cast("long").alias("salt"))
+    joined = joined.join(named, ["sku", "salt"], "left").drop("salt")
+    lines = lines.drop("salt")
     other = lambda c, unmapped, none: F.coalesce(F.col(c), F.when(F.col("sku").isNull(), none).otherwise(unmapped)).alias(c)
     return joined.select(
         *[c for c in lines.columns if c != "sku"], "sku", F.lit("12m").alias("dataset_period"), F.lit("Marketplace").alias("channel"),
         F.coalesce("public_product_id", "unmapped", F.lit(NON_PRODUCT)).alias("public_product_id"),
-        other("brand", "Unmapped", "Unmapped").alias("brand_group"), other("category", "Unmapped", "Unmapped").alias("category_group"),
-        other("subcategory", "Unmapped", "Unmapped").alias("subcategory_group"), other("product_group", "Unmapped Product", "Unmapped Product").alias("product_group"),
+        other("brand", "Unmapped", NO_GROUP).alias("brand_group"), other("category", "Unmapped", NO_GROUP).alias("category_group"),
+        other("subcategory", "Unmapped", NO_GROUP).alias("subcategory_group"), other("product_group", "Unmapped Product", NO_GROUP).alias("product_group"),
         F.coalesce("listing_price_band", F.lit("Unknown")).alias("listing_price_band"), F.coalesce("inventory_band", F.lit("Unknown")).alias("inventory_band"),
         F.coalesce("origin_country_group", F.lit("Imported / Other")).alias("origin_country_group"), F.coalesce("restock_priority", F.lit("Monitor")).alias("restock_priority"),
-        F.when(F.col("is_matched"), "Matched").when(F.col("sku").isNull(), "Non-Product").otherwise("Unmatched").alias("mapping_status"),
+        F.when(F.col("is_matched"), "Matched").when(F.col("sku").isNull(), NO_STATUS).otherwise("Unmatched").alias("mapping_status"),
         (F.col("gross") - F.col("units") * F.coalesce("landed_cost", F.lit(0).cast("decimal(18,4)")) - F.col("fee") - F.col("promo") - F.col("refund")).cast("decimal(24,4)").alias("profit"),
     )

@@ -1,32 +1,87 @@
-"""The star schema: dimensions with dense keys (0 is Unknown), facts, audits and reconciliation."""
+"""The star schema: dimensions with dense keys (0 is Unknown), facts, audits, constraints and reconciliation.
+
+Keys of products and of facts on products are numbered range by range; marketplaces, months and fulfillment types are a
+handful of distinct values, sorted in one task.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import lru_cache
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ledgerloom.operators import checks, marts, variance
+from ledgerloom.operators.numbering import numbered
+from ledgerloom.sources import tables
+from ledgerloom.sources.staging import staged
+
+# Attributes of products, columns that none of the tables may have, labels of periods, sources of facts.
+ATTRIBUTES = ["brand_group", "category_group", "subcategory_group", "product_group", "listing_price_band", "inventory_band", "margin_band_public", "profitability_band_public"]
+FORBIDDEN = ("asin", "asin1", "seller_sku", "sku", "order_id", "listing_id", "item_name", "item_description", "order_postal")
+LABELS = {"1m": "1M / 10K Orders", "3m": "3M / 30K Orders", "6m": "6M / 60K Orders", "12m": "12M / 120K Orders", "custom": "Custom Upload", "custom_upload": "Custom Upload"}
+MONTHS = ("January", "February", "March", "April", "May", "June", "July", "August", "September", "October", "November", "December")
+ACTIVITY = ["total_orders", "product_count", "sales_index", "units_index", "avg_fee_pct_of_gross", "avg_refund_pct_of_gross", "avg_promotion_pct_of_gross", "avg_net_to_gross_pct", "margin_risk_score", "revenue_quality_score"]
+PERFORMANCE = ["sales_index", "units_index", "fee_pct_of_gross", "refund_pct_of_gross", "promotion_pct_of_gross", "net_to_gross_pct", "margin_index", "estimated_profitability_index", "margin_risk_score", "revenue_quality_score", "recommended_action", "action_priority"]
+INVENTORY = ["units_index", "sales_index", "restock_priority", "recommended_action", "action_priority"]
+DRIVERS = ["previous_value", "current_value", "abs_variance", "pct_variance", "contribution_share_pct", "movement"]
+FOREIGN_KEYS = (
+    ("fact_marketplace_activity", "month_key", "dim_month", "month_key"),
+    ("fact_marketplace_activity", "marketplace_key", "dim_marketplace", "marketplace_key"),
+    ("fact_product_performance", "product_key", "dim_product", "product_key"),
+    ("fact_product_performance", "marketplace_key", "dim_marketplace", "marketplace_key"),
+    ("fact_inventory_action", "product_key", "dim_product", "product_key"),
+    ("fact_inventory_action", "marketplace_key", "dim_marketplace", "marketplace_key"),
+    ("fact_performance_variance", "previous_month_key", "dim_month", "month_key"),
+    ("fact_performance_variance", "current_month_key", "dim_month", "month_key"),
+    ("fact_performance_variance", "marketplace_key", "dim_marketplace", "marketplace_key"),
+)
+NATURAL_KEYS = (("dim_product", ["public_product_id"]), ("dim_marketplace", ["marketplace", "channel"]), ("dim_month", ["transaction_month"]), ("dim_fulfillment", ["fulfillment_type"]))
+LOADS = (
+    ("marketplace_summary", "fact_marketplace_activity"), ("product_performance", "fact_product_performance"), ("inventory_action_review", "fact_inventory_action"),
+    ("mart_marketplace_variance_drivers", "fact_performance_variance"), ("validation_summary", "audit_validation"), ("dataset_profile", "audit_dataset_profile"),
+)
+
 
 def dimension(values: DataFrame, column: str, key: str) -> DataFrame:
     """Keys by sorted distinct value. A value 'Unknown' is the member 0 itself."""
-    own = values.select(F.col(column)).where(F.col(column).isNotNull() & (F.col(column) != "Unknown")).distinct()
+    own = values.select(F.col(column)).where(F.col(column).isNotNull() & (F.trim(column) != "") & (F.col(column) != "Unknown")).distinct()
     own = own.withColumn(key, F.row_number().over(Window.orderBy(column)))
     return own.select(key, column).unionByName(own.sparkSession.createDataFrame([(0, "Unknown")], f"{key} int, {column} string"))
 
 
 def dim_product(product: DataFrame) -> DataFrame:
-    """Each product once, with its least tuple of attributes."""
-    names = ["brand_group", "category_group", "subcategory_group", "product_group"]
-    one = product.groupBy("public_product_id").agg(F.min(F.struct(*names)).alias("a")).select("public_product_id", "a.*")
-    return one.withColumn("product_key", F.row_number().over(Window.orderBy("public_product_id"))).select("product_key", "public_product_id", *names)
+    """Each product once, with its least tuple of attributes, and the Unknown member; private columns are refused."""
+    private = sorted({*FORBIDDEN, "item_name"} & {c.lower() for c in product.columns})
+    if private:
+        raise ValueError(f"private columns {private}: no dim_product is built from them")
+    one = product.where("public_product_id is not null").groupBy("public_product_id").agg(F.min(F.struct(*ATTRIBUTES)).alias("a")).select("public_product_id", "a.*")
+    unknown = product.sparkSession.range(1).select(F.lit(0).alias("product_key"), *[F.lit("Unknown").alias(c) for c in ["public_product_id", *ATTRIBUTES]])
+    return unknown.unionByName(numbered(one, ["public_product_id"], "product_key"))
+
+
+def dim_marketplace(*frames: DataFrame) -> DataFrame:
+    """The marketplaces of all frames, under one constant channel."""
+    names = None
+    for f in frames:
+        own = f.select("marketplace")
+        names = own if names is None else names.union(own)
+    return dimension(names, "marketplace", "marketplace_key").withColumn("channel", F.lit("Marketplace"))
 
 
 def dim_month(summary: DataFrame) -> DataFrame:
-    """The calendar of month labels."""
-    month = F.col("transaction_month")
-    own = dimension(summary.where(month.rlike(r"^\d{4}-\d{2}$")), "transaction_month", "month_key").where("month_key > 0")
-    number = F.substring(month, 6, 2).cast("int")
-    names = F.array(*[F.lit(x) for x in ("January", "February", "March", "April", "May", "June", "July", "August", "September", "October", "November", "December")])
-    return own.select("month_key", "transaction_month", F.substring(month, 1, 4).cast("int").alias("year_number"), number.alias("month_number"), F.get(names, number - 1).alias("month_name"), F.expr("(int(substr(transaction_month, 6, 2)) + 2) div 3").cast("int").alias("quarter_number"))
+    """The calendar of month labels. A label that is no month has no attributes."""
+    label = F.trim("transaction_month")
+    own = dimension(summary.where(~F.lower(label).isin("", "unknown", "nan")), "transaction_month", "month_key")
+    month = F.when(F.col("transaction_month").rlike(r"^\d+-\d+$"), F.split_part("transaction_month", F.lit("-"), F.lit(2)).try_cast("int"))
+    month = F.when(month.between(1, 12), month)
+    year = F.when(month.isNotNull(), F.split_part("transaction_month", F.lit("-"), F.lit(1)).try_cast("int"))
+    period = summary.agg(F.first("dataset_period", ignorenulls=True).alias("dataset_period"))
+    return own.crossJoin(F.broadcast(period)).select(
+        "month_key", "transaction_month", year.alias("year"), month.alias("month_number"),
+        F.coalesce(F.get(F.array(*map(F.lit, MONTHS)), month - 1), F.lit("Unknown")).alias("month_name"),
+        F.floor((month + 2) / 3).cast("int").alias("quarter"), F.col("transaction_month").alias("year_month"), "dataset_period",
+    )
 
 
 def lookup(fact: DataFrame, dim: DataFrame, column: str, key: str) -> DataFrame:
@@ -34,12 +89,120 @@ def lookup(fact: DataFrame, dim: DataFrame, column: str, key: str) -> DataFrame:
     return fact.join(dim.select(column, key), column, "left").withColumn(key, F.coalesce(key, F.lit(0)))
 
 
-def fact_marketplace(summary: DataFrame) -> DataFrame:
-    fact = lookup(lookup(summary, dimension(summary, "marketplace", "marketplace_key"), "marketplace", "marketplace_key"), dim_month(summary), "transaction_month", "month_key")
-    keep = ["total_orders", "product_count", "sales_index", "units_index", "avg_fee_pct_of_gross", "avg_refund_pct_of_gross", "avg_promotion_pct_of_gross", "avg_net_to_gross_pct", "margin_risk_score", "revenue_quality_score"]
-    return fact.select(F.row_number().over(Window.orderBy("month_key", "marketplace_key")).alias("activity_key"), "month_key", "marketplace_key", *keep)
+def _fact(rows: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
+    """Numbered by keys; the values break ties, equal rows by chance."""
+    rows = rows.select(*keys, *values).withColumn("_tie", F.monotonically_increasing_id())
+    return numbered(rows, [*keys, *values, "_tie"], "fact_key").select("fact_key", *keys, *values)
+
+
+def fact_marketplace(summary: DataFrame, months: DataFrame, markets: DataFrame) -> DataFrame:
+    """N05."""
+    return _fact(lookup(lookup(summary, markets, "marketplace", "marketplace_key"), months, "transaction_month", "month_key"), ["month_key", "marketplace_key"], ACTIVITY)
+
+
+def fact_product(product: DataFrame, products: DataFrame, markets: DataFrame, period: str) -> DataFrame:
+    """No month, as the mart has none."""
+    rows = lookup(lookup(product, markets, "marketplace", "marketplace_key"), products, "public_product_id", "product_key")
+    return _fact(rows, ["product_key", "marketplace_key"], PERFORMANCE).withColumn("dataset_period", F.lit(period))
+
+
+def fact_inventory(review: DataFrame, products: DataFrame, markets: DataFrame) -> DataFrame:
+    """N07."""
+    return _fact(lookup(lookup(review, markets, "marketplace", "marketplace_key"), products, "public_product_id", "product_key"), ["product_key", "marketplace_key"], INVENTORY)
+
+
+def fact_variance(drivers: DataFrame, months: DataFrame, markets: DataFrame) -> DataFrame:
+    """Empty where there are no two periods to compare, as then no drivers are."""
+    rows = lookup(drivers, markets, "marketplace", "marketplace_key")
+    for which in ("previous", "current"):
+        month = months.select(F.col("transaction_month").alias(f"{which}_period"), F.col("month_key").alias(f"{which}_month_key"))
+        rows = rows.join(F.broadcast(month), f"{which}_period", "left").withColumn(f"{which}_month_key", F.coalesce(f"{which}_month_key", F.lit(0)))
+    rows = rows.withColumnsRenamed({"absolute_variance": "abs_variance", "percentage_variance": "pct_variance", "contribution_share": "contribution_share_pct"})
+    return _fact(rows, ["marketplace_key", "metric"], ["previous_month_key", "current_month_key", *DRIVERS])
+
+
+def profile(outputs: dict[str, DataFrame], period: str) -> DataFrame:
+    """a row per output with its row count."""
+    got = None
+    for k, (name, df) in enumerate(outputs.items()):
+        own = df.agg(F.count("*").alias("row_count")).select(F.lit(k + 1).alias("audit_key"), F.lit(name).alias("public_output_name"), "row_count", F.lit(period).alias("dataset_period"), F.lit(LABELS.get(period, period)).alias("dataset_label"))
+        got = own if got is None else got.unionByName(own)
+    return got
+
+
+@lru_cache(maxsize=4)
+def load(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """All marts and tables of the star, written once for a session and folder; the constraints hold, else it raises."""
+    rows = marts.rows(spark, sf_dir)
+    keep = lambda name, df: staged(df, name)
+    product = marts.product_mart(spark, sf_dir)
+    matrix = keep("matrix", variance.marketplace_matrix(rows))
+    compared = keep("drivers", variance.compare(matrix, variance.periods(matrix), ["marketplace"]))
+    out = {
+        "marketplace_summary": keep("marketplace_summary", marts.marketplace_summary(rows)), "marketplace_channel_performance": keep("channel", marts.channel_performance(rows)), "product_performance": product,
+        "category_performance": keep("category", marts.category_performance(rows)), "brand_performance": keep("brand", marts.brand_performance(rows)), "fulfillment_comparison": keep("fulfillment", marts.fulfillment_comparison(rows)),
+        "profitability_summary": keep("profitability", marts.profitability_summary(rows)), "fee_refund_summary": marts.fee_refund_summary(product), "margin_risk_review": marts.margin_risk_review(product),
+        "inventory_action_review": keep("inventory", marts.inventory_action_review(rows, product)), "product_action_review": product,
+        "mart_marketplace_variance_drivers": compared, "mart_performance_driver_summary": keep("summary", variance.driver_summary(compared)),
+    }
+    period = "12m"
+    out["dataset_profile"] = keep("profile", profile(out, period)).drop("audit_key")
+    out["validation_summary"] = keep("validation", checks.validation_summary(marts.lines(spark, sf_dir), tables.product_master(spark, sf_dir), product))
+    products, markets = keep("dim_product", dim_product(product)), keep("dim_marketplace", dim_marketplace(out["marketplace_summary"], product, out["inventory_action_review"], compared))
+    months = keep("dim_month", dim_month(out["marketplace_summary"]))
+    out |= {
+        "dim_product": products, "dim_marketplace": markets, "dim_month": months, "dim_fulfillment": keep("dim_fulfillment", dimension(product, "fulfillment_type", "fulfillment_key")),
+        "fact_marketplace_activity": keep("fact_marketplace", fact_marketplace(out["marketplace_summary"], months, markets)), "fact_product_performance": keep("fact_product", fact_product(product, products, markets, period)),
+        "fact_inventory_action": keep("fact_inventory", fact_inventory(out["inventory_action_review"], products, markets)), "fact_performance_variance": keep("fact_variance", fact_variance(compared, months, markets)),
+        "audit_validation": out["validation_summary"], "audit_dataset_profile": keep("profile", profile({k: v for k, v in out.items() if k not in ("dataset_profile", "validation_summary")}, period)),
+    }
+    assert_unique(out)
+    assert_foreign_keys(out)
+    return out
+
+
+def duplicates(star: dict[str, DataFrame]) -> DataFrame:
+    """Natural keys that occur more than once, a row per dimension."""
+    got = None
+    for name, keys in NATURAL_KEYS:
+        own = star[name].groupBy(*keys).count().where("count > 1").agg(F.count("*").alias("duplicates")).select(F.lit(name).alias("dimension"), "duplicates")
+        got = own if got is None else got.unionByName(own)
+    return got
+
+
+def orphans(star: dict[str, DataFrame]) -> DataFrame:
+    """Fact rows whose key no member has, a row per relation."""
+    got = None
+    for fact, key, dim, member in FOREIGN_KEYS:
+        own = star[fact].join(star[dim].select(F.col(member).alias(key)), key, "left_anti").agg(F.count("*").alias("orphans"))
+        own = own.select(F.lit(fact).alias("fact"), F.lit(key).alias("fact_column"), "orphans")
+        got = own if got is None else got.unionByName(own)
+    return got
+
+
+def assert_unique(star: dict[str, DataFrame]) -> None:
+    bad = [r.dimension for r in duplicates(star).where("duplicates > 0").collect()]  # at most one row per dimension
+    if bad:
+        raise ValueError(f"natural keys are not unique in {bad}")
+
+
+def assert_foreign_keys(star: dict[str, DataFrame]) -> None:
+    bad = [(r.fact, r.fact_column) for r in orphans(star).where("orphans > 0").collect()]  # at most one row per relation
+    if bad:
+        raise ValueError(f"keys that no member has in {bad}")
+
+
+def reconciliation(star: dict[str, DataFrame]) -> DataFrame:
+    """Rows of each source and of the table loaded from it."""
+    got = None
+    for source, target in LOADS:
+        left, right = (star[x].agg(F.count("*").alias(n)) for x, n in ((source, "source_rows"), (target, "target_rows")))
+        own = left.crossJoin(right).select(F.lit(source).alias("source_name"), "source_rows", F.lit(target).alias("target_table"), "target_rows")  # one row each
+        got = own if got is None else got.unionByName(own)
+    return got.withColumn("difference", F.col("source_rows") - F.col("target_rows")).withColumn("status", F.when(F.col("difference") == 0, "OK").otherwise("MISMATCH"))
 
 
-def orphans(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
-    """Fact rows whose key no member has."""
-    return fact.join(dim.select(key), key, "left_anti")
+def forbidden_columns(star: dict[str, DataFrame]) -> DataFrame:
+    """Columns of dimensions and facts that must not be there."""
+    found = [(t, c) for t, df in star.items() if t.startswith(("dim_", "fact_")) for c in df.columns if c.lower() in FORBIDDEN]
+    return next(iter(star.values())).sparkSession.createDataFrame(found, "table_name string, column_name string")

@@ -73,3 +73,33 @@ def driver_summary(variance: DataFrame) -> DataFrame:
     at = lambda k, c: F.max(F.when(F.col("rank") == k, F.col(c)))
     two = top.groupBy("metric").agg(at(1, "marketplace").alias("top_contributor"), at(1, "contribution_share").alias("top_share"), at(2, "marketplace").alias("second_contributor"), at(2, "contribution_share").alias("second_share"))
     return totals(variance).join(two, "metric")
+
+
+# The metrics' labels.
+LABELS = {
+    "sales_index": "Sales Index", "units_index": "Units Index", "fee_pct_of_gross": "Fee % of Gross", "refund_pct_of_gross": "Refund % of Gross", "promotion_pct_of_gross": "Promotion % of Gross",
+    "net_to_gross_pct": "Net-to-Gross %", "margin_risk_score": "Margin Risk Score", "revenue_quality_score": "Revenue Quality Score", "estimated_profitability_index": "Estimated Profitability Index",
+}
+
+
+def narrative(summary: DataFrame) -> DataFrame:
+    """A sentence for each metric, of association, never of cause; none where the movement is negligible."""
+    label = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in LABELS.items() for x in kv]), F.col("metric")), F.col("metric"))
+    one = lambda c: F.format_string("%.1f", half_even(c, 1))
+    change = F.col("absolute_variance")
+    pct = F.coalesce(F.concat(one(F.abs("percentage_variance")), F.lit("%")), F.lit("an unquantified percentage change (previous period value was zero)"))
+    pct = F.when(F.col("percentage_variance").isNull(), "an unquantified percentage change (previous period value was zero)").otherwise(pct)
+    lead = F.concat(label, F.when(change > 0, " increased by ").otherwise(" decreased by "), one(F.abs(change)), F.lit(" points ("), pct, F.lit(") period-over-period, a "), F.lower("movement"), F.lit("."))
+    detail = F.concat(F.lit(" "), F.col("top_contributor"), F.lit(" was associated with the largest share of this movement, contributing "), one(F.col("top_share")), F.lit("% of the total variance."))
+    second = F.when(F.col("second_contributor").isNull(), "").otherwise(F.concat(F.lit(" "), F.col("second_contributor"), F.lit(" contributed a further "), one(F.col("second_share")), F.lit("%.")))
+    nothing = F.concat(F.lit("No meaningful driver identified for "), label, F.lit("; period-over-period movement was negligible."))
+    return summary.withColumn("narrative", F.when((F.abs(change) < 0.05) | F.col("top_contributor").isNull(), nothing).otherwise(F.concat(lead, detail, second)))
+
+
+def excluded_message(months: list[str]) -> str:
+    """What is said of trailing months without activity; empty where there are none."""
+    if not months:
+        return ""
+    if len(months) == 1:
+        return f"{months[0]} was excluded from period comparison because it contains no transaction activity."
+    return f"{', '.join(months[:-1])} and {months[-1]} were excluded from period comparison because they contain no transaction activity."

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import text
 from ledgerloom.operators import checks, marts, master, star, variance
-from ledgerloom.plans import oracle
+from ledgerloom.plans import oracle, reports
 from ledgerloom.sources import tables
 
 
@@ -25,7 +25,7 @@ def _on(f: Callable[[DataFrame], DataFrame], source: Callable = marts.rows) -> C
 
 
 def _product(f: Callable[[DataFrame], DataFrame] = lambda df: df) -> Callable:
-    return lambda spark, sf_dir: f(marts.product_performance(marts.rows(spark, sf_dir)))
+    return lambda spark, sf_dir: f(marts.product_mart(spark, sf_dir))
 
 
 RATIO_SQL = ", ".join(f"{a} as {b}" for a, b in marts.RATIOS.items())
@@ -45,7 +45,7 @@ MARTS = {
         case when fee_pct_of_gross >= 25 then 'Review' else 'Monitor' end as fee_review_flag, case when refund_pct_of_gross >= 10 then 'Review' else 'Monitor' end as refund_review_flag,
         case when promotion_pct_of_gross >= 10 and net_to_gross_pct < 70 then 'Review' else 'Monitor' end as promotion_review_flag from pp""")),
     "mart_margin_risk": Query(_product(marts.margin_risk_review), oracle.sql(f"select {REVIEW_KEYS}, listing_price_band, inventory_band, {', '.join(marts.PRODUCT_METRICS[:6])}, margin_risk_score, margin_risk_band, revenue_quality_score, {', '.join(marts.ACTION)} from pp")),
-    "mart_inventory_action": Query(lambda s, d: marts.inventory_action_review(df := marts.rows(s, d), marts.product_performance(df)), oracle.sql(f"""select {REVIEW_KEYS}, inventory_band, units_index, sales_index, margin_risk_band, revenue_quality_band, restock_priority, {', '.join(marts.ACTION)}
+    "mart_inventory_action": Query(lambda s, d: marts.inventory_action_review(marts.rows(s, d), marts.product_mart(s, d)), oracle.sql(f"""select {REVIEW_KEYS}, inventory_band, units_index, sales_index, margin_risk_band, revenue_quality_band, restock_priority, {', '.join(marts.ACTION)}
         from pp left join (select distinct {REVIEW_KEYS}, inventory_band, restock_priority from prod) c using ({REVIEW_KEYS}, inventory_band)""")),
     "mart_product_action": Query(_product(marts.product_action_review), oracle.sql(f"select {PRODUCT_SQL} from pp")),
 }
@@ -106,11 +106,18 @@ def _privacy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.pattern_counts(tables.read(spark, sf_dir, "documents"), ["text", "source"])
 
 
+# The shapes as DuckDB writes them.
+SHAPES = {"asin_like_values": r"\b[Bb]0[A-Za-z0-9]{8}\b", "order_id_like_values": r"(?i)\b(?:ORDER|ORD|AMZ|FLP|MEE|JIO|WEB)[-_]?[A-Z0-9-]{4,}\b", "postal_code_like_values": r"\b[1-9][0-9]{5}\b", "currency_marker_values": r"(?i)(?:₹|\bINR\b|\bRS\.?\b)"}
 PRIVACY_SQL = "\nunion all\n".join(
-    [f"select '{c}' as column_name, '{n}' as pattern, count(*) filter (where regexp_matches({c}, {oracle.q(p)})) as cells from documents" for c in ("text", "source") for n, p in checks.PATTERNS.items()]
-    + [f"select '{c}' as column_name, 'long_text' as pattern, count(*) filter (where len(string_split_regex(trim({c}), '[ \\t-\\r]+')) >= 5) as cells from documents" for c in ("text", "source")]
+    [f"select '{c}' as column_name, '{n}' as pattern, sum(len(regexp_extract_all(coalesce({c}, ''), {oracle.q(p)})))::bigint as hits from documents" for c in ("text", "source") for n, p in SHAPES.items()]
+    + [rf"select '{c}' as column_name, 'long_title_like_values' as pattern, count(*) filter (where regexp_matches({c}, '\w+\s+\w+\s+\w+\s+\w+\s+\w+')) as hits from documents" for c in ("text", "source")]
 )
-BI = "order_count, product_count, sales_index"
+
+
+def _star(f: Callable) -> Callable:
+    return lambda spark, sf_dir: f(star.load(spark, sf_dir))
+
+
 ROW_QUERIES = {
     "txn_amounts": Query(lambda s, d: master.amounts(tables.transactions(s, d)).groupBy("transaction_month", "marketplace", "fulfillment_type", "transaction_type_group").agg(*[F.sum(c).cast("double").alias(c) for c in ("gross", "refund", "promo", "fee", "net", "units")]), oracle.sql("select transaction_month, marketplace, fulfillment_type, transaction_type_group, " + ", ".join(f"sum({c})::double as {c}" for c in ("gross", "refund", "promo", "fee", "net", "units")) + " from amounts group by all", oracle.BASE)),
     "std_groups": Query(lambda s, d: master.amounts(tables.transactions(s, d)).groupBy("transaction_type_group", "fulfillment_type", "marketplace", "state_group").agg(F.count("*").alias("rows")), oracle.sql("select transaction_type_group, fulfillment_type, marketplace, state_group, count(*) as rows from amounts group by all", oracle.BASE)),
@@ -127,20 +134,12 @@ ROW_QUERIES = {
 }
 
 
-def _summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.marketplace_summary(marts.rows(spark, sf_dir))
-
-
-DIM_SQL = """dm as (select row_number() over (order by marketplace)::int as marketplace_key, marketplace from (select distinct marketplace from mp where marketplace <> 'Unknown') union all select 0, 'Unknown'),
-dt as (select row_number() over (order by transaction_month)::int as month_key, transaction_month from (select distinct transaction_month from mp))"""
-FACT = "total_orders, product_count, sales_index, units_index, avg_fee_pct_of_gross, avg_refund_pct_of_gross, avg_promotion_pct_of_gross, avg_net_to_gross_pct, margin_risk_score, revenue_quality_score"
-STAR = {
-    "dim_product": Query(_product(star.dim_product), oracle.sql("select row_number() over (order by public_product_id)::int as product_key, public_product_id, a.brand_group as brand_group, a.category_group as category_group, a.subcategory_group as subcategory_group, a.product_group as product_group from (select public_product_id, min({'brand_group': brand_group, 'category_group': category_group, 'subcategory_group': subcategory_group, 'product_group': product_group}) as a from pp group by 1)")),
-    "dim_marketplace": Query(lambda s, d: star.dimension(_summary(s, d), "marketplace", "marketplace_key"), oracle.sql("select * from dm", f"{oracle.CHAIN}, {DIM_SQL}")),
-    "dim_month": Query(_on(star.dim_month, _summary), oracle.sql("select month_key, transaction_month, transaction_month[1:4]::int as year_number, transaction_month[6:7]::int as month_number, monthname((transaction_month || '-01')::date) as month_name, ((transaction_month[6:7]::int + 2) // 3)::int as quarter_number from dt", f"{oracle.CHAIN}, {DIM_SQL}")),
-    "dim_fulfillment": Query(lambda s, d: star.dimension(_lines(s, d), "fulfillment_type", "fulfillment_key"), oracle.sql("select row_number() over (order by fulfillment_type)::int as fulfillment_key, fulfillment_type from (select distinct fulfillment_type from lines) union all select 0, 'Unknown'", oracle.BASE)),
-    "fact_marketplace_activity": Query(_on(star.fact_marketplace, _summary), oracle.sql(f"select row_number() over (order by month_key, marketplace_key)::int as activity_key, month_key, marketplace_key, {FACT.replace('total_orders', 'order_count as total_orders').replace('avg_fee', 'fee_pct_of_gross as avg_fee').replace('avg_refund', 'refund_pct_of_gross as avg_refund').replace('avg_promotion', 'promotion_pct_of_gross as avg_promotion').replace('avg_net', 'net_to_gross_pct as avg_net')} from mp join dm using (marketplace) join dt using (transaction_month)", f"{oracle.CHAIN}, {DIM_SQL}")),
-    "fk_orphans": Query(lambda s, d: (lambda m: star.orphans(star.fact_marketplace(m), star.dim_month(m), "month_key").agg(F.count("*").alias("orphans")))(_summary(s, d)), "select 0::bigint as orphans"),
+STAR = {name: Query(reports.run(name), reports.duck(text)) for name, text in reports.REPORTS.items()} | {
+    "dim_uniqueness": Query(_star(star.duplicates), reports.duck(" union all ".join(f"select '{t}' as dimension, (select count(*) from (select {', '.join(k)} from {t} group by all having count(*) > 1)) as duplicates" for t, k in star.NATURAL_KEYS))),
+    "fk_orphans": Query(_star(star.orphans), reports.duck(" union all ".join(f"select '{f}' as fact, '{c}' as fact_column, (select count(*) from {f} where {c} not in (select {k} from {d})) as orphans" for f, c, d, k in star.FOREIGN_KEYS))),
+    "reconciliation": Query(_star(star.reconciliation), reports.duck("select *, source_rows - target_rows as difference, case when source_rows = target_rows then 'OK' else 'MISMATCH' end as status from ("
+        + " union all ".join(f"select '{a}' as source_name, (select count(*) from {'audit_dataset_profile' if a == 'dataset_profile' else a}) as source_rows, '{b}' as target_table, (select count(*) from {b}) as target_rows" for a, b in star.LOADS) + ")")),
+    "v4_forbidden_columns": Query(_star(star.forbidden_columns), "select table_name, column_name from (select 'x' as table_name, 'y' as column_name) where false"),
 }
 
 PRODUCT_FILTERS = {
@@ -151,15 +150,14 @@ PRODUCT_FILTERS = {
     "dash_candidates_risk": ("sales_index >= 50 and margin_risk_score >= 45", "margin_risk_score desc, sales_index desc"),
     "dash_candidates_slow": ("units_index < 10 and lower(inventory_band) like '%high%'", "units_index, sales_index desc"),
     "dash_top_margin_risk": ("true", "margin_risk_score desc, sales_index desc"),
-    "sql_06_action_queue": ("recommended_action <> 'Monitor'", "case action_priority when 'High' then 1 when 'Medium' then 2 else 3 end, sales_index desc"),
 }
 KEYS_SQL = ", ".join(marts.PRODUCT_KEYS)
 
 
-def _filtered(test: str, order: str, n: int) -> Query:
-    """A top-k report: the limit is the feature. All keys break ties."""
-    run = _product(lambda df: df.where(test).orderBy(*[F.expr(x.removesuffix(" desc")).desc() if x.endswith(" desc") else F.expr(x).asc() for x in order.split(", ")], *marts.PRODUCT_KEYS).limit(n).select(*marts.PRODUCT_KEYS, *marts.PRODUCT_METRICS, *marts.ACTION))
-    return Query(run, oracle.sql(f"select {PRODUCT_SQL} from pp where {test} order by {order}, {KEYS_SQL} limit {n}"))
+def _filtered(test: str, order: str, n: int | None) -> Query:
+    """Filtered products; with a limit only where the page shows a top-k. All keys break ties."""
+    run = _product(lambda df: df.where(test).orderBy(*[F.expr(x.removesuffix(" desc")).desc() if x.endswith(" desc") else F.expr(x).asc() for x in order.split(", ")], *marts.PRODUCT_KEYS).limit(n or 2**31 - 1).select(*marts.PRODUCT_KEYS, *marts.PRODUCT_METRICS, *marts.ACTION))
+    return Query(run, oracle.sql(f"select {PRODUCT_SQL} from pp where {test} order by {order}, {KEYS_SQL}" + (f" limit {n}" if n else "")))
 
 
 MEASURES = {
@@ -177,15 +175,28 @@ def measures(df: DataFrame, by: list[str] = ()) -> DataFrame:
 
 
 MEASURE_SQL = ", ".join(f"{e} as {n}" for n, (_, e) in MEASURES.items())
-DASH = {k: _filtered(t, o, 50 if k.startswith("sql") else 10) for k, (t, o) in PRODUCT_FILTERS.items()} | {
+DASH = {k: _filtered(t, o, None if k.endswith(("weak", "risk")) and k != "dash_top_margin_risk" else 10) for k, (t, o) in PRODUCT_FILTERS.items()} | {
     "dash_action_counts": Query(_product(lambda df: df.groupBy("recommended_action", "action_priority").agg(F.count("*").alias("rows"))), oracle.sql("select recommended_action, action_priority, count(*) as rows from pp group by all")),
-    "dash_top_groups": Query(_product(lambda df: df.groupBy("marketplace", "product_group").agg(F.count_distinct("public_product_id").alias("products"), F.sum(F.col("sales_index").cast("decimal(12,1)")).cast("double").alias("sales")).orderBy(F.desc("sales"), "marketplace", "product_group").limit(20)), oracle.sql("select marketplace, product_group, count(distinct public_product_id) as products, sum(sales_index::decimal(12,1))::double as sales from pp group by all order by sales desc, marketplace, product_group limit 20")),
-    "dash_imported": Query(_on(lambda df: marts.products(df).groupBy("origin_country_group").agg(F.count_distinct("public_product_id").alias("products"), text.half_even(F.sum(F.col("sales_index").cast("decimal(12,1)")).cast("double") / F.count("*"), 6).alias("mean_sales"))), oracle.sql("select origin_country_group, count(distinct public_product_id) as products, round_even(sum(sales_index::decimal(12,1))::double / count(*), 6) as mean_sales from prod group by all", oracle.ROWS)),
-    "dash_filter_options": Query(_product(lambda df: df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("filter"), F.col(c).alias("value")) for c in ("marketplace", "brand_group", "category_group", "fulfillment_type", "inventory_band")])).alias("x")).select("x.*").distinct()), oracle.sql(" union ".join(f"select '{c}' as filter, {c} as value from pp" for c in ("marketplace", "brand_group", "category_group", "fulfillment_type", "inventory_band")))),
     "bi_measures_total": Query(_product(measures), oracle.sql(f"select {MEASURE_SQL} from pp")),
     "bi_measures_by_marketplace": Query(_product(lambda df: measures(df, ["marketplace"])), oracle.sql(f"select marketplace, {MEASURE_SQL} from pp group by marketplace")),
-    "workflow_queue": Query(_product(lambda df: df.where("action_priority in ('High', 'Medium')").select(F.regexp_replace(F.concat_ws("-", F.lit("PRD"), "public_product_id", "marketplace"), " ", "_").alias("exception_id"), "public_product_id", "marketplace", "recommended_action", "action_priority").distinct().groupBy("exception_id").agg(F.min(F.struct("public_product_id", "marketplace", "recommended_action", "action_priority")).alias("x")).select("exception_id", "x.*", F.lit("New").alias("status"))), oracle.sql("select exception_id, x.public_product_id as public_product_id, x.marketplace as marketplace, x.recommended_action as recommended_action, x.action_priority as action_priority, 'New' as status from (select replace('PRD-' || public_product_id || '-' || marketplace, ' ', '_') as exception_id, min({'public_product_id': public_product_id, 'marketplace': marketplace, 'recommended_action': recommended_action, 'action_priority': action_priority}) as x from pp where action_priority in ('High', 'Medium') group by 1)")),
+    "dash_imported": Query(lambda sp, d: marts.lines(sp, d).where("mapping_status = 'Matched'").groupBy("origin_country_group").agg(F.count_distinct("public_product_id").alias("products"), F.sum("units").cast("double").alias("units")), oracle.sql("select origin_country_group, count(distinct public_product_id) as products, sum(units)::double as units from lines where mapping_status = 'Matched' group by all", oracle.BASE)),
+    "duplicate_skus": Query(lambda sp, d: tables.product_master(sp, d).agg((F.count("seller_sku") - F.count_distinct("seller_sku")).alias("duplicates")), oracle.sql("select count(seller_sku) - count(distinct seller_sku) as duplicates from product_master", oracle.BASE)),
+    "marketplaces_per_sku": Query(lambda sp, d: marts.lines(sp, d).where("sku is not null").groupBy("sku").agg(F.count_distinct("marketplace").alias("n")).agg(F.count_if(F.col("n") >= 5).alias("all_five"), F.count_if(F.col("n") < 5).alias("fewer")), oracle.sql("select count(*) filter (where n >= 5) as all_five, count(*) filter (where n < 5) as fewer from (select sku, count(distinct marketplace) as n from lines where sku is not null group by sku)", oracle.BASE)),
+    "sku_overlap": Query(lambda sp, d: tables.product_master(sp, d).select(F.col("seller_sku").alias("sku")).distinct().join(tables.transactions(sp, d).where("sku is not null").select("sku", F.lit(1).alias("t")).distinct(), "sku", "full").agg(F.count("t").alias("transaction_skus"), F.count_if(F.col("t").isNull()).alias("unmatched_listings")), oracle.sql("select (select count(distinct sku) from txn) as transaction_skus, (select count(distinct seller_sku) from product_master where seller_sku not in (select sku from txn where sku is not null)) as unmatched_listings", oracle.BASE)),
+    "quarantine_totals": Query(_on(lambda df: df.agg(F.count_if(F.exists("violations", lambda v: v.severity == "reject")).alias("rejected_rows"), F.count_if(F.exists("violations", lambda v: v.severity == "warn")).alias("warning_rows"), F.sum(F.size("violations")).alias("records")), _contract), oracle.sql("select count(*) filter (where len(list_filter(v, lambda x: x.severity = 'reject')) > 0) as rejected_rows, count(*) filter (where len(list_filter(v, lambda x: x.severity = 'warn')) > 0) as warning_rows, sum(len(v))::bigint as records from checked", f"{oracle.BASE}, {CONTRACT_SQL}")),
+    "cleaning_metrics": Query(lambda sp, d: tables.product_master(sp, d).agg(F.count("*").alias("rows"), F.count_if(F.col("brand").isNull()).alias("missing_brand"), F.count_if(F.col("origin_country").isNull()).alias("missing_origin"), F.count_if(F.col("public_product_id").isNull()).alias("missing_id"), F.count_distinct("seller_sku").alias("skus")), oracle.sql("select count(*) as rows, count(*) filter (where brand is null) as missing_brand, count(*) filter (where origin_country is null) as missing_origin, count(*) filter (where public_product_id is null) as missing_id, count(distinct seller_sku) as skus from product_master", oracle.BASE)),
     "ratio_and_activity_checks": Query(_product(lambda df: df.agg(*[e for c in marts.PRODUCT_METRICS[:6] for e in (F.min(c).alias(f"{c}_min"), F.max(c).alias(f"{c}_max"))], F.max(F.col("sales_index") > 0).alias("active"))), oracle.sql("select " + ", ".join(f"min({c}) as {c}_min, max({c}) as {c}_max" for c in marts.PRODUCT_METRICS[:6]) + ", max(sales_index > 0) as active from pp")),
 }
 
+NARRATIVE_SQL = """select t.metric, case when abs(t.absolute_variance) < 0.05 or n.top_contributor is null then 'No meaningful driver identified for ' || l.label || '; period-over-period movement was negligible.'
+    else l.label || case when t.absolute_variance > 0 then ' increased by ' else ' decreased by ' end || printf('%.1f', round_even(abs(t.absolute_variance), 1)) || ' points ('
+      || case when t.percentage_variance is null then 'an unquantified percentage change (previous period value was zero)' else printf('%.1f', round_even(abs(t.percentage_variance), 1)) || '%' end || ') period-over-period, a ' || lower(t.movement) || '. '
+      || n.top_contributor || ' was associated with the largest share of this movement, contributing ' || printf('%.1f', n.top_share) || '% of the total variance.'
+      || case when n.second_contributor is null then '' else ' ' || n.second_contributor || ' contributed a further ' || printf('%.1f', n.second_share) || '%.' end end as narrative
+  from totals t join (select metric, max(case when rank = 1 then marketplace end) as top_contributor, max(case when rank = 1 then contribution_share end) as top_share,
+        max(case when rank = 2 then marketplace end) as second_contributor, max(case when rank = 2 then contribution_share end) as second_share from ranked group by metric) n using (metric)
+  join (values ('sales_index', 'Sales Index'), ('units_index', 'Units Index'), ('fee_pct_of_gross', 'Fee % of Gross'), ('refund_pct_of_gross', 'Refund % of Gross'), ('promotion_pct_of_gross', 'Promotion % of Gross'), ('net_to_gross_pct', 'Net-to-Gross %'),
+    ('margin_risk_score', 'Margin Risk Score'), ('revenue_quality_score', 'Revenue Quality Score'), ('estimated_profitability_index', 'Estimated Profitability Index')) l(metric, label) using (metric)"""
+VARIANCES["variance_narrative"] = Query(lambda s, d: variance.narrative(variance.driver_summary(_compared(s, d))).select("metric", "narrative"), oracle.sql(NARRATIVE_SQL, f"{oracle.VARIANCE}, {TOTAL_SQL}"))
+
 QUERIES: dict[str, Query] = MARTS | VARIANCES | ROW_QUERIES | STAR | DASH

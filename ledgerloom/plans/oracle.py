@@ -61,9 +61,10 @@ products as (select seller_sku as sku, pid as public_product_id, brand, category
   case when lower(coalesce(origin_country, 'Unknown')) in ('india', 'in', 'bharat') then 'India' else 'Imported / Other' end as origin_country_group from ids),
 strange as (select sku, 'UNMAPPED_' || printf('%04d', row_number() over (order by sku)) as unmapped from (select distinct sku from amounts where sku is not null and sku not in (select sku from products))),
 lines as (select a.* exclude (sku), a.sku, '12m' as dataset_period, 'Marketplace' as channel, coalesce(p.public_product_id, s.unmapped, 'NON_PRODUCT_ACTIVITY') as public_product_id,
-  coalesce(brand, 'Unmapped') as brand_group, coalesce(category, 'Unmapped') as category_group, coalesce(subcategory, 'Unmapped') as subcategory_group, coalesce(product_group, 'Unmapped Product') as product_group,
+  coalesce(brand, case when a.sku is null then 'Non-product Activity' else 'Unmapped' end) as brand_group, coalesce(category, case when a.sku is null then 'Non-product Activity' else 'Unmapped' end) as category_group,
+  coalesce(subcategory, case when a.sku is null then 'Non-product Activity' else 'Unmapped' end) as subcategory_group, coalesce(product_group, case when a.sku is null then 'Non-product Activity' else 'Unmapped Product' end) as product_group,
   coalesce(listing_price_band, 'Unknown') as listing_price_band, coalesce(inventory_band, 'Unknown') as inventory_band, coalesce(origin_country_group, 'Imported / Other') as origin_country_group,
-  coalesce(restock_priority, 'Monitor') as restock_priority, case when p.sku is not null then 'Matched' when a.sku is null then 'Non-Product' else 'Unmatched' end as mapping_status,
+  coalesce(restock_priority, 'Monitor') as restock_priority, case when p.sku is not null then 'Matched' when a.sku is null then 'Non-product' else 'Unmatched' end as mapping_status,
   (gross - units * coalesce(landed_cost, 0::decimal(18,4)) - fee - promo - refund)::decimal(24,4) as profit
   from amounts a left join products p on a.sku = p.sku left join strange s on a.sku = s.sku)"""
 

@@ -4,6 +4,7 @@ import sys
 import tempfile
 
 import duckdb
+import pandas as pd
 import pytest
 from pyspark.sql import SparkSession
 
@@ -32,7 +33,7 @@ def duck():
 def table_of(df):
     """Rows as sorted text, columns by name, floats to nine digits."""
     df = df[sorted(df.columns)].astype(object)
-    rows = [tuple("~" if v is None or v != v else f"{v + 0.0:.9g}" if isinstance(v, float) else str(v) for v in r) for r in df.itertuples(index=False)]
+    rows = [tuple("~" if pd.isna(v) else f"{v + 0.0:.9g}" if isinstance(v, float) else str(v) for v in r) for r in df.itertuples(index=False)]
     return list(df.columns), sorted(rows)
 
 
