@@ -3,9 +3,10 @@
 Equal vectors are one class. Classes are dealt into blocks; every pair of blocks is a tile, and a tile is one group of
 bounded size. In it vectors are quantised to int8, products of the integers bound every cosine from above, and only pairs
 whose bound reaches the threshold are computed again in double precision. A tile returns link counts and a spanning forest
-of its links, never the links themselves, so thousands of near copies stay a few thousand rows.
+of its links, and keeps no links beyond a strip of rows, so thousands of near copies stay a few thousand rows.
 
-The bound: u = s q + r with |r| = e and |s q| = n, so u.v <= s_u s_v q_u.q_v + e_u n_v + e_v for unit vectors u and v.
+The bound: u = s q + r with |r| = e and |s q| = n, so u.v <= s_u s_v q_u.q_v + e_u n_v + e_v for unit vectors u and v: each
+pair has the slack of its own two vectors. Vectors are scaled by their largest component first, so that none over- or underflows.
 
 Edge cases: vectors that are null, empty, zero or hold null or non-finite components, and rows without an id, link with
 nothing; vectors of different lengths don't link; equal rows link with each other. Other columns are not read.
@@ -25,11 +26,10 @@ LEAST_TILE, MOST_TILE = 1024, 16384
 ROWS, PAIRS = 512, 65_536
 
 
-def unit_rows(x):
+def scaled_rows(x):
     import numpy as np
 
-    x = x / np.abs(x).max(axis=1, keepdims=True)
-    return x / np.sqrt(np.einsum("ij,ij->i", x, x))[:, None]
+    return x / np.abs(x).max(axis=1, keepdims=True)
 
 
 def quantised(u):
@@ -43,29 +43,43 @@ def quantised(u):
 
 
 def linked(xa, xb, threshold: float, same: bool):
-    """Pairs (i, j) of rows with cosine >= threshold; i < j where both sides are the same rows."""
+    """Pairs (i, j) of rows with cosine >= threshold, strip by strip; i < j where both sides are the same rows."""
     import numpy as np
 
-    ua, ub = unit_rows(xa), unit_rows(xb)
-    (qa, sa, ea, na), (qb, sb, eb, nb) = quantised(ua), quantised(ub)
-    wide = ua.shape[1] > 1000  # beyond, sums of products of int8 are not exact in float32
-    fb = qb.astype(np.float64 if wide else np.float32).T
-    scale_b = sb.astype(fb.dtype)
-    slack = float(ea.max() * nb.max() + eb.max()) + 1e-5
-    found = []
-    for lo in range(0, len(ua), ROWS):
-        top = qa[lo : lo + ROWS].astype(fb.dtype) @ fb
-        top *= scale_b
-        i, j = np.nonzero(top >= ((threshold - slack) / sa[lo : lo + ROWS]).astype(fb.dtype)[:, None])
+    xa, xb = scaled_rows(xa), scaled_rows(xb)
+    ra, rb = (np.sqrt(np.einsum("ij,ij->i", x, x)) for x in (xa, xb))
+    (qa, sa, ea, _), (qb, sb, eb, nb) = quantised(xa / ra[:, None]), quantised(xb / rb[:, None])
+    wide = xa.shape[1] > 1000  # beyond, sums of products of int8 are not exact in float32
+    kind = np.float64 if wide else np.float32
+    fb, sb, nb, eb = qb.astype(kind).T, sb.astype(kind), nb.astype(kind), eb.astype(kind)
+    for lo in range(0, len(xa), ROWS):
+        top = qa[lo : lo + ROWS].astype(kind) @ fb
+        top *= sb
+        top *= sa[lo : lo + ROWS].astype(kind)[:, None]
+        top += ea[lo : lo + ROWS].astype(kind)[:, None] * nb + eb
+        i, j = np.nonzero(top >= threshold - 1e-5)
         i += lo
         if same:
             i, j = i[i < j], j[i < j]
         for k in range(0, len(i), PAIRS):
             a, b = i[k : k + PAIRS], j[k : k + PAIRS]
-            exact = np.einsum("ij,ij->i", xa[a], xb[b]) / np.sqrt(np.einsum("ij,ij->i", xa[a], xa[a]) * np.einsum("ij,ij->i", xb[b], xb[b]))
-            yes = exact >= threshold
-            found.append(np.stack([a[yes], b[yes]]))
-    return np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
+            yes = np.einsum("ij,ij->i", xa[a], xb[b]) / (ra[a] * rb[b]) >= threshold
+            yield a[yes], b[yes]
+
+
+def joined(label, i, j) -> None:
+    """Hangs the roots of linked rows on the lesser root, in place, until links hold within one root."""
+    import numpy as np
+
+    while True:
+        x, y = label[i], label[j]
+        odd = x != y
+        if not odd.any():
+            return
+        i, j, x, y = i[odd], j[odd], x[odd], y[odd]
+        np.minimum.at(label, np.maximum(x, y), np.minimum(x, y))
+        while (label[label] != label).any():
+            label[:] = label[label]
 
 
 def tile(threshold: float):
@@ -78,23 +92,14 @@ def tile(threshold: float):
         x = group.column("vector").combine_chunks()
         x = np.asarray(x.flatten().to_numpy(zero_copy_only=False), np.float64).reshape(len(rep), -1)
         one, two = np.flatnonzero(side == 0), np.flatnonzero(side == (0 if same else 1))
-        out = {"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64()), "n": pa.array([], pa.int64())}
+        n, label = np.zeros(len(rep)), np.arange(len(rep))
         if len(one) and len(two):
-            i, j = linked(x[one], x[two], threshold, same)
-            i, j = one[i], two[j]
-            n = np.bincount(i, many[j], len(rep)) + np.bincount(j, many[i], len(rep))
-            label = np.arange(len(rep))
-            while len(i):
-                was = label.copy()
-                low = np.minimum(label[i], label[j])
-                np.minimum.at(label, i, low)
-                np.minimum.at(label, j, low)
-                label = label[label]
-                if (was == label).all():
-                    break
-            got, tied = np.flatnonzero(n), np.flatnonzero(label != np.arange(len(rep)))
-            out = {"a": pa.array(np.r_[rep[got], rep[tied]]), "b": pa.array([None] * len(got) + rep[label[tied]].tolist(), pa.int64()), "n": pa.array(n[got].astype(np.int64).tolist() + [None] * len(tied), pa.int64())}
-        return pa.table(out)
+            for i, j in linked(x[one], x[two], threshold, same):
+                i, j = one[i], two[j]
+                n += np.bincount(i, many[j], len(rep)) + np.bincount(j, many[i], len(rep))
+                joined(label, i, j)
+        got, tied = np.flatnonzero(n), np.flatnonzero(label != np.arange(len(rep)))
+        return pa.table({"a": pa.array(np.r_[rep[got], rep[tied]], pa.int64()), "b": pa.array([None] * len(got) + rep[label[tied]].tolist(), pa.int64()), "n": pa.array(n[got].astype(np.int64).tolist() + [None] * len(tied), pa.int64())})
 
     return run
 

@@ -4,7 +4,8 @@ Targets in words come from weights, capped at a multiple of each source's size.
 sources by highest quotients, and again to each source's shards; inside a shard a seeded choice of blocks fills the quota.
 
 A shard is a seeded share of a source's documents, about `shard_words` large, so a source with a third of all rows is many
-shards. Documents stand in seeded order in their shard; a block is the next `block_words` words of that row of documents,
+shards; beyond shard_words squared, a source has as many shards as each has words, so that neither grows alone. Rows without
+an id are dealt by their text. Documents stand in seeded order in their shard; a block is the next `block_words` words of that row of documents,
 so what a document gives follows from its place by arithmetic, without a row per block.
 
 Edge cases: a null source is a source of its own, last in order; null and blank texts have size 0 and give 0 words; equal
@@ -22,7 +23,6 @@ WEIGHTS = (5, 2, 1)
 LIMIT = 3
 BLOCK_WORDS = 32
 SHARD_WORDS = 1 << 16
-MOST_SHARDS = 4096
 SEED = 17
 SOURCE = ["src_null", "src"]
 #: A word and the white space after it; the first has the white space before it too.
@@ -32,7 +32,7 @@ SPACED_WORD = r"(?:^[ \x09-\x0D]+)?[^ \x09-\x0D]+[ \x09-\x0D]*"
 def sized(documents: DataFrame, carry: list[str] = (), source_col: str = "source", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     source = F.col(source_col)
     return documents.select(
-        F.col(id_col).alias("doc_id"), source.isNull().alias("src_null"), F.coalesce(source, F.lit("")).alias("src"),
+        F.col(id_col).alias("doc_id"), F.coalesce(F.col(id_col).cast("string"), F.md5(common.text_or_empty(F.col(text_col)))).alias("name"), source.isNull().alias("src_null"), F.coalesce(source, F.lit("")).alias("src"),
         F.size(common.words(F.col(text_col))).cast("long").alias("size"), *carry,
     )
 
@@ -74,11 +74,11 @@ def sainte_lague(df: DataFrame, group: list[str], key: list[str], votes: str, se
 
 def mix(sizes: DataFrame, seed: int = SEED, block: int = BLOCK_WORDS, shard_words: int = SHARD_WORDS, limit: int = LIMIT) -> DataFrame:
     """sizes, from sized(), with source_size, target and taken added; taken is how many words the mix takes from the row."""
-    aims = targets(sizes, limit).withColumn("shards", F.least(F.lit(MOST_SHARDS), F.greatest(F.lit(1), F.ceil(F.col("source_size") / shard_words))).cast("long"))
+    aims = targets(sizes, limit).withColumn("shards", F.greatest(F.lit(1), F.least(F.ceil(F.col("source_size") / shard_words), F.ceil(F.sqrt("source_size")))).cast("long"))
     aims = aims.withColumn("blocks", F.round(F.sum("source_size").over(Window.partitionBy()) / block).cast("long"))
     aims = sainte_lague(aims, [], SOURCE, "target", "blocks").withColumnRenamed("quota", "source_quota")
     aims = common.written(aims, "aims")
-    place = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+    place = F.md5(F.concat(F.lit(f"{seed}:"), "name"))
     docs = sizes.join(aims, SOURCE).withColumn("place", place)
     docs = docs.withColumn("shard", F.conv(F.substring("place", 1, 8), 16, 10).cast("long") % F.col("shards"))
     shards = docs.groupBy(*SOURCE, "shard").agg(F.sum("size").alias("shard_size"), F.first("source_quota").alias("source_quota"))
@@ -144,7 +144,7 @@ def op5_sql() -> str:
         return f"(({now}) * {b} + (({after}) - ({now})) * (({x}) % {b}))"
 
     return f"""
-with sizes as (select doc_id, source is null as src_null, coalesce(source, '') as src,
+with sizes as (select doc_id, coalesce(doc_id::varchar, md5(coalesce(text, ''))) as name, source is null as src_null, coalesce(source, '') as src,
     len(regexp_extract_all(coalesce(text, ''), '[^ \\t-\\r]+'))::bigint as size from documents),
 by_source as (select src_null, src, sum(size)::bigint as source_size from sizes group by all),
 weighed as (select *, ([{", ".join(map(str, WEIGHTS))}])[((row_number() over (order by src_null, src) - 1) % {len(WEIGHTS)} + 1)::int] as weight, {LIMIT} * source_size as cap from by_source),
@@ -155,9 +155,9 @@ filled as (select *, row_number() over f as k,
 levels as (select *, left_over::double / w::double as lv from filled),
 level as (select arg_min(lv, k) as level from levels where lv * weight <= cap),
 aims0 as (select src_null, src, source_size, least(cap::double, level * weight) as target,
-    least({MOST_SHARDS}, greatest(1, ceil(source_size / {SHARD_WORDS})))::bigint as shards, round(sum(source_size) over () / {b})::bigint as blocks from levels, level),
+    greatest(1, least(ceil(source_size / {SHARD_WORDS}), ceil(sqrt(source_size))))::bigint as shards, round(sum(source_size) over () / {b})::bigint as blocks from levels, level),
 {_apportion("aims", "aims0", "", "src_null, src", "target", "blocks")},
-docs as (select s.*, a.source_size, a.target, a.shards, a.quota as source_quota, md5('{SEED}:' || coalesce(s.doc_id::varchar, '')) as place from sizes s join aims a using (src_null, src)),
+docs as (select s.*, a.source_size, a.target, a.shards, a.quota as source_quota, md5('{SEED}:' || s.name) as place from sizes s join aims a using (src_null, src)),
 placed as (select *, ('0x' || place[1:8])::bigint % shards as shard from docs),
 shards0 as (select src_null, src, shard, sum(size)::bigint as shard_size, first(source_quota)::bigint as source_quota from placed group by all),
 {_apportion("quotas", "shards0", "src_null, src", "shard", "shard_size", "source_quota")},

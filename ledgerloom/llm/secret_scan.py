@@ -89,12 +89,11 @@ def redact(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
 
 def redacted(versions: DataFrame, text_col: str = "text", mark: str = "[SECRET]") -> DataFrame:
     """The rows with every finding in their text replaced by a mark; null texts stay null."""
-    blobs = versions.withColumn("_sha", F.sha2(common.text_or_empty(F.col(text_col)), 256))
+    blobs = versions.select(F.struct("*").alias("row"), F.col(text_col).alias("text"), F.sha2(common.text_or_empty(F.col(text_col)), 256).alias("sha"))
     _, found = scan(versions, [], text_col=text_col)
-    hits = found.where(F.size("spans") > 0).select(F.col("sha").alias("_sha"), F.col("spans").alias("_spans"))
-    joined = blobs.join(hits, "_sha", "left")
-    text = F.when(F.col("_spans").isNotNull(), redact(F.col(text_col), F.col("_spans"), mark)).otherwise(F.col(text_col))
-    return joined.withColumn(text_col, text).select(*versions.columns)
+    both = blobs.join(found.where(F.size("spans") > 0).select("sha", "spans"), "sha", "left")
+    text = F.when(F.col("spans").isNotNull(), redact(F.col("text"), F.col("spans"), mark)).otherwise(F.col("text"))
+    return both.select(*[text.alias(c) if c == text_col else F.col("row")[c].alias(c) for c in versions.columns])
 
 
 def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
