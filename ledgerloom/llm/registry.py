@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerloom.llm import embeddings, licenses, lm, minhash, mixing, packing, quality, secret_scan, substrings, toxicity
+from ledgerloom.llm import embeddings, licenses, lm, minhash, mixing, packing, quality, secret_scan, substrings, toxicity, whitening
 
 
 def queries() -> dict:
@@ -17,6 +17,7 @@ def queries() -> dict:
         "op8_toxicity": toxicity.op8_toxicity,
         "op9_minhash_near_dedup": minhash.op9_minhash_near_dedup,
         "op10_substring_dedup": substrings.op10_substring_dedup,
+        "op11_embedding_whitening": whitening.op11_embedding_whitening,
     }
 
 
