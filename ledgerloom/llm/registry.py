@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerloom.llm import embeddings, licenses, lm, minhash, mixing, packing, quality, secret_scan, substrings, toxicity, whitening
+from ledgerloom.llm import divergence, embeddings, licenses, lm, minhash, mixing, packing, quality, secret_scan, substrings, toxicity, whitening
 
 
 def queries() -> dict:
@@ -18,8 +18,9 @@ def queries() -> dict:
         "op9_minhash_near_dedup": minhash.op9_minhash_near_dedup,
         "op10_substring_dedup": substrings.op10_substring_dedup,
         "op11_embedding_whitening": whitening.op11_embedding_whitening,
+        "op12_source_divergence": divergence.op12_source_divergence,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_license_scans": licenses.op2_sql(), "op5_source_mix": mixing.op5_sql()}
+    return {"op2_license_scans": licenses.op2_sql(), "op5_source_mix": mixing.op5_sql(), "op12_source_divergence": divergence.op12_sql()}
