@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerloom.llm import divergence, embeddings, licenses, lm, minhash, mixing, packing, quality, secret_scan, substrings, toxicity, whitening
+from ledgerloom.llm import chat, divergence, embeddings, licenses, lm, minhash, mixing, packing, quality, secret_scan, substrings, toxicity, whitening
 
 
 def queries() -> dict:
@@ -19,8 +19,9 @@ def queries() -> dict:
         "op10_substring_dedup": substrings.op10_substring_dedup,
         "op11_embedding_whitening": whitening.op11_embedding_whitening,
         "op12_source_divergence": divergence.op12_source_divergence,
+        "op13_chat_formatting": chat.op13_chat_formatting,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_license_scans": licenses.op2_sql(), "op5_source_mix": mixing.op5_sql(), "op12_source_divergence": divergence.op12_sql()}
+    return {"op2_license_scans": licenses.op2_sql(), "op5_source_mix": mixing.op5_sql(), "op12_source_divergence": divergence.op12_sql(), "op13_chat_formatting": chat.op13_sql()}
