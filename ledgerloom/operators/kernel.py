@@ -94,14 +94,16 @@ def actions(df: DataFrame) -> DataFrame:
 
 def aggregate(df: DataFrame, keys: list[str]) -> DataFrame:
     """exact sums and distinct counts by keys, the kernel again, then scores as means of the rows' scores."""
-    product = F.when(F.col("public_product_id") != NON_PRODUCT, F.col("public_product_id"))
     mean = lambda c: F.try_divide(F.sum(F.col(c).cast("decimal(10,1)")).cast("double"), F.count(c))
     sums = [F.sum(c).alias(c) for c in ("gross", "units", "fee", "refund", "promo", "net", "profit")]
-    got = df.groupBy(*keys).agg(
-        *sums, F.count_distinct(product).alias("product_count"),
-        F.count_distinct(F.when(F.col("transaction_type_group") == "Order", F.col("order_id"))).alias("order_count"),
-        mean("margin_risk_score").alias("_risk"), mean("revenue_quality_score").alias("_quality"),
-    )
+    got = df.groupBy(*keys).agg(*sums, mean("margin_risk_score").alias("_risk"), mean("revenue_quality_score").alias("_quality"))
+    # distinct counts apart: beside the sums in one aggregate they would carry every row three times through the shuffle
+    counted = {"product_count": (F.col("public_product_id") != NON_PRODUCT, "public_product_id"), "order_count": (F.col("transaction_type_group") == "Order", "order_id")}
+    for name, (test, column) in counted.items():
+        own = df.where(test & F.col(column).isNotNull()).select(*keys, F.col(column).alias("_what")).distinct().groupBy(*keys).agg(F.count("*").alias(name))
+        got = got.unionByName(own, allowMissingColumns=True)
+    figures = [c for c in got.columns if c not in keys]
+    got = got.groupBy(*keys).agg(*[(F.coalesce(F.max(c), F.lit(0)) if c in counted else F.max(c)).alias(c) for c in figures])
     # the kernel reads the groups twice, for their largest values and for themselves: the rows below are read once
     got = staged(got, "groups")
     orders = got.agg(F.max("order_count").alias("_o"))

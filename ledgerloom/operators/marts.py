@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import kernel, master
 from ledgerloom.operators.master import NON_PRODUCT
 from ledgerloom.sources import tables
-from ledgerloom.sources.staging import staged
+from ledgerloom.sources.staging import cached
 
 # The names and the order of the published columns.
 RATIOS = {f"{c}_pct_of_gross": f"avg_{c}_pct_of_gross" for c in ("fee", "refund", "promotion")} | {"net_to_gross_pct": "avg_net_to_gross_pct"}
@@ -20,17 +18,15 @@ ACTION = ["recommended_action", "action_priority", "action_reason"]
 SCORES = ["margin_risk_score", "revenue_quality_score"]
 
 
-@lru_cache(maxsize=4)
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The matched lines, staged once for a session and folder: every mart reads of them the columns that it needs."""
-    return staged(_lines(spark, sf_dir), "lines")
+    """The matched lines, staged until an input changes: every mart reads of them the columns that it needs."""
+    return cached(spark, sf_dir, "lines", tables.INPUTS, lambda: _lines(spark, sf_dir))
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return master.matched(master.amounts(tables.transactions(spark, sf_dir)), tables.product_master(spark, sf_dir))
 
 
-@lru_cache(maxsize=4)
 def rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The row-level frame: lines with metrics and actions."""
     return kernel.actions(kernel.metrics(lines(spark, sf_dir)))
@@ -62,10 +58,9 @@ def product_performance(df: DataFrame) -> DataFrame:
     return kernel.actions(kernel.aggregate(products(df), PRODUCT_KEYS)).select(*PRODUCT_KEYS, *PRODUCT_METRICS, *ACTION)
 
 
-@lru_cache(maxsize=4)
 def product_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The product mart, staged once for a session and folder, as most pages and reports read it."""
-    return staged(product_performance(rows(spark, sf_dir)), "product_performance")
+    """The product mart, staged until an input changes, as most pages and reports read it."""
+    return cached(spark, sf_dir, "product_performance", tables.INPUTS, lambda: product_performance(rows(spark, sf_dir)))
 
 
 def grouped(df: DataFrame, keys: list[str], extra: list[str]) -> DataFrame:

@@ -15,4 +15,4 @@ def numbered(df: DataFrame, order: list[str], key: str) -> DataFrame:
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     base = dealt.groupBy("_range").agg(F.count("*").alias("_n")).select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
     own = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
-    return dealt.join(F.broadcast(base), "_range").withColumn(key, (F.col("_base") + own).cast("int")).drop("_range", "_base")
+    return dealt.join(F.broadcast(base), "_range").withColumn(key, F.col("_base") + own).drop("_range", "_base")

@@ -6,7 +6,7 @@ handful of distinct values, sorted in one task.
 
 from __future__ import annotations
 
-from functools import lru_cache
+from collections.abc import Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ledgerloom.operators import checks, marts, variance
 from ledgerloom.operators.numbering import numbered
 from ledgerloom.sources import tables
-from ledgerloom.sources.staging import staged
+from ledgerloom.sources.staging import cached
 
 # Attributes of products, columns that none of the tables may have, labels of periods, sources of facts.
 ATTRIBUTES = ["brand_group", "category_group", "subcategory_group", "product_group", "listing_price_band", "inventory_band", "margin_band_public", "profitability_band_public"]
@@ -121,6 +121,23 @@ def fact_variance(drivers: DataFrame, months: DataFrame, markets: DataFrame) ->
     return _fact(rows, ["marketplace_key", "metric"], ["previous_month_key", "current_month_key", *DRIVERS])
 
 
+def view(tables: Mapping[str, DataFrame], fact: str, columns: list[str], how: str = "inner") -> DataFrame:
+    """A fact with attributes of its dimensions. A column is the fact's own, or 'key.attribute', with a name
+    after 'as' if it needs another; the key says which dimension, and the same dimension may come by several keys."""
+    rows, out = tables[fact], []
+    wanted: dict[str, list[str]] = {}
+    for c in columns:
+        source, _, name = c.partition(" as ")
+        key, _, attribute = source.rpartition(".")
+        if key:
+            wanted.setdefault(key, []).append(attribute)
+        out.append(F.col(f"_{key}_{attribute}" if key else source).alias(name or attribute))
+    for _, key, dim, member in (x for x in FOREIGN_KEYS if x[0] == fact and x[1] in wanted):
+        own = tables[dim].select(F.col(member).alias(key), *[F.col(a).alias(f"_{key}_{a}") for a in wanted[key]])
+        rows = rows.join(own, key, how)
+    return rows.select(*out)
+
+
 def profile(outputs: dict[str, DataFrame], period: str) -> DataFrame:
     """a row per output with its row count."""
     got = None
@@ -130,38 +147,68 @@ def profile(outputs: dict[str, DataFrame], period: str) -> DataFrame:
     return got
 
 
-@lru_cache(maxsize=4)
-def load(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """All marts and tables of the star, written once for a session and folder; the constraints hold, else it raises."""
-    rows = marts.rows(spark, sf_dir)
-    keep = lambda name, df: staged(df, name)
-    product = marts.product_mart(spark, sf_dir)
-    matrix = keep("matrix", variance.marketplace_matrix(rows))
-    compared = keep("drivers", variance.compare(matrix, variance.periods(matrix), ["marketplace"]))
-    out = {
-        "marketplace_summary": keep("marketplace_summary", marts.marketplace_summary(rows)), "marketplace_channel_performance": keep("channel", marts.channel_performance(rows)), "product_performance": product,
-        "category_performance": keep("category", marts.category_performance(rows)), "brand_performance": keep("brand", marts.brand_performance(rows)), "fulfillment_comparison": keep("fulfillment", marts.fulfillment_comparison(rows)),
-        "profitability_summary": keep("profitability", marts.profitability_summary(rows)), "fee_refund_summary": marts.fee_refund_summary(product), "margin_risk_review": marts.margin_risk_review(product),
-        "inventory_action_review": keep("inventory", marts.inventory_action_review(rows, product)), "product_action_review": product,
-        "mart_marketplace_variance_drivers": compared, "mart_performance_driver_summary": keep("summary", variance.driver_summary(compared)),
-    }
-    period = "12m"
-    out["dataset_profile"] = keep("profile", profile(out, period)).drop("audit_key")
-    out["validation_summary"] = keep("validation", checks.validation_summary(marts.lines(spark, sf_dir), tables.product_master(spark, sf_dir), product))
-    products, markets = keep("dim_product", dim_product(product)), keep("dim_marketplace", dim_marketplace(out["marketplace_summary"], product, out["inventory_action_review"], compared))
-    months = keep("dim_month", dim_month(out["marketplace_summary"]))
-    out |= {
-        "dim_product": products, "dim_marketplace": markets, "dim_month": months, "dim_fulfillment": keep("dim_fulfillment", dimension(product, "fulfillment_type", "fulfillment_key")),
-        "fact_marketplace_activity": keep("fact_marketplace", fact_marketplace(out["marketplace_summary"], months, markets)), "fact_product_performance": keep("fact_product", fact_product(product, products, markets, period)),
-        "fact_inventory_action": keep("fact_inventory", fact_inventory(out["inventory_action_review"], products, markets)), "fact_performance_variance": keep("fact_variance", fact_variance(compared, months, markets)),
-        "audit_validation": out["validation_summary"], "audit_dataset_profile": keep("profile", profile({k: v for k, v in out.items() if k not in ("dataset_profile", "validation_summary")}, period)),
-    }
-    assert_unique(out)
-    assert_foreign_keys(out)
-    return out
-
-
-def duplicates(star: dict[str, DataFrame]) -> DataFrame:
+class Star(Mapping):
+    """The marts, dimensions, facts and audits of a folder by name. Each is built, and staged until an input changes,
+    when it is first asked for, with no more than it needs: a month's calendar reads no product."""
+
+    PERIOD = "12m"
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name in PLAIN:
+            return PLAIN[name](self)
+        return cached(self.spark, self.sf_dir, name, tables.INPUTS, lambda: BUILT[name](self))
+
+    def __iter__(self) -> Iterator[str]:
+        return iter([*PLAIN, *BUILT])
+
+    def __len__(self) -> int:
+        return len(PLAIN) + len(BUILT)
+
+    @property
+    def rows(self) -> DataFrame:
+        return marts.rows(self.spark, self.sf_dir)
+
+    def outputs(self) -> dict[str, DataFrame]:
+        return {name: self[name] for name in OUTPUTS}
+
+
+# The profiled outputs in order.
+OUTPUTS = (
+    "marketplace_summary", "marketplace_channel_performance", "product_performance", "category_performance", "brand_performance", "fulfillment_comparison", "profitability_summary",
+    "fee_refund_summary", "margin_risk_review", "inventory_action_review", "product_action_review", "mart_marketplace_variance_drivers", "mart_performance_driver_summary",
+)
+#: Tables that are no more than another name or a projection of a staged one.
+PLAIN = {
+    "product_performance": lambda s: marts.product_mart(s.spark, s.sf_dir), "product_action_review": lambda s: s["product_performance"], "fee_refund_summary": lambda s: marts.fee_refund_summary(s["product_performance"]),
+    "margin_risk_review": lambda s: marts.margin_risk_review(s["product_performance"]), "dataset_profile": lambda s: s["audit_dataset_profile"].drop("audit_key"), "validation_summary": lambda s: s["audit_validation"],
+}
+BUILT = {
+    "matrix": lambda s: variance.marketplace_matrix(s.rows),
+    "mart_marketplace_variance_drivers": lambda s: variance.compare(s["matrix"], variance.periods(s["matrix"]), ["marketplace"]),
+    "mart_performance_driver_summary": lambda s: variance.driver_summary(s["mart_marketplace_variance_drivers"]),
+    "marketplace_summary": lambda s: marts.marketplace_summary(s.rows), "marketplace_channel_performance": lambda s: marts.channel_performance(s.rows),
+    "category_performance": lambda s: marts.category_performance(s.rows), "brand_performance": lambda s: marts.brand_performance(s.rows), "fulfillment_comparison": lambda s: marts.fulfillment_comparison(s.rows),
+    "profitability_summary": lambda s: marts.profitability_summary(s.rows), "inventory_action_review": lambda s: marts.inventory_action_review(s.rows, s["product_performance"]),
+    "audit_dataset_profile": lambda s: profile(s.outputs(), s.PERIOD),
+    "audit_validation": lambda s: checks.validation_summary(marts.lines(s.spark, s.sf_dir), tables.product_master(s.spark, s.sf_dir), s["product_performance"]),
+    "dim_product": lambda s: dim_product(s["product_performance"]),
+    "dim_marketplace": lambda s: dim_marketplace(s["marketplace_summary"], s["product_performance"], s["inventory_action_review"], s["mart_marketplace_variance_drivers"]),
+    "dim_month": lambda s: dim_month(s["marketplace_summary"]), "dim_fulfillment": lambda s: dimension(s["product_performance"], "fulfillment_type", "fulfillment_key"),
+    "fact_marketplace_activity": lambda s: fact_marketplace(s["marketplace_summary"], s["dim_month"], s["dim_marketplace"]),
+    "fact_product_performance": lambda s: fact_product(s["product_performance"], s["dim_product"], s["dim_marketplace"], s.PERIOD),
+    "fact_inventory_action": lambda s: fact_inventory(s["inventory_action_review"], s["dim_product"], s["dim_marketplace"]),
+    "fact_performance_variance": lambda s: fact_variance(s["mart_marketplace_variance_drivers"], s["dim_month"], s["dim_marketplace"]),
+}
+
+
+def load(spark: SparkSession, sf_dir: str) -> Star:
+    return Star(spark, sf_dir)
+
+
+def duplicates(star: Mapping[str, DataFrame]) -> DataFrame:
     """Natural keys that occur more than once, a row per dimension."""
     got = None
     for name, keys in NATURAL_KEYS:
@@ -170,7 +217,7 @@ def duplicates(star: dict[str, DataFrame]) -> DataFrame:
     return got
 
 
-def orphans(star: dict[str, DataFrame]) -> DataFrame:
+def orphans(star: Mapping[str, DataFrame]) -> DataFrame:
     """Fact rows whose key no member has, a row per relation."""
     got = None
     for fact, key, dim, member in FOREIGN_KEYS:
@@ -180,19 +227,19 @@ def orphans(star: dict[str, DataFrame]) -> DataFrame:
     return got
 
 
-def assert_unique(star: dict[str, DataFrame]) -> None:
+def assert_unique(star: Mapping[str, DataFrame]) -> None:
     bad = [r.dimension for r in duplicates(star).where("duplicates > 0").collect()]  # at most one row per dimension
     if bad:
         raise ValueError(f"natural keys are not unique in {bad}")
 
 
-def assert_foreign_keys(star: dict[str, DataFrame]) -> None:
+def assert_foreign_keys(star: Mapping[str, DataFrame]) -> None:
     bad = [(r.fact, r.fact_column) for r in orphans(star).where("orphans > 0").collect()]  # at most one row per relation
     if bad:
         raise ValueError(f"keys that no member has in {bad}")
 
 
-def reconciliation(star: dict[str, DataFrame]) -> DataFrame:
+def reconciliation(star: Mapping[str, DataFrame]) -> DataFrame:
     """Rows of each source and of the table loaded from it."""
     got = None
     for source, target in LOADS:
@@ -202,7 +249,7 @@ def reconciliation(star: dict[str, DataFrame]) -> DataFrame:
     return got.withColumn("difference", F.col("source_rows") - F.col("target_rows")).withColumn("status", F.when(F.col("difference") == 0, "OK").otherwise("MISMATCH"))
 
 
-def forbidden_columns(star: dict[str, DataFrame]) -> DataFrame:
+def forbidden_columns(star: Mapping[str, DataFrame]) -> DataFrame:
     """Columns of dimensions and facts that must not be there."""
     found = [(t, c) for t, df in star.items() if t.startswith(("dim_", "fact_")) for c in df.columns if c.lower() in FORBIDDEN]
     return next(iter(star.values())).sparkSession.createDataFrame(found, "table_name string, column_name string")

@@ -134,7 +134,7 @@ ROW_QUERIES = {
 }
 
 
-STAR = {name: Query(reports.run(name), reports.duck(text)) for name, text in reports.REPORTS.items()} | {
+STAR = {name: Query(reports.run(name), reports.duck(text)) for name, text in (reports.REPORTS | {n: t for n, (_, t) in reports.FRAMES.items()}).items()} | {
     "dim_uniqueness": Query(_star(star.duplicates), reports.duck(" union all ".join(f"select '{t}' as dimension, (select count(*) from (select {', '.join(k)} from {t} group by all having count(*) > 1)) as duplicates" for t, k in star.NATURAL_KEYS))),
     "fk_orphans": Query(_star(star.orphans), reports.duck(" union all ".join(f"select '{f}' as fact, '{c}' as fact_column, (select count(*) from {f} where {c} not in (select {k} from {d})) as orphans" for f, c, d, k in star.FOREIGN_KEYS))),
     "reconciliation": Query(_star(star.reconciliation), reports.duck("select *, source_rows - target_rows as difference, case when source_rows = target_rows then 'OK' else 'MISMATCH' end as status from ("

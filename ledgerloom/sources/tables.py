@@ -2,17 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+#: The tables that the commerce views read.
+INPUTS = ("lineitem", "orders", "customer", "nation", "region", "part")
+
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def with_row_numbers(df: DataFrame, name: str = "row_number") -> DataFrame:
+    """Adds each row's place, from 0, in the Parquet files that `df` is read from, one file after the other by path. The place
+    in a file comes from the reader, so it is the same whatever the splits; only one count per file meets in one task."""
+    placed = df.withColumns({"_file": F.col("_metadata.file_path"), "_index": F.col("_metadata.row_index")})
+    sizes = df.select(F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_index")).groupBy("_file").agg((F.max("_index") + 1).alias("_n"))
+    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    base = sizes.select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
+    return placed.join(F.broadcast(base), "_file").withColumn(name, F.col("_base") + F.col("_index")).drop("_file", "_index", "_base")
+
+
+def transactions(spark: SparkSession, sf_dir: str, numbered: bool = False) -> DataFrame:
     """Raw settlement lines: one per line item. Nation and region are of fixed size, so they are broadcast."""
     line, orders, customer = (read(spark, sf_dir, t) for t in ("lineitem", "orders", "customer"))
+    line, extra = (with_row_numbers(line), ["row_number"]) if numbered else (line, [])
     place = read(spark, sf_dir, "nation").join(F.broadcast(read(spark, sf_dir, "region")), F.col("n_regionkey") == F.col("r_regionkey"))
     rows = line.join(orders, line.l_orderkey == orders.o_orderkey).join(customer, F.col("o_custkey") == F.col("c_custkey")).join(F.broadcast(place), F.col("c_nationkey") == F.col("n_nationkey"))
     return rows.selectExpr(
@@ -23,13 +37,13 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         "get(array('amazon.in', 'Flipkart', 'MEESHO', 'Jio Mart', 'shopify'), r_regionkey) as marketplace",
         "case l_linestatus when 'F' then 'Amazon' else 'Merchant' end as fulfillment", "n_name as order_state",
         "cast(l_quantity as decimal(18,2)) as quantity", "cast(l_extendedprice as decimal(18,2)) as price",
-        "cast(l_discount as decimal(6,4)) as discount", "cast(l_tax as decimal(6,4)) as tax", "l_linestatus",
+        "cast(l_discount as decimal(6,4)) as discount", "cast(l_tax as decimal(6,4)) as tax", "l_linestatus", *extra,
     ).selectExpr(
         "sku", "type", "order_id", "transaction_month", "marketplace", "fulfillment", "order_state", "quantity",
         "cast(case type when 'Order' then price when 'Refund' then -price else 0 end as decimal(18,2)) as product_sales",
         "cast(case type when 'Order' then -price * discount else 0 end as decimal(18,4)) as promotional_rebates",
         "cast(-price * 3 * tax as decimal(18,4)) as selling_fees",
-        "cast(case l_linestatus when 'F' then -price * cast(0.05 as decimal(6,4)) else 0 end as decimal(18,4)) as fba_fees",
+        "cast(case l_linestatus when 'F' then -price * cast(0.05 as decimal(6,4)) else 0 end as decimal(18,4)) as fba_fees", *extra,
     ).withColumn("total", F.expr("cast(product_sales + promotional_rebates + selling_fees + fba_fees as decimal(18,4))"))
 
 
