@@ -26,6 +26,8 @@ RULES = (
 )
 #: A text without a match of these has no finding of any kind.
 TRIGGER = r"""(?i:passw|secret|token|api_?key)|AKIA|[0-9a-f]{16}|-----BEGIN|eyJ|gh[pousr]_"""
+#: Matches whose positions are summed up at once.
+BLOCK = 256
 
 
 def spans_of(text: Column, rank: int) -> Column:
@@ -38,12 +40,22 @@ def spans_of(text: Column, rank: int) -> Column:
     sized = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else hits
     steps = F.zip_with(F.zip_with(F.slice(gaps, 1, F.size(hits)), hits, lambda g, h: F.struct(F.length(g).alias("g"), F.length(h).alias("h"))), sized, lambda p, v: F.struct(p.g.alias("g"), p.h.alias("h"), (F.length(v) >= least).alias("ok")))
     empty = F.array().cast("array<struct<start:int,rank:int,end:int,kind:string>>")
+    n = F.size(steps)
+    blocks = F.transform(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0)), F.lit(BLOCK)), lambda b: F.slice(steps, b + 1, BLOCK))
 
     def add(acc: Column, x: Column) -> Column:
-        span = F.struct((acc.at + x.g).alias("start"), F.lit(rank).alias("rank"), (acc.at + x.g + x.h).alias("end"), F.lit(kind).alias("kind"))
+        span = F.struct((acc.at + x.g).alias("start"), (acc.at + x.g + x.h).alias("end"))
         return F.struct((acc.at + x.g + x.h).alias("at"), F.when(x.ok, F.concat(acc.spans, F.array(span))).otherwise(acc.spans).alias("spans"))
 
-    found = F.aggregate(steps, F.struct(F.lit(0).alias("at"), empty.alias("spans")), add).spans
+    def chain(acc: Column, b: Column) -> Column:
+        return F.struct((acc.at + b.at).alias("at"), F.concat(acc.parts, F.array(F.struct(acc.at.alias("base"), b.spans.alias("spans")))).alias("parts"))
+
+    # an accumulator is copied with each step: blocks keep the steps short, and there are few blocks
+    inside = "array<struct<start:int,end:int>>"
+    own = F.transform(blocks, lambda b: F.aggregate(b, F.struct(F.lit(0).alias("at"), F.array().cast(inside).alias("spans")), add))
+    parts = F.aggregate(own, F.struct(F.lit(0).alias("at"), F.array().cast(f"array<struct<base:int,spans:{inside}>>").alias("parts")), chain).parts
+    shifted = lambda p: F.transform(p.spans, lambda x: F.struct((p.base + x.start).alias("start"), F.lit(rank).alias("rank"), (p.base + x.end).alias("end"), F.lit(kind).alias("kind")))
+    found = F.flatten(F.transform(parts, shifted))
     return F.when(text.rlike(pattern), found).otherwise(empty)
 
 
