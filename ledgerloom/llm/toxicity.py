@@ -6,7 +6,8 @@ over each whole document (by products of 2 x 2 matrices, so that long documents
 marginals make the document's score, and the words over one half are its offending spans.
 
 The model is fitted on a bounded sample: the first labelled documents of each label in seeded order, long ones too, as far
-as SAMPLE_ROWS documents or SAMPLE_BYTES bytes; of documents that share an id, the least text. Everything else covers all rows and whole texts. Inputs of a score: the text alone.
+as SAMPLE_ROWS documents or SAMPLE_BYTES bytes; of documents that share an id, the
+least text; texts over a LARGE_PART-th of the bytes and ids with two labels are left out. Everything else covers all rows and whole texts. Inputs of a score: the text alone.
 
 Edge cases: null and blank texts get the score of a document without marginals; without labelled rows of both labels the
 score is 0 for all; a document whose id is null is scored too; equal rows get equal scores. Other columns are not read.
@@ -25,6 +26,7 @@ from ledgerloom.llm import common
 
 common.shipped(__name__)
 SAMPLE_ROWS = 1500
+LARGE_PART = 16
 SAMPLE_BYTES = 8_000_000
 VOCABULARY = 40_000
 ROUNDS = 60
@@ -251,16 +253,17 @@ def held_out(id_col: Column) -> Column:
 
 
 def learn(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, size: int = SAMPLE_BYTES) -> Field | None:
-    """Fits on the bounded sample of labelled rows outside the held-out fold."""
+    """Fits on the bounded sample of labelled rows outside the held-out fold. Ids with two labels, and texts beyond a
+    LARGE_PART-th of the bytes, have no part in it."""
     known = labels.select("doc_id", "toxic").where("toxic in (0, 1) and doc_id is not null").where(~held_out(F.col("doc_id")))
-    known = known.dropDuplicates(["doc_id"]).withColumn("place", F.xxhash64("doc_id"))
+    known = known.groupBy("doc_id").agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("_most")).where("toxic = _most").drop("_most").withColumn("place", F.xxhash64("doc_id"))
     pick = None
     for label in (0, 1):  # some more than needed, as some documents are missing
         some = known.where(F.col("toxic") == label).orderBy("place", "doc_id").limit(2 * rows)
         pick = some if pick is None else pick.unionByName(some)
     # at most 4 * rows ids are broadcast, and as many texts meet in the two groups of the window
     some = documents.select("doc_id", "text").where("text is not null").join(F.broadcast(pick), "doc_id")
-    some = some.groupBy("toxic", "place", "doc_id").agg(F.min("text").alias("text"))
+    some = some.groupBy("toxic", "place", "doc_id").agg(F.min("text").alias("text")).where(F.octet_length("text") <= size // LARGE_PART)
     order = Window.partitionBy("toxic").orderBy("place", "doc_id")
     some = some.withColumns({"k": F.row_number().over(order), "sofar": F.sum(F.octet_length("text")).over(order)})
     sample = some.where((F.col("k") <= rows) & (F.col("sofar") <= size)).orderBy("toxic", "k").select("text", "toxic").collect()
