@@ -24,7 +24,9 @@ def test_scores_with_a_very_long_word(spark):
 
 
 def test_toxicity_learns_beside_one_large_text(spark):
-    rows = [(i, ("you stupid horrible person " if i % 2 else "what a fine and sunny day ") * 3) for i in range(1, 60)]
+    rng = np.random.default_rng(2)
+    plain = lambda n: [f"plain{k}" for k in rng.integers(0, 30, n)]
+    rows = [(i, " ".join(x for w in plain(5) for x in ([w, "stupid"] if i % 2 else [w]))) for i in range(1, 60)]
     docs = spark.createDataFrame([*rows, (1000, "bad " * 20_000), (1001, "fine")], "doc_id long, text string")
     labels = spark.createDataFrame([(i, i % 2) for i, _ in rows] + [(1000, 1), (1000, 0), (1001, 0), (1001, 1)], "doc_id long, toxic int")
     field = toxicity.learn(docs, labels.unionByName(spark.createDataFrame([(1002, 1)], "doc_id long, toxic int")), size=9_000)
