@@ -38,6 +38,37 @@ def money(c: Column) -> Column:
     return F.when(t.rlike(r"^\(.*\)$"), -F.abs(number)).otherwise(number)
 
 
+# The formats of dates, tried in order.
+DATE_FORMATS = ("d MMM yyyy h:mm:ss a 'UTC'", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ssX", "yyyy-MM-dd", "d MMM yyyy", "MMM d, yyyy", "MM/dd/yyyy")
+
+
+def timestamp(c: Column) -> Column:
+    """The first format that fits the trimmed text, in the session's time zone; null where none does."""
+    t = F.trim(c)
+    return F.coalesce(*[F.try_to_timestamp(t, F.lit(f)) for f in DATE_FORMATS])
+
+
+def unparsed(c: Column) -> Column:
+    """Whether a text is there that is no date."""
+    return F.coalesce(F.trim(c) != "", F.lit(False)) & timestamp(c).isNull()
+
+
+def month(c: Column) -> Column:
+    """D04."""
+    return F.coalesce(F.date_format(timestamp(c), "yyyy-MM"), F.lit("Unknown"))
+
+
+def open_date(c: Column) -> Column:
+    """A trailing time zone name goes; the day as text."""
+    return F.date_format(timestamp(F.regexp_replace(clean(c), r"\s+IST$", "")), "yyyy-MM-dd")
+
+
+def period_of_counts(rows: Column, orders: Column) -> Column:
+    """The period that so many rows or orders stand for."""
+    most = F.greatest(F.coalesce(rows, F.lit(0)), F.coalesce(orders, F.lit(0)))
+    return F.when(most >= 100_000, "12m").when(most >= 60_000, "6m").when(most >= 30_000, "3m").when(most >= 10_000, "1m").otherwise("custom_upload")
+
+
 def title(c: Column) -> Column:
     """Capital after every character that is no letter."""
     return F.array_join(F.transform(F.regexp_extract_all(F.lower(c), F.lit(r"([\p{L}]+|[^\p{L}]+)")), F.initcap), "")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerloom.functions import text
+from ledgerloom.functions.columns import words
 from ledgerloom.operators import kernel, master
 from ledgerloom.operators.master import NON_PRODUCT
 from ledgerloom.sources import tables
@@ -24,7 +26,8 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return master.matched(master.amounts(tables.transactions(spark, sf_dir)), tables.product_master(spark, sf_dir))
+    found = master.matched(master.amounts(tables.transactions(spark, sf_dir)), tables.product_master(spark, sf_dir))
+    return public_context(found, "12m")
 
 
 def rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,6 +35,39 @@ def rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kernel.actions(kernel.metrics(lines(spark, sf_dir)))
 
 
+# The columns of the published rows, where their context comes from and what stands in for it.
+PUBLIC = (
+    "transaction_month", "dataset_period", "marketplace", "channel", "public_product_id", "brand_group", "category_group", "subcategory_group", "product_group", "fulfillment_type", "state_group",
+    "origin_country_group", "imported_flag", "listing_price_band", "inventory_band", "margin_band_public", "channel_margin_band_public", "profitability_band_public", "transaction_type_group", "sales_index",
+    "units_index", "fee_pct_of_gross", "refund_pct_of_gross", "promotion_pct_of_gross", "net_to_gross_pct", "margin_index", "estimated_profitability_index", "margin_risk_score", "margin_risk_band",
+    "revenue_quality_score", "revenue_quality_band", "recommended_action", "action_priority", "action_reason", "mapping_status",
+)
+GROUPED = {
+    "marketplace": (["marketplace"], "Unknown"), "channel": (["channel"], "Marketplace"), "brand_group": (["brand_group", "brand"], "Unmapped"), "category_group": (["category_group", "category"], "Unmapped"),
+    "subcategory_group": (["subcategory_group", "subcategory"], "Unmapped"), "product_group": (["product_group"], "Unmapped Product"), "fulfillment_type": (["fulfillment_type", "fulfillment_channel"], "Unknown"),
+    "state_group": (["state_group"], "Unknown"), "imported_flag": (["imported_flag"], "Unknown"),
+}
+PLAIN = {
+    "transaction_month": (["transaction_month"], "Unknown"), "public_product_id": (["public_product_id"], NON_PRODUCT), "listing_price_band": (["listing_price_band", "channel_price_band_public"], "Unknown"),
+    "inventory_band": (["inventory_band"], "Unknown"), "margin_band_public": (["margin_band_public"], "Unknown"), "channel_margin_band_public": (["channel_margin_band_public", "margin_band_public_channel", "margin_band_public"], "Unknown"),
+    "profitability_band_public": (["profitability_band_public", "profitability_band_public_channel"], "Unknown"), "transaction_type_group": (["transaction_type_group"], "Other"), "mapping_status": (["mapping_status"], "Unmatched"),
+    "restock_priority": (["restock_priority"], "Monitor"),
+}
+
+
+def public_context(df: DataFrame, period: str = "custom") -> DataFrame:
+    """The columns of context by the first existing name, with a default, white space collapsed where values are groups."""
+    found = {c: words(df, names, default) for c, (names, default) in (PLAIN | {"dataset_period": (["dataset_period"], period)}).items()}
+    found |= {c: text.group_value(words(df, names, default), default) for c, (names, default) in GROUPED.items()}
+    found["origin_country_group"] = text.origin(words(df, ["origin_country_group", "origin_country"], "Unknown"))
+    return df.withColumns(found)
+
+
+def anonymized_master(df: DataFrame) -> DataFrame:
+    """The published columns of the row-level frame; those that it lacks are null."""
+    return df.select(*[F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in PUBLIC])
+
+
 def products(df: DataFrame) -> DataFrame:
     return df.where(F.col("public_product_id") != NON_PRODUCT)
 

@@ -19,7 +19,7 @@ from ledgerloom.sources.staging import cached
 # Attributes of products, columns that none of the tables may have, labels of periods, sources of facts.
 ATTRIBUTES = ["brand_group", "category_group", "subcategory_group", "product_group", "listing_price_band", "inventory_band", "margin_band_public", "profitability_band_public"]
 FORBIDDEN = ("asin", "asin1", "seller_sku", "sku", "order_id", "listing_id", "item_name", "item_description", "order_postal")
-LABELS = {"1m": "1M / 10K Orders", "3m": "3M / 30K Orders", "6m": "6M / 60K Orders", "12m": "12M / 120K Orders", "custom": "Custom Upload", "custom_upload": "Custom Upload"}
+LABELS = checks.PERIOD_LABELS
 MONTHS = ("January", "February", "March", "April", "May", "June", "July", "August", "September", "October", "November", "December")
 ACTIVITY = ["total_orders", "product_count", "sales_index", "units_index", "avg_fee_pct_of_gross", "avg_refund_pct_of_gross", "avg_promotion_pct_of_gross", "avg_net_to_gross_pct", "margin_risk_score", "revenue_quality_score"]
 PERFORMANCE = ["sales_index", "units_index", "fee_pct_of_gross", "refund_pct_of_gross", "promotion_pct_of_gross", "net_to_gross_pct", "margin_index", "estimated_profitability_index", "margin_risk_score", "revenue_quality_score", "recommended_action", "action_priority"]
@@ -177,23 +177,23 @@ class Star(Mapping):
 
 # The profiled outputs in order.
 OUTPUTS = (
-    "marketplace_summary", "marketplace_channel_performance", "product_performance", "category_performance", "brand_performance", "fulfillment_comparison", "profitability_summary",
+    "anonymized_master", "marketplace_summary", "marketplace_channel_performance", "product_performance", "category_performance", "brand_performance", "fulfillment_comparison", "profitability_summary",
     "fee_refund_summary", "margin_risk_review", "inventory_action_review", "product_action_review", "mart_marketplace_variance_drivers", "mart_performance_driver_summary",
 )
 #: Tables that are no more than another name or a projection of a staged one.
 PLAIN = {
-    "product_performance": lambda s: marts.product_mart(s.spark, s.sf_dir), "product_action_review": lambda s: s["product_performance"], "fee_refund_summary": lambda s: marts.fee_refund_summary(s["product_performance"]),
+    "anonymized_master": lambda s: marts.anonymized_master(s.rows), "product_performance": lambda s: marts.product_mart(s.spark, s.sf_dir), "product_action_review": lambda s: s["product_performance"], "fee_refund_summary": lambda s: marts.fee_refund_summary(s["product_performance"]),
     "margin_risk_review": lambda s: marts.margin_risk_review(s["product_performance"]), "dataset_profile": lambda s: s["audit_dataset_profile"].drop("audit_key"), "validation_summary": lambda s: s["audit_validation"],
 }
 BUILT = {
     "matrix": lambda s: variance.marketplace_matrix(s.rows),
     "mart_marketplace_variance_drivers": lambda s: variance.compare(s["matrix"], variance.periods(s["matrix"]), ["marketplace"]),
-    "mart_performance_driver_summary": lambda s: variance.driver_summary(s["mart_marketplace_variance_drivers"]),
+    "mart_performance_driver_summary": lambda s: variance.driver_report(s["matrix"]),
     "marketplace_summary": lambda s: marts.marketplace_summary(s.rows), "marketplace_channel_performance": lambda s: marts.channel_performance(s.rows),
     "category_performance": lambda s: marts.category_performance(s.rows), "brand_performance": lambda s: marts.brand_performance(s.rows), "fulfillment_comparison": lambda s: marts.fulfillment_comparison(s.rows),
     "profitability_summary": lambda s: marts.profitability_summary(s.rows), "inventory_action_review": lambda s: marts.inventory_action_review(s.rows, s["product_performance"]),
     "audit_dataset_profile": lambda s: profile(s.outputs(), s.PERIOD),
-    "audit_validation": lambda s: checks.validation_summary(marts.lines(s.spark, s.sf_dir), tables.product_master(s.spark, s.sf_dir), s["product_performance"]),
+    "audit_validation": lambda s: checks.validation_summary(marts.lines(s.spark, s.sf_dir), tables.product_master(s.spark, s.sf_dir), tables.channels(s.spark, s.sf_dir), s.outputs()),
     "dim_product": lambda s: dim_product(s["product_performance"]),
     "dim_marketplace": lambda s: dim_marketplace(s["marketplace_summary"], s["product_performance"], s["inventory_action_review"], s["mart_marketplace_variance_drivers"]),
     "dim_month": lambda s: dim_month(s["marketplace_summary"]), "dim_fulfillment": lambda s: dimension(s["product_performance"], "fulfillment_type", "fulfillment_key"),

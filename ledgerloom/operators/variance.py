@@ -41,6 +41,7 @@ def movement(metric: Column, change: Column) -> Column:
 def compare(matrix: DataFrame, chosen: DataFrame, dims: list[str]) -> DataFrame:
     """A row per member and metric for the two newest valid periods; absent members count as 0. One pass, no outer join."""
     pair = chosen.agg(F.max(F.when(F.col("place") == 1, F.col("transaction_month"))).alias("current_period"), F.max(F.when(F.col("place") == 2, F.col("transaction_month"))).alias("previous_period"))
+    pair = pair.where("previous_period is not null")  # without two periods the comparison is empty, with its columns
     long = matrix.crossJoin(F.broadcast(pair)).where("transaction_month in (current_period, previous_period)")
     long = long.unpivot([*dims, "transaction_month", "current_period", "previous_period"], list(METRICS), "metric", "value")
     at = lambda c: F.coalesce(F.max(F.when(F.col("transaction_month") == F.col(c), F.col("value"))), F.lit(0.0))
@@ -103,3 +104,34 @@ def excluded_message(months: list[str]) -> str:
     if len(months) == 1:
         return f"{months[0]} was excluded from period comparison because it contains no transaction activity."
     return f"{', '.join(months[:-1])} and {months[-1]} were excluded from period comparison because they contain no transaction activity."
+
+
+def excluded_text(months: Column) -> Column:
+    """K06 for a sorted array of months."""
+    said = F.array_join(F.slice(months, 1, F.greatest(F.size(months) - 1, F.lit(0))), ", ")
+    many = F.concat(said, F.lit(" and "), F.element_at(months, -1), F.lit(" were excluded from period comparison because they contain no transaction activity."))
+    one = F.concat(F.get(months, 0), F.lit(" was excluded from period comparison because it contains no transaction activity."))
+    return F.when(F.size(months) == 0, "").when(F.size(months) == 1, one).otherwise(many)
+
+
+def driver_report(matrix: DataFrame) -> DataFrame:
+    """A row for each headline metric, or one that says why two periods can't be compared. Which of both is decided
+    by the data, inside the plan: the months' activity is one row, joined to the metrics and alone."""
+    chosen = periods(matrix)
+    valid = F.col("valid")
+    one = chosen.agg(F.count_if(valid).alias("n"), F.max(F.when(valid, F.col("transaction_month"))).alias("last"), F.array_sort(F.collect_list(F.when(F.col("excluded"), F.col("transaction_month")))).alias("gone"))  # a few months
+    one = one.withColumns({"excluded_trailing_periods": F.array_join("gone", ", "), "note": excluded_text(F.col("gone"))})
+    found = narrative(driver_summary(compare(matrix, chosen, ["marketplace"])))
+    label = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in LABELS.items() for x in kv]), F.col("metric")), F.col("metric"))
+    found = found.join(F.broadcast(one.where("n >= 2").select("excluded_trailing_periods")), how="cross").select(
+        "metric", label.alias("metric_label"), "previous_period", "current_period", F.col("absolute_variance").alias("total_abs_variance"), F.col("percentage_variance").alias("total_pct_variance"), "movement", "narrative", "excluded_trailing_periods",
+    )
+    # The wordings.
+    single = F.concat(F.lit("Only one transaction month with recorded activity is available ("), F.col("last"), F.lit("); at least two are required for a period-over-period comparison."))
+    none = F.lit("No transaction months with recorded activity are present in this dataset, so no period-over-period comparison is available.")
+    why = F.when(F.col("n") == 1, single).otherwise(none)
+    lone = one.where("n < 2").select(
+        *[F.lit("n/a").alias(c) for c in ("metric", "metric_label", "previous_period", "current_period")], F.lit(None).cast("double").alias("total_abs_variance"), F.lit(None).cast("double").alias("total_pct_variance"),
+        F.lit("Insufficient Periods").alias("movement"), F.concat(why, F.when(F.col("note") != "", F.concat(F.lit(" "), F.col("note"))).otherwise("")).alias("narrative"), "excluded_trailing_periods",
+    )
+    return found.unionByName(lone)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import text
 from ledgerloom.operators import checks, marts, master, star, variance
-from ledgerloom.plans import oracle, reports
+from ledgerloom.plans import operations, oracle, reports
 from ledgerloom.sources import tables
 
 
@@ -110,7 +110,7 @@ def _privacy(spark: SparkSession, sf_dir: str) -> DataFrame:
 SHAPES = {"asin_like_values": r"\b[Bb]0[A-Za-z0-9]{8}\b", "order_id_like_values": r"(?i)\b(?:ORDER|ORD|AMZ|FLP|MEE|JIO|WEB)[-_]?[A-Z0-9-]{4,}\b", "postal_code_like_values": r"\b[1-9][0-9]{5}\b", "currency_marker_values": r"(?i)(?:₹|\bINR\b|\bRS\.?\b)"}
 PRIVACY_SQL = "\nunion all\n".join(
     [f"select '{c}' as column_name, '{n}' as pattern, sum(len(regexp_extract_all(coalesce({c}, ''), {oracle.q(p)})))::bigint as hits from documents" for c in ("text", "source") for n, p in SHAPES.items()]
-    + [rf"select '{c}' as column_name, 'long_title_like_values' as pattern, count(*) filter (where regexp_matches({c}, '\w+\s+\w+\s+\w+\s+\w+\s+\w+')) as hits from documents" for c in ("text", "source")]
+    + [rf"select '{c}' as column_name, 'long_title_like_values' as pattern, count(*) filter (where regexp_matches({c}, '[\pL\pN_]+\s+[\pL\pN_]+\s+[\pL\pN_]+\s+[\pL\pN_]+\s+[\pL\pN_]+')) as hits from documents" for c in ("text", "source")]
 )
 
 
@@ -156,7 +156,9 @@ KEYS_SQL = ", ".join(marts.PRODUCT_KEYS)
 
 def _filtered(test: str, order: str, n: int | None) -> Query:
     """Filtered products; with a limit only where the page shows a top-k. All keys break ties."""
-    run = _product(lambda df: df.where(test).orderBy(*[F.expr(x.removesuffix(" desc")).desc() if x.endswith(" desc") else F.expr(x).asc() for x in order.split(", ")], *marts.PRODUCT_KEYS).limit(n or 2**31 - 1).select(*marts.PRODUCT_KEYS, *marts.PRODUCT_METRICS, *marts.ACTION))
+    run = _product(lambda df: df.where(test).orderBy(*[F.expr(x.removesuffix(" desc")).desc() if x.endswith(" desc") else F.expr(x).asc() for x in order.split(", ")], *marts.PRODUCT_KEYS).select(*marts.PRODUCT_KEYS, *marts.PRODUCT_METRICS, *marts.ACTION))
+    whole = run
+    run = (lambda spark, sf_dir: whole(spark, sf_dir).limit(n)) if n else whole
     return Query(run, oracle.sql(f"select {PRODUCT_SQL} from pp where {test} order by {order}, {KEYS_SQL}" + (f" limit {n}" if n else "")))
 
 
@@ -179,11 +181,8 @@ DASH = {k: _filtered(t, o, None if k.endswith(("weak", "risk")) and k != "dash_t
     "dash_action_counts": Query(_product(lambda df: df.groupBy("recommended_action", "action_priority").agg(F.count("*").alias("rows"))), oracle.sql("select recommended_action, action_priority, count(*) as rows from pp group by all")),
     "bi_measures_total": Query(_product(measures), oracle.sql(f"select {MEASURE_SQL} from pp")),
     "bi_measures_by_marketplace": Query(_product(lambda df: measures(df, ["marketplace"])), oracle.sql(f"select marketplace, {MEASURE_SQL} from pp group by marketplace")),
-    "dash_imported": Query(lambda sp, d: marts.lines(sp, d).where("mapping_status = 'Matched'").groupBy("origin_country_group").agg(F.count_distinct("public_product_id").alias("products"), F.sum("units").cast("double").alias("units")), oracle.sql("select origin_country_group, count(distinct public_product_id) as products, sum(units)::double as units from lines where mapping_status = 'Matched' group by all", oracle.BASE)),
     "duplicate_skus": Query(lambda sp, d: tables.product_master(sp, d).agg((F.count("seller_sku") - F.count_distinct("seller_sku")).alias("duplicates")), oracle.sql("select count(seller_sku) - count(distinct seller_sku) as duplicates from product_master", oracle.BASE)),
-    "marketplaces_per_sku": Query(lambda sp, d: marts.lines(sp, d).where("sku is not null").groupBy("sku").agg(F.count_distinct("marketplace").alias("n")).agg(F.count_if(F.col("n") >= 5).alias("all_five"), F.count_if(F.col("n") < 5).alias("fewer")), oracle.sql("select count(*) filter (where n >= 5) as all_five, count(*) filter (where n < 5) as fewer from (select sku, count(distinct marketplace) as n from lines where sku is not null group by sku)", oracle.BASE)),
     "sku_overlap": Query(lambda sp, d: tables.product_master(sp, d).select(F.col("seller_sku").alias("sku")).distinct().join(tables.transactions(sp, d).where("sku is not null").select("sku", F.lit(1).alias("t")).distinct(), "sku", "full").agg(F.count("t").alias("transaction_skus"), F.count_if(F.col("t").isNull()).alias("unmatched_listings")), oracle.sql("select (select count(distinct sku) from txn) as transaction_skus, (select count(distinct seller_sku) from product_master where seller_sku not in (select sku from txn where sku is not null)) as unmatched_listings", oracle.BASE)),
-    "quarantine_totals": Query(_on(lambda df: df.agg(F.count_if(F.exists("violations", lambda v: v.severity == "reject")).alias("rejected_rows"), F.count_if(F.exists("violations", lambda v: v.severity == "warn")).alias("warning_rows"), F.sum(F.size("violations")).alias("records")), _contract), oracle.sql("select count(*) filter (where len(list_filter(v, lambda x: x.severity = 'reject')) > 0) as rejected_rows, count(*) filter (where len(list_filter(v, lambda x: x.severity = 'warn')) > 0) as warning_rows, sum(len(v))::bigint as records from checked", f"{oracle.BASE}, {CONTRACT_SQL}")),
     "cleaning_metrics": Query(lambda sp, d: tables.product_master(sp, d).agg(F.count("*").alias("rows"), F.count_if(F.col("brand").isNull()).alias("missing_brand"), F.count_if(F.col("origin_country").isNull()).alias("missing_origin"), F.count_if(F.col("public_product_id").isNull()).alias("missing_id"), F.count_distinct("seller_sku").alias("skus")), oracle.sql("select count(*) as rows, count(*) filter (where brand is null) as missing_brand, count(*) filter (where origin_country is null) as missing_origin, count(*) filter (where public_product_id is null) as missing_id, count(distinct seller_sku) as skus from product_master", oracle.BASE)),
     "ratio_and_activity_checks": Query(_product(lambda df: df.agg(*[e for c in marts.PRODUCT_METRICS[:6] for e in (F.min(c).alias(f"{c}_min"), F.max(c).alias(f"{c}_max"))], F.max(F.col("sales_index") > 0).alias("active"))), oracle.sql("select " + ", ".join(f"min({c}) as {c}_min, max({c}) as {c}_max" for c in marts.PRODUCT_METRICS[:6]) + ", max(sales_index > 0) as active from pp")),
 }
@@ -199,4 +198,5 @@ NARRATIVE_SQL = """select t.metric, case when abs(t.absolute_variance) < 0.05 or
     ('margin_risk_score', 'Margin Risk Score'), ('revenue_quality_score', 'Revenue Quality Score'), ('estimated_profitability_index', 'Estimated Profitability Index')) l(metric, label) using (metric)"""
 VARIANCES["variance_narrative"] = Query(lambda s, d: variance.narrative(variance.driver_summary(_compared(s, d))).select("metric", "narrative"), oracle.sql(NARRATIVE_SQL, f"{oracle.VARIANCE}, {TOTAL_SQL}"))
 
-QUERIES: dict[str, Query] = MARTS | VARIANCES | ROW_QUERIES | STAR | DASH
+OPERATIONS = {name: Query(run, sql) for name, (run, sql) in operations.queries().items()}
+QUERIES: dict[str, Query] = MARTS | VARIANCES | ROW_QUERIES | STAR | DASH | OPERATIONS

@@ -47,7 +47,7 @@ txn as (select *, (product_sales + promotional_rebates + selling_fees + fba_fees
 product_master as (select 'SKU-' || p_partkey as seller_sku, p_partkey as src_row, case when p_partkey % 5 <> 0 then 'P' || lpad(p_partkey::varchar, greatest(4, length(p_partkey::varchar))::int, '0') end as public_product_id,
   p_brand as brand, p_type as category, split_part(p_name, ' ', 2) as subcategory, p_name as product_group, (p_retailprice::decimal(18,2) * p_size / 10)::double as price, 3 * p_size - 3 as quantity,
   case when p_size <= 5 then 'High' else 'Monitor' end as restock_priority, (p_retailprice::decimal(18,2) * 0.6::decimal(4,1))::decimal(18,4) as landed_cost,
-  case when p_partkey % 3 = 0 then 'India' when p_partkey % 7 <> 0 then 'China' end as origin_country from part where p_partkey % 17 <> 0),
+  case when p_partkey % 3 = 0 then 'India' when p_partkey % 7 <> 0 then 'China' end as origin_country, case when p_partkey % 3 = 0 then 'No' when p_partkey % 7 <> 0 then ' Yes ' end as imported_flag from part where p_partkey % 17 <> 0),
 amounts as (select sku, order_id, transaction_month, type as transaction_type_group,
   case when lower(marketplace) like '%amazon%' then 'Amazon' when lower(marketplace) like '%flipkart%' then 'Flipkart' when lower(marketplace) like '%meesho%' then 'Meesho' when lower(marketplace) like '%jio mart%' then 'JioMart' else 'Website' end as marketplace,
   case when fulfillment = 'Amazon' then 'FBA' else 'Merchant Fulfilled' end as fulfillment_type, {TITLE.format("order_state")} as state_group,
@@ -56,7 +56,7 @@ amounts as (select sku, order_id, transaction_month, type as transaction_type_gr
   (case when type = 'Order' and product_sales > 0 then greatest(quantity, 0) else 0 end)::decimal(18,2) as units from txn),
 ids as (select *, coalesce(public_product_id, 'P' || lpad((top + k)::varchar, greatest(4, length((top + k)::varchar))::int, '0')) as pid from
   (select *, row_number() over (partition by public_product_id is null order by src_row) as k, max(substr(public_product_id, 2)::int) over () as top from product_master)),
-products as (select seller_sku as sku, pid as public_product_id, brand, category, subcategory, product_group, landed_cost, restock_priority,
+products as (select seller_sku as sku, pid as public_product_id, brand, category, subcategory, product_group, landed_cost, restock_priority, imported_flag,
   {band("price", PRICE_BAND, "4000+")} as listing_price_band, {band("quantity", STOCK_BAND, "Very High / 100+")} as inventory_band,
   case when lower(coalesce(origin_country, 'Unknown')) in ('india', 'in', 'bharat') then 'India' else 'Imported / Other' end as origin_country_group from ids),
 strange as (select sku, 'UNMAPPED_' || printf('%04d', row_number() over (order by sku)) as unmapped from (select distinct sku from amounts where sku is not null and sku not in (select sku from products))),
@@ -64,7 +64,7 @@ lines as (select a.* exclude (sku), a.sku, '12m' as dataset_period, 'Marketplace
   coalesce(brand, case when a.sku is null then 'Non-product Activity' else 'Unmapped' end) as brand_group, coalesce(category, case when a.sku is null then 'Non-product Activity' else 'Unmapped' end) as category_group,
   coalesce(subcategory, case when a.sku is null then 'Non-product Activity' else 'Unmapped' end) as subcategory_group, coalesce(product_group, case when a.sku is null then 'Non-product Activity' else 'Unmapped Product' end) as product_group,
   coalesce(listing_price_band, 'Unknown') as listing_price_band, coalesce(inventory_band, 'Unknown') as inventory_band, coalesce(origin_country_group, 'Imported / Other') as origin_country_group,
-  coalesce(restock_priority, 'Monitor') as restock_priority, case when p.sku is not null then 'Matched' when a.sku is null then 'Non-product' else 'Unmatched' end as mapping_status,
+  coalesce(restock_priority, 'Monitor') as restock_priority, coalesce(trim(imported_flag), 'Unknown') as imported_flag, case when p.sku is not null then 'Matched' when a.sku is null then 'Non-product' else 'Unmatched' end as mapping_status,
   (gross - units * coalesce(landed_cost, 0::decimal(18,4)) - fee - promo - refund)::decimal(24,4) as profit
   from amounts a left join products p on a.sku = p.sku left join strange s on a.sku = s.sku)"""
 

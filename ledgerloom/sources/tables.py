@@ -47,6 +47,20 @@ def transactions(spark: SparkSession, sf_dir: str, numbered: bool = False) -> Da
     ).withColumn("total", F.expr("cast(product_sales + promotional_rebates + selling_fees + fba_fees as decimal(18,4))"))
 
 
+def export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Settlement lines as an export writes them: all text, dates in several formats, some cells blank or no number."""
+    line = with_row_numbers(read(spark, sf_dir, "lineitem"))
+    return line.selectExpr(
+        "row_number", "concat(l_orderkey, '-', l_linenumber) as line_ref", "cast(l_orderkey as string) as order_id", "case when l_partkey % 10 <> 0 then concat('SKU-', l_partkey) end as sku",
+        "get(array('Amazon', 'Flipkart', ' Meesho ', 'JioMart', 'Website', 'Corner Shop'), cast(l_suppkey % 6 as int)) as marketplace",
+        "case when row_number % 97 = 0 then 'n/a' when row_number % 89 = 0 then '  ' else cast(cast(l_quantity as decimal(18,2)) as string) end as quantity",
+        "case when l_returnflag = 'R' and l_linenumber = 1 then -1 else 1 end * cast(l_extendedprice as decimal(18,2)) as amount",
+        """case row_number % 7 when 0 then date_format(l_shipdate, "dd MMM yyyy hh:mm:ss a 'UTC'") when 1 then date_format(l_shipdate, 'yyyy-MM-dd HH:mm:ss') when 2 then date_format(l_shipdate, 'yyyy-MM-dd')
+            when 3 then date_format(l_shipdate, "yyyy-MM-dd'T'HH:mm:ss'Z'") when 4 then date_format(l_shipdate, 'dd MMM yyyy') when 5 then 'soon' end as date_time""",
+        "case when row_number % 11 <> 0 then date_format(l_shipdate, \"yyyy-MM-dd HH:mm:ss 'IST'\") when row_number % 2 = 0 then ' nan ' end as open_date",
+    )
+
+
 def product_master(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "part").where("p_partkey % 17 <> 0").selectExpr(
         "concat('SKU-', p_partkey) as seller_sku", "p_partkey as src_row",
@@ -55,5 +69,13 @@ def product_master(spark: SparkSession, sf_dir: str) -> DataFrame:
         "cast(cast(p_retailprice as decimal(18,2)) * p_size / 10 as double) as price", "3 * p_size - 3 as quantity",
         "case when p_size <= 5 then 'High' else 'Monitor' end as restock_priority",
         "cast(cast(p_retailprice as decimal(18,2)) * cast(0.6 as decimal(4,1)) as decimal(18,4)) as landed_cost",
-        "case when p_partkey % 3 = 0 then 'India' when p_partkey % 7 <> 0 then 'China' end as origin_country",
+        "case when p_partkey % 3 = 0 then 'India' when p_partkey % 7 <> 0 then 'China' end as origin_country", "case when p_partkey % 3 = 0 then 'No' when p_partkey % 7 <> 0 then ' Yes ' end as imported_flag",
     )
+
+
+def channels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The channel sheet: a row for each product and marketplace that lists it, and a few repeated ones."""
+    names = "array('Amazon', 'Flipkart', 'Meesho', 'JioMart', 'Website')"
+    rows = read(spark, sf_dir, "part").selectExpr("p_partkey", "p_size", f"posexplode({names}) as (k, marketplace)").where("(p_partkey + k) % 13 <> 0")
+    rows = rows.selectExpr("*", "explode(if(p_partkey % 19 = k, array(0, 1), array(0))) as copy")
+    return rows.selectExpr("p_partkey * 10 + k * 2 + copy as src_row", "concat('SKU-', p_partkey) as seller_sku", "marketplace", "concat(if(copy = 0, 'Live ', 'Draft '), p_size % 4) as channel_readiness")

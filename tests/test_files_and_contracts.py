@@ -5,7 +5,7 @@ import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.functions import columns
+from ledgerloom.functions import columns, text
 from ledgerloom.operators import channels, contracts, workflow
 from ledgerloom.sources import files
 
@@ -62,20 +62,49 @@ def test_contracts(spark, tmp_path):
     for name in ("bad.yml", "absent.yml"):
         with pytest.raises(contracts.ContractError):
             contracts.load(spark, str(tmp_path / name))
-    df = spark.createDataFrame([("a", "5", "Amazon", 1), (None, "5", "Amazon", 2), ("b", "x", "Amazon", 3), ("c", "5000", "Other", 4), ("a", None, " Amazon ", 5)], "sku string, price string, marketplace string, n int")
-    accepted, ledger = contracts.validate(df, contract, "t.csv", ["n"])
-    assert {r.n for r in accepted.collect()} == {1, 4, 5}
-    assert {(r.error_code, r.severity): r.records for r in ledger.collect()} == {("MISSING_REQUIRED_FIELD", "reject"): 1, ("TYPE_MISMATCH", "reject"): 1, ("OUT_OF_RANGE", "warn"): 1, ("UNKNOWN_VALUE", "warn"): 1, ("DUPLICATE_KEY", "warn"): 1}
-    assert tuple(contracts.totals(contracts.combined(ledger, ledger)).first()) == (4, 6)
+    df = spark.createDataFrame([("a", "5", "Amazon", 1), (None, "5", "Amazon", 2), ("b", "x", "Amazon", 3), ("c", "5000", "Other", 4), ("a", None, " Amazon ", 5), (" ", " ", None, 6)], "sku string, price string, marketplace string, row_number int")
+    got = contracts.validate(df, contract, "t.csv", at="2026-01-01T00:00:00Z")
+    assert {r.row_number for r in got.accepted.collect()} == {1, 4, 5} and got.accepted.columns == df.columns
+    want = {(2, "MISSING_REQUIRED_VALUE", "fields.sku.nullable=false", "reject"), (6, "MISSING_REQUIRED_VALUE", "fields.sku.nullable=false", "reject"), (3, "TYPE_MISMATCH", "fields.price.type=number", "reject")}
+    want |= {(4, "OUT_OF_RANGE", "fields.price.range=[0,1000]", "warn"), (4, "UNKNOWN_VALUE", "fields.marketplace.allowed_values", "warn"), (5, "DUPLICATE_KEY", "fields.sku.unique", "warn")}
+    assert {(r.row_number, r.error_code, r.validation_rule, r.severity) for r in got.records.collect()} == want and got.records.count() == len(want)
+    first = got.records.where("error_code = 'TYPE_MISMATCH'").first()
+    assert (first.source_name, first.error_category, first.timestamp) == ("t.csv", "VALIDATION_ERROR", "2026-01-01T00:00:00Z") and "x" not in first.reason.split()
+    assert tuple(contracts.totals(got, got).first()) == (12, 6, 6, 6)
+    assert {(r.error_code, r.severity): r.row_count for r in contracts.summarized(contracts.combined(got.records, got.records)).collect()}["MISSING_REQUIRED_VALUE", "reject"] == 4
     with pytest.raises(ValueError, match="safe"):
-        contracts.combined(ledger.withColumn("cell", F.lit("x")))
-    none, why = contracts.validate(df.withColumn("asin", F.lit("B0")), contract, "t.csv", ["n"])
-    assert none.isEmpty() and [r.error_code for r in why.collect()] == ["FORBIDDEN_FIELD_PRESENT"]
-    none, why = contracts.validate(df.where("n = 1").drop("price"), contract, "t.csv", ["n"])
-    assert none.isEmpty() and [r.error_code for r in why.collect()] == ["MISSING_REQUIRED_COLUMN"]
-    assert contracts.validate_outputs({"t": df.where("n = 1")}, {"t": contract, "other": contract}) == {"t": 0}
-    with pytest.raises(contracts.ContractError, match="breaks"):
+        contracts.combined(got.records.withColumn("cell", F.lit("x")))
+    with pytest.raises(contracts.ContractError, match="first"):
+        contracts.validate(df.drop("row_number"), contract, "t.csv")
+    none = contracts.validate(df.withColumn("asin", F.lit("B0")), contract, "t.csv")
+    assert none.accepted.isEmpty() and [(r.error_code, r.row_number) for r in none.records.collect()] == [("FORBIDDEN_FIELD_PRESENT", None)]
+    none = contracts.validate(df.where("row_number = 1").drop("price"), contract, "t.csv")
+    assert none.accepted.isEmpty() and [r.error_code for r in none.records.collect()] == ["MISSING_REQUIRED_COLUMN"]
+    assert contracts.validate(df.limit(0), contract, "t.csv").records.isEmpty()
+    assert contracts.validate_outputs({"t": df.where("row_number in (1, 4)")}, {"t": contract, "other": contract}) == {"t": 2}
+    with pytest.raises(contracts.ContractError, match="breaks fields.sku"):
         contracts.validate_outputs({"t": df}, {"t": contract})
+    with pytest.raises(contracts.ContractError, match="forbidden_fields:asin"):
+        contracts.validate_outputs({"t": df.limit(1).withColumn("asin", F.lit(1))}, {"t": contract})
+
+
+def test_declared_contracts():
+    assert all("fields" in contracts.declared(n) for n in (*contracts.OUTPUTS, "marketplace_transactions", "product_master", "settlement_export"))
+    assert contracts.declared("marketplace_transactions")["fields"]["sku"] == {"type": "string", "required": True, "nullable": True}
+    with pytest.raises(contracts.ContractError):
+        contracts.declared("absent")
+
+
+def test_dates(spark):
+    given = ["03 Jan 2024 04:05:06 PM UTC", " 2024-02-03 ", "2024-02-03 10:00:00", "2024-02-03T10:00:00Z", "03 Feb 2024", "Feb 3, 2024", "13/13/2024", "soon", "", None]
+    df = spark.createDataFrame(list(enumerate(given)), "k int, t string")
+    got = {r.k: (r.m, r.bad) for r in df.select("k", text.month(F.col("t")).alias("m"), text.unparsed(F.col("t")).alias("bad")).collect()}
+    assert got == {0: ("2024-01", False)} | {k: ("2024-02", False) for k in range(1, 6)} | {6: ("Unknown", True), 7: ("Unknown", True), 8: ("Unknown", False), 9: ("Unknown", False)}
+    assert df.where("k = 0").select(F.date_format(text.timestamp(F.col("t")), "yyyy-MM-dd HH:mm:ss")).first()[0] == "2024-01-03 16:05:06"
+    open_ = spark.createDataFrame([("2024-02-03 10:00:00 IST",), ("2024-02-03",), ("nan",), ("IST",)], "t string")
+    assert [r[0] for r in open_.select(text.open_date(F.col("t"))).collect()] == ["2024-02-03", "2024-02-03", None, None]
+    counts = spark.createDataFrame([(100_000, 0), (5, 60_000), (30_000, 1), (10_000, None), (9_999, 9)], "a int, b int")
+    assert [r[0] for r in counts.select(text.period_of_counts(F.col("a"), F.col("b"))).collect()] == ["12m", "6m", "3m", "1m", "custom_upload"]
 
 
 def test_workflow(spark, tmp_path):
