@@ -1,12 +1,13 @@
 """Licence scans by sentence rules: a text's sentences are normalised and mapped to identifiers of known licence sentences;
 the sequence of identifiers is then matched against ordered rules, the more specific first, each match using up its part.
 
-A sentence may be wrapped over lines, with comment marks before them. The SQL compares single lines with the short wordings
-only; on texts whose licence sentences stand on one line each, in these wordings, both find the same.
+A sentence may be wrapped over lines, with comment marks before them. Sentences that name a licence ("this project is licensed
+under the X") and tags are made from a table of names by rule. The SQL has the same table, but for the longest wordings, and
+compares single lines; on texts whose licence sentences stand on one line each, both find the same.
 
 Everything happens inside the row with built-in functions: no shuffle, and the tables of sentences and rules are fixed.
 
-Edge cases: null and blank texts have no sentences and no licence. The same licence named twice is counted twice. Sentences
+Edge cases: null and blank texts have no sentences and no licence; empty tables give no rows; texts of any length are read whole. The same licence named twice is counted twice. Sentences
 between two identifiers that are not known licence sentences do not break a sequence. Other columns are not read.
 """
 
@@ -47,17 +48,63 @@ SENTENCES = {
     "cc0": "to the extent possible under law the author has waived all copyright and related or neighboring rights to this work",
     "unlicense": "this is free and unencumbered software released into the public domain",
     "reserved": "all rights reserved",
+    "lgpl free": "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation",
+    "lgpl21 or later": "either version 2 1 of the license or at your option any later version",
+    "lgpl hope": "this library is distributed in the hope that it will be useful but without any warranty",
+    "lgpl copy": "you should have received a copy of the gnu lesser general public license along with this library",
+    "agpl free": "this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation",
+    "agpl copy": "you should have received a copy of the gnu affero general public license along with this program",
+    "gpl3 only": "version 3 of the license",
+    "isc grant": "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies",
+    "0bsd grant": "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted",
+    "isc as is": "the software is provided as is and the author disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness",
+    "bsd disclaimer": "this software is provided by the copyright holders and contributors as is and any express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed",
+    "apache2 basis": "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied",
+    "mpl2 copy": "if a copy of the mpl was not distributed with this file you can obtain one at http mozilla org mpl 2 0",
+    "mpl2 copy s": "if a copy of the mpl was not distributed with this file you can obtain one at https mozilla org mpl 2 0",
+    "epl2 terms": "this program and the accompanying materials are made available under the terms of the eclipse public license 2 0 which is available at https www eclipse org legal epl 2 0",
+    "boost grant": "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license the software to use reproduce display distribute execute and transmit the software and to prepare derivative works of the software and to permit third parties to whom the software is furnished to do so all subject to the following",
+    "zlib as is": "this software is provided as is without any express or implied warranty",
+    "zlib grant": "permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions",
+    "unlicense use": "anyone is free to copy modify publish use compile sell or distribute this software either in source code form or as a compiled binary for any purpose commercial or non commercial and by any means",
+    "wtfpl": "everyone is permitted to copy and distribute verbatim or modified copies of this license document and changing it is allowed as long as the name is changed",
 }
+# Names of licences in normal form, by identifier.
+NAMES = {
+    "MIT": ("mit license",), "ISC": ("isc license",), "BSD-2-Clause": ("bsd 2 clause license", "2 clause bsd license", "simplified bsd license"), "BSD-3-Clause": ("bsd 3 clause license", "3 clause bsd license", "new bsd license"),
+    "Apache-2.0": ("apache license 2 0", "apache license version 2 0", "apache 2 0 license"), "GPL-2.0-only": ("gnu general public license version 2", "gpl 2 0 license"), "GPL-3.0-only": ("gnu general public license version 3", "gpl 3 0 license"),
+    "LGPL-2.1-only": ("gnu lesser general public license version 2 1",), "LGPL-3.0-only": ("gnu lesser general public license version 3",), "AGPL-3.0-only": ("gnu affero general public license version 3",),
+    "MPL-2.0": ("mozilla public license 2 0", "mozilla public license version 2 0"), "EPL-2.0": ("eclipse public license 2 0", "eclipse public license version 2 0"), "BSL-1.0": ("boost software license version 1 0", "boost software license"),
+    "CC-BY-4.0": ("creative commons attribution 4 0 international license",), "CC-BY-SA-4.0": ("creative commons attribution sharealike 4 0 international license",), "CC-BY-NC-4.0": ("creative commons attribution noncommercial 4 0 international license",),
+    "CC-BY-ND-4.0": ("creative commons attribution noderivatives 4 0 international license",), "CC0-1.0": ("creative commons zero v1 0 universal license",), "Unlicense": ("unlicense",), "Zlib": ("zlib license",), "WTFPL": ("wtfpl",),
+    "GPL-2.0-or-later": (), "GPL-3.0-or-later": (), "LGPL-2.1-or-later": (), "LGPL-3.0-or-later": (), "AGPL-3.0-or-later": (),
+}
+#: A name stands in these sentences, with an article or without; an identifier in a tag of its own line.
+FORMS = ("licensed under {}", "released under {}", "distributed under {}", "available under {}", *(f"this {w} is licensed under {{}}" for w in ("project", "software", "work", "library", "program", "package", "file")))
+
+
 # Ordered rules, the first match wins and uses up its identifiers.
 RULES = (
     ("GPL-2.0-or-later", ("gpl free", "gpl2 or later", "gpl hope", "gpl copy")),
     ("GPL-3.0-or-later", ("gpl free", "gpl3 or later", "gpl hope", "gpl copy")),
     ("GPL-2.0-or-later", ("gpl free", "gpl2 or later")),
     ("GPL-3.0-or-later", ("gpl free", "gpl3 or later")),
+    ("LGPL-2.1-or-later", ("lgpl free", "lgpl21 or later", "lgpl hope", "lgpl copy")),
+    ("LGPL-3.0-or-later", ("lgpl free", "gpl3 or later", "lgpl hope", "lgpl copy")),
+    ("AGPL-3.0-or-later", ("agpl free", "gpl3 or later", "gpl hope", "agpl copy")),
+    ("LGPL-2.1-or-later", ("lgpl free", "lgpl21 or later")),
+    ("LGPL-3.0-or-later", ("lgpl free", "gpl3 or later")),
+    ("AGPL-3.0-or-later", ("agpl free", "gpl3 or later")),
+    ("ISC", ("isc grant", "isc as is")),
+    ("ISC", ("isc grant",)),
+    ("0BSD", ("0bsd grant", "isc as is")),
     ("MIT", ("mit grant", "mit notice", "as is")),
     ("MIT", ("mit grant", "mit notice")),
+    ("BSD-3-Clause", ("bsd grant", "bsd source", "bsd binary", "bsd endorse", "bsd disclaimer")),
     ("BSD-3-Clause", ("bsd grant", "bsd source", "bsd binary", "bsd endorse")),
+    ("BSD-2-Clause", ("bsd grant", "bsd source", "bsd binary", "bsd disclaimer")),
     ("BSD-2-Clause", ("bsd grant", "bsd source", "bsd binary")),
+    ("Apache-2.0", ("apache2 name", "apache2 use", "apache2 copy", "apache2 basis")),
     ("Apache-2.0", ("apache2 name", "apache2 use", "apache2 copy")),
     ("Apache-2.0", ("apache2 name", "apache2 use")),
     ("GPL-3.0-only", ("gpl3 name",)),
@@ -66,14 +113,22 @@ RULES = (
     ("AGPL-3.0-only", ("agpl name",)),
     ("MIT", ("mit name",)),
     ("Apache-2.0", ("apache2 name",)),
+    ("MPL-2.0", ("mpl2 name", "mpl2 copy")),
+    ("MPL-2.0", ("mpl2 name", "mpl2 copy s")),
     ("MPL-2.0", ("mpl2 name",)),
+    ("EPL-2.0", ("epl2 terms",)),
+    ("BSL-1.0", ("boost grant",)),
+    ("Zlib", ("zlib as is", "zlib grant")),
     ("CC-BY-NC-4.0", ("cc by nc",)),
     ("CC-BY-SA-4.0", ("cc by sa",)),
     ("CC-BY-ND-4.0", ("cc by nd",)),
     ("CC-BY-4.0", ("cc by",)),
     ("CC0-1.0", ("cc0",)),
+    ("Unlicense", ("unlicense", "unlicense use")),
     ("Unlicense", ("unlicense",)),
+    ("WTFPL", ("wtfpl",)),
     ("All-Rights-Reserved", ("reserved",)),
+    *((spdx, (f"{spdx} named",)) for spdx in NAMES),  # by name or tag
 )
 # Full standard wordings of known sentences, by identifier, besides those above. The SQL knows only those above.
 FULL = (
@@ -83,8 +138,20 @@ FULL = (
     ("apache2 copy", "you may obtain a copy of the license at http www apache org licenses license 2 0"),
     ("apache2 copy", "you may obtain a copy of the license at https www apache org licenses license 2 0"),
 )
+def named() -> list[tuple[str, str]]:
+    """(identifier, sentence) of every licence's name in every form and of its tag, but for those listed above."""
+    taken, out = {*SENTENCES.values(), *(s for _, s in FULL)}, {}
+    for spdx, names in NAMES.items():
+        found = [f.format(article + n) for n in names for f in FORMS for article in ("the ", "a ", "")]
+        tag = " ".join("".join(c if c.isalnum() else " " for c in spdx.lower()).split())
+        for s in (*found, f"spdx license identifier {tag}"):
+            if s not in taken:
+                out.setdefault(s, f"{spdx} named")
+    return [(name, s) for s, name in out.items()]
+
+
 #: A cheap test goes before the rest; between its words anything may stand that is no letter or digit.
-HINT = r"(?i)licen[sc]e|redistribut|permission|warranty|copyright|public domain|rights reserved|later version|free software|copy of the".replace(" ", r"[^\p{L}\p{N}]+")
+HINT = r"(?i)licen[sc]e|wtfpl|redistribut|permission|warranty|copyright|public domain|rights reserved|later version|free software|copy of the".replace(" ", r"[^\p{L}\p{N}]+")
 #: How a text is brought into normal form, step by step: comment marks and bullets at the start of lines go; the full stop of
 #: 'v.' counts as a line end; one of .!?; before white space and blank lines become a bar. A line end may stand inside a
 #: sentence or end it, a bar only ends it. In the GPL the semicolon
@@ -94,12 +161,13 @@ STEPS = (
     (r"(?<=(?<![\p{L}\p{N}])v\.)[ \x09-\x0D]+", "\n"),
     (r"(?<=[.!?;])(?<!(?<![\p{L}\p{N}])v\.)[ \x09-\x0D]+|\n{2,}", "|"),
     (r"[^\p{L}\p{N}|\n]+", " "),
-    (r"(program[ \n]+is[ \n]+free[ \n]+software) ?\|(?= ?you[ \n]+can[ \n]+redistribute)", "$1\n"),
+    (r"((?:program|library)[ \n]+is[ \n]+free[ \n]+software) ?\|(?= ?you[ \n]+can[ \n]+redistribute)", "$1\n"),
     (r"(free[ \n]+software[ \n]+foundation)[ \n]+(?=either[ \n]+version )", "$1|"),
 )
-KNOWN = (*((name, s) for name, s in SENTENCES.items()), *FULL)
+NAMED = named()
+KNOWN = (*((name, s) for name, s in SENTENCES.items()), *FULL, *NAMED)
 SENTENCE = r"(?<=(?:^|[|\n]) ?)(?:" + "|".join(s.replace(" ", r"[ \n]+") for _, s in KNOWN) + r")(?= ?(?:[|\n]|\z))"
-RESTRICTED = ("GPL-2.0-or-later", "GPL-3.0-or-later", "GPL-2.0-only", "GPL-3.0-only", "AGPL-3.0-only", "CC-BY-NC-4.0", "CC-BY-ND-4.0", "All-Rights-Reserved")
+RESTRICTED = ("GPL-2.0-or-later", "GPL-3.0-or-later", "GPL-2.0-only", "GPL-3.0-only", "AGPL-3.0-only", "AGPL-3.0-or-later", "CC-BY-NC-4.0", "CC-BY-ND-4.0", "All-Rights-Reserved")
 
 
 def sentence_ids(text: Column) -> Column:
@@ -146,8 +214,9 @@ def _quoted(x: str) -> str:
 
 def op2_sql() -> str:
     """DuckDB SQL of op2: the same sentence table and the same ordered rules, by lists."""
-    names = ", ".join(_quoted(s) for s in SENTENCES.values())
-    ids = ", ".join(_quoted(n) for n in SENTENCES)
+    table = [*SENTENCES.items(), *NAMED]
+    names = ", ".join(_quoted(s) for _, s in table)
+    ids = ", ".join(_quoted(n) for n, _ in table)
     rest, found = "array_to_string(list_transform(sentences, lambda x: '[' || x || ']'), '')", []
     steps = [f"r0 as (select doc_id, sentences, {rest} as rest from known)"]
     for k, (_, rule) in enumerate(RULES):
