@@ -198,5 +198,11 @@ NARRATIVE_SQL = """select t.metric, case when abs(t.absolute_variance) < 0.05 or
     ('margin_risk_score', 'Margin Risk Score'), ('revenue_quality_score', 'Revenue Quality Score'), ('estimated_profitability_index', 'Estimated Profitability Index')) l(metric, label) using (metric)"""
 VARIANCES["variance_narrative"] = Query(lambda s, d: variance.narrative(variance.driver_summary(_compared(s, d))).select("metric", "narrative"), oracle.sql(NARRATIVE_SQL, f"{oracle.VARIANCE}, {TOTAL_SQL}"))
 
+DRIVER_SQL = f"""select 'all' as scope, t.metric, l.label as metric_label, t.previous_period, t.current_period, t.absolute_variance as total_abs_variance, t.percentage_variance as total_pct_variance, t.movement, n.narrative,
+    (select coalesce(string_agg(transaction_month, ', ' order by transaction_month), '') from periods where excluded) as excluded_trailing_periods
+    from totals t join ({NARRATIVE_SQL}) n using (metric) join (values {", ".join(f"('{k}', '{v}')" for k, v in variance.LABELS.items())}) l(metric, label) using (metric)
+  union all select 'first month', 'n/a', 'n/a', 'n/a', 'n/a', null, null, 'Insufficient Periods', 'Only one transaction month with recorded activity is available (' || min(transaction_month) || '); at least two are required for a period-over-period comparison.', '' from months having min_by(orders, transaction_month) > 0
+  union all select 'without orders', 'n/a', 'n/a', 'n/a', 'n/a', null, null, 'Insufficient Periods', 'No transaction months with recorded activity are present in this dataset, so no period-over-period comparison is available.', ''"""
 OPERATIONS = {name: Query(run, sql) for name, (run, sql) in operations.queries().items()}
+OPERATIONS["variance_driver_report"] = Query(operations.driver_reports, oracle.sql(DRIVER_SQL, f"{oracle.VARIANCE}, {TOTAL_SQL}"))
 QUERIES: dict[str, Query] = MARTS | VARIANCES | ROW_QUERIES | STAR | DASH | OPERATIONS

@@ -332,5 +332,4 @@ def queries() -> dict[str, tuple[Callable, str | None]]:
         "channel_join": (channel_join, _base(CHANNEL_SQL, CHANNELS)), "marketplaces_per_sku": (marketplaces_per_sku, f"with {CHANNELS} {PER_SKU_SQL}"), "workflow_refresh": (workflow_refresh, WORKFLOW_SQL),
         "kpis": (lambda sp, d: measures.scalars(s(sp, d), marts.lines(sp, d), tables.product_master(sp, d)), reports.duck(SCALARS_SQL.replace("l.*, 'Unav", "l.*, 'Unav").replace("p.*, (select", "p.* exclude (r), (select"))),
         "kpi_presence": (lambda sp, d: measures.presence(s(sp, d)), reports.duck(PRESENCE_SQL)), "kpi_ranges": (lambda sp, d: measures.ranges(s(sp, d)), reports.duck(RANGES_SQL)), "dash_imported": (imported, oracle.sql(IMPORTED_SQL, oracle.ROWS)),
-        "variance_driver_report": (driver_reports, None),
     }
