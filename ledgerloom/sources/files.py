@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.columns import normal_name, normal_names
 
-#: Columns that a file with a preamble may have; shorter records are filled up with nulls.
-WIDEST = 256
+#: Columns that a file with a preamble may have; shorter records are filled up with nulls, a wider header is refused.
+WIDEST = 1024
 FINANCE = {"product_sales", "selling_fees", "fba_fees", "total"}
 
 
@@ -25,7 +25,7 @@ def with_preamble(spark: SparkSession, path: str, is_header=is_transaction_heade
     Records are read in the file's order until the header is found; the rows are then those of the first block after it, and
     all rows of the other blocks, so that a large file is read by many tasks.
     """
-    raw = spark.read.schema(", ".join(f"c{k} string" for k in range(WIDEST))).option("quote", '"').option("escape", '"').csv(path)
+    raw = spark.read.schema(", ".join(f"c{k} string" for k in range(WIDEST + 1))).option("quote", '"').option("escape", '"').csv(path)
     raw = raw.withColumns({"_block": F.col("_metadata.file_block_start"), "_at": F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)})
     found = None
     for row in raw.where("_block = 0").toLocalIterator():
@@ -34,6 +34,8 @@ def with_preamble(spark: SparkSession, path: str, is_header=is_transaction_heade
             break
     if found is None:
         raise ValueError(f"no header row in {path}")
+    if found[WIDEST] is not None:
+        raise ValueError(f"the header of {path} has more than {WIDEST} columns")
     cells = list(found)[:WIDEST]
     last = max(k for k, c in enumerate(cells) if c is not None) + 1
     rows = raw.where(~((F.col("_block") == 0) & (F.col("_at") <= found["_at"])))

@@ -88,6 +88,15 @@ def test_contracts(spark, tmp_path):
         contracts.validate_outputs({"t": df.limit(1).withColumn("asin", F.lit(1))}, {"t": contract})
 
 
+def test_wide_headers_are_refused(spark, tmp_path, monkeypatch):
+    (tmp_path / "w.csv").write_text("x\n" + HEADER + "\n")
+    monkeypatch.setattr(files, "WIDEST", 10)
+    assert len(files.with_preamble(spark, str(tmp_path / "w.csv")).columns) == 10
+    monkeypatch.setattr(files, "WIDEST", 9)
+    with pytest.raises(ValueError, match="more than 9"):
+        files.with_preamble(spark, str(tmp_path / "w.csv"))
+
+
 def test_declared_contracts():
     assert all("fields" in contracts.declared(n) for n in (*contracts.OUTPUTS, "marketplace_transactions", "product_master", "settlement_export"))
     assert contracts.declared("marketplace_transactions")["fields"]["sku"] == {"type": "string", "required": True, "nullable": True}
