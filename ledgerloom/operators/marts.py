@@ -27,7 +27,7 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = master.matched(master.amounts(tables.transactions(spark, sf_dir)), tables.product_master(spark, sf_dir))
-    return public_context(found, "12m")
+    return public_context(found, "12m", True)
 
 
 def rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,12 +55,13 @@ PLAIN = {
 }
 
 
-def public_context(df: DataFrame, period: str = "custom") -> DataFrame:
-    """The columns of context by the first existing name, with a default, white space collapsed where values are groups."""
+def public_context(df: DataFrame, period: str = "custom", clean: bool = False) -> DataFrame:
+    """The columns of context by the first existing name, with a default, white space collapsed where values are groups.
+    Of a `clean` frame, columns that have their own name stay as they are: products were cleaned before they met the lines."""
     found = {c: words(df, names, default) for c, (names, default) in (PLAIN | {"dataset_period": (["dataset_period"], period)}).items()}
     found |= {c: text.group_value(words(df, names, default), default) for c, (names, default) in GROUPED.items()}
     found["origin_country_group"] = text.origin(words(df, ["origin_country_group", "origin_country"], "Unknown"))
-    return df.withColumns(found)
+    return df.withColumns({c: e for c, e in found.items() if not (clean and c in df.columns)})
 
 
 def anonymized_master(df: DataFrame) -> DataFrame:

@@ -41,7 +41,7 @@ def with_public_ids(master: DataFrame) -> DataFrame:
 def matched(lines: DataFrame, master: DataFrame) -> DataFrame:
     """Lines with their product; unmatched SKUs get ids by sorted order, lines without SKU the sentinel."""
     product = with_public_ids(master).select(
-        F.col("seller_sku").alias("sku"), "public_product_id", "brand", "category", "subcategory", "product_group", "landed_cost", "restock_priority", "imported_flag",
+        F.col("seller_sku").alias("sku"), "public_product_id", "brand", "category", "subcategory", "product_group", "landed_cost", "restock_priority", text.group_value(F.coalesce("imported_flag", F.lit("")), "Unknown").alias("imported_flag"),
         text.price_band(F.col("price")).alias("listing_price_band"), text.inventory_band(F.col("quantity")).alias("inventory_band"),
         text.origin(F.coalesce("origin_country", F.lit("Unknown"))).alias("origin_country_group"), F.lit(True).alias("is_matched"),
     )
@@ -59,7 +59,7 @@ def matched(lines: DataFrame, master: DataFrame) -> DataFrame:
         other("brand", "Unmapped", NO_GROUP).alias("brand_group"), other("category", "Unmapped", NO_GROUP).alias("category_group"),
         other("subcategory", "Unmapped", NO_GROUP).alias("subcategory_group"), other("product_group", "Unmapped Product", NO_GROUP).alias("product_group"),
         F.coalesce("listing_price_band", F.lit("Unknown")).alias("listing_price_band"), F.coalesce("inventory_band", F.lit("Unknown")).alias("inventory_band"),
-        F.coalesce("origin_country_group", F.lit("Imported / Other")).alias("origin_country_group"), F.coalesce("restock_priority", F.lit("Monitor")).alias("restock_priority"), text.group_value(F.coalesce("imported_flag", F.lit("")), "Unknown").alias("imported_flag"),
+        F.coalesce("origin_country_group", F.lit("Imported / Other")).alias("origin_country_group"), F.coalesce("restock_priority", F.lit("Monitor")).alias("restock_priority"), F.coalesce("imported_flag", F.lit("Unknown")).alias("imported_flag"),
         F.when(F.col("is_matched"), "Matched").when(F.col("sku").isNull(), NO_STATUS).otherwise("Unmatched").alias("mapping_status"),
         (F.col("gross") - F.col("units") * F.coalesce("landed_cost", F.lit(0).cast("decimal(18,4)")) - F.col("fee") - F.col("promo") - F.col("refund")).cast("decimal(24,4)").alias("profit"),
     )

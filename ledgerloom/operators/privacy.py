@@ -1,8 +1,8 @@
 r"""The gate before publishing: unsafe names of columns, private-looking cells, and known private values, over all outputs.
 
-Every output is scanned whole. Shapes are counted by one aggregate over all its columns. Known values come from the inputs by
-the shape of their columns; against them, the text cells of all outputs are first summed up by distinct value, so that a band
-or a label that stands in every row meets them once, and joined by hash in one shuffle. Only counts leave the scan, never a
+Every output is scanned whole. Its cells are first summed up by distinct value, so that a band or a label that stands in every
+row meets each pattern once; known values come from the inputs by the shape of their columns and are joined by hash to the cells
+of all outputs in one shuffle. Only counts leave the scan, never a
 cell. The gate raises at the first sign. Letters, digits and white space are Unicode's, spelled out as classes because \w, \s
 and \b are ASCII in Spark's patterns.
 """
@@ -90,41 +90,52 @@ def known_values(products: DataFrame, transactions: DataFrame, generic: tuple[st
     return reduce(lambda a, b: a.union(b), parts).distinct()
 
 
-def shape_counts(df: DataFrame, output: str, max_rows: int | None = None) -> DataFrame:
-    """One row of counts by shape. H23: `max_rows` is for developers; without it every row is scanned."""
+def _cells(df: DataFrame, output: str, max_rows: int | None = None) -> DataFrame:
+    """Cells by value and by what they are free of, with how often each occurs. H23: `max_rows` is for developers; without it
+    every row is scanned."""
     df = df if max_rows is None else df.limit(max_rows)
-    sums: dict[str, list[Column]] = {name: [] for name in COUNTS}
+    made = []
     for c, kind in df.dtypes:
-        cell, numeric = F.col(f"`{c}`").cast("string"), kind.startswith(NUMERIC)
-        for name, shape in SHAPES.items():
-            if not (name == "order_id_like_values" and c in NO_ORDER_TEST or name == "postal_code_like_values" and numeric):
-                sums[name].append(F.coalesce(F.regexp_count(cell, F.lit(shape)), F.lit(0)))
-        if c not in LONG_TEXT:
-            sums["long_title_like_values"].append(F.when(cell.rlike(TITLE), 1).otherwise(0))
-    total = lambda cs: F.coalesce(F.sum(reduce(Column.__add__, [x.cast("long") for x in cs])), F.lit(0)) if cs else F.lit(0).cast("long")
-    return df.agg(*[total(cs).alias(name) for name, cs in sums.items()]).select(F.lit(output).alias("output"), *COUNTS)
+        free = (NO_ORDER if c in NO_ORDER_TEST else 0) | (NUMBERS if kind.startswith(NUMERIC) else 0) | (NO_TITLE if c in LONG_TEXT else 0)
+        made.append(F.struct(F.lit(free).alias("free"), F.col(f"`{c}`").cast("string").alias("value")))
+    cells = F.array(*made) if made else F.array().cast("array<struct<free:int,value:string>>")
+    got = df.select(F.explode(cells).alias("x")).where("x.value is not null").groupBy("x.free", "x.value").agg(F.count("*").alias("n"))
+    return got.select(F.lit(output).alias("output"), "free", "value", "n")
+
+
+#: What a cell is free of: the test for order numbers, those for postal codes and known values, the test for titles.
+NO_ORDER, NUMBERS, NO_TITLE = 1, 2, 4
 
 
-def _cells(df: DataFrame, output: str) -> DataFrame:
-    """Text cells by value, trimmed, with how often each occurs."""
-    texts = [c for c, kind in df.dtypes if not kind.startswith(NUMERIC)]
-    cells = F.array(*[F.trim(F.col(f"`{c}`").cast("string")) for c in texts]) if texts else F.array().cast("array<string>")
-    return df.select(F.explode(cells).alias("value")).where("value <> ''").groupBy("value").agg(F.count("*").alias("n")).select(F.lit(output).alias("output"), "value", "n")
+def _counted(cells: DataFrame, known: Column) -> DataFrame:
+    """Counts by output; a pattern meets each distinct value once."""
+    may = lambda bit: F.col("free").bitwiseAND(bit) == 0
+    tests = {"order_id_like_values": may(NO_ORDER), "postal_code_like_values": may(NUMBERS)}
+    hits = {n: F.when(tests.get(n, F.lit(True)), F.regexp_count("value", F.lit(p))).otherwise(0) for n, p in SHAPES.items()}
+    hits["long_title_like_values"] = F.when(may(NO_TITLE) & F.col("value").rlike(TITLE), 1).otherwise(0)
+    hits["known_private_identifier_values"] = F.when(may(NUMBERS) & known, 1).otherwise(0)
+    return cells.groupBy("output").agg(*[F.sum(hits[n] * F.col("n")).alias(n) for n in COUNTS])
+
+
+def shape_counts(df: DataFrame, output: str, max_rows: int | None = None) -> DataFrame:
+    """One row of counts by shape, if there are cells."""
+    return _counted(_cells(df, output, max_rows), F.lit(False))
 
 
 def scan(outputs: Mapping[str, DataFrame], known: DataFrame | None = None, max_rows: int | None = None) -> DataFrame:
     """A row for each output but the validation summary: unsafe columns, counts, total, is_safe."""
     names = [n for n in outputs if n != "validation_summary"]
-    counts = reduce(lambda a, b: a.union(b), [shape_counts(outputs[n], n, max_rows) for n in names])
-    if known is not None:
-        cells = reduce(lambda a, b: a.union(b), [_cells(outputs[n] if max_rows is None else outputs[n].limit(max_rows), n) for n in names])
-        hits = cells.join(known.select(F.trim("value").alias("value")).where("value <> ''").distinct(), "value", "left_semi").groupBy("output").agg(F.sum("n").alias("known"))
-        counts = counts.join(F.broadcast(hits), "output", "left")  # a row for each output at most
-        counts = counts.withColumn("known_private_identifier_values", F.coalesce("known", F.lit(0))).drop("known")
-    bad = {n: unsafe_columns(outputs[n].columns) for n in names}
-    unsafe = F.coalesce(*[F.when(F.col("output") == n, F.lit(", ".join(c))) for n, c in bad.items()])
-    total = reduce(Column.__add__, [F.col(c) for c in COUNTS])
-    got = counts.select("output", unsafe.alias("unsafe_columns"), *COUNTS, total.alias("total_content_hits"))
+    spark = outputs[names[0]].sparkSession
+    cells = reduce(lambda a, b: a.union(b), [_cells(outputs[n], n, max_rows) for n in names])
+    if known is None:
+        counts = _counted(cells, F.lit(False))
+    else:
+        private = known.select(F.trim("value").alias("_trimmed")).where("_trimmed <> ''").distinct().withColumn("_known", F.lit(True))
+        counts = _counted(cells.withColumn("_trimmed", F.trim("value")).join(private, "_trimmed", "left"), F.coalesce("_known", F.lit(False)))
+    bad = [F.struct(F.lit(n).alias("output"), F.lit(", ".join(unsafe_columns(outputs[n].columns))).alias("unsafe_columns")) for n in names]
+    all_ = spark.range(1).select(F.inline(F.array(*bad)))
+    got = all_.join(F.broadcast(counts), "output", "left").fillna(0, list(COUNTS))  # a row for each output at most
+    got = got.select("output", "unsafe_columns", *COUNTS, reduce(Column.__add__, [F.col(c) for c in COUNTS]).alias("total_content_hits"))
     return got.withColumn("is_safe", (F.col("unsafe_columns") == "") & (F.col("total_content_hits") == 0))
 
 
