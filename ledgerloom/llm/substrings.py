@@ -4,17 +4,19 @@ A window is WINDOW consecutive words of one document. Its minimiser is the least
 equal windows have equal minimisers, and consecutive windows that share one are a super-k-mer, a single packed string.
 
 1. Each minimiser's least and greatest document, aggregated before the shuffle. Minimisers of one document can't hold a
-   repeat; the others set two bits each in a filter of FILTER_BITS bits, whatever the corpus. False hits, even a full filter,
-   only let strings through that turn out to be unique.
+   repeat; the others set two bits each in a filter of 16 to 32 bits for each of them, up to FILTER_BITS. False hits, even a
+   full filter, only let strings through that turn out to be unique.
 2. Super-k-mers that pass travel as packed strings to their minimiser's bucket, equal strings of a task as one row with their
    least and greatest document. There strings are sorted by minimiser, and each group's windows are counted exactly: a run of
    windows of a string gets the least document that any of them starts in.
 3. The places of these strings, without text, are joined with the runs; windows in later documents go, and every word that
    such a window covers is removed.
 
-A passage in a third of all documents is thus one row per task in step 2, and a key with one row on the right in step 3. A
-group of very many different strings (more than GROUP_BYTES of them) is passed on as one row per window of a distinct string
-under a 128-bit hash, and counted by aggregates that combine before the shuffle. Strings are told apart by 128-bit hashes.
+A passage in a third of all documents is thus one row per task in step 2, and a key with one row on the right in step 3. The
+bucket of a minimiser with very many super-k-mers (HOT_STRINGS or more, and a HOT_SHARE-th of all or more, so at most HOT_SHARE
+minimisers) is dealt to all tasks by the strings' digests, for around one common phrase there may be as many different strings
+as documents. Its strings, and those of any group of more than GROUP_BYTES, are passed on as one row per window of a distinct
+string under a 128-bit hash, and counted by aggregates that combine before the shuffle. Strings are told apart by 128-bit hashes.
 
 A window goes if the same words also start in a document with a smaller id.
 
@@ -35,7 +37,11 @@ from ledgerloom.llm.minhash import WordHashes
 common.shipped(__name__)
 WINDOW = 50
 GRAM = 8
-FILTER_BITS = 1 << 26
+#: Bits of the filter at most: 32 MB in every executor.
+FILTER_BITS = 1 << 28
+#: Super-k-mers of a minimiser, and its part of all shared ones, from which on its strings are dealt to all tasks.
+HOT_STRINGS = 50_000
+HOT_SHARE = 65_536
 #: Distinct strings that a task keeps the least and greatest document of, before it passes them on.
 HELD_STRINGS = 100_000
 #: Bytes of distinct strings of one minimiser that a task holds.
@@ -73,7 +79,7 @@ def windows_of(texts: list[bytes], hashes: WordHashes, window: int = WINDOW):
 
 
 def minimisers(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(mini, lo, hi): every minimiser with its least and greatest document."""
+    """(mini, lo, hi, n): every minimiser with its least and greatest document and its number of super-k-mers."""
 
     def run(batches: Iterator) -> Iterator:
         import numpy as np
@@ -84,34 +90,37 @@ def minimisers(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             ids = batch.column(0).to_numpy()
             for at, texts in common.text_parts(batch.column(2)):
                 text, _, _, mini, _ = windows_of(texts, hashes, window)
-                own, (u, inv) = ids[at + text], np.unique(mini, return_inverse=True)
+                own, (u, inv, n) = ids[at + text], np.unique(mini, return_inverse=True, return_counts=True)
                 lo, hi = np.full(len(u), np.iinfo(np.int64).max), np.full(len(u), np.iinfo(np.int64).min)
                 np.minimum.at(lo, inv, own)
                 np.maximum.at(hi, inv, own)
-                yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(lo), pa.array(hi)], ["mini", "lo", "hi"])
+                yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(lo), pa.array(hi), pa.array(n, pa.int64())], ["mini", "lo", "hi", "n"])
 
-    rows = docs.mapInArrow(run, "mini long, lo long, hi long")
-    return rows.groupBy("mini").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    rows = docs.mapInArrow(run, "mini long, lo long, hi long, n long")
+    return rows.groupBy("mini").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sum("n").alias("n"))
 
 
-def shared_filter(docs: DataFrame, window: int = WINDOW):
-    """The bits of the minimisers of more than one document: FILTER_BITS / 64 longs."""
+def shared_minimisers(docs: DataFrame, window: int = WINDOW) -> tuple:
+    """The filter of the minimisers of more than one document, as longs, and (mini) of those among them that are hot."""
     import numpy as np
 
-    low, shift = FILTER_BITS - 1, FILTER_BITS.bit_length() - 1
+    shared = common.written(minimisers(docs, window).where("lo < hi").select("mini", "n"), "minimisers")
+    number, total = shared.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    size = min(FILTER_BITS, max(64, 1 << (16 * number).bit_length()))
+    low, shift = size - 1, size.bit_length() - 1
     places = F.expr(f"explode(array(mini & {low}L, shiftrightunsigned(mini, {shift}) & {low}L))")
-    bits = minimisers(docs, window).where("lo < hi").select(places.alias("p"))
+    bits = shared.select(places.alias("p"))
     bits = bits.groupBy(F.expr("shiftright(p, 6)").alias("w")).agg(F.expr("bit_or(shiftleft(1L, int(p & 63)))").alias("b"))
-    out = np.zeros(FILTER_BITS // 64, np.int64)
+    out = np.zeros(size // 64, np.int64)
     for batch in bits.toArrow().to_batches():  # at most FILTER_BITS / 64 rows
         out[batch.column(0).to_numpy()] = batch.column(1).to_numpy()
-    return out
+    return out, shared.where(F.col("n") >= max(HOT_STRINGS, total // HOT_SHARE)).select("mini")
 
 
 def _passed(bits, mini):
     import numpy as np
 
-    low, shift = FILTER_BITS - 1, FILTER_BITS.bit_length() - 1
+    low, shift = 64 * len(bits) - 1, (64 * len(bits)).bit_length() - 1
     out = np.ones(len(mini), bool)
     for at in (mini & low, (mini.view(np.uint64) >> np.uint64(shift)).view(np.int64) & low):
         out &= (bits[at >> 6] >> (at & 63)) & 1 == 1
@@ -199,10 +208,11 @@ def places(docs: DataFrame, shared, window: int = WINDOW) -> DataFrame:
     return docs.mapInArrow(run, "mini long, h1 long, h2 long, doc_id long, rid long, start long")
 
 
-def counted(packed: DataFrame, window: int = WINDOW) -> DataFrame:
+def counted(packed: DataFrame, window: int = WINDOW, hot: DataFrame | None = None) -> DataFrame:
     """(mini, h1, h2, at, n, least, most, w1, w2): n windows of a string, from `at` on, whose least document is `least`.
 
-    Where w1 and w2 are given, the window's least document over all strings is still to be found by its hash.
+    Where w1 and w2 are given, the window's least document over all strings is still to be found by its hash. hot: (mini), at
+    most HOT_SHARE distinct ones, whose strings no single task meets.
     """
 
     def words_at(text: bytes) -> list[int]:
@@ -257,7 +267,7 @@ def counted(packed: DataFrame, window: int = WINDOW) -> DataFrame:
             if now is not None:
                 held.append((now[1], now[2], now[3], now[4], now[0]))
                 size += len(now[4])
-                if over or size > GROUP_BYTES:
+                if over or now[5] is not None or size > GROUP_BYTES:
                     spill(held, out)
                     held, over = [], True
 
@@ -269,15 +279,15 @@ def counted(packed: DataFrame, window: int = WINDOW) -> DataFrame:
 
         for batch in batches:
             digests = np.stack([batch.column(1).to_numpy(), batch.column(2).to_numpy()], axis=1).tobytes()
-            for k, (mini, least, most, text) in enumerate(zip(*(batch.column(c).to_pylist() for c in (0, 3, 4)), batch.column(5).cast(pa.binary()).to_pylist(), strict=True)):
+            for k, (mini, least, most, deal, text) in enumerate(zip(*(batch.column(c).to_pylist() for c in (0, 3, 4, 6)), batch.column(5).cast(pa.binary()).to_pylist(), strict=True)):
                 digest = digests[16 * k : 16 * k + 16]
                 if now is not None and now[0] == mini and now[1] == digest:
-                    now[2:] = min(least, now[2]), max(most, now[3]), now[4] or text
+                    now[2:5] = min(least, now[2]), max(most, now[3]), now[4] or text
                     continue
                 end_string()
                 if now is not None and now[0] != mini:
                     end_group()
-                now = [mini, digest, least, most, text]
+                now = [mini, digest, least, most, text, deal]
                 if len(out) >= OUT_ROWS:
                     yield _batch(out, "ldllllll", names)
                     out = []
@@ -285,15 +295,20 @@ def counted(packed: DataFrame, window: int = WINDOW) -> DataFrame:
         end_group()
         yield _batch(out, "ldllllll", names)
 
-    rows = packed.repartition("mini").sortWithinPartitions("mini", "h1", "h2")
+    if hot is None:
+        rows = packed.withColumn("deal", F.lit(None).cast("long"))
+    else:  # of bounded size
+        rows = packed.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), "mini", "left").withColumn("deal", F.when(F.col("_hot"), F.col("h1"))).drop("_hot")
+    rows = rows.repartition("mini", "deal").sortWithinPartitions("mini", "h1", "h2")
     return rows.mapInArrow(run, "mini long, h1 long, h2 long, at long, n long, least long, most long, w1 long, w2 long")
 
 
 def intervals(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """(doc_id, rid, cuts): each document's runs of windows that go, as an array of (start, n)."""
     docs = docs.where("doc_id is not null and text is not null")
-    shared = docs.sparkSession.sparkContext.broadcast(shared_filter(docs, window))  # of fixed size
-    found = common.written(counted(strings(docs, shared, window), window), "runs")
+    bits, hot = shared_minimisers(docs, window)
+    shared = docs.sparkSession.sparkContext.broadcast(bits)  # FILTER_BITS at most
+    found = common.written(counted(strings(docs, shared, window), window, hot), "runs")
     single = found.where("w1 is not null")
     lows = single.groupBy("w1", "w2").agg(F.min("least").alias("low"))
     single = single.join(lows, ["w1", "w2"]).where("low < most").select("mini", "h1", "h2", "at", "n", F.col("low").alias("least"))

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import lm, secret_scan, toxicity
+from ledgerloom.llm import lm, secret_scan, substrings, toxicity
 
 
 @pytest.mark.parametrize("sizes", [[1, 2, 3], [65535], [65534, 65536, 0, 200_000], [131_070, 1]])
@@ -41,3 +41,33 @@ def test_many_secrets_in_one_text(spark):
     began = time.time()
     got = {r.doc_id: [(s.start, s.end) for s in r.spans] for r in secret_scan.scan(df, ["doc_id"])[0].where(F.col("doc_id").isNotNull()).collect()}
     assert got == {1: [(k * 25, k * 25 + 21) for k in range(20_000)], 2: [(0, 18)], 3: []} and time.time() - began < 60
+
+
+def test_a_common_phrase_is_dealt_to_all_tasks(spark, monkeypatch):
+    """One 40-word phrase in every third document, between different words: no task meets all strings around it."""
+    rng = np.random.default_rng(8)
+    phrase = [f"common{k}" for k in range(40)]
+    plain = lambda n: [f"v{k}" for k in rng.integers(0, 5000, n)]
+    bodies = [plain(60) + (phrase if d % 3 == 0 else []) + plain(60) for d in range(900)]
+    for d in range(300, 900, 100):
+        bodies[d] = bodies[d - 297][:160]
+    rows = [(d, " ".join(w)) for d, w in enumerate(bodies)]
+    monkeypatch.setattr(substrings, "HOT_STRINGS", 50)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    numbered = docs.selectExpr("doc_id", "xxhash64(text) as rid", "text")
+    bits, hot = substrings.shared_minimisers(numbered)
+    assert 0 < hot.count() <= 33
+    packed = substrings.strings(numbered, spark.sparkContext.broadcast(bits))
+    dealt = [r["count"] for r in substrings.counted(packed, hot=hot).where("w1 is not null").select(F.spark_partition_id().alias("p"), "h1", "h2").distinct().groupBy("p").count().collect()]
+    assert len(dealt) > 1 and max(dealt) < 0.5 * sum(dealt)
+    first, want = {}, {}
+    for d, w in enumerate(bodies):
+        for k in range(len(w) - 49):
+            first.setdefault(tuple(w[k : k + 50]), d)
+    for d, w in enumerate(bodies):
+        gone = set()
+        for k in range(len(w) - 49):
+            if first[tuple(w[k : k + 50])] < d:
+                gone.update(range(k, k + 50))
+        want[d] = " ".join(x for k, x in enumerate(w) if k not in gone)
+    assert {r.doc_id: r.kept for r in substrings.without_repeats(docs).collect()} == want
