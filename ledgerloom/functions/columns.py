@@ -96,3 +96,29 @@ def amounts(df: DataFrame) -> DataFrame:
     df = df.withColumn("cogs", F.when(F.col("_cogs"), given["cogs"]).otherwise(F.col("units") * cost))
     own = F.col("gross") - F.col("cogs") - F.col("fee") - F.col("promo") - F.col("refund")
     return df.withColumn("profit", F.when(F.col("_profit"), given["profit"]).otherwise(own)).drop("_fee", "_cogs", "_profit")
+
+
+# Private names of a product master and the names that they stand for; the channel sheet has the first of them.
+PRODUCT_ALIASES = {
+    "seller_sku_private": "seller_sku", "asin_private": "asin1", "item_name_private": "item_name", "item_description_private": "item_description", "current_quantity": "quantity",
+    "listing_price_private_rs": "price", "mrp_private_rs": "maximum_retail_price", "estimated_margin_pct_private": "estimated_profit_margin_pct_private",
+}
+CHANNEL_ALIASES = {"seller_sku_private": "seller_sku"}
+
+
+def private_amounts(df: DataFrame, kind: str = "type") -> DataFrame:
+    """Private amounts from a settlement export's text columns, absent ones as 0, and their mirrors in rupees."""
+    n = {c: numeric(df, [c]) for c in ("product_sales", "promotional_rebates", "selling_fees", "fba_fees", "other_transaction_fees", "total", "quantity", "gst_tcs_tds", "shipping_credits")}
+    sales, of = n["product_sales"], lambda what: F.coalesce(F.col(kind) == what, F.lit(False))
+    zero = F.lit(0.0)
+    made = {
+        "gross_sales_private": F.greatest(sales, zero), "refund_amount_private": F.when((sales < 0) | of("Refund"), F.abs(sales)).otherwise(zero),
+        "promotion_amount_private": F.abs(n["promotional_rebates"]), "amazon_fee_private": F.abs(n["selling_fees"]) + F.abs(n["fba_fees"]) + F.abs(n["other_transaction_fees"]),
+        "net_amount_private": n["total"], "units_private": F.when(of("Order") & (sales > 0), F.greatest(n["quantity"], zero)).otherwise(zero),
+    }
+    mirrors = {f"{c}_rs": e for c, e in made.items() if c != "amazon_fee_private"}
+    mirrors |= {
+        "tax_amount_private_rs": n["gst_tcs_tds"], "shipping_credit_private_rs": n["shipping_credits"], "selling_fee_private_rs": n["selling_fees"],
+        "fba_fee_private_rs": n["fba_fees"], "other_fee_private_rs": n["other_transaction_fees"], "total_fee_private_rs": made["amazon_fee_private"],
+    }
+    return df.withColumns(made | mirrors)

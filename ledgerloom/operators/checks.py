@@ -160,6 +160,11 @@ def validation_summary(lines: DataFrame, master: DataFrame, channels: DataFrame,
     return one.select(F.inline(F.array(*made)))
 
 
+def meaningful(value: Column) -> Column:
+    """Q05: whether any number is more than 0.000001 away from 0; none is in an empty column."""
+    return F.coalesce(F.max(F.abs(value) > 0.000001), F.lit(False))
+
+
 def per_sku(channels: DataFrame) -> DataFrame:
     """marketplaces of each SKU in the channel sheet."""
     return channels.where("seller_sku is not null").groupBy("seller_sku").agg(F.count_distinct("marketplace").alias("n"), F.count("*").alias("rows"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import text
 from ledgerloom.operators import checks, marts, master, star, variance
-from ledgerloom.plans import operations, oracle, reports
+from ledgerloom.plans import exports, operations, oracle, reports
 from ledgerloom.sources import tables
 
 
@@ -203,6 +203,6 @@ DRIVER_SQL = f"""select 'all' as scope, t.metric, l.label as metric_label, t.pre
     from totals t join ({NARRATIVE_SQL}) n using (metric) join (values {", ".join(f"('{k}', '{v}')" for k, v in variance.LABELS.items())}) l(metric, label) using (metric)
   union all select 'first month', 'n/a', 'n/a', 'n/a', 'n/a', null, null, 'Insufficient Periods', 'Only one transaction month with recorded activity is available (' || min(transaction_month) || '); at least two are required for a period-over-period comparison.', '' from months having min_by(orders, transaction_month) > 0
   union all select 'without orders', 'n/a', 'n/a', 'n/a', 'n/a', null, null, 'Insufficient Periods', 'No transaction months with recorded activity are present in this dataset, so no period-over-period comparison is available.', ''"""
-OPERATIONS = {name: Query(run, sql) for name, (run, sql) in operations.queries().items()}
+OPERATIONS = {name: Query(run, sql) for name, (run, sql) in (operations.queries() | exports.queries(operations.CHANNELS)).items()}
 OPERATIONS["variance_driver_report"] = Query(operations.driver_reports, oracle.sql(DRIVER_SQL, f"{oracle.VARIANCE}, {TOTAL_SQL}"))
 QUERIES: dict[str, Query] = MARTS | VARIANCES | ROW_QUERIES | STAR | DASH | OPERATIONS
