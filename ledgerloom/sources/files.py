@@ -11,6 +11,8 @@ from ledgerloom.functions.columns import normal_name, normal_names
 
 #: Columns that a file with a preamble may have; shorter records are filled up with nulls, a wider header is refused.
 WIDEST = 1024
+#: Records that are looked at first for the header; beyond them the search goes on in the whole first block.
+PEEKED = 50
 FINANCE = {"product_sales", "selling_fees", "fba_fees", "total"}
 
 
@@ -27,11 +29,9 @@ def with_preamble(spark: SparkSession, path: str, is_header=is_transaction_heade
     """
     raw = spark.read.schema(", ".join(f"c{k} string" for k in range(WIDEST + 1))).option("quote", '"').option("escape", '"').csv(path)
     raw = raw.withColumns({"_block": F.col("_metadata.file_block_start"), "_at": F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)})
-    found = None
-    for row in raw.where("_block = 0").toLocalIterator():
-        if is_header(list(row)[:WIDEST]):
-            found = row
-            break
+    first = raw.where("_block = 0")
+    found = next((r for r in first.limit(PEEKED).collect() if is_header(list(r)[:WIDEST])), None)
+    found = found or next((r for r in first.toLocalIterator() if is_header(list(r)[:WIDEST])), None)
     if found is None:
         raise ValueError(f"no header row in {path}")
     if found[WIDEST] is not None:
