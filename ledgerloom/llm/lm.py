@@ -8,9 +8,10 @@ words of that class. A mixture of the two is the word's probability: for a given
 
 Gathered from all training documents, before any shuffle summed up by task: counts of words (keyed by 64-bit hash), of ids, of
 ids that begin and end words, of neighbouring ids. On the driver the ids' neighbours (a matrix of fixed size) give the classes.
-The windows of all training documents stream through tasks side by side, of MOST_WINDOWS at most beyond TRAINERS tasks,
-after a first round in one task on about TASK_WINDOWS of them, so that the networks, averaged by Spark, start alike. Rows are
-dealt to these tasks by their number, so that copies of one text spread too.
+The windows of all training documents stream through tasks by one schedule, whatever their number: each document is dealt to
+one network of one round, all of equal shares, and a round's networks start alike and are averaged by Spark after it. The first
+round has one network, so that those of the next ones stay near enough to each other. Rows are dealt by their number, so that
+copies of one text spread too.
 
 Scoring lays windows of CONTEXT + STRIDE ids over each whole text, so that every id is scored once with CONTEXT ids or more
 before it (fewer only at the start).
@@ -43,13 +44,10 @@ KEPT_IDS = 1024
 CLASSES = 32
 WIDTH = 8
 CONTEXT, STRIDE = 8, 24
-#: A round's task trains on TASK_WINDOWS or more windows, in at most TRAINERS tasks until each has MOST_WINDOWS, then in more
-#: tasks; small corpora are gone over more often.
-TASK_WINDOWS = 50_000
-TRAINERS = 32
-MOST_WINDOWS = 2_000_000
-ROUND_WINDOWS = 200_000
-BATCH = 256
+#: How many networks are trained side by side in each round, and how fast they learn.
+ROUNDS = ((1, 0.03), (4, 0.02), (32, 0.01))
+#: Windows of a training step.
+BATCH = 64
 SHARED_WORDS = 400_000
 NO_IDS = -12.0
 STEP_WORDS = 40_000
@@ -353,14 +351,12 @@ def fitted(rows: DataFrame) -> dict:
     stop = (ends + 0.5) / (ids_count + 1)
     net = initial()
     net[-1][np.bincount(classes[np.unique(kept)], minlength=CLASSES) == 0] = -30  # classes without ids
-    many = int(train.agg(F.sum(F.ceil(F.octet_length("ids") / (2 * STRIDE)))).first()[0] or 0)
-    rounds = min(6, -(-ROUND_WINDOWS // max(many, 1))) if many else 0
     numbered = train.select(F.monotonically_increasing_id().alias("row"), "ids")  # of a written table: the same when a task runs again
-    for k in range(rounds + (many > 2 * TASK_WINDOWS)):
-        first = many > 2 * TASK_WINDOWS and k == 0
-        own = numbered.where(F.pmod(F.xxhash64("row"), F.lit(-(-many // TASK_WINDOWS))) == 0) if first else numbered
-        tasks = 1 if first else max(1, min(TRAINERS, many // TASK_WINDOWS), many // MOST_WINDOWS)
-        shared = spark.sparkContext.broadcast((net, kept, classes, 0.01 / (1 + k)))
+    part, before = F.pmod(F.xxhash64("row"), F.lit(sum(many for many, _ in ROUNDS))), 0
+    for many, rate in ROUNDS:
+        own = numbered.where((part >= before) & (part < before + many))
+        before += many
+        shared = spark.sparkContext.broadcast((net, kept, classes, rate))
 
         def learn(batches: Iterator, shared=shared) -> Iterator:
             import pyarrow as pa
@@ -378,7 +374,7 @@ def fitted(rows: DataFrame) -> dict:
                 flat = np.concatenate([w.ravel() for w in trainer.net]).astype(np.float32)
                 yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([flat], pa.list_(pa.float32()))], ["n", "net"])
 
-        made = own.repartition(tasks, F.xxhash64("row", F.lit(k))).mapInArrow(learn, "n long, net array<float>")
+        made = own.repartition(many, F.xxhash64("row", F.lit(1))).mapInArrow(learn, "n long, net array<float>")
         weights = made.select("n", F.posexplode("net").alias("at", "weight")).groupBy("at").agg((F.sum(F.col("n") * F.col("weight").cast("double")) / F.sum("n")).alias("mean"))
         got = weights.toArrow()  # a row for each weight of one network
         if got.num_rows:
