@@ -15,9 +15,10 @@ Work is kept low among the copies:
    groups of near copies.
 3. In buckets that still hold several components, members of different components are compared in tiles: those outside a
    bucket's largest component with all members of that component, each such member once per component and not per bucket, and
-   those outside with each other. A tile holds at most twice TILE classes and passes on all pairs that the bound lets pass, or,
-   if these are many, the likeliest and a spanning forest; where such a tile's pair turns out to be no link, the round is
-   repeated for the classes whose pairs were held back, without the pairs known to be none, until no such pair fails.
+   those outside with each other. A tile holds at most twice TILE classes and passes on the pairs that the bound lets pass or,
+   if these are more than its classes, the likeliest as a spanning forest, and names the classes of the others.
+4. Where such a forest's pair turns out to be no link, the classes whose pairs were held back meet once more, in tiles that
+   hold their whole shingle sets: there every pair is decided at once, and a tile passes on a spanning forest of true links.
 
 Edge cases: texts without words, null texts and null ids link with nothing; a text of fewer words than a shingle is one
 shingle; equal rows are copies of each other; of rows with one id and different texts each has its own links. Columns other
@@ -41,10 +42,13 @@ ERRORS = 1
 SLOTS = CHUNKS * WIDTH
 BITS = 4096
 SEED = 29
-#: Classes on a side of a tile, pairs that it passes on for each class besides a forest, and pairs bounded at once.
+#: Classes and, where a tile holds whole sets, shingles on a side of it; pairs for each class that it passes on without making a
+#: forest of them; pairs bounded and pairs decided at once.
 TILE = 1024
-PASSED = 16
+TILE_SHINGLES = 4_000_000
+PASSED = 1
 BOUNDED = 100_000
+DECIDED = 64
 
 
 class WordHashes(dict):
@@ -184,138 +188,191 @@ def confirmed(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT) -> Dat
 def tiles(keyed: DataFrame, found: DataFrame, classes: DataFrame) -> DataFrame:
     """(g, p, q, side, class): the tiles in which classes of different components that share a key meet.
 
-    q is -1 where members of a component (side 0) meet those outside (side 1); else p and q are a bucket's blocks.
+    `load` in keyed and classes: the part of a tile's side that a class takes. q is -1 where members of a component (side 0) meet those outside (side 1); else p and q are a bucket's blocks.
     """
     component = F.coalesce("component", "class").alias("component")
-    of = keyed.select("key", "class").join(found, "class", "left").select("key", "class", component)
-    by = of.groupBy("key", "component").agg(F.count("*").alias("n"))
-    mixed = by.groupBy("key").agg(F.count("*").alias("many"), F.max(F.struct("n", "component")).alias("main"), F.sum("n").alias("all")).where("many > 1")
-    mixed = mixed.select("key", "many", F.col("main.component").alias("main"), (F.col("all") - F.col("main.n")).alias("rest"))
+    of = keyed.select("key", "class", "load").join(found, "class", "left").select("key", "class", "load", component)
+    by = of.groupBy("key", "component").agg(F.count("*").alias("n"), F.sum("load").alias("load"))
+    mixed = by.groupBy("key").agg(F.count("*").alias("many"), F.max(F.struct("n", "component", "load")).alias("main"), F.sum("load").alias("all")).where("many > 1")
+    mixed = mixed.select("key", "many", F.col("main.component").alias("main"), (F.col("all") - F.col("main.load")).alias("rest"))
     outside = common.written(of.join(mixed, "key").where("component <> main"), "outside")
     hash_ = F.xxhash64("class")
     # a component's members, each once, and those outside with all its blocks
     meets = outside.select("main", "class").distinct()
-    members = classes.select("class").join(found, "class", "left").select("class", component)
+    size = lambda load: F.greatest(F.ceil(load), F.lit(1)).cast("int").alias("blocks")
+    members = classes.select("class", "load").join(found, "class", "left").select("class", "load", component)
     members = members.join(meets.select(F.col("main").alias("component")).distinct(), "component")
-    blocks = members.groupBy(F.col("component").alias("main")).agg(F.ceil(F.count("*") / TILE).cast("int").alias("blocks"))
+    blocks = members.groupBy(F.col("component").alias("main")).agg(size(F.sum("load")))
     members = members.withColumnRenamed("component", "main").join(blocks, "main")
     first = members.select(F.col("main").alias("g"), F.pmod(hash_, "blocks").cast("int").alias("p"), F.lit(-1).alias("q"), F.lit(0).alias("side"), "class")
     second = meets.join(blocks, "main").select(F.col("main").alias("g"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("p"), F.lit(-1).alias("q"), F.lit(1).alias("side"), "class")
     # those outside with each other
-    among = outside.where("many > 2").withColumn("blocks", F.ceil(F.col("rest") / TILE).cast("int")).withColumn("own", F.pmod(hash_, "blocks").cast("int"))
+    among = outside.where("many > 2").withColumn("blocks", size(F.col("rest"))).withColumn("own", F.pmod(hash_, "blocks").cast("int"))
     place = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: F.struct(F.least(x, "own").alias("p"), F.greatest(x, "own").alias("q"), (x < F.col("own")).cast("int").alias("side")))
     third = among.select(F.col("key").alias("g"), F.explode(place).alias("t"), "class").select("g", "t.p", "t.q", "t.side", "class")
     return first.unionByName(second).unionByName(third)
 
 
-def candidates(placed: DataFrame, described: DataFrame, percent: int) -> DataFrame:
-    """(a, b, partly): pairs of a tile's classes of different components that the bound lets pass, and whether the tile held others back.
-
-    A class with pairs held back has a row of its own, without b. described has (class, component, n, bits, none).
-    """
-
-    def pairs_of(tile: dict, out: list) -> None:
-        import numpy as np
-
-        side, n, comp = (np.array(tile[c]) for c in ("side", "n", "component"))
-        bits = np.frombuffer(b"".join(tile["bits"]), np.uint64).reshape(len(n), -1)
-        one = tile["p"] == tile["q"]
-        left = np.arange(len(n)) if one else np.flatnonzero(side == 0)
-        right = left if one else np.flatnonzero(side == 1)
-        got = []
-        for k in range(0, len(left), 64):
-            i, j = left[k : k + 64][:, None], right[None]
-            fits = (comp[i] != comp[j]) & (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j]))
-            fits &= (i < j) | (not one)
-            x, y = np.nonzero(fits)
-            got.append(bounded(n, bits, left[k + x], right[y], percent))
-        if not got:
-            return
-        i, j, score = (np.concatenate(x) for x in zip(*got, strict=True))
-        name, none = tile["class"], {k: set(v) for k, v in enumerate(tile["none"]) if v}
-        order = np.argsort(-score, kind="stable")
-        found = [(x, y) for x, y in zip(i[order].tolist(), j[order].tolist(), strict=True) if name[y] not in none.get(x, ())]
-        most = PASSED * len(n)
-        partly = len(found) > most
-        top: dict = {}
-
-        def root(x: int) -> int:
-            while x in top:
-                x = top[x]
-            return x
-
-        own, held = comp.tolist(), set()
-        for k, (x, y) in enumerate(found):
-            if partly:
-                u, v = root(own[x]), root(own[y])
-                if u != v:
-                    top[max(u, v)] = min(u, v)
-                elif k >= most:
-                    held |= {x, y}
-                    continue
-            out.append((min(name[x], name[y]), max(name[x], name[y]), partly))
-        out.extend((name[x], None, True) for x in held)
+def by_tile(placed: DataFrame, described: DataFrame, columns: list[str], handle, names: list[str], schema: str) -> DataFrame:
+    """What handle(tile) gives for each tile, a dict of its rows' columns by name: rows of so many columns."""
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        columns = ("side", "class", "component", "n", "bits", "none")
+        types = [pa.bool_() if part.endswith("boolean") else pa.int64() for part in schema.split(", ")]
         now, tile, out = None, {}, []
 
         def rows() -> pa.RecordBatch:
-            made = list(zip(*out, strict=True)) or [()] * 3
-            return pa.RecordBatch.from_arrays([pa.array(made[0], pa.int64()), pa.array(made[1], pa.int64()), pa.array(made[2], pa.bool_())], ["a", "b", "partly"])
+            made = list(zip(*out, strict=True)) or [()] * len(names)
+            return pa.RecordBatch.from_arrays([pa.array(m, t) for m, t in zip(made, types, strict=True)], names)
 
         for batch in batches:
             for lo in range(0, batch.num_rows, 4096):
                 part = batch.slice(lo, 4096)
                 keys = list(zip(*(part.column(c).to_pylist() for c in range(3)), strict=True))
-                values = [part.column(c).to_pylist() for c in range(3, 9)]
+                values = [part.column(c).to_pylist() for c in range(3, 3 + len(columns))]
                 for k, key in enumerate(keys):
                     if key != now:
                         if now is not None:
-                            pairs_of(tile, out)
-                        now, tile = key, {c: [] for c in columns} | {"p": key[1], "q": key[2]}
+                            out.extend(handle(tile))
+                        now, tile = key, {c: [] for c in columns} | {"one": key[1] == key[2]}
                     for c, v in zip(columns, values, strict=True):
                         tile[c].append(v[k])
                 yield rows()
                 out.clear()
         if now is not None:
-            pairs_of(tile, out)
+            out.extend(handle(tile))
         yield rows()
 
-    rows = placed.join(described, "class").select("g", "p", "q", "side", "class", "component", "n", "bits", "none")
-    rows = rows.repartition("g", "p", "q").sortWithinPartitions("g", "p", "q")
-    return rows.mapInArrow(run, "a long, b long, partly boolean").groupBy("a", "b").agg(F.max("partly").alias("partly"))
+    rows = placed.join(described, "class").select("g", "p", "q", *columns)
+    return rows.repartition("g", "p", "q").sortWithinPartitions("g", "p", "q").mapInArrow(run, schema)
+
+
+def _bounded_pairs(tile: dict, percent: int) -> Iterator:
+    """Pairs (i, j) of a tile's classes of different components that the bound lets pass, and its value, some lines at once."""
+    import numpy as np
+
+    side, n, comp = (np.array(tile[c]) for c in ("side", "n", "component"))
+    bits = np.frombuffer(b"".join(tile["bits"]), np.uint64).reshape(len(n), -1)
+    left = np.arange(len(n)) if tile["one"] else np.flatnonzero(side == 0)
+    right = left if tile["one"] else np.flatnonzero(side == 1)
+    for k in range(0, len(left), 64):
+        i, j = left[k : k + 64][:, None], right[None]
+        fits = (comp[i] != comp[j]) & (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j]))
+        fits &= (i < j) | (not tile["one"])
+        x, y = np.nonzero(fits)
+        yield bounded(n, bits, left[k + x], right[y], percent)
+
+
+def candidates(placed: DataFrame, described: DataFrame, percent: int) -> DataFrame:
+    """(a, b, partly): pairs of a tile's classes of different components that the bound lets pass, and whether the tile held others back.
+
+    A class with pairs held back has a row of its own, without b. described has (class, component, n, bits).
+    """
+
+    def pairs_of(tile: dict) -> Iterator:
+        import numpy as np
+
+        got = list(_bounded_pairs(tile, percent))
+        if not got:
+            return
+        i, j, score = (np.concatenate(x) for x in zip(*got, strict=True))
+        name = np.array(tile["class"])
+        partly = len(i) > PASSED * len(name)
+        if partly:
+            order = np.argsort(-score, kind="stable")
+            i, j = i[order], j[order]
+            label = np.unique(tile["component"], return_inverse=True)[1]
+            u, v = label[i], label[j]
+            # of each two components the likeliest pair, then the forest
+            first = np.sort(np.unique(np.minimum(u, v) * (label.max() + 1) + np.maximum(u, v), return_index=True)[1])
+            now, held = np.arange(label.max() + 1), np.ones(len(i), bool)
+            for k, x, y in zip(first.tolist(), u[first].tolist(), v[first].tolist(), strict=True):
+                if now[x] != now[y]:
+                    now[now == now[x]] = now[y]
+                    held[k] = False
+            yield from ((x, None, True) for x in name[np.unique(np.r_[i[held], j[held]])].tolist())
+            i, j = i[~held], j[~held]
+        a, b = name[i], name[j]
+        yield from ((x, y, partly) for x, y in zip(np.minimum(a, b).tolist(), np.maximum(a, b).tolist(), strict=True))
+
+    made = by_tile(placed, described, ["side", "class", "component", "n", "bits"], pairs_of, ["a", "b", "partly"], "a long, b long, partly boolean")
+    return made.groupBy("a", "b").agg(F.max("partly").alias("partly"))
+
+
+def shingle_sets(texts: DataFrame) -> DataFrame:
+    """(class, shingles): a class's distinct shingle hashes, in order."""
+
+    def run(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        hashes = WordHashes()
+        for batch in batches:
+            for lo, own in common.text_parts(batch.column(1)):
+                h, count, _ = shingle_hashes([t.lower() for t in own], hashes)
+                sets = [np.unique(x).tobytes() for x in np.split(h, np.cumsum(count)[:-1])]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, len(own)), pa.array(sets, pa.binary())], ["class", "shingles"])
+
+    return texts.select("class", "text").mapInArrow(run, "class long, shingles binary")
+
+
+def decided(placed: DataFrame, described: DataFrame, percent: int) -> DataFrame:
+    """(a, b): in each tile a spanning forest of all links between its classes. described has (class, component, n, bits, shingles)."""
+
+    def links_of(tile: dict) -> Iterator:
+        import numpy as np
+
+        name, n, sets = tile["class"], np.array(tile["n"]), [np.frombuffer(x, np.uint64) for x in tile["shingles"]]
+        label = np.unique(tile["component"], return_inverse=True)[1]
+        for i, j, score in _bounded_pairs(tile, percent):
+            order = np.lexsort((-score, i))
+            i, j = i[order], j[order]
+            for own in np.split(np.arange(len(i)), np.flatnonzero(np.diff(i)) + 1) if len(i) else ():
+                x, rest = int(i[own[0]]), j[own]
+                while len(rest := rest[label[rest] != label[x]]):
+                    now, rest = rest[:DECIDED], rest[DECIDED:]
+                    flat = np.concatenate([sets[y] for y in now.tolist()])
+                    at = np.minimum(np.searchsorted(sets[x], flat), len(sets[x]) - 1)
+                    shared = np.add.reduceat((sets[x][at] == flat).astype(np.int64), np.cumsum(n[now]) - n[now])
+                    for y in now[100 * shared >= percent * (n[x] + n[now] - shared)].tolist():
+                        if label[x] != label[y]:
+                            label[label == label[y]] = label[x]
+                            yield name[x], name[y]
+
+    return by_tile(placed, described, ["side", "class", "component", "n", "bits", "shingles"], links_of, ["a", "b"], "a long, b long")
 
 
 def linked(keyed: DataFrame, classes: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """(class, component) of all linked classes."""
+
+    def joined(links: DataFrame) -> DataFrame:
+        return common.written(common.components(links), "components").withColumnRenamed("node", "class")
+
+    def described(classes: DataFrame, found: DataFrame) -> DataFrame:
+        return classes.join(found, "class", "left").withColumn("component", F.coalesce("component", "class"))
+
     best = keyed.groupBy("class").agg(F.max(F.struct("many", "key")).alias("best")).select("class", F.col("best.key").alias("key"))
     center = keyed.groupBy("key").agg(F.min("class").alias("a"))
     first = best.join(center, "key").where("a <> class").select("a", F.col("class").alias("b"))
-    links = common.written(confirmed(first, texts, percent), "links")
-    none, empty = None, F.array().cast("array<long>")
-    while True:
-        found = common.written(common.components(links), "components").withColumnRenamed("node", "class")
-        described = classes.select("class", "n", "bits").join(found, "class", "left").withColumn("component", F.coalesce("component", "class"))
-        if none is not None:
-            both = none.union(none.select("b", "a")).groupBy(F.col("a").alias("class")).agg(F.collect_list("b").alias("none"))
-            described = described.join(both, "class", "left")
-        described = described.withColumn("none", empty if none is None else F.coalesce("none", empty))
-        more = common.written(candidates(tiles(keyed, found, classes), described, percent), "more")
-        pairs = more.where("b is not null")
-        new = common.written(confirmed(pairs.select("a", "b"), texts, percent), "links")
-        # a star for each component stands for the links so far
-        links = common.written(found.select(F.col("component").alias("a"), F.col("class").alias("b")).unionByName(new), "links")
-        failed = pairs.join(new, ["a", "b"], "left_anti")
-        if failed.where("partly").isEmpty():
-            return common.written(common.components(links), "components").withColumnRenamed("node", "class")
-        failed = failed.select("a", "b")
-        none = common.written(failed if none is None else none.unionByName(failed), "none")
-        held = more.where("b is null").select(F.col("a").alias("class"))
-        keyed = common.written(keyed.join(held, "class", "left_semi"), "keys")
-        classes = classes.join(held, "class", "left_semi")
+    found = joined(common.written(confirmed(first, texts, percent), "links"))
+    # a star for each component stands for the links so far
+    star = lambda found: found.select(F.col("component").alias("a"), F.col("class").alias("b"))
+    classes, load = classes.select("class", "n", "bits"), F.lit(1 / TILE)
+    placed = tiles(keyed.withColumn("load", load), found, classes.withColumn("load", load))
+    more = common.written(candidates(placed, described(classes, found), percent), "more")
+    pairs = more.where("b is not null")
+    new = common.written(confirmed(pairs.select("a", "b"), texts, percent), "links")
+    found = joined(star(found).unionByName(new))
+    if pairs.where("partly").join(new, ["a", "b"], "left_anti").isEmpty():
+        return found
+    held = more.where("b is null").select(F.col("a").alias("class"))
+    load = F.greatest(load, F.col("n") / TILE_SHINGLES).alias("load")
+    sets = common.written(shingle_sets(texts.join(held, "class", "left_semi")), "sets")
+    classes = common.written(classes.join(held, "class", "left_semi").select("class", "n", "bits", load), "held")
+    keyed = common.written(keyed.select("class", "key").join(classes.select("class", "load"), "class"), "keys")
+    last = decided(tiles(keyed, found, classes), described(classes.drop("load").join(sets, "class"), found), percent)
+    return joined(star(found).unionByName(common.written(last, "links")))
 
 
 def clusters(documents: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

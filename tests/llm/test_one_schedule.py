@@ -1,10 +1,8 @@
-"""Training by one schedule; words of letters and signs; tiles that pass on few pairs."""
+"""Training by one schedule, whatever the size."""
 
-import numpy as np
-import pytest
 from pyspark import SparkContext
 
-from ledgerloom.llm import lm, packing
+from ledgerloom.llm import lm
 
 
 def test_training_rounds_are_the_same_at_any_size(spark, monkeypatch):
