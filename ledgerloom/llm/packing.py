@@ -21,11 +21,12 @@ from ledgerloom.llm import common
 common.shipped(__name__)
 LENGTH = 2048
 END = 1
-#: Words that a worker knows the ids of; emptied when full, so that its memory is bounded. New ones are tokenised so many at once.
+#: Words that a worker knows the ids of, and parts of words; emptied when full, so that its memory is bounded.
 CACHE_WORDS = 400_000
 CACHE_PARTS = 300_000
+#: New words that are tokenised at once.
 NEW_WORDS = 10_000
-MARKS = b".,;:!?"
+SIGNS = bytes(b for b in range(33, 127) if not chr(b).isalnum())
 
 
 def vocabulary(name: str = "word_bpe_49k.json") -> str:
@@ -34,34 +35,66 @@ def vocabulary(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+class Spans:
+    """Sequences of ids laid end to end, by number."""
+
+    def __init__(self, first: list[int]):
+        import numpy as np
+
+        self.sizes, self.starts, self.flat = np.array([len(first)]), np.zeros(1, np.int64), np.array(first, np.uint32)
+
+    def add(self, ids, sizes) -> None:
+        import numpy as np
+
+        self.starts = np.r_[self.starts, len(self.flat) + np.cumsum(sizes) - sizes]
+        self.sizes, self.flat = np.r_[self.sizes, sizes], np.r_[self.flat, ids.astype(np.uint32)]
+
+    def get(self, numbers):
+        """The ids of these sequences, end to end, and how many each has."""
+        import numpy as np
+
+        n = self.sizes[numbers]
+        at = np.repeat(self.starts[numbers] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        return self.flat[at], n
+
+
 class WordIds(dict):
     """Numbers of words, and their ids. White space ends a word in this vocabulary, so that words stand alone.
 
-    Number 0 is the word b"", which stands for a text's end. A word of letters, with a mark after them or without, goes to the
-    tokenizer's model without its splitting, and case is dropped; other new words are tokenised together, as one text.
+    Number 0 is the word b"", which stands for a text's end. A word of letters, ASCII signs or the one followed by the other
+    has these as its parts, of which the tokenizer's model alone gives the ids, the last of a part being one that ends parts;
+    case is dropped. Other new words are tokenised together, as one text.
     """
 
     def __init__(self, tokenizer_path: str, end: int = END):
         import os
 
+        import numpy as np
+
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         super().__init__()
         self.tokenizer, self.end = Tokenizer.from_file(tokenizer_path), end
-        self.model, self.parts = self.tokenizer.model, {}
+        self.plain = Tokenizer(self.tokenizer.model)
+        self.plain.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        known = self.tokenizer.get_vocab()
+        self.closing = np.zeros(max(known.values()) + 1, bool)
+        self.closing[[i for t, i in known.items() if t.endswith("</w>")]] = True
         # the model's signs for bytes: printable ones stand for themselves, the others follow 255 in order
         plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
         self.shown = {b: 256 + k for k, b in enumerate(x for x in range(256) if x not in plain)}
         self.forget()
+        self._forget_parts()
 
     def forget(self) -> None:
-        import numpy as np
-
         self.clear()
         self[b""] = 0
         self.new: list = []
-        self.sizes, self.starts, self.flat = np.ones(1, np.int64), np.zeros(1, np.int64), np.array([self.end], np.uint32)
+        self.spans = Spans([self.end])
+
+    def _forget_parts(self) -> None:
+        self.parts, self.part_spans = {b"": 0}, Spans([])
 
     def full(self) -> bool:
         return len(self) > CACHE_WORDS
@@ -83,62 +116,60 @@ class WordIds(dict):
         self.new.clear()
         return out
 
-    def _letters(self, word: bytes) -> list[int] | None:
-        """The ids of a word of letters alone; None for other words."""
+    def _letters(self, word: bytes) -> str | None:
+        """A word of letters, not all of them ASCII, as the model sees it; None for other words."""
         import unicodedata
 
-        if not word.isalpha():  # of bytes: ASCII letters only
-            text = word.decode()
-            if not (text.isalpha() and unicodedata.is_normalized("NFC", text)):
-                return None
-            text = "".join(map(str.lower, text))
-            if not text.isalpha():  # a letter may become a letter and a mark, which the splitting parts
-                return None
-            word = text.encode()
-        return [x.id for x in self.model.tokenize(word.decode("latin-1").translate(self.shown) if not word.isascii() else word.decode())]
-
-    def _part(self, word: bytes) -> list[int] | None:
-        out = self.parts.get(word, 0)
-        if out == 0:
-            if len(self.parts) >= CACHE_PARTS:
-                self.parts.clear()
-            out = self.parts[word] = self._letters(word)
-        return out
+        text = word.decode()
+        if not (text.isalpha() and unicodedata.is_normalized("NFC", text)):
+            return None
+        text = "".join(map(str.lower, text))
+        if not text.isalpha():  # a letter may become a letter and a mark, which the splitting parts
+            return None
+        return text.encode().decode("latin-1").translate(self.shown)
 
     def _learn(self, words: list[bytes]) -> None:
         import numpy as np
 
-        got: list = []
-        for w in words:
-            low = w.lower()
-            if low[-1] in MARKS and len(low) > 1:
-                out, mark = self._part(low[:-1]), self.parts.get(low[-1:])
-                if mark is None:
-                    mark = self.parts[low[-1:]] = self.tokenizer.encode(low[-1:].decode(), add_special_tokens=False).ids
-                got.append(out and out + mark)
-            else:
-                got.append(self._part(low))
-        odd = [k for k, x in enumerate(got) if x is None]
-        if odd:
-            texts = [words[k].decode() for k in odd]
+        if len(self.parts) > CACHE_PARTS:
+            self._forget_parts()
+        parts, new, odd = self.parts, [], []
+        each = np.zeros((len(words), 2), np.int64)
+        for k, word in enumerate(words):
+            low = word.lower()
+            head = low.rstrip(SIGNS)
+            for side, part in enumerate((head, low[len(head) :]) if len(head) < len(low) else (head,)):
+                n = parts.get(part)
+                if n is None:
+                    # of bytes: ASCII letters only
+                    shown = part.decode() if side or part.isalpha() else self._letters(part)
+                    if shown is None:
+                        n = -1
+                    else:
+                        new.append(shown)
+                        n = len(self.part_spans.sizes) + len(new) - 1
+                    parts[part] = n
+                each[k, side] = n
+        if new:
+            ids = np.array(self.plain.encode_batch_fast([" ".join(new)], add_special_tokens=False)[0].ids, np.int64)
+            self.part_spans.add(ids, np.diff(np.flatnonzero(self.closing[ids]), prepend=-1))
+        odd = np.flatnonzero(each[:, 0] < 0)
+        each[odd] = 0
+        ids, sizes = self.part_spans.get(each.ravel())
+        sizes = sizes.reshape(-1, 2).sum(axis=1)
+        if len(odd):
+            texts = [words[k].decode() for k in odd.tolist()]
             made = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
             ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)
             at = np.fromiter((x[0] for x in made.offsets), np.int64, len(made.offsets))
-            sizes = np.bincount(np.searchsorted(ends, at, "right"), minlength=len(odd))
-            ids = made.ids
-            for k, n, e in zip(odd, sizes.tolist(), np.cumsum(sizes).tolist(), strict=True):
-                got[k] = ids[e - n : e]
-        sizes = np.fromiter(map(len, got), np.int64, len(got))
-        self.starts = np.r_[self.starts, len(self.flat) + np.cumsum(sizes) - sizes]
-        self.sizes, self.flat = np.r_[self.sizes, sizes], np.r_[self.flat, np.array([x for own in got for x in own], np.uint32)]
+            n = np.bincount(np.searchsorted(ends, at, "right"), minlength=len(odd))
+            ids = np.insert(ids, np.repeat(np.cumsum(sizes)[odd], n), made.ids)
+            sizes[odd] = n
+        self.spans.add(ids, sizes)
 
     def ids(self, numbers):
         """The ids of words by their numbers, end to end, and how many each has."""
-        import numpy as np
-
-        n = self.sizes[numbers]
-        at = np.repeat(self.starts[numbers] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-        return self.flat[at], n
+        return self.spans.get(numbers)
 
     def whole(self, text: bytes):
         """The ids of a text as the tokenizer itself sees it, the end id last."""
@@ -151,12 +182,10 @@ def text_ids(words: WordIds, texts: list[bytes]):
     """Ids of the texts laid end to end, each with its end id, how many ids each word has, the end among them, how many words each text, and their numbers."""
     import numpy as np
 
-    split = [t.split() for t in texts]
-    for own in split:
-        own.append(b"")
-    flat = [w for own in split for w in own]
-    numbers = words.numbers(flat)
-    return *words.ids(numbers), np.fromiter(map(len, split), np.int64, len(split)), numbers
+    own, distinct, n = common.split_words(texts)
+    numbers = np.zeros(len(own) + len(n), np.int64)
+    numbers[np.delete(np.arange(len(numbers)), np.cumsum(n + 1) - 1)] = words.numbers(distinct)[own]
+    return *words.ids(numbers), n + 1, numbers
 
 
 def tokenized(documents: DataFrame, tokenizer_path: str | None = None, end: int = END, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
