@@ -32,7 +32,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import common
-from ledgerloom.llm.minhash import WordHashes
 from ledgerloom.llm.packing import WordIds, text_ids, vocabulary
 
 common.shipped(__name__)
@@ -99,7 +98,7 @@ def forward(net: list, x, mask):
 
     e, pos, wq, wk, wv, wo, out, bias = net
     many = len(x)
-    h = e[x]
+    h = e.take(x, axis=0)
     h += pos
     last = np.ascontiguousarray(h[:, CONTEXT:]).reshape(-1, WIDTH)
     flat = h.reshape(-1, WIDTH)
@@ -115,7 +114,9 @@ def forward(net: list, x, mask):
     share = 1 / np.maximum(o[:, WIDTH:], 1e-30)
     o = o[:, :WIDTH] * share
     z = last + o @ wo
-    return z @ out + bias, (flat, last, q, k, v, a, share, o, z)
+    logits = z @ out
+    logits += bias
+    return logits, (flat, last, q, k, v, a, share, o, z)
 
 
 def gradient(net: list, x, y, real, mask):
@@ -130,7 +131,7 @@ def gradient(net: list, x, y, real, mask):
     p *= (weight / (p @ np.ones(CLASSES, np.float32)))[:, None]
     p[np.arange(len(p)), y.ravel()] -= weight
     deep = lambda m: m.reshape(many, -1, m.shape[1])
-    dout, dbias, dz = z.T @ p, p.sum(axis=0), p @ out.T
+    dout, dbias, dz = z.T @ p, np.ones(len(p), np.float32) @ p, p @ out.T
     dwo, do = o.T @ dz, (dz @ wo.T) * share
     # a weight's gradient is its share of do times its value less the mean value: the ones column takes the mean off
     ds = np.matmul(deep(np.c_[do, -(do * o) @ np.ones(WIDTH, np.float32)]), v.transpose(0, 2, 1))
@@ -146,27 +147,40 @@ def gradient(net: list, x, y, real, mask):
     return [de, dh.sum(axis=0), dwq, dwk, dwv, dwo, dout, dbias]
 
 
+#: Added to gradients, so that what Adam gathers of weights that no window of many steps has never gets subnormal, which is slow.
+TINY = 1e-18
+
+
 class Trainer:
     """Adam over windows as they come; memory doesn't grow with their number."""
 
     def __init__(self, net: list, rate: float = 0.01):
         import numpy as np
 
-        self.net, self.rate, self.steps = [w.copy() for w in net], rate, 0
-        self.m, self.v = [np.zeros_like(w) for w in net], [np.zeros_like(w) for w in net]
+        self.flat, self.rate, self.steps = np.concatenate([w.ravel() for w in net]).astype(np.float32), rate, 0
+        cuts = np.cumsum([w.size for w in net])[:-1]
+        self.net = [part.reshape(w.shape) for part, w in zip(np.split(self.flat, cuts), net, strict=True)]  # views
+        self.m, self.v = np.zeros_like(self.flat), np.zeros_like(self.flat)
         self.mask = _mask()
 
     def learn(self, rows, marks, kept, classes) -> None:
         import numpy as np
 
         for lo in range(0, len(rows), BATCH):
-            own, real = kept[rows[lo : lo + BATCH]], marks[lo : lo + BATCH]
-            x, y = own[:, :-1], classes[own[:, CONTEXT + 1 :]]
+            own, real = kept.take(rows[lo : lo + BATCH]), marks[lo : lo + BATCH]
+            x, y = own[:, :-1], classes.take(own[:, CONTEXT + 1 :])
             self.steps += 1
-            for w, g, a, b in zip(self.net, gradient(self.net, x, y, real, self.mask), self.m, self.v, strict=True):
-                a += 0.1 * (g - a)
-                b += 0.01 * (g * g - b)
-                w -= self.rate * (a / (1 - 0.9**self.steps)) / (np.sqrt(b / (1 - 0.99**self.steps)) + 1e-8)
+            g = np.concatenate([w.ravel() for w in gradient(self.net, x, y, real, self.mask)])
+            g += np.float32(TINY)
+            self.m += np.float32(0.1) * (g - self.m)
+            g *= g
+            self.v += np.float32(0.01) * (g - self.v)
+            size = np.sqrt(self.v)
+            size *= np.float32((1 - 0.99**self.steps) ** -0.5)
+            size += np.float32(1e-8)
+            np.divide(self.m, size, out=size)
+            size *= np.float32(self.rate / (1 - 0.9**self.steps))
+            self.flat -= size
 
 
 def neighbours_to_model(pairs, kept_count, ids_count, end: int, used):
@@ -340,7 +354,7 @@ def fitted(rows: DataFrame) -> dict:
     ids_count, begins, ends = counts
     train = rows.where("kind = 0").where(F.coalesce(fold(F.col("doc_id")) != HELD, F.lit(True))).select("ids")
     top = [int(i) for i in np.argsort(-ids_count, kind="stable")[: KEPT_IDS - 2] if ids_count[i] and i != END]
-    kept = np.full(IDS, KEPT_IDS - 1, np.int32)
+    kept = np.full(IDS, KEPT_IDS - 1, np.int64)
     kept[[END, *top]] = np.arange(len(top) + 1)
     matrix = np.zeros(KEPT_IDS * KEPT_IDS)
     for r in neighbours(train, kept).toArrow().to_batches():  # at most KEPT_IDS squared
@@ -391,18 +405,18 @@ def attention_scores(model: dict, ids, ends, mask):
 
     rows, real = windows(ids, ends)
     out, lift = np.empty(real.shape, np.float32), np.empty(real.shape, np.float32)
-    for lo in range(0, len(rows), 512):
-        own = rows[lo : lo + 512]
-        kept = model["kept"][own]
+    for lo in range(0, len(rows), 64):  # so few that they stay in the cache
+        own = rows[lo : lo + 64]
+        kept = model["kept"].take(own)
         logits, _ = forward(model["net"], kept[:, :-1], mask)
         next_ids, before = kept[:, CONTEXT + 1 :].ravel(), kept[:, CONTEXT:-1].ravel()
-        got = logits[np.arange(len(logits)), model["classes"][next_ids]]
+        got = logits.ravel().take(np.arange(0, logits.size, CLASSES) + model["classes"].take(next_ids))
         np.minimum(logits, 80, out=logits)
         np.exp(logits, out=logits)
         p = (np.minimum(got, 80) - np.log(logits @ np.ones(CLASSES, np.float32))) * np.float32(0.4342945)
-        cond = model["cond"].ravel()[before * KEPT_IDS + next_ids]
-        out[lo : lo + 512] = (p + cond + model["spread"][own[:, CONTEXT + 1 :].ravel()]).reshape(-1, STRIDE)
-        lift[lo : lo + 512] = p.reshape(-1, STRIDE)
+        cond = model["cond"].ravel().take(before * KEPT_IDS + next_ids)
+        out[lo : lo + 64] = (p + cond + model["spread"].take(own[:, CONTEXT + 1 :].ravel())).reshape(-1, STRIDE)
+        lift[lo : lo + 64] = p.reshape(-1, STRIDE)
     return out[real], lift[real]
 
 
@@ -442,9 +456,10 @@ def score(documents: DataFrame, tokenizer_path: str | None = None) -> DataFrame:
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
+        import xxhash
 
         names = ["key", "doc_id", "n_tokens", "n_known", "base", "mixed", "hash", "neural", "lift"]
-        model, hashes, mask = shared.value, WordHashes(), _mask()
+        model, mask = shared.value, _mask()
         if len(model["keys"]) == 0:
             model = model | {"keys": np.zeros(1, np.int64), "many": np.zeros(1, np.int64)}
         for batch in batches:
@@ -452,12 +467,12 @@ def score(documents: DataFrame, tokenizer_path: str | None = None) -> DataFrame:
                 k = len(texts)
                 ids, sizes = (np.frombuffer(b"".join(batch.column(c).slice(lo, k).to_pylist()), np.uint16).astype(np.int64) for c in (3, 4))
                 sizes = unpacked_sizes(sizes)
-                split = [t.lower().split() for t in texts]
-                n = np.fromiter(map(len, split), np.int64, k) + 1
+                word, distinct, n = common.split_words([t.lower() for t in texts])
+                n = n + 1
                 close = np.cumsum(n) - 1
                 neural, lift = word_scores(model, ids, sizes, np.cumsum(sizes)[close], mask)
                 h = np.zeros(len(sizes), np.uint64)
-                h[np.delete(np.arange(len(h)), close)] = np.fromiter((hashes[w] for own in split for w in own), np.uint64, len(h) - k)
+                h[np.delete(np.arange(len(h)), close)] = np.fromiter(map(xxhash.xxh3_64_intdigest, distinct), np.uint64, len(distinct))[word]
                 h = h.view(np.int64)
                 at = np.minimum(np.searchsorted(model["keys"], h), len(model["keys"]) - 1)
                 c = np.where(model["keys"][at] == h, model["many"][at], 0)
