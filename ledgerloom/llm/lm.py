@@ -31,7 +31,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import common
+from ledgerloom.llm import common, packing
 from ledgerloom.llm.packing import WordIds, text_ids, vocabulary
 
 common.shipped(__name__)
@@ -49,7 +49,9 @@ ROUNDS = ((1, 0.03), (4, 0.02), (32, 0.01))
 BATCH = 64
 SHARED_WORDS = 400_000
 NO_IDS = -12.0
-STEP_WORDS = 40_000
+STEP_WORDS = 200_000
+#: Hashes of words that a task counts before it gives them out.
+HASHES = 400_000
 #: Ids handled at once in a task that counts or trains.
 STEP_IDS = 200_000
 
@@ -223,6 +225,26 @@ def neighbours_to_model(pairs, kept_count, ids_count, end: int, used):
     return classes, cond.astype(np.float32), spread.astype(np.float32)
 
 
+def hashed(words):
+    """64-bit hashes of an Arrow array of words."""
+    import numpy as np
+    import pyarrow as pa
+    import xxhash
+
+    words = words.cast(pa.binary()).to_numpy(zero_copy_only=False)
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words.tolist()), np.uint64, len(words)).view(np.int64)
+
+
+def summed(keys, n):
+    """Distinct keys and the sums of their counts."""
+    import numpy as np
+
+    order = np.argsort(keys)
+    keys = keys[order]
+    first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]][: len(keys)])
+    return keys[first], np.add.reduceat(n[order], first) if len(first) else n
+
+
 SPELLED = "kind int, doc_id long, text string, ids binary, sizes binary, word long, n long"
 
 
@@ -233,50 +255,43 @@ def spelled(documents: DataFrame, path: str) -> DataFrame:
     def run(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
-        import xxhash
+        import pyarrow.compute as pc
 
         names, kinds = SPELLED.replace(",", "").split()[::2], [pa.int32(), pa.int64(), pa.string(), pa.binary(), pa.binary(), pa.int64(), pa.int64()]
-        words, by_word, by_id = WordIds(path, END), np.zeros(0, np.int64), np.zeros((3, IDS), np.int64)
+        words, by_id = WordIds(path, END), np.zeros((3, IDS), np.int64)
+        hashes, times = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
         def rows(**own):
             many = len(next(iter(own.values())))
             return pa.RecordBatch.from_arrays([own[k] if k in own else pa.nulls(many, t) for k, t in zip(names, kinds, strict=True)], names)
 
-        def seen() -> Iterator:
-            at = np.flatnonzero(by_word)
-            at = at[at > 0]  # the end is no word
-            known = list(words)
-            hashes = np.fromiter((xxhash.xxh3_64_intdigest(known[k]) for k in at.tolist()), np.uint64, len(at)).view(np.int64)
-            yield rows(kind=pa.array(np.ones(len(at), np.int32)), word=pa.array(hashes), n=pa.array(by_word[at]))
+        def seen():
+            return rows(kind=pa.array(np.ones(len(hashes), np.int32)), word=pa.array(hashes), n=pa.array(times))
 
         def binary(values, ends):
             return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(np.r_[0, 2 * ends].astype(np.int32)), pa.py_buffer(values.astype(np.uint16))])
 
         for batch in batches:
             held = batch.column(2).to_numpy(zero_copy_only=False)
-            for lo, texts in common.text_parts(batch.column(1)):
-                was = len(words)
-                if was > len(by_word):
-                    by_word = np.r_[by_word, np.zeros(was - len(by_word), np.int64)]
-                if words.full():
-                    yield from seen()
-                    words.forget()
-                    by_word[:] = 0
-                ids, per_word, n, numbers = text_ids(words, [t.lower() for t in texts])
-                doc, word_ends = np.repeat(np.arange(len(n)), n), np.cumsum(per_word)
-                train = ~held[lo : lo + len(texts)][doc]
-                found = np.bincount(numbers[train])
-                if len(found) > len(by_word):
-                    by_word = np.r_[by_word, np.zeros(len(found) - len(by_word), np.int64)]
-                by_word[: len(found)] += found
+            for lo, many in common.part_ranges(batch.column(1), packing.STEP_WORDS):
+                texts = batch.column(1).slice(lo, many).cast(pa.string())
+                ids, per_word, n, numbers = text_ids(words, pc.ascii_lower(texts.fill_null("")))
+                doc, word_ends = np.repeat(np.arange(len(n)), n), np.cumsum(per_word, dtype=np.int64)
+                train = ~held[lo : lo + many][doc]
+                found = np.bincount(numbers[train], minlength=1)
+                at = np.flatnonzero(found[1:])  # the end is no word
+                hashes, times = summed(np.r_[hashes, hashed(words.words.take(pa.array(at)))], np.r_[times, found[1:][at]])
+                if len(hashes) > HASHES:
+                    yield seen()
+                    hashes, times = hashes[:0], times[:0]
                 by_id[0] += np.bincount(ids[np.repeat(train, per_word)], minlength=IDS)
                 some = train & (per_word > 0)
                 by_id[1] += np.bincount(ids[(word_ends - per_word)[some]], minlength=IDS)
                 by_id[2] += np.bincount(ids[word_ends[some] - 1], minlength=IDS)
                 last = np.cumsum(n)
-                kind = pa.array(np.zeros(len(texts), np.int32))
-                yield rows(kind=kind, doc_id=batch.column(0).slice(lo, len(texts)), text=batch.column(1).slice(lo, len(texts)).cast(pa.string()), ids=binary(ids, word_ends[last - 1]), sizes=binary(*packed_sizes(per_word, last)))
-        yield from seen()
+                kind = pa.array(np.zeros(many, np.int32))
+                yield rows(kind=kind, doc_id=batch.column(0).slice(lo, many), text=texts, ids=binary(ids, word_ends[last - 1]), sizes=binary(*packed_sizes(per_word, last)))
+        yield seen()
         for k in range(3):
             at = np.flatnonzero(by_id[k])
             yield rows(kind=pa.array(np.full(len(at), 2 + k, np.int32)), word=pa.array(at), n=pa.array(by_id[k][at]))
@@ -456,26 +471,25 @@ def score(documents: DataFrame, tokenizer_path: str | None = None) -> DataFrame:
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
-        import xxhash
+        import pyarrow.compute as pc
 
         names = ["key", "doc_id", "n_tokens", "n_known", "base", "mixed", "hash", "neural", "lift"]
         model, mask = shared.value, _mask()
         if len(model["keys"]) == 0:
             model = model | {"keys": np.zeros(1, np.int64), "many": np.zeros(1, np.int64)}
         for batch in batches:
-            for lo, texts in common.text_parts(batch.column(2), STEP_WORDS):
-                k = len(texts)
+            for lo, k in common.part_ranges(batch.column(2), STEP_WORDS):
                 ids, sizes = (np.frombuffer(b"".join(batch.column(c).slice(lo, k).to_pylist()), np.uint16).astype(np.int64) for c in (3, 4))
                 sizes = unpacked_sizes(sizes)
-                word, distinct, n = common.split_words([t.lower() for t in texts])
+                word, distinct, n = common.split_words(pc.ascii_lower(batch.column(2).slice(lo, k).cast(pa.string()).fill_null("")))
                 n = n + 1
                 close = np.cumsum(n) - 1
                 neural, lift = word_scores(model, ids, sizes, np.cumsum(sizes)[close], mask)
-                h = np.zeros(len(sizes), np.uint64)
-                h[np.delete(np.arange(len(h)), close)] = np.fromiter(map(xxhash.xxh3_64_intdigest, distinct), np.uint64, len(distinct))[word]
-                h = h.view(np.int64)
-                at = np.minimum(np.searchsorted(model["keys"], h), len(model["keys"]) - 1)
-                c = np.where(model["keys"][at] == h, model["many"][at], 0)
+                inside = np.delete(np.arange(len(sizes)), close)
+                keys = hashed(distinct)
+                at = np.minimum(np.searchsorted(model["keys"], keys), len(model["keys"]) - 1)
+                h, c = np.zeros(len(sizes), np.int64), np.zeros(len(sizes), np.int64)
+                h[inside], c[inside] = keys[word], np.where(model["keys"][at] == keys, model["many"][at], 0)[word]
                 c[close] = n_docs
                 rare = c == 0
                 rare[close] = False
