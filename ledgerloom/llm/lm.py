@@ -51,7 +51,7 @@ SHARED_WORDS = 400_000
 NO_IDS = -12.0
 STEP_WORDS = 200_000
 #: Hashes of words that a task counts before it gives them out.
-HASHES = 400_000
+HASHES = 1_000_000
 #: Ids handled at once in a task that counts or trains.
 STEP_IDS = 200_000
 
@@ -104,10 +104,10 @@ def forward(net: list, x, mask):
     h += pos
     last = np.ascontiguousarray(h[:, CONTEXT:]).reshape(-1, WIDTH)
     flat = h.reshape(-1, WIDTH)
-    q, k = (last @ (wq * WIDTH**-0.5)).reshape(many, STRIDE, WIDTH), (flat @ wk).reshape(many, -1, WIDTH)
-    v = flat @ np.c_[wv, np.zeros(WIDTH, np.float32)]
-    v[:, WIDTH] = 1
-    v = v.reshape(many, -1, WIDTH + 1)
+    q = (last @ (wq * WIDTH**-0.5)).reshape(many, STRIDE, WIDTH)
+    kv = (flat @ np.concatenate([wk, wv, np.zeros((WIDTH, 1), wv.dtype)], axis=1)).reshape(many, -1, 2 * WIDTH + 1)
+    kv[:, :, 2 * WIDTH] = 1
+    k, v = kv[:, :, :WIDTH], kv[:, :, WIDTH:]
     a = np.matmul(q, k.transpose(0, 2, 1))
     np.minimum(a, 30, out=a)
     np.exp(a, out=a)
@@ -129,23 +129,35 @@ def gradient(net: list, x, y, real, mask):
     p, (flat, last, q, k, v, a, share, o, z) = forward(net, x, mask)
     np.clip(p, -80, 80, out=p)
     np.exp(p, out=p)
-    weight = (real.ravel() / max(1, real.sum())).astype(np.float32)
+    weight = real.ravel().astype(np.float32)
+    weight *= np.float32(1 / max(1, np.count_nonzero(real)))
     p *= (weight / (p @ np.ones(CLASSES, np.float32)))[:, None]
-    p[np.arange(len(p)), y.ravel()] -= weight
+    flat_p = p.ravel()
+    flat_p[np.arange(0, flat_p.size, CLASSES) + y.ravel()] -= weight
     deep = lambda m: m.reshape(many, -1, m.shape[1])
-    dout, dbias, dz = z.T @ p, np.ones(len(p), np.float32) @ p, p @ out.T
+    dout, dbias, dz = (p.T @ z).T, np.ones(len(p), np.float32) @ p, p @ out.T
     dwo, do = o.T @ dz, (dz @ wo.T) * share
     # a weight's gradient is its share of do times its value less the mean value: the ones column takes the mean off
-    ds = np.matmul(deep(np.c_[do, -(do * o) @ np.ones(WIDTH, np.float32)]), v.transpose(0, 2, 1))
+    less = np.empty((len(do), WIDTH + 1), do.dtype)
+    less[:, :WIDTH] = do
+    np.negative((do * o) @ np.ones(WIDTH, np.float32), out=less[:, WIDTH])
+    ds = np.matmul(deep(less), v.transpose(0, 2, 1))
     ds *= a
-    dv = np.matmul(a.transpose(0, 2, 1), deep(do)).reshape(-1, WIDTH)
-    dq, dk = np.matmul(ds, k).reshape(-1, WIDTH), np.matmul(ds.transpose(0, 2, 1), q).reshape(-1, WIDTH)
+    dkv = np.empty((many, CONTEXT + STRIDE, 2 * WIDTH), do.dtype)
+    np.matmul(ds.transpose(0, 2, 1), q, out=dkv[:, :, :WIDTH])
+    np.matmul(a.transpose(0, 2, 1), deep(do), out=dkv[:, :, WIDTH:])
+    dkv = dkv.reshape(-1, 2 * WIDTH)
+    dq = np.matmul(ds, k).reshape(-1, WIDTH)
     dq *= WIDTH**-0.5
-    dwq, dwk, dwv = last.T @ dq, flat.T @ dk, flat.T @ dv
-    dh = deep(dk @ wk.T + dv @ wv.T)
-    dh[:, CONTEXT:] += deep(dz + dq @ wq.T)
-    at = (x.reshape(-1, 1) * WIDTH + np.arange(WIDTH)).ravel()
-    de = np.bincount(at, dh.ravel(), e.size).reshape(e.shape).astype(np.float32)
+    dwq, dwkv = last.T @ dq, flat.T @ dkv
+    dh = deep(dkv @ np.concatenate([wk.T, wv.T]))
+    dz += dq @ wq.T
+    dh[:, CONTEXT:] += deep(dz)
+    ids, by_column = x.ravel(), dh.reshape(-1, WIDTH).T.astype(np.float64, order="C")
+    de = np.empty(e.shape, np.float32)
+    for c in range(WIDTH):
+        de[:, c] = np.bincount(ids, by_column[c], len(e))
+    dwk, dwv = dwkv[:, :WIDTH], dwkv[:, WIDTH:]
     return [de, dh.sum(axis=0), dwq, dwk, dwv, dwo, dout, dbias]
 
 

@@ -1,6 +1,8 @@
 """What slows training down."""
 
 import numpy as np
+import pyarrow as pa
+import xxhash
 
 from ledgerloom.llm import lm
 
@@ -14,3 +16,11 @@ def test_moments_of_unseen_ids_are_never_subnormal(monkeypatch):
     for moments in (trainer.m, trainer.v):
         flat = np.abs(np.concatenate([np.ravel(x) for x in moments]))
         assert not ((flat > 0) & (flat < np.finfo(np.float32).tiny)).any()
+
+
+def test_hashes_of_words_are_summed_up_in_arrays():
+    words = pa.array(["river", "mill", "", "été", "river", "mill", "river"])
+    got = lm.summed(lm.hashed(words), np.arange(1, 8))
+    want = {"river": 13, "mill": 8, "": 3, "été": 4}
+    assert dict(zip(*(x.tolist() for x in got))) == {int(np.uint64(xxhash.xxh3_64_intdigest(w.encode())).view(np.int64)): n for w, n in want.items()}
+    assert [len(x) for x in lm.summed(np.zeros(0, np.int64), np.zeros(0, np.int64))] == [0, 0]
