@@ -9,8 +9,8 @@ equal windows have equal minimisers, and consecutive windows that share one are
 2. Super-k-mers that pass travel as packed strings to their minimiser's bucket, equal strings of a task as one row with their
    least and greatest document. There strings are sorted by minimiser, and each group's windows are counted exactly: a run of
    windows of a string gets the least document that any of them starts in.
-3. The places of these strings, without text, are joined with the runs; windows in later documents go, and every word that
-   such a window covers is removed.
+3. The places of these strings, without text and written by the same pass over the texts, are joined with the runs; windows in
+   later documents go, and every word that such a window covers is removed.
 
 A passage in a third of all documents is thus one row per task in step 2, and a key with one row on the right in step 3. The
 bucket of a minimiser with very many super-k-mers (HOT_STRINGS or more, and a HOT_SHARE-th of all or more, so at most HOT_SHARE
@@ -27,6 +27,7 @@ lose any; equal rows with one id do not remove each other. Columns other than th
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import accumulate, chain
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,7 +57,7 @@ def windows_of(texts: list[bytes], hashes: WordHashes, window: int = WINDOW):
 
     words = [t.split() for t in texts]
     n = np.array([len(w) for w in words], np.int64)
-    flat = np.fromiter((hashes[x] for w in words for x in w), np.uint64, int(n.sum()))
+    flat = np.fromiter(map(hashes.__getitem__, chain.from_iterable(words)), np.uint64, int(n.sum()))
     ends = np.cumsum(n)
     count = np.maximum(n - window + 1, 0)
     if not count.sum():
@@ -137,10 +138,9 @@ def _shared_kmers(batch, bits, hashes: WordHashes, window: int) -> Iterator:
         last, flat, ends = -1, b"", []
         for k, s, m, key in zip(text[keep].tolist(), start[keep].tolist(), n[keep].tolist(), mini[keep].tolist(), strict=True):
             if k != last:
-                last, flat, ends = k, b" ".join(words[k]), [0]
-                for w in words[k]:
-                    ends.append(ends[-1] + len(w) + 1)
-            packed = flat[ends[s] : ends[s + m + window - 1] - 1]
+                last, flat, ends = k, b" ".join(words[k]), list(accumulate(map(len, words[k]), initial=0))  # without the spaces
+            stop = s + m + window - 1
+            packed = flat[ends[s] + s : ends[stop] + stop - 1]
             yield at + k, s, key, xxhash.xxh3_128_digest(packed), packed
 
 
@@ -159,22 +159,37 @@ def _batch(rows: list, kinds: str, names: list[str]):
     return pa.RecordBatch.from_arrays(columns, names)
 
 
-def strings(docs: DataFrame, shared, window: int = WINDOW) -> DataFrame:
-    """(mini, h1, h2, least, most, packed): a row for each string and task, more if a task holds too many; its text in one of them."""
+def occurrences(docs: DataFrame, shared, window: int = WINDOW) -> DataFrame:
+    """One pass over the texts gives two kinds of rows. With `start`: (mini, h1, h2, doc_id, rid, start), where each string stands.
+
+    Without: (mini, h1, h2, least, most, packed), see strings().
+    """
+    string_names, place_names = ["mini", "h1", "h2", "least", "most", "packed"], ["mini", "h1", "h2", "doc_id", "rid", "start"]
+    schema = "mini long, h1 long, h2 long, least long, most long, packed binary, doc_id long, rid long, start long"
 
     def run(batches: Iterator) -> Iterator:
-        names = ["mini", "h1", "h2", "least", "most", "packed"]
-        hashes, seen, out = WordHashes(), {}, []
+        import pyarrow as pa
+
+        hashes, seen, out, stand = WordHashes(), {}, [], []
 
         def known() -> list:
             rows = [(m, h, a, b, None) for (m, h), (a, b, n) in seen.items() if n]
             seen.clear()
             return rows
 
+        def rows(own: list, kinds: str, names: list[str]) -> pa.RecordBatch:
+            made = _batch(own, kinds, names)
+            types = {part.split()[0]: pa.binary() if part.endswith("binary") else pa.int64() for part in schema.split(", ")}
+            return pa.RecordBatch.from_arrays([made.column(c) if c in names else pa.nulls(len(own), t) for c, t in types.items()], list(types))
+
         for batch in batches:
-            ids = batch.column(0).to_pylist()
-            for row, _, mini, digest, packed in _shared_kmers(batch, shared.value, hashes, window):
+            ids, rids = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for row, start, mini, digest, packed in _shared_kmers(batch, shared.value, hashes, window):
                 d = ids[row]
+                stand.append((mini, digest, d, rids[row], start))
+                if len(stand) >= OUT_ROWS:
+                    yield rows(stand, "ldlll", place_names)
+                    stand = []
                 was = seen.get((mini, digest))
                 if was is None:
                     seen[mini, digest] = [d, d, 0]
@@ -182,30 +197,29 @@ def strings(docs: DataFrame, shared, window: int = WINDOW) -> DataFrame:
                     if len(seen) >= HELD_STRINGS:
                         out += known()
                     if len(out) >= OUT_ROWS:
-                        yield _batch(out, "ldllb", names)
+                        yield rows(out, "ldllb", string_names)
                         out = []
                 elif not was[0] <= d <= was[1]:
                     was[:] = min(d, was[0]), max(d, was[1]), 1
-        yield _batch(out + known(), "ldllb", names)
+        yield rows(stand, "ldlll", place_names)
+        yield rows(out + known(), "ldllb", string_names)
 
-    return docs.mapInArrow(run, "mini long, h1 long, h2 long, least long, most long, packed binary")
+    return docs.mapInArrow(run, schema)
 
 
-def places(docs: DataFrame, shared, window: int = WINDOW) -> DataFrame:
-    """(mini, h1, h2, doc_id, rid, start): where the strings stand."""
+def strings_of(found: DataFrame) -> DataFrame:
+    """Of occurrences(), the strings."""
+    return found.where("start is null").select("mini", "h1", "h2", "least", "most", "packed")
+
+
+def strings(docs: DataFrame, shared, window: int = WINDOW) -> DataFrame:
+    """(mini, h1, h2, least, most, packed): a row for each string and task, more if a task holds too many; its text in one of them."""
+    return strings_of(occurrences(docs, shared, window))
 
-    def run(batches: Iterator) -> Iterator:
-        hashes, out, names = WordHashes(), [], ["mini", "h1", "h2", "doc_id", "rid", "start"]
-        for batch in batches:
-            ids, rids = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for row, start, mini, digest, _ in _shared_kmers(batch, shared.value, hashes, window):
-                out.append((mini, digest, ids[row], rids[row], start))
-                if len(out) >= OUT_ROWS:
-                    yield _batch(out, "ldlll", names)
-                    out = []
-        yield _batch(out, "ldlll", names)
 
-    return docs.mapInArrow(run, "mini long, h1 long, h2 long, doc_id long, rid long, start long")
+def places_of(found: DataFrame) -> DataFrame:
+    """Of occurrences(), (mini, h1, h2, doc_id, rid, start): where the strings stand."""
+    return found.where("start is not null").select("mini", "h1", "h2", "doc_id", "rid", "start")
 
 
 def counted(packed: DataFrame, window: int = WINDOW, hot: DataFrame | None = None) -> DataFrame:
@@ -308,12 +322,13 @@ def intervals(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     docs = docs.where("doc_id is not null and text is not null")
     bits, hot = shared_minimisers(docs, window)
     shared = docs.sparkSession.sparkContext.broadcast(bits)  # FILTER_BITS at most
-    found = common.written(counted(strings(docs, shared, window), window, hot), "runs")
+    met = common.written(occurrences(docs, shared, window), "strings")
+    found = common.written(counted(strings_of(met), window, hot), "runs")
     single = found.where("w1 is not null")
     lows = single.groupBy("w1", "w2").agg(F.min("least").alias("low"))
     single = single.join(lows, ["w1", "w2"]).where("low < most").select("mini", "h1", "h2", "at", "n", F.col("low").alias("least"))
     runs = found.where("w1 is null and least < most").select(*single.columns).unionByName(single)
-    late = places(docs, shared, window).join(runs, ["mini", "h1", "h2"]).where("doc_id > least")
+    late = places_of(met).join(runs, ["mini", "h1", "h2"]).where("doc_id > least")
     late = late.select("doc_id", "rid", (F.col("start") + F.col("at")).alias("start"), "n")
     return late.groupBy("doc_id", "rid").agg(F.sort_array(F.collect_set(F.struct("start", "n"))).alias("cuts"))
 

@@ -73,3 +73,14 @@ def test_a_common_phrase_is_dealt_to_all_tasks(spark, monkeypatch):
                 gone.update(range(k, k + 50))
         want[d] = " ".join(x for k, x in enumerate(w) if k not in gone)
     assert {r.doc_id: r.kept for r in substrings.without_repeats(docs).collect()} == want
+
+
+def test_repeats_are_placed_by_the_pass_that_finds_them(spark):
+    """The texts' windows are not computed once more for where the strings stand."""
+    words = [f"w{k}" for k in range(70)]
+    rows = [(1, " ".join(words)), (2, " ".join([*words[:60], "other", "end"])), (3, " ".join(["x", *words[5:]]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("doc_id", "xxhash64(text) as rid", "text")
+    cuts = substrings.intervals(docs)
+    assert "InArrow" not in cuts._jdf.queryExecution().toString()
+    got = {r.doc_id: {c.start + k for c in r.cuts for k in range(c.n)} for r in cuts.collect()}
+    assert got == {2: set(range(11)), 3: set(range(1, 17))}
