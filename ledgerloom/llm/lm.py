@@ -16,7 +16,8 @@ copies of one text spread too.
 Scoring lays windows of CONTEXT + STRIDE ids over each whole text, so that every id is scored once with CONTEXT ids or more
 before it (fewer only at the start).
 
-The SHARED_WORDS most frequent words reach the tasks as a broadcast of fixed size; rarer words are joined by their hash.
+The most frequent words, SHARED_WORDS at most and all that have the same count or none, reach the tasks as a broadcast; rarer
+words are joined by their hash.
 
 Edge cases: a null or blank text is its end token; without training documents all counts are 0; a null id counts as the text
 '' for the split; equal rows score equally; a word that the tokenizer gives no id has NO_IDS as its spelling's log10
@@ -60,20 +61,25 @@ def fold(doc_id):
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(FOLDS))
 
 
-def windows(ids, ends):
-    """Input and target ids of the windows of chains laid end to end, and which targets are scored."""
+def windows(ids, ends, end: int = END):
+    """Input and target ids of the windows of chains laid end to end, and which targets are scored; `end` fills the rest.
+
+    The chains are laid out anew, each with CONTEXT + 1 places before it and whole strides for itself, and windows are cut from that.
+    """
     import numpy as np
 
-    span = CONTEXT + STRIDE
     sizes = np.diff(np.r_[0, ends])
     count = -(-sizes // STRIDE)
-    first = np.repeat(ends - sizes, count)
-    last = np.repeat(ends, count)
-    start = first + (np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)) * STRIDE
-    at = start[:, None] - CONTEXT + np.arange(-1, span)
-    ok = (at >= first[:, None]) & (at < last[:, None])
-    got = np.where(ok, ids[np.clip(at, 0, len(ids) - 1)], END)
-    return got, ok[:, CONTEXT + 1 :]
+    room = CONTEXT + 1 + count * STRIDE
+    first = np.cumsum(room) - room
+    at = np.arange(len(ids)) + np.repeat(first + CONTEXT + 1 - (ends - sizes), sizes)
+    laid, real = np.full(int(room.sum()), end, ids.dtype), np.zeros(int(room.sum()), bool)
+    laid[at], real[at] = ids, True
+    start = np.repeat(first, count) + (np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)) * STRIDE
+    cut = lambda m, many: np.lib.stride_tricks.sliding_window_view(m, many)
+    if not len(start):
+        return np.zeros((0, CONTEXT + STRIDE + 1), ids.dtype), np.zeros((0, STRIDE), bool)
+    return cut(laid, CONTEXT + STRIDE + 1)[start], cut(real, STRIDE)[start + CONTEXT + 1]
 
 
 def initial(seed: int = 11) -> list:
@@ -95,6 +101,7 @@ def forward(net: list, x, mask):
     """Class logits of the last STRIDE positions of each window, and what the gradient needs.
 
     A column of ones beside the values makes the product with the weights give the weights' sums too, so that they stay unscaled.
+    From there on arrays lie by feature, with all positions in a row: what scales positions or features then runs along whole rows.
     """
     import numpy as np
 
@@ -109,16 +116,18 @@ def forward(net: list, x, mask):
     kv[:, :, 2 * WIDTH] = 1
     k, v = kv[:, :, :WIDTH], kv[:, :, WIDTH:]
     a = np.matmul(q, k.transpose(0, 2, 1))
-    np.minimum(a, 30, out=a)
+    if a.max(initial=0) > 30:
+        np.minimum(a, 30, out=a)
     np.exp(a, out=a)
     a *= mask
     o = np.matmul(a, v).reshape(-1, WIDTH + 1)
-    share = 1 / np.maximum(o[:, WIDTH:], 1e-30)
-    o = o[:, :WIDTH] * share
-    z = last + o @ wo
-    logits = z @ out
-    logits += bias
-    return logits, (flat, last, q, k, v, a, share, o, z)
+    share = 1 / np.maximum(o[:, WIDTH], 1e-30)
+    seen = wo.T @ o[:, :WIDTH].T
+    seen *= share
+    z = seen + last.T
+    logits = out.T @ z
+    logits += bias[:, None]
+    return logits.T, (flat, last, q, k, v, a, share, o, seen, z)
 
 
 def gradient(net: list, x, y, real, mask):
@@ -126,33 +135,38 @@ def gradient(net: list, x, y, real, mask):
 
     e, pos, wq, wk, wv, wo, out, bias = net
     many = len(x)
-    p, (flat, last, q, k, v, a, share, o, z) = forward(net, x, mask)
-    np.clip(p, -80, 80, out=p)
+    p, (flat, last, q, k, v, a, share, o, seen, z) = forward(net, x, mask)
+    p = p.T  # by class
+    if p.max() > 80 or p.min() < -80:
+        np.clip(p, -80, 80, out=p)
     np.exp(p, out=p)
     weight = real.ravel().astype(np.float32)
     weight *= np.float32(1 / max(1, np.count_nonzero(real)))
-    p *= (weight / (p @ np.ones(CLASSES, np.float32)))[:, None]
-    flat_p = p.ravel()
-    flat_p[np.arange(0, flat_p.size, CLASSES) + y.ravel()] -= weight
+    n = len(weight)
+    p *= weight / (np.ones(CLASSES, np.float32) @ p)
+    p.ravel()[y.ravel() * n + np.arange(n)] -= weight
     deep = lambda m: m.reshape(many, -1, m.shape[1])
-    dout, dbias, dz = (p.T @ z).T, np.ones(len(p), np.float32) @ p, p @ out.T
-    dwo, do = o.T @ dz, (dz @ wo.T) * share
+    dout, dbias, dz = z @ p.T, p @ np.ones(n, np.float32), out @ p
+    dseen = dz * share
+    dwo = o[:, :WIDTH].T @ dseen.T
     # a weight's gradient is its share of do times its value less the mean value: the ones column takes the mean off
-    less = np.empty((len(do), WIDTH + 1), do.dtype)
-    less[:, :WIDTH] = do
-    np.negative((do * o) @ np.ones(WIDTH, np.float32), out=less[:, WIDTH])
+    less = np.empty((n, WIDTH + 1), dz.dtype)
+    do = less[:, :WIDTH]
+    np.matmul(dseen.T, wo.T, out=do)
+    np.negative(np.ones(WIDTH, np.float32) @ (dseen * seen), out=less[:, WIDTH])
     ds = np.matmul(deep(less), v.transpose(0, 2, 1))
     ds *= a
-    dkv = np.empty((many, CONTEXT + STRIDE, 2 * WIDTH), do.dtype)
+    dkv = np.empty((many, CONTEXT + STRIDE, 2 * WIDTH), dz.dtype)
     np.matmul(ds.transpose(0, 2, 1), q, out=dkv[:, :, :WIDTH])
-    np.matmul(a.transpose(0, 2, 1), deep(do), out=dkv[:, :, WIDTH:])
+    np.matmul(a.transpose(0, 2, 1), deep(less)[:, :, :WIDTH], out=dkv[:, :, WIDTH:])
     dkv = dkv.reshape(-1, 2 * WIDTH)
     dq = np.matmul(ds, k).reshape(-1, WIDTH)
     dq *= WIDTH**-0.5
     dwq, dwkv = last.T @ dq, flat.T @ dkv
     dh = deep(dkv @ np.concatenate([wk.T, wv.T]))
-    dz += dq @ wq.T
-    dh[:, CONTEXT:] += deep(dz)
+    dlast = dq @ wq.T
+    dlast += dz.T
+    dh[:, CONTEXT:] += deep(dlast)
     ids, by_column = x.ravel(), dh.reshape(-1, WIDTH).T.astype(np.float64, order="C")
     de = np.empty(e.shape, np.float32)
     for c in range(WIDTH):
@@ -271,15 +285,19 @@ def spelled(documents: DataFrame, path: str) -> DataFrame:
 
         names, kinds = SPELLED.replace(",", "").split()[::2], [pa.int32(), pa.int64(), pa.string(), pa.binary(), pa.binary(), pa.int64(), pa.int64()]
         words, by_id = WordIds(path, END), np.zeros((3, IDS), np.int64)
-        hashes, times = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        waiting: list = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]  # hashes and counts, summed up only when many
 
         def rows(**own):
             many = len(next(iter(own.values())))
             return pa.RecordBatch.from_arrays([own[k] if k in own else pa.nulls(many, t) for k, t in zip(names, kinds, strict=True)], names)
 
         def seen():
+            hashes, times = waiting[0]
             return rows(kind=pa.array(np.ones(len(hashes), np.int32)), word=pa.array(hashes), n=pa.array(times))
 
+        def merged():
+            waiting[:] = [summed(*(np.concatenate(x) for x in zip(*waiting, strict=True)))]
+
         def binary(values, ends):
             return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(np.r_[0, 2 * ends].astype(np.int32)), pa.py_buffer(values.astype(np.uint16))])
 
@@ -289,20 +307,19 @@ def spelled(documents: DataFrame, path: str) -> DataFrame:
                 texts = batch.column(1).slice(lo, many).cast(pa.string())
                 ids, per_word, n, numbers = text_ids(words, pc.ascii_lower(texts.fill_null("")))
                 doc, word_ends = np.repeat(np.arange(len(n)), n), np.cumsum(per_word, dtype=np.int64)
-                train = ~held[lo : lo + many][doc]
-                found = np.bincount(numbers[train], minlength=1)
+                found = np.bincount(numbers[~held[lo : lo + many][doc]], minlength=len(words.spans.sizes))
                 at = np.flatnonzero(found[1:])  # the end is no word
-                hashes, times = summed(np.r_[hashes, hashed(words.words.take(pa.array(at)))], np.r_[times, found[1:][at]])
-                if len(hashes) > HASHES:
-                    yield seen()
-                    hashes, times = hashes[:0], times[:0]
-                by_id[0] += np.bincount(ids[np.repeat(train, per_word)], minlength=IDS)
-                some = train & (per_word > 0)
-                by_id[1] += np.bincount(ids[(word_ends - per_word)[some]], minlength=IDS)
-                by_id[2] += np.bincount(ids[word_ends[some] - 1], minlength=IDS)
+                waiting.append((hashed(words.words.take(pa.array(at))), found[1:][at]))
+                if sum(len(x) for x, _ in waiting) > 2 * HASHES:
+                    merged()
+                    if len(waiting[0][0]) > HASHES:
+                        yield seen()
+                        waiting[:] = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+                count_ids(by_id, words.spans, found)
                 last = np.cumsum(n)
                 kind = pa.array(np.zeros(many, np.int32))
                 yield rows(kind=kind, doc_id=batch.column(0).slice(lo, many), text=texts, ids=binary(ids, word_ends[last - 1]), sizes=binary(*packed_sizes(per_word, last)))
+        merged()
         yield seen()
         for k in range(3):
             at = np.flatnonzero(by_id[k])
@@ -312,6 +329,17 @@ def spelled(documents: DataFrame, path: str) -> DataFrame:
     return documents.select("doc_id", "text", held.alias("held")).mapInArrow(run, SPELLED)
 
 
+def count_ids(by_id, spans, found) -> None:
+    """Adds the ids of words to the counts of ids, of first ones and of last ones; found: how often each word is there."""
+    import numpy as np
+
+    some = np.flatnonzero(found.astype(bool) & (spans.sizes > 0))
+    n, first = found[some], spans.starts[some]
+    ids, sizes = spans.get(some)
+    for k, (own, times) in enumerate(((ids, np.repeat(n, sizes)), (spans.flat[first], n), (spans.flat[first + spans.sizes[some] - 1], n))):
+        by_id[k] += np.bincount(own, times, IDS).astype(np.int64)  # sums of whole numbers, exact below 2^53
+
+
 def packed_sizes(sizes, ends):
     """Sizes as 16-bit numbers and the ends of their documents there: 65535 says that the number after it adds to it."""
     import numpy as np
@@ -430,21 +458,26 @@ def attention_scores(model: dict, ids, ends, mask):
     """log10 p of every id of chains laid end to end, each scored once, and of its class."""
     import numpy as np
 
-    rows, real = windows(ids, ends)
-    out, lift = np.empty(real.shape, np.float32), np.empty(real.shape, np.float32)
+    kept = model["kept"].take(ids)
+    end = model["kept"][END]
+    before = np.r_[end, kept[:-1]][: len(kept)]
+    before[ends[:-1]] = end
+    rows, real = windows(kept, ends, end)
+    lift = np.empty(real.shape, np.float32)
     for lo in range(0, len(rows), 64):  # so few that they stay in the cache
         own = rows[lo : lo + 64]
-        kept = model["kept"].take(own)
-        logits, _ = forward(model["net"], kept[:, :-1], mask)
-        next_ids, before = kept[:, CONTEXT + 1 :].ravel(), kept[:, CONTEXT:-1].ravel()
-        got = logits.ravel().take(np.arange(0, logits.size, CLASSES) + model["classes"].take(next_ids))
-        np.minimum(logits, 80, out=logits)
+        logits = forward(model["net"], own[:, :-1], mask)[0].T  # by class
+        n = logits.shape[1]
+        got = logits.ravel().take(model["classes"].take(own[:, CONTEXT + 1 :].ravel()) * n + np.arange(n))
+        if logits.max() > 80:
+            np.minimum(logits, 80, out=logits)
+            np.minimum(got, 80, out=got)
         np.exp(logits, out=logits)
-        p = (np.minimum(got, 80) - np.log(logits @ np.ones(CLASSES, np.float32))) * np.float32(0.4342945)
-        cond = model["cond"].ravel().take(before * KEPT_IDS + next_ids)
-        out[lo : lo + 64] = (p + cond + model["spread"].take(own[:, CONTEXT + 1 :].ravel())).reshape(-1, STRIDE)
-        lift[lo : lo + 64] = p.reshape(-1, STRIDE)
-    return out[real], lift[real]
+        got -= np.log(np.ones(CLASSES, np.float32) @ logits)
+        lift[lo : lo + 64] = got.reshape(-1, STRIDE)
+    lift = lift[real]
+    lift *= np.float32(0.4342945)
+    return lift + model["cond"].ravel().take(before * KEPT_IDS + kept) + model["spread"].take(ids), lift
 
 
 def word_scores(model: dict, ids, sizes, ends, mask):
@@ -462,6 +495,30 @@ def word_scores(model: dict, ids, sizes, ends, mask):
     return np.where(whole, total[stop] - total[stop - sizes], NO_IDS), np.where(whole, classes[first] - model["start"][kind], 0.0)
 
 
+def least_shared(sizes: dict) -> int:
+    """From how many words have each count: the least count such that no more than SHARED_WORDS words have it or a greater one."""
+    least, room = max(sizes, default=0) + 1, SHARED_WORDS
+    for n in sorted(sizes, reverse=True):
+        room -= sizes[n]
+        if room < 0:
+            break
+        least = n
+    return least
+
+
+def mixture(whole, spelling, unseen: float):
+    """log10 of the mixture of two probabilities given as log10, the second one's part being `unseen`. What the smaller adds is at most log10(2)."""
+    import numpy as np
+
+    whole, spelling = whole + np.log10(1 - unseen), spelling + np.log10(unseen)
+    less = np.abs(whole - spelling).astype(np.float32)
+    less *= np.float32(-np.log(10))
+    np.exp(less, out=less)
+    less += 1
+    np.log(less, out=less)
+    return np.maximum(whole, spelling) + np.log10(np.e) * less
+
+
 def score(documents: DataFrame, tokenizer_path: str | None = None) -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     import numpy as np
@@ -471,15 +528,15 @@ def score(documents: DataFrame, tokenizer_path: str | None = None) -> DataFrame:
     counts = common.written(rows.where("kind = 1").groupBy(F.col("word").alias("hash")).agg(F.sum("n").alias("n")), "words")
     docs = rows.where("kind = 0")
     n_docs = docs.where(F.coalesce(fold(F.col("doc_id")) != HELD, F.lit(True))).count()
-    row = counts.agg(F.sum("n"), F.count("*"), F.count_if(F.col("n") == 1)).first()
-    total, distinct = (row[0] or 0) + n_docs, row[1] + (n_docs > 0)
-    top = counts.orderBy(F.desc("n"), "hash").limit(SHARED_WORDS).toArrow()
+    sizes = {r.n: r.words for r in counts.groupBy("n").agg(F.count("*").alias("words")).collect()}  # a row for each count that a word has
+    total, distinct = sum(n * words for n, words in sizes.items()) + n_docs, sum(sizes.values()) + (n_docs > 0)
+    top = counts.where(F.col("n") >= least_shared(sizes)).toArrow()  # at most SHARED_WORDS
     keys, many = top.column("hash").to_numpy(), top.column("n").to_numpy()
     order = np.argsort(keys)
     model = fitted(rows) | {"keys": keys[order], "many": many[order]}
     shared = spark.sparkContext.broadcast(model)
     scale = float(total + distinct + 1)
-    unseen = min(0.5, max(0.02, row[2] / max(total, 1)))  # the spelling's part: how often a word is new, by the words seen once
+    unseen = min(0.5, max(0.02, sizes.get(1, 0) / max(total, 1)))  # the spelling's part: how often a word is new, by the words seen once
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -497,29 +554,32 @@ def score(documents: DataFrame, tokenizer_path: str | None = None) -> DataFrame:
                 n = n + 1
                 close = np.cumsum(n) - 1
                 neural, lift = word_scores(model, ids, sizes, np.cumsum(sizes)[close], mask)
-                inside = np.delete(np.arange(len(sizes)), close)
+                # of distinct words, the end last; then of all
                 keys = hashed(distinct)
                 at = np.minimum(np.searchsorted(model["keys"], keys), len(model["keys"]) - 1)
-                h, c = np.zeros(len(sizes), np.int64), np.zeros(len(sizes), np.int64)
-                h[inside], c[inside] = keys[word], np.where(model["keys"][at] == keys, model["many"][at], 0)[word]
-                c[close] = n_docs
+                c = np.r_[np.where(model["keys"][at] == keys, model["many"][at], 0), n_docs]
                 rare = c == 0
-                rare[close] = False
-                base = np.log10((c + 1) / scale)
+                rare[-1] = False
                 with np.errstate(divide="ignore"):
-                    mixed = np.logaddexp2((np.log10(c) + lift) / np.log10(2) + np.log2(1 - unseen), neural / np.log10(2) + np.log2(unseen)) * np.log10(2)
-                doc = np.repeat(np.arange(k), n)
-                add = lambda x, keep: np.bincount(doc[keep], x[keep], k)  # noqa: B023, E731
-                pick = np.flatnonzero(rare)
+                    whole = np.log10(c)
+                number = np.full(len(sizes), len(distinct))
+                inside = np.ones(len(sizes), bool)
+                inside[close] = False
+                number[inside] = word
+                pick = np.flatnonzero(rare.take(number))
+                mixed = mixture(whole.take(number) + lift, neural, unseen)
+                mixed[pick] = 0
+                by_doc = lambda x: np.add.reduceat(x, close + 1 - n)  # noqa: B023, E731
+                doc = np.searchsorted(close, pick)
                 key = batch.column(0).slice(lo, k)
                 nothing = lambda kind, k=k: pa.nulls(k, kind)
                 yield pa.RecordBatch.from_arrays([
-                    key, batch.column(1).slice(lo, k), pa.array(n), pa.array(add((c > 0).astype(float), ~rare).astype(np.int64)),
-                    pa.array(add(base, ~rare)), pa.array(add(mixed, ~rare)), nothing(pa.int64()), nothing(pa.float64()), nothing(pa.float64()),
+                    key, batch.column(1).slice(lo, k), pa.array(n), pa.array(by_doc((c > 0).astype(np.int64).take(number))),
+                    pa.array(by_doc(np.where(rare, 0, np.log10((c + 1) / scale)).take(number))), pa.array(by_doc(mixed)), nothing(pa.int64()), nothing(pa.float64()), nothing(pa.float64()),
                 ], names)
                 if len(pick):
                     empty, flat = pa.nulls(len(pick), pa.int64()), pa.nulls(len(pick), pa.float64())
-                    yield pa.RecordBatch.from_arrays([key.take(pa.array(doc[pick])), empty, empty, empty, flat, flat, pa.array(h[pick]), pa.array(neural[pick]), pa.array(lift[pick].astype(float))], names)
+                    yield pa.RecordBatch.from_arrays([key.take(pa.array(doc)), empty, empty, empty, flat, flat, pa.array(keys[number[pick]]), pa.array(neural[pick]), pa.array(lift[pick].astype(float))], names)
 
     keyed = docs.select(F.monotonically_increasing_id().alias("key"), "doc_id", "text", "ids", "sizes")
     made = common.written(keyed.mapInArrow(run, "key long, doc_id long, n_tokens long, n_known long, base double, mixed double, hash long, neural double, lift double"), "scores")
